@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from palaver import values
 from palaver.functions.scalars import as_column, clamp, fixed
-from palaver.functions.text import count_in, tokens, words_in
+from palaver.functions.text import BLANK, count_in
 
 
 def occurrences(text, sign: str) -> Column:
@@ -45,25 +45,18 @@ def lexical_score(toxic, positive, n_words) -> Column:
     return F.when(n_words > 0, clamp(score, -1.0, 1.0)).otherwise(F.lit(0.0))
 
 
-def lexical_score_of(text, toxic_words=values.TOXIC_WORDS, positive_words=values.POSITIVE_WORDS) -> Column:
-    words = tokens(F.lower(as_column(text)))
-    return lexical_score(count_in(words, toxic_words), count_in(words, positive_words), F.size(words))
+def rule_score(text, words: str, severe_words=values.SEVERE_WORDS, moderate_words=values.MODERATE_WORDS) -> Column:
+    """Rule toxicity: word severities, then bonuses for shouting and for more than two ``!``.
 
-
-def rule_score(text, words, severe_words=values.SEVERE_WORDS, moderate_words=values.MODERATE_WORDS) -> Column:
-    """Rule toxicity: word severities, then bonuses for shouting and for more than two ``!``."""
-    text, words = as_column(text), as_column(words)
+    ``words`` are the tokens of the text, or only those in the lists; a blank text scores 0.
+    """
+    text = as_column(text)
     severe, moderate = count_in(words, severe_words), count_in(words, moderate_words)
     base = F.least(severe * 0.5 + moderate * 0.25, F.lit(0.95))
     shouting = F.when((text != F.lower(text)) & (uppercase_ratio(text) > 0.5), 0.1).otherwise(0.0)
     excited = F.when(occurrences(text, "!") > 2, 0.05).otherwise(0.0)
     score = F.least(fixed(base + shouting + excited, 4), F.lit(1.0))
-    return F.when(F.size(words) > 0, score).otherwise(F.lit(0.0))
-
-
-def rule_score_of(text) -> Column:
-    words = words_in(tokens(F.lower(as_column(text))), values.SEVERE_WORDS, values.MODERATE_WORDS)
-    return rule_score(text, words)
+    return F.when(text.rlike(f"[^{BLANK}]"), score).otherwise(F.lit(0.0))
 
 
 def is_toxic(score, threshold: float = 0.5) -> Column:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
 from palaver import values
+from palaver.functions.once import let
 from palaver.functions.scalars import as_column
 
 # Letters, digits and blanks are spelled out because the engine's shorthand classes are ASCII only.
@@ -18,9 +20,9 @@ def _class(ranges) -> str:
     return "".join(rf"\x{{{low:X}}}-\x{{{high:X}}}" for low, high in ranges)
 
 
-def _drop_if(text: Column, marker: Column, pattern: str) -> Column:
+def _drop_if(text: Column, marker, pattern: str) -> Column:
     """Remove ``pattern`` only from rows that hold its marker: a byte search in place of a regex."""
-    return F.when(marker, F.regexp_replace(text, pattern, "")).otherwise(text)
+    return let(text, lambda t: F.when(marker(t), F.regexp_replace(t, pattern, "")).otherwise(t))
 
 
 def clean_text(message, emoji_ranges=values.EMOJI_RANGES, hashtags: bool = False, numbers: bool = False) -> Column:
@@ -30,21 +32,21 @@ def clean_text(message, emoji_ranges=values.EMOJI_RANGES, hashtags: bool = False
     characters and blanks end up as one blank, so one pattern does both.
     """
     text = F.lower(F.coalesce(as_column(message), F.lit("")))
-    text = _drop_if(text, text.contains("http") | text.contains("www"), rf"(?:http|www)[^{BLANK}]+")
-    text = _drop_if(text, text.contains("@"), rf"@[{WORD}]+")
+    text = _drop_if(text, lambda t: t.contains("http") | t.contains("www"), rf"(?:http|www)[^{BLANK}]+")
+    text = _drop_if(text, lambda t: t.contains("@"), rf"@[{WORD}]+")
     if hashtags:
-        text = _drop_if(text, text.contains("#"), rf"#[{WORD}]+")
+        text = _drop_if(text, lambda t: t.contains("#"), rf"#[{WORD}]+")
     if numbers:
         text = F.regexp_replace(text, r"\p{Nd}+", "")
     # ASCII text has as many bytes as characters and cannot hold an emoji.
-    text = _drop_if(text, F.octet_length(text) > F.char_length(text), f"[{_class(emoji_ranges)}]+")
+    text = _drop_if(text, lambda t: F.octet_length(t) > F.char_length(t), f"[{_class(emoji_ranges)}]+")
     return F.trim(F.regexp_replace(text, rf"[^{WORD}.,!?']+", " "))
 
 
 def clean_text_quick(message) -> Column:
     """Lower-case, drop ``http`` links, then everything but words becomes single blanks."""
     text = F.lower(as_column(message))
-    text = _drop_if(text, text.contains("http"), rf"http[^{BLANK}]+")
+    text = _drop_if(text, lambda t: t.contains("http"), rf"http[^{BLANK}]+")
     return F.trim(F.regexp_replace(text, rf"[^{WORD}]+", " "))
 
 
@@ -64,21 +66,32 @@ def cleaned_tokens(cleaned) -> Column:
     return F.when(F.length(cleaned) > 0, F.split(cleaned, " ")).otherwise(F.array().cast("array<string>"))
 
 
-def count_in(words, lexicon) -> Column:
+def literal(entry: str) -> str:
+    """SQL text of a string."""
+    return "'" + entry.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literals(entries) -> str:
+    return ", ".join(literal(e) for e in sorted(set(entries)))
+
+
+# The functions over token arrays take the name of the array column: their word lists go to the
+# engine as one SQL text, where a list of columns would cost a call to the JVM for every word.
+
+
+def count_in(words: str, lexicon) -> Column:
     """How many of the tokens are in the lexicon, repeats counted."""
-    entries = sorted(set(lexicon))
-    return F.size(F.filter(as_column(words), lambda w: w.isin(entries)))
+    return F.expr(f"size(filter(`{words}`, w -> w IN ({literals(lexicon)})))")
 
 
-def words_in(words, *lexicons) -> Column:
+def words_in(words: str, *lexicons) -> Column:
     """The tokens that are in any of the lexicons: one pass, after which counts are cheap."""
-    entries = sorted({w for lexicon in lexicons for w in lexicon})
-    return F.filter(as_column(words), lambda w: w.isin(entries))
+    return F.expr(f"filter(`{words}`, w -> w IN ({literals(w for lexicon in lexicons for w in lexicon)}))")
 
 
-def strip_edges(words) -> Column:
-    """Drop punctuation at both ends of each token (apostrophes inside stay)."""
-    return F.transform(as_column(words), lambda w: F.regexp_replace(w, r"^[.,!?']+|[.,!?']+$", ""))
+def words_not_in(words: str, lexicon, min_length: int = 1) -> Column:
+    """The tokens of enough characters that are not in the lexicon."""
+    return F.expr(f"filter(`{words}`, w -> length(w) >= {min_length} AND w NOT IN ({literals(lexicon)}))")
 
 
 # --- corpus preparation ----------------------------------------------------------------------
@@ -98,25 +111,21 @@ def _substitute(text: Column, rules) -> Column:
 def substitute(text, contractions=values.CONTRACTIONS, slang=values.SLANG) -> Column:
     """Ordered substitutions, then links, ASCII digits and mentions are dropped.
 
-    All contraction rules but a few need an apostrophe or a mis-decoded one. Rows without either
+    The leading contraction rules all need an apostrophe or a mis-decoded one. Rows without either
     skip that block; its result for them would be the text itself.
     """
     text = as_column(text)
     marks = ("'", "\x89")
-    marked = [r for r in contractions if any(m in r[0] for m in marks)]
-    last = max((contractions.index(r) for r in marked), default=-1)
-    head, rest = contractions[: last + 1], contractions[last + 1:]
-    if len(marked) == len(head):
-        has_mark = F.lit(False)
-        for mark in marks:
-            has_mark = has_mark | text.contains(mark)
-        text = F.when(has_mark, _substitute(text, head)).otherwise(text)
-    else:
-        text = _substitute(text, head)
+    marked = [any(m in pattern for m in marks) for pattern, _ in contractions]
+    end = marked.index(False) if False in marked else len(marked)
+    head, rest = contractions[:end], contractions[end:]
+    if head:
+        text = let(text, lambda t: F.when(
+            reduce(lambda a, b: a | b, [t.contains(m) for m in marks]), _substitute(t, head)).otherwise(t))
     text = _substitute(text, tuple(rest) + tuple(slang))
-    text = _drop_if(text, text.contains("http"), rf"http[^{BLANK}]+")
+    text = _drop_if(text, lambda t: t.contains("http"), rf"http[^{BLANK}]+")
     text = F.translate(text, "0123456789", "")
-    return _drop_if(text, text.contains("@"), "@[A-Za-z0-9_]+")
+    return _drop_if(text, lambda t: t.contains("@"), "@[A-Za-z0-9_]+")
 
 
 def drop_punctuation(text, keep: str = "!") -> Column:
@@ -129,25 +138,16 @@ def long_tokens(text, min_length: int = 3) -> Column:
     return F.regexp_extract_all(as_column(text), F.lit(rf"[{WORD}]{{{min_length},}}"), F.lit(0))
 
 
-def drop_stopwords(words, stopwords=values.STOPWORDS) -> Column:
+def drop_stopwords(words: str, stopwords=values.STOPWORDS) -> Column:
     """Stopwords are tested before lower-casing, so ``The`` stays, as ``the``."""
-    entries = sorted(set(stopwords))
-    return F.transform(F.filter(as_column(words), lambda w: ~w.isin(entries)), lambda w: F.lower(w))
+    return F.expr(f"transform(filter(`{words}`, w -> w NOT IN ({literals(stopwords)})), w -> lower(w))")
 
 
-def expand_abbreviations(words, table=values.ABBREVIATIONS) -> Column:
+def expand_abbreviations(words: str, table=values.ABBREVIATIONS) -> Column:
     """Replace tokens whose lower-case form is in the table; join with blanks."""
     pairs = dict(table)
-    keys = sorted(pairs)
-    lookup = F.create_map(*[F.lit(x) for k in keys for x in (k, pairs[k])])
-    expanded = F.transform(
-        as_column(words),
-        lambda w: F.when(F.lower(w).isin(keys), F.try_element_at(lookup, F.lower(w))).otherwise(w),
+    entries = ", ".join(f"{literal(k)}, {literal(v)}" for k, v in pairs.items())
+    return F.expr(
+        f"array_join(transform(`{words}`, w -> CASE WHEN lower(w) IN ({literals(pairs)}) "
+        f"THEN try_element_at(map({entries}), lower(w)) ELSE w END), ' ')"
     )
-    return F.array_join(expanded, " ")
-
-
-def prepare_text(text, stopwords=values.STOPWORDS, abbreviations=values.ABBREVIATIONS) -> Column:
-    """The whole corpus preparation of one text."""
-    words = drop_stopwords(long_tokens(drop_punctuation(substitute(text))), stopwords)
-    return expand_abbreviations(words, abbreviations)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from palaver import values
+from palaver.functions.once import computed_once
 from palaver.functions.scalars import fixed
-from palaver.functions.text import prepare_text
+from palaver.functions.text import drop_punctuation, drop_stopwords, expand_abbreviations, long_tokens, substitute
 
 
 def join_labels(comments: DataFrame, labels: DataFrame, key: str = "id") -> DataFrame:
@@ -28,22 +29,25 @@ def label_prevalence(df: DataFrame, labels=values.TOXICITY_LABELS) -> DataFrame:
     )
 
 
-def prepare(df: DataFrame, text: str = "comment_text", strict: bool = False) -> DataFrame:
+def prepare(df: DataFrame, text: str = "comment_text", strict: bool = False, stopwords=values.STOPWORDS,
+            abbreviations=values.ABBREVIATIONS) -> DataFrame:
     """Prepare the text column, then drop rows left without text.
 
-    ``strict`` also turns every other blank string into NULL, as is done for test data. The empty
-    rows go by an exploded filter so that the long substitution chain is not planned twice.
+    Substitutions, punctuation, tokens of three characters, stopwords, abbreviations. ``strict``
+    also turns every other blank string into NULL, as is done for test data. The empty rows go by
+    an exploded filter, so that the long substitution chain is not planned twice.
     """
-    prepared = F.filter(F.array(prepare_text(text)), lambda t: t != "")
-    columns = []
+    kept = []
     for field in df.schema.fields:
-        if field.name == text:
-            columns.append(F.explode(prepared).alias(text))
-        elif strict and field.dataType.typeName() == "string":
-            columns.append(F.nullif(F.col(field.name), F.lit("")).alias(field.name))
-        else:
-            columns.append(F.col(field.name))
-    return df.select(*columns)
+        if field.name != text:
+            blank_is_null = strict and field.dataType.typeName() == "string"
+            kept.append(F.nullif(F.col(field.name), F.lit("")).alias(field.name) if blank_is_null else field.name)
+    words = long_tokens(drop_punctuation(substitute(text)))
+    names = [c for c in df.columns if c != text]
+    split = computed_once(df, {"_words": words}).select(*kept, "_words")
+    lowered = split.select(*names, drop_stopwords("_words", stopwords).alias("_words"))
+    prepared = F.filter(F.array(expand_abbreviations("_words", abbreviations)), lambda t: t != "")
+    return lowered.select(*names, F.explode(prepared).alias(text)).select(*df.columns)
 
 
 def split_columns(df: DataFrame, text: str = "comment_text", drop=("id",)) -> tuple[DataFrame, DataFrame]:

@@ -73,11 +73,11 @@ def model_score(probabilities="probabilities") -> Column:
     return fixed(F.try_divide(total, F.size(probabilities).cast("double")), 4)
 
 
-def score_with_fallback(df: DataFrame, model: PipelineModel | None, rule: Column) -> DataFrame:
-    """Add ``toxicity_score``: the model's mean, or the rule score without a model or a result."""
+def score_with_fallback(df: DataFrame, model: PipelineModel | None, rule: str) -> DataFrame:
+    """Add ``toxicity_score``: the model's mean, or the rule score (a column) without a model or a result."""
     if model is None:
-        return df.withColumn("toxicity_score", rule)
-    scored = predict(model, df).withColumn("toxicity_score", F.coalesce(model_score(), rule))
+        return df.withColumn("toxicity_score", F.col(rule))
+    scored = predict(model, df).withColumn("toxicity_score", F.coalesce(model_score(), F.col(rule)))
     return scored.drop("probabilities")
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from palaver import values
+from palaver.functions.once import computed_once
+from palaver.functions.text import words_not_in
 
 
 def with_term_counts(df: DataFrame, words: str, out: str = "terms") -> DataFrame:
@@ -26,28 +28,27 @@ def with_term_counts(df: DataFrame, words: str, out: str = "terms") -> DataFrame
             (F.coalesce(F.get("_starts", j + 1), n) - start).alias("n"),
         ),
     )
-    return (
-        df.select(*kept, F.sort_array(words).alias("_sorted"))
-        .select("*", run_starts.alias("_starts"))
-        .select(*kept, runs.alias(out))
-    )
+    ordered = computed_once(df.select(*kept), {"_sorted": F.sort_array(words)})
+    started = computed_once(ordered, {"_starts": run_starts})
+    return computed_once(started, {out: runs}).select(*kept, out)
 
 
-def keyword_tokens(cleaned: str, min_length: int = 3, stopwords=values.STOPWORDS):
-    """Tokens of cleaned text without edge punctuation, long enough and not stopwords."""
+def bare_tokens(cleaned: str) -> Column:
+    """Tokens of a cleaned text without the punctuation at their edges."""
     edges = r"(?<![^ ])[.,!?']+|[.,!?']+(?![^ ])"
-    bare = F.split(F.regexp_replace(F.coalesce(F.col(cleaned), F.lit("")), edges, ""), " ")
-    entries = sorted(set(stopwords))
-    return F.filter(bare, lambda w: (F.length(w) >= min_length) & ~w.isin(entries))
+    return F.split(F.regexp_replace(F.coalesce(F.col(cleaned), F.lit("")), edges, ""), " ")
 
 
 def comment_keywords(df: DataFrame, cleaned: str = "cleaned_comment", limit: int = 10, min_length: int = 3,
                      stopwords=values.STOPWORDS) -> DataFrame:
-    """Add ``keywords``: the most frequent keyword tokens of each comment, ties by word."""
+    """Add ``keywords``: the most frequent tokens of each comment, ties by word.
+
+    Short tokens and stopwords are no keywords.
+    """
     kept = [c for c in df.columns if c != "keywords"]
-    counted = with_term_counts(
-        df.select(*kept, keyword_tokens(cleaned, min_length, stopwords).alias("_tokens")), "_tokens", "_terms"
-    )
+    split = df.select(*kept, bare_tokens(cleaned).alias("_bare"))
+    chosen = split.select(*kept, words_not_in("_bare", stopwords, min_length).alias("_tokens"))
+    counted = with_term_counts(chosen, "_tokens", "_terms")
     ranked = F.sort_array(F.transform("_terms", lambda t: F.struct((-t["n"]).alias("r"), t["term"].alias("w"))))
     return counted.select(*kept, F.transform(F.slice(ranked, 1, limit), lambda t: t["w"]).alias("keywords"))
 

@@ -10,14 +10,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from palaver import values
+from palaver.functions.once import computed_once
 from palaver.functions.scalars import as_column
-from palaver.functions.text import WORD
+from palaver.functions.text import WORD, words_not_in
 
 
-def search_terms(text, stopwords=values.STOPWORDS) -> Column:
-    entries = sorted(set(stopwords))
-    words = F.regexp_extract_all(F.lower(F.coalesce(as_column(text), F.lit(""))), F.lit(rf"[{WORD}]+"), F.lit(0))
-    return F.array_distinct(F.filter(words, lambda w: ~w.isin(entries)))
+def with_terms(df: DataFrame, text: str, out: str = "terms", stopwords=values.STOPWORDS) -> DataFrame:
+    """Add the distinct search terms of a text as an array."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(rf"[{WORD}]+"), F.lit(0))
+    split = computed_once(df, {"_words": words})
+    return computed_once(split, {out: F.array_distinct(words_not_in("_words", stopwords))}).select(*df.columns, out)
 
 
 def _normal(terms) -> list[str]:
@@ -45,12 +47,12 @@ def search(df: DataFrame, text: str, all_of=(), any_of=(), none_of=()) -> DataFr
         df = df.filter(lowered.contains(term))
     if any_of:
         df = df.filter(reduce(lambda a, b: a | b, [lowered.contains(t) for t in _normal(any_of)]))
-    return df.filter(matches(search_terms(text), all_of, any_of, none_of))
+    return with_terms(df, text, "_terms").filter(matches("_terms", all_of, any_of, none_of)).drop("_terms")
 
 
 def posting_table(df: DataFrame, text: str, key: str = "comment_id") -> DataFrame:
     """``(term, key)`` once per term of each comment; distinct within the row, so no shuffle."""
-    return df.select(F.explode(search_terms(text)).alias("term"), key)
+    return with_terms(df, text, "_terms").select(F.explode("_terms").alias("term"), key)
 
 
 def write_postings(postings: DataFrame, path: str, buckets: int = 256) -> None:

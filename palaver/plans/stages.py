@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from palaver import values
 from palaver.functions import scores, text
+from palaver.functions.once import computed_once
+from palaver.functions.scalars import fixed, safe_timestamp
 
 
 def clean_stage(df: DataFrame, message: str = "message", **options) -> DataFrame:
@@ -28,20 +30,19 @@ def feature_stage(df: DataFrame, message: str = "message", cleaned: str = "clean
 
     Counts and score read the cleaned text, ``lexical_score`` and ``uppercase_ratio`` the original.
     """
-    known = text.words_in("_words", values.TOXIC_WORDS, values.POSITIVE_WORDS,
-                          values.SEVERE_WORDS, values.MODERATE_WORDS)
-    known_original = text.words_in("_original", values.TOXIC_WORDS, values.POSITIVE_WORDS)
-    split = df.select("*", text.cleaned_tokens(cleaned).alias("_words"),
-                      text.tokens(F.lower(message)).alias("_original"))
-    matched = split.select(
-        *df.columns,
-        scores.char_count(cleaned).alias("char_count"),
-        F.size("_words").alias("word_count"),
-        scores.average_length("_words").alias("avg_word_length"),
-        F.size("_original").alias("_original_count"),
-        known.alias("lexicon_hits"),
-        known_original.alias("_original_hits"),
-    )
+    split = computed_once(df, {
+        "_words": text.cleaned_tokens(cleaned),
+        "_original": text.tokens(F.lower(message)),
+    })
+    matched = computed_once(split, {
+        "char_count": scores.char_count(cleaned),
+        "word_count": F.size("_words"),
+        "avg_word_length": scores.average_length("_words"),
+        "lexicon_hits": text.words_in("_words", values.TOXIC_WORDS, values.POSITIVE_WORDS,
+                                      values.SEVERE_WORDS, values.MODERATE_WORDS),
+        "_original_count": F.size("_original"),
+        "_original_hits": text.words_in("_original", values.TOXIC_WORDS, values.POSITIVE_WORDS),
+    })
     return matched.select(
         *df.columns,
         "char_count",
@@ -59,13 +60,42 @@ def feature_stage(df: DataFrame, message: str = "message", cleaned: str = "clean
     )
 
 
+def full_features(df: DataFrame, message: str) -> DataFrame:
+    """The full feature set of one text, rounded to 2 and 4 digits; all of it on the given text."""
+    lists = (values.TOXIC_WORDS, values.POSITIVE_WORDS)
+    split = computed_once(df, {"_words": text.tokens(F.lower(message))})
+    matched = computed_once(split, {
+        "word_count": F.size("_words"), "_average": scores.average_length("_words"),
+        "_hits": text.words_in("_words", *lists),
+    })
+    toxic, positive = (text.count_in("_hits", entries) for entries in lists)
+    return matched.select(
+        *df.columns,
+        scores.char_count(message).alias("char_count"),
+        "word_count",
+        fixed("_average", 2).alias("avg_word_length"),
+        fixed(scores.punctuation_ratio(message), 4).alias("punctuation_ratio"),
+        fixed(scores.uppercase_ratio(message), 4).alias("uppercase_ratio"),
+        toxic.alias("toxic_word_count"),
+        positive.alias("positive_word_count"),
+        F.coalesce(scores.occurrences(message, "!"), F.lit(0)).alias("exclamation_count"),
+        F.coalesce(scores.occurrences(message, "?"), F.lit(0)).alias("question_count"),
+        fixed(scores.lexical_score(toxic, positive, "word_count"), 4).alias("lexical_score"),
+    )
+
+
+def rule_stage(df: DataFrame, message: str, out: str = "toxicity_score") -> DataFrame:
+    """Add the rule score of a text that has not been through the feature stage."""
+    split = computed_once(df, {"_words": text.tokens(F.lower(message))})
+    return computed_once(split, {out: scores.rule_score(message, "_words")}).select(*df.columns, out)
+
+
 def score_stage(df: DataFrame, threshold: float = 0.5, cleaned: str = "cleaned_message") -> DataFrame:
     """Add toxicity score and label, sentiment and its score."""
     if "lexicon_hits" in df.columns:
-        score = scores.rule_score(cleaned, "lexicon_hits")
+        scored = df.select("*", scores.rule_score(cleaned, "lexicon_hits").alias("toxicity_score"))
     else:
-        score = scores.rule_score_of(cleaned)
-    scored = df.select("*", score.alias("toxicity_score"))
+        scored = rule_stage(df, cleaned)
     return scored.select(
         "*",
         scores.toxicity_label("toxicity_score", threshold).alias("label"),
@@ -109,8 +139,6 @@ def prediction_record(scored: DataFrame) -> DataFrame:
 
 def result_record(scored: DataFrame, created_time=None, ingestion_time=None) -> DataFrame:
     """Row of the result table; ``created_time`` is parsed from text unless a column is given."""
-    from palaver.functions.scalars import safe_timestamp
-
     created = safe_timestamp("created_time") if created_time is None else created_time
     ingested = F.current_timestamp().cast("timestamp_ntz") if ingestion_time is None else ingestion_time
     return scored.select(

@@ -44,7 +44,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def estimated_bytes(df: DataFrame) -> int:
     """Optimizer's size estimate; for a plain file scan this is the size of the files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from palaver.operators.merge import SCORE_COLUMNS, latest_wins
 
@@ -42,7 +42,8 @@ def to_epochs(df: DataFrame, path: str, checkpoint: str, mode: str = "append", a
 
 def all_epochs(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Every stored row version with its ``epoch``."""
-    return spark.read.schema(schema.add("epoch", "bigint") if "epoch" not in schema.names else schema).parquet(path)
+    versioned = StructType([*schema.fields, StructField("epoch", LongType())])
+    return spark.read.schema(versioned).parquet(path)
 
 
 def current_rows(spark: SparkSession, path: str, schema: StructType, key: str = "comment_id",
@@ -52,7 +53,7 @@ def current_rows(spark: SparkSession, path: str, schema: StructType, key: str =
     Row versions are ordered by epoch, then by ``order`` within it.
     """
     names = ["epoch", *[f"_o{i}" for i in range(len(order))]]
-    versions = all_epochs(spark, path, StructType(list(schema.fields)))
+    versions = all_epochs(spark, path, schema)
     versions = versions.select("*", *[F.col(c).alias(n) for c, n in zip(order, names[1:])])
     return latest_wins(versions, key, names, update)
 
