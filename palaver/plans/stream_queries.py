@@ -18,8 +18,9 @@ from palaver.streaming import hops, sinks, stateful
 
 
 def _stream(spark, folder, name):
+    """A table as a file stream. The pattern stands for a single file as well as for a folder."""
     path = os.path.join(folder, f"{name}.parquet")
-    return hops.read_files_stream(spark, path, spark.read.parquet(path).schema)
+    return hops.read_files_stream(spark, f"{path}*", spark.read.parquet(path).schema)
 
 
 def _texts(spark, folder):
@@ -94,7 +95,7 @@ def stream_fan_out(spark, folder):
     def publish(batch, epoch):
         sinks.write_epoch(encode_envelope(batch, "comment_id", ["comment_id", "label", "is_toxic"]), messages, epoch)
     hops.drained(sinks.to_epochs(rows, path, checkpoint, also=publish))
-    return spark.read.schema("key string, value string").parquet(messages)
+    return spark.read.schema("key string, value string").parquet(messages).drop("epoch")
 
 
 @query
