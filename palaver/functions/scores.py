@@ -19,11 +19,10 @@ def char_count(text) -> Column:
     return F.coalesce(F.length(as_column(text)), F.lit(0))
 
 
-def average_length(words) -> Column:
+def average_length(n_letters, n_words) -> Column:
     """Mean token length, 0 without tokens."""
-    words = as_column(words)
-    letters = F.length(F.array_join(words, ""))
-    return F.when(F.size(words) > 0, letters / F.size(words)).otherwise(F.lit(0.0))
+    n_letters, n_words = as_column(n_letters), as_column(n_words)
+    return F.when(n_words > 0, n_letters / n_words).otherwise(F.lit(0.0))
 
 
 def uppercase_ratio(text) -> Column:

@@ -55,17 +55,6 @@ def clean_text_minimal(message) -> Column:
     return F.trim(F.regexp_replace(F.lower(as_column(message)), rf"[^{WORD}]+", " "))
 
 
-def tokens(text) -> Column:
-    """Tokens between blanks; an empty or NULL text has none."""
-    return F.regexp_extract_all(F.coalesce(as_column(text), F.lit("")), F.lit(rf"[^{BLANK}]+"), F.lit(0))
-
-
-def cleaned_tokens(cleaned) -> Column:
-    """Tokens of a text out of ``clean_text``: its only blanks are single spaces."""
-    cleaned = as_column(cleaned)
-    return F.when(F.length(cleaned) > 0, F.split(cleaned, " ")).otherwise(F.array().cast("array<string>"))
-
-
 def literal(entry: str) -> str:
     """SQL text of a string."""
     return "'" + entry.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -75,8 +64,51 @@ def literals(entries) -> str:
     return ", ".join(literal(e) for e in sorted(set(entries)))
 
 
-# The functions over token arrays take the name of the array column: their word lists go to the
-# engine as one SQL text, where a list of columns would cost a call to the JVM for every word.
+# The functions below put their word lists into SQL text: given as columns, every word of a list
+# would cost a call to the JVM. Token arrays are named by a column, or written as SQL text where a
+# whole expression has to stay in one piece (array functions copy the arrays between projections).
+
+
+def tokens_sql(text: str) -> str:
+    """Tokens between blanks of a string expression; an empty or NULL text has none."""
+    return f"regexp_extract_all(coalesce({text}, ''), {literal(f'[^{BLANK}]+')}, 0)"
+
+
+def words_sql(text: str, pattern: str) -> str:
+    """All matches of a pattern in a string expression."""
+    return f"regexp_extract_all(coalesce({text}, ''), {literal(pattern)}, 0)"
+
+
+def cleaned_tokens_sql(cleaned: str) -> str:
+    """Tokens of a column out of ``clean_text``: its only blanks are single spaces."""
+    return f"if(length(`{cleaned}`) > 0, split(`{cleaned}`, ' '), array())"
+
+
+def tokens(text: str) -> Column:
+    return F.expr(tokens_sql(f"`{text}`"))
+
+
+def token_count(text: str) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(f"[^{BLANK}]+")), F.lit(0))
+
+
+def token_summary(tokens: str, *lexicons) -> Column:
+    """``struct<n, hits>``: the number of tokens and those in any of the lexicons, in one pass."""
+    entries = literals(w for lexicon in lexicons for w in lexicon)
+    return F.expr(
+        f"get(transform(array({tokens}), t -> struct(size(t) AS n, filter(t, w -> w IN ({entries})) AS hits)), 0)")
+
+
+def term_counts(tokens: str) -> Column:
+    """``array<struct<term, n>>``: the distinct tokens of one text with their counts.
+
+    Runs of the sorted tokens are counted inside the row. Nothing is shuffled, and exploding the
+    result gives one row per distinct term of a text rather than one per token.
+    """
+    starts = "if(size(s) > 0, filter(sequence(0, size(s) - 1), i -> i = 0 OR get(s, i) <> get(s, i - 1)), array())"
+    runs = "transform(b, (at, j) -> struct(get(s, at) AS term, coalesce(get(b, j + 1), size(s)) - at AS n))"
+    return F.expr(
+        f"get(transform(array(sort_array({tokens})), s -> get(transform(array({starts}), b -> {runs}), 0)), 0)")
 
 
 def count_in(words: str, lexicon) -> Column:
@@ -84,14 +116,9 @@ def count_in(words: str, lexicon) -> Column:
     return F.expr(f"size(filter(`{words}`, w -> w IN ({literals(lexicon)})))")
 
 
-def words_in(words: str, *lexicons) -> Column:
-    """The tokens that are in any of the lexicons: one pass, after which counts are cheap."""
-    return F.expr(f"filter(`{words}`, w -> w IN ({literals(w for lexicon in lexicons for w in lexicon)}))")
-
-
-def words_not_in(words: str, lexicon, min_length: int = 1) -> Column:
-    """The tokens of enough characters that are not in the lexicon."""
-    return F.expr(f"filter(`{words}`, w -> length(w) >= {min_length} AND w NOT IN ({literals(lexicon)}))")
+def kept_words_sql(words: str, lexicon, min_length: int = 1) -> str:
+    """Those of a token array (SQL text) with enough characters that are not in the lexicon."""
+    return f"filter({words}, w -> length(w) >= {min_length} AND w NOT IN ({literals(lexicon)}))"
 
 
 # --- corpus preparation ----------------------------------------------------------------------

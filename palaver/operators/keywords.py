@@ -2,55 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from palaver import values
 from palaver.functions.once import computed_once
-from palaver.functions.text import words_not_in
+from palaver.functions.text import kept_words_sql, literal, term_counts
 
 
-def with_term_counts(df: DataFrame, words: str, out: str = "terms") -> DataFrame:
-    """Add ``array<struct<term, n>>``: the distinct tokens of each row with their counts.
-
-    Runs of the sorted token array are counted inside the row. Nothing is exploded or shuffled, and
-    a later explode emits one row per distinct term of a text rather than one per token.
-    """
-    kept = [c for c in df.columns if c != out]
-    n = F.size("_sorted")
-    run_starts = F.filter(
-        F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")),
-        lambda i: (i == 0) | (F.get("_sorted", i) != F.get("_sorted", i - 1)),
-    )
-    runs = F.transform(
-        "_starts",
-        lambda start, j: F.struct(
-            F.get("_sorted", start).alias("term"),
-            (F.coalesce(F.get("_starts", j + 1), n) - start).alias("n"),
-        ),
-    )
-    ordered = computed_once(df.select(*kept), {"_sorted": F.sort_array(words)})
-    started = computed_once(ordered, {"_starts": run_starts})
-    return computed_once(started, {out: runs}).select(*kept, out)
-
-
-def bare_tokens(cleaned: str) -> Column:
-    """Tokens of a cleaned text without the punctuation at their edges."""
-    edges = r"(?<![^ ])[.,!?']+|[.,!?']+(?![^ ])"
-    return F.split(F.regexp_replace(F.coalesce(F.col(cleaned), F.lit("")), edges, ""), " ")
+def keyword_tokens_sql(cleaned: str, min_length: int = 3, stopwords=values.STOPWORDS) -> str:
+    """Tokens of a cleaned text without edge punctuation, long enough and not stopwords."""
+    edges = literal(r"(?<![^ ])[.,!?']+|[.,!?']+(?![^ ])")
+    bare = f"split(regexp_replace(coalesce(`{cleaned}`, ''), {edges}, ''), ' ')"
+    return kept_words_sql(bare, stopwords, min_length)
 
 
 def comment_keywords(df: DataFrame, cleaned: str = "cleaned_comment", limit: int = 10, min_length: int = 3,
                      stopwords=values.STOPWORDS) -> DataFrame:
-    """Add ``keywords``: the most frequent tokens of each comment, ties by word.
+    """Add ``keywords``: the most frequent keyword tokens of each comment, ties by word.
 
-    Short tokens and stopwords are no keywords.
+    Counted and ranked inside the row: no shuffle, whatever the length of the comments.
     """
     kept = [c for c in df.columns if c != "keywords"]
-    split = df.select(*kept, bare_tokens(cleaned).alias("_bare"))
-    chosen = split.select(*kept, words_not_in("_bare", stopwords, min_length).alias("_tokens"))
-    counted = with_term_counts(chosen, "_tokens", "_terms")
-    ranked = F.sort_array(F.transform("_terms", lambda t: F.struct((-t["n"]).alias("r"), t["term"].alias("w"))))
-    return counted.select(*kept, F.transform(F.slice(ranked, 1, limit), lambda t: t["w"]).alias("keywords"))
+    terms = term_counts(keyword_tokens_sql(cleaned, min_length, stopwords))
+    ranked = F.sort_array(F.transform(terms, lambda t: F.struct((-t["n"]).alias("r"), t["term"].alias("w"))))
+    words = F.transform(F.slice(ranked, 1, limit), lambda t: t["w"])
+    return computed_once(df.select(*kept), {"keywords": words})
 
 
 def trending(df: DataFrame, keywords: str = "keywords", ts: str = "ingestion_time") -> DataFrame:

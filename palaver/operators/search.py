@@ -12,14 +12,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from palaver import values
 from palaver.functions.once import computed_once
 from palaver.functions.scalars import as_column
-from palaver.functions.text import WORD, words_not_in
+from palaver.functions.text import WORD, kept_words_sql, words_sql
 
 
 def with_terms(df: DataFrame, text: str, out: str = "terms", stopwords=values.STOPWORDS) -> DataFrame:
     """Add the distinct search terms of a text as an array."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(rf"[{WORD}]+"), F.lit(0))
-    split = computed_once(df, {"_words": words})
-    return computed_once(split, {out: F.array_distinct(words_not_in("_words", stopwords))}).select(*df.columns, out)
+    words = kept_words_sql(words_sql(f"lower(`{text}`)", f"[{WORD}]+"), stopwords)
+    return computed_once(df, {out: F.array_distinct(F.expr(words))})
 
 
 def _normal(terms) -> list[str]:

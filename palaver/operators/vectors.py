@@ -8,28 +8,28 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from palaver import session
 from palaver.functions.scalars import as_column
-from palaver.functions.text import WORD
-from palaver.operators.keywords import with_term_counts
+from palaver.functions.text import WORD, literal, term_counts, words_sql
 
 # Signs that separate words for the vocabulary; apostrophes stay inside words.
 SEPARATORS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n"
 VECTOR_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def tfidf_tokens(text) -> Column:
-    """Lower-case runs of at least two word characters."""
-    return F.regexp_extract_all(F.lower(F.coalesce(as_column(text), F.lit(""))), F.lit(rf"[{WORD}]{{2,}}"), F.lit(0))
+def tfidf_tokens(text: str) -> str:
+    """Lower-case runs of at least two word characters, as SQL text."""
+    return words_sql(f"lower(`{text}`)", f"[{WORD}]{{2,}}")
 
 
-def vocabulary_tokens(text) -> Column:
-    lowered = F.lower(F.coalesce(as_column(text), F.lit("")))
-    words = F.split(F.translate(lowered, SEPARATORS, " " * len(SEPARATORS)), " ")
-    return F.filter(words, lambda w: w != "")
+def vocabulary_tokens(text: str) -> str:
+    """Lower-case words between separators, as SQL text."""
+    blanks = literal(" " * len(SEPARATORS))
+    spaced = f"translate(lower(coalesce(`{text}`, '')), {literal(SEPARATORS)}, {blanks})"
+    return f"filter(split({spaced}, ' '), w -> w <> '')"
 
 
-def term_rows(df: DataFrame, key: str, words: Column) -> DataFrame:
+def term_rows(df: DataFrame, key: str, words: str) -> DataFrame:
     """``(key, term, n)``: one row per distinct term of each text, counted inside the row."""
-    return with_term_counts(df.select(key, words.alias("_words")), "_words").select(key, F.inline("terms"))
+    return df.select(key, F.inline(term_counts(words)))
 
 
 def fit_idf(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -79,8 +79,8 @@ def fit_vocabulary(df: DataFrame, text: str, size: int | None = None) -> DataFra
 
     With ``size`` only the most frequent words are kept and numbered.
     """
-    counted = with_term_counts(df.select(vocabulary_tokens(text).alias("_words")), "_words")
-    totals = counted.select(F.inline("terms")).groupBy(F.col("term").alias("word")).agg(F.sum("n").alias("n"))
+    counted = df.select(F.inline(term_counts(vocabulary_tokens(text))))
+    totals = counted.groupBy(F.col("term").alias("word")).agg(F.sum("n").alias("n"))
     order = [F.col("n").desc(), F.col("word")]
     if size is not None:
         totals = totals.orderBy(*order).limit(size)
@@ -106,7 +106,7 @@ def sequences(df: DataFrame, vocabulary: DataFrame, key: str, text: str, length:
     A text without a known word gives zeros. The tokens of a text come back together by key; that
     group is the size of the text it came from.
     """
-    placed = df.select(key, F.posexplode_outer(vocabulary_tokens(text)).alias("_pos", "word"))
+    placed = df.select(key, F.posexplode_outer(F.expr(vocabulary_tokens(text))).alias("_pos", "word"))
     known = session.ranked_lookup(placed, vocabulary.select("word", "index"), "word", "index", how="left")
     at = F.when(F.col("index").isNotNull(), F.struct("_pos", F.col("index").cast("int").alias("index")))
     ordered = known.groupBy(key).agg(F.sort_array(F.collect_list(at)).alias("_at"))

@@ -30,24 +30,21 @@ def feature_stage(df: DataFrame, message: str = "message", cleaned: str = "clean
 
     Counts and score read the cleaned text, ``lexical_score`` and ``uppercase_ratio`` the original.
     """
-    split = computed_once(df, {
-        "_words": text.cleaned_tokens(cleaned),
-        "_original": text.tokens(F.lower(message)),
-    })
-    matched = computed_once(split, {
-        "char_count": scores.char_count(cleaned),
-        "word_count": F.size("_words"),
-        "avg_word_length": scores.average_length("_words"),
-        "lexicon_hits": text.words_in("_words", values.TOXIC_WORDS, values.POSITIVE_WORDS,
-                                      values.SEVERE_WORDS, values.MODERATE_WORDS),
-        "_original_count": F.size("_original"),
-        "_original_hits": text.words_in("_original", values.TOXIC_WORDS, values.POSITIVE_WORDS),
-    })
-    return matched.select(
+    read = computed_once(df, {
+        "_cleaned": text.token_summary(
+            text.cleaned_tokens_sql(cleaned), values.TOXIC_WORDS, values.POSITIVE_WORDS,
+            values.SEVERE_WORDS, values.MODERATE_WORDS),
+        "_original": text.token_summary(
+            text.tokens_sql(f"lower(`{message}`)"), values.TOXIC_WORDS, values.POSITIVE_WORDS),
+    }).select(*df.columns, F.col("_cleaned.n").alias("word_count"), F.col("_cleaned.hits").alias("lexicon_hits"),
+              F.col("_original.n").alias("_original_count"), F.col("_original.hits").alias("_original_hits"))
+    # All blanks of a cleaned text stand between two of its tokens.
+    letters = F.length(cleaned) - F.col("word_count") + 1
+    return read.select(
         *df.columns,
-        "char_count",
+        scores.char_count(cleaned).alias("char_count"),
         "word_count",
-        "avg_word_length",
+        scores.average_length(letters, "word_count").alias("avg_word_length"),
         scores.lexical_score(
             text.count_in("_original_hits", values.TOXIC_WORDS),
             text.count_in("_original_hits", values.POSITIVE_WORDS),
@@ -63,17 +60,16 @@ def feature_stage(df: DataFrame, message: str = "message", cleaned: str = "clean
 def full_features(df: DataFrame, message: str) -> DataFrame:
     """The full feature set of one text, rounded to 2 and 4 digits; all of it on the given text."""
     lists = (values.TOXIC_WORDS, values.POSITIVE_WORDS)
-    split = computed_once(df, {"_words": text.tokens(F.lower(message))})
-    matched = computed_once(split, {
-        "word_count": F.size("_words"), "_average": scores.average_length("_words"),
-        "_hits": text.words_in("_words", *lists),
-    })
+    words = text.tokens_sql(f"lower(`{message}`)")
+    read = computed_once(df, {"_read": text.token_summary(words, *lists)})
+    matched = read.select(*df.columns, F.col("_read.n").alias("word_count"), F.col("_read.hits").alias("_hits"))
+    letters = F.length(F.regexp_replace(F.lower(message), rf"[{text.BLANK}]+", ""))
     toxic, positive = (text.count_in("_hits", entries) for entries in lists)
     return matched.select(
         *df.columns,
         scores.char_count(message).alias("char_count"),
         "word_count",
-        fixed("_average", 2).alias("avg_word_length"),
+        fixed(scores.average_length(letters, "word_count"), 2).alias("avg_word_length"),
         fixed(scores.punctuation_ratio(message), 4).alias("punctuation_ratio"),
         fixed(scores.uppercase_ratio(message), 4).alias("uppercase_ratio"),
         toxic.alias("toxic_word_count"),
@@ -86,8 +82,10 @@ def full_features(df: DataFrame, message: str) -> DataFrame:
 
 def rule_stage(df: DataFrame, message: str, out: str = "toxicity_score") -> DataFrame:
     """Add the rule score of a text that has not been through the feature stage."""
-    split = computed_once(df, {"_words": text.tokens(F.lower(message))})
-    return computed_once(split, {out: scores.rule_score(message, "_words")}).select(*df.columns, out)
+    words = text.tokens_sql(f"lower(`{message}`)")
+    read = computed_once(df, {"_read": text.token_summary(words, values.SEVERE_WORDS, values.MODERATE_WORDS)})
+    matched = read.select(*df.columns, F.col("_read.hits").alias("_hits"))
+    return matched.select(*df.columns, scores.rule_score(message, "_hits").alias(out))
 
 
 def score_stage(df: DataFrame, threshold: float = 0.5, cleaned: str = "cleaned_message") -> DataFrame:
@@ -152,7 +150,7 @@ def result_record(scored: DataFrame, created_time=None, ingestion_time=None) ->
 def quick_record(df: DataFrame, ingestion_time=None) -> DataFrame:
     """Result rows of the quick path: substring scorers on the raw text, no feature hop."""
     counted = df.select(
-        "*", F.size(text.tokens("message")).alias("word_count"), F.length("message").alias("char_count"),
+        "*", text.token_count("message").alias("word_count"), F.length("message").alias("char_count"),
         scores.substring_hits("message", values.QUICK_POSITIVE).alias("_positive"),
         scores.substring_hits("message", values.QUICK_NEGATIVE).alias("_negative"),
         scores.substring_hits("message", values.QUICK_TOXIC).alias("_toxic"),
@@ -184,6 +182,6 @@ def minimal_record(df: DataFrame, ingestion_time=None) -> DataFrame:
         "is_toxic",
         F.when(F.col("is_toxic"), "negative").otherwise("neutral").alias("sentiment"),
         F.when(F.col("is_toxic"), 0.2).otherwise(0.5).alias("sentiment_score"),
-        F.size(text.tokens("message")).alias("word_count"), F.length("message").alias("char_count"),
+        text.token_count("message").alias("word_count"), F.length("message").alias("char_count"),
         F.col("created_time"), ingested.alias("ingestion_time"),
     )

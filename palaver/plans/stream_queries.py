@@ -17,14 +17,15 @@ from palaver.plans.registry import query
 from palaver.streaming import hops, sinks, stateful
 
 
-def _stream(spark, folder, name):
+def _stream(spark, folder, name, key):
     """A table as a file stream. The pattern stands for a single file as well as for a folder."""
-    path = os.path.join(folder, f"{name}.parquet")
-    return hops.read_files_stream(spark, f"{path}*", spark.read.parquet(path).schema)
+    stored = bindings.table(spark, folder, name)
+    stream = hops.read_files_stream(spark, os.path.join(folder, f"{name}.parquet*"), stored.schema)
+    return session.spread(stream, key, stored)
 
 
 def _texts(spark, folder):
-    return _stream(spark, folder, "documents").select(
+    return _stream(spark, folder, "documents", "doc_id").select(
         F.col("source").alias("post_id"), F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("comment_id"),
         F.col("text").alias("message"), "doc_id",
     )
@@ -133,7 +134,7 @@ def stream_label_join(spark, folder):
     path, checkpoint = _folders(spark, "stream-labels")
     predicted = stages.analyse(_comments(spark, folder)).select(
         "comment_id", "toxicity_score", "is_toxic", F.col("ingestion_time").cast("timestamp").alias("predicted_at"))
-    labels = bindings.with_events(_stream(spark, folder, "labels"), spark, folder).select(
+    labels = bindings.with_events(_stream(spark, folder, "labels", "doc_id"), spark, folder).select(
         F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("comment_id"), "toxic",
         F.col("ingestion_time").cast("timestamp").alias("labelled_at"))
     joined = stateful.join_truth_stream(predicted, labels, "comment_id", "predicted_at", "labelled_at")

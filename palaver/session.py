@@ -47,17 +47,23 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def fills_cluster(df: DataFrame) -> bool:
+    """Whether a file scan is large enough to have a split for every core."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return cores < 2 or estimated_bytes(df) > cores * SMALL_INPUT_BYTES_PER_CORE
+
+
+def spread(df: DataFrame, key: str, size_of: DataFrame | None = None) -> DataFrame:
     """Repartition an input that is too small to fill the cluster; leave a large one as it is.
 
     A few megabytes in one Parquet row group would run the text functions in a single task. The
     shuffle this adds is bounded by cores x 128 MB; above that the scan has splits for every core
-    and the frame is returned untouched, so no large text column is ever shuffled here.
+    and the frame is returned untouched, so no large text column is ever shuffled here. For a
+    stream the size is that of ``size_of``, the files as a plain table.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or cores < 2 or estimated_bytes(df) > cores * SMALL_INPUT_BYTES_PER_CORE:
+    if fills_cluster(df if size_of is None else size_of):
         return df
-    return df.repartition(cores, key)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
 
 
 def ranked_lookup(big: DataFrame, table: DataFrame, key: str, rank: str, how: str = "inner",
