@@ -12,7 +12,6 @@ from palaver.functions.text import WORD, literal, term_counts, words_sql
 
 # Signs that separate words for the vocabulary; apostrophes stay inside words.
 SEPARATORS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n"
-VECTOR_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def tfidf_tokens(text: str) -> str:
@@ -60,8 +59,6 @@ def global_rank(df: DataFrame, order, rank: str = "index") -> DataFrame:
     row per partition, go through a window in a single task.
     """
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        session.shared_folder(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(session.shared_folder(spark))
     placed = df.orderBy(*order).checkpoint().withColumn("_at", F.monotonically_increasing_id())
@@ -128,8 +125,7 @@ def mean_embedding(df: DataFrame, matrix: DataFrame, key: str, text: str, dim: i
     rarer words are joined by shuffle; vector sums are combined within each task.
     """
     words = term_rows(df, key, vocabulary_tokens(text)).withColumnRenamed("term", "word")
-    rows = max(1, VECTOR_BROADCAST_BYTES // (dim * 4 + 40))
-    known = session.ranked_lookup(words, matrix, "word", "index", broadcast_rows=rows)
+    known = session.ranked_lookup(words, matrix, "word", "index", row_bytes=64 + 4 * dim)
     vector = array_to_vector(F.col("vector").cast("array<double>"))
     means = known.groupBy(key).agg(Summarizer.mean(vector, F.col("n").cast("double")).alias("_mean"))
     return means.select(key, vector_to_array("_mean").alias("vector"))

@@ -7,15 +7,27 @@ from pyspark.sql import types as T
 from palaver import values
 
 
+_TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
+    "boolean": T.BooleanType(), "timestamp_ntz": T.TimestampNTZType(), "words": T.ArrayType(T.StringType()),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Columns written as ``name type, ...``. Needs no session, so the module can be imported first."""
+    fields = [part.split() for part in spec.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 RAW = _struct("source string, post_id string, comment_id string, user string, message string, created_time string")
 
-API_RECORD = _struct(
-    "id string, message string, `from` struct<name: string>, created_time string, like_count int"
-)
+API_RECORD = T.StructType([
+    T.StructField("id", T.StringType()),
+    T.StructField("message", T.StringType()),
+    T.StructField("from", T.StructType([T.StructField("name", T.StringType())])),
+    T.StructField("created_time", T.StringType()),
+    T.StructField("like_count", T.IntegerType()),
+])
 
 CLEANED = _struct(
     "source string, post_id string, comment_id string, username string, original_message string, "
@@ -44,7 +56,7 @@ RESULT_WIDE = _struct(
     "post_id string, comment_id string, username string, comment string, cleaned_comment string, "
     "toxicity_score double, " + ", ".join(f"{c} double" for c in values.SUB_SCORES) + ", "
     "label string, is_toxic boolean, sentiment string, sentiment_score double, word_count int, char_count int, "
-    "keywords array<string>, created_time timestamp_ntz, ingestion_time timestamp_ntz, "
+    "keywords words, created_time timestamp_ntz, ingestion_time timestamp_ntz, "
     "requires_review boolean, is_processed boolean"
 )
 

@@ -9,7 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SMALL_INPUT_BYTES_PER_CORE = 128 * 1024 * 1024
-BROADCAST_ROW_LIMIT = 1_000_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+LONGEST_HEAD_KEY = 256
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -67,17 +68,21 @@ def spread(df: DataFrame, key: str, size_of: DataFrame | None = None) -> DataFra
 
 
 def ranked_lookup(big: DataFrame, table: DataFrame, key: str, rank: str, how: str = "inner",
-                  broadcast_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Join a large frame with a lookup table ranked 1.. by falling frequency.
-
-    The first ``broadcast_rows`` ranks are broadcast, so the hot keys never meet in one task. Keys
-    of lower rank are joined by shuffle: each of them holds at most 1/``broadcast_rows`` of the
-    counted occurrences, so that shuffle is even. No row is lost on either way.
+                  row_bytes: int = 64, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Join a large frame with a lookup table ranked 1.. by falling frequency of its string key.
+
+    A table whose measured size (keys, and ``row_bytes`` for the rest of a row) stays within the
+    limit is broadcast whole. Of a larger one the first ranks are broadcast, so the hot keys never
+    meet in one task; keys of lower rank are joined by shuffle, where each holds only a small share
+    of the counted occurrences. Overlong keys never go into the broadcast head, which bounds its
+    size. No row is lost on either way.
     """
-    if table.count() <= broadcast_rows:
+    rows, key_bytes = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(key)), F.lit(0))).first()
+    if key_bytes + rows * row_bytes <= broadcast_bytes:
         return big.join(F.broadcast(table), key, how)
-    head = F.broadcast(table.filter(F.col(rank) <= broadcast_rows))
-    tail = table.filter(F.col(rank) > broadcast_rows)
+    head_rows = broadcast_bytes // (row_bytes + LONGEST_HEAD_KEY)
+    in_head = (F.col(rank) <= head_rows) & (F.octet_length(key) <= LONGEST_HEAD_KEY)
+    head, tail = F.broadcast(table.filter(in_head)), table.filter(~in_head)
     found = big.join(head, key)
     rest = big.join(head, key, "left_anti").join(tail, key, how)
     return found.unionByName(rest)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
@@ -51,6 +53,21 @@ def continuous(writer: DataStreamWriter, every: str = "5 seconds") -> StreamingQ
     return writer.trigger(processingTime=every).start()
 
 
+def progress_metrics(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """Counters of a stream's recent triggers as ``(metric_name, metric_value, recorded_at)`` rows.
+
+    The progress reports hold one small record per trigger, whatever the size of the data.
+    """
+    rows = []
+    for report in query.recentProgress:
+        at = datetime.fromisoformat(report["timestamp"].replace("Z", "+00:00")).replace(tzinfo=None)
+        dropped = sum(state["numRowsDroppedByWatermark"] for state in report["stateOperators"])
+        rows.append(("input_rows", float(report["numInputRows"]), at))
+        rows.append(("trigger_milliseconds", float(report["durationMs"].get("triggerExecution", 0)), at))
+        rows.append(("late_rows_dropped", float(dropped), at))
+    return spark.createDataFrame(rows, schemas.METRICS)
+
+
 def stop_all(spark: SparkSession) -> None:
     """Stop every running stream of the session."""
     for query in spark.streams.active:
