@@ -15,7 +15,7 @@ TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VA
 
 
 def plain(value):
-    if value is None or value is pd.NaT or (isinstance(value, float) and math.isnan(value)):
+    if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and math.isnan(value)):
         return None
     value = value.item() if hasattr(value, "item") else value
     return value.isoformat() if hasattr(value, "isoformat") else value
