@@ -29,6 +29,17 @@ def choose(df: DataFrame, sentiments=None, toxic_only: bool = False) -> DataFram
     return df
 
 
+def newest_with_text(narrow: DataFrame, texts: DataFrame, limit: int, sentiments=None, toxic_only: bool = False,
+                     key: str = "comment_id") -> DataFrame:
+    """The newest rows of a frame without text, with their texts fetched afterwards.
+
+    Where the texts lie in another table than the scores, choosing first means that no text but
+    those of the list goes through a join. The broadcast side has ``limit`` rows.
+    """
+    top = choose(narrow, sentiments, toxic_only).orderBy(*newest_first(key=key)).limit(limit)
+    return texts.join(F.broadcast(top), key)
+
+
 def recent_comments(df: DataFrame, limit: int = 100) -> DataFrame:
     return df.orderBy(*newest_first()).limit(limit).select(
         "comment_id", "post_id", "username", preview("comment").alias("comment_preview"), "label",

@@ -157,19 +157,26 @@ def keyword_search_postings(spark, folder):
 # --- lists -----------------------------------------------------------------------------------
 
 
+def _newest(spark, folder, limit, sentiments=None, toxic_only=False):
+    scored = bindings.results(spark, folder).drop("comment", "cleaned_comment")
+    texts = bindings.texts(spark, folder).select("comment_id", F.col("message").alias("comment"))
+    return listings.newest_with_text(scored, texts, limit, sentiments, toxic_only)
+
+
 @query
 def recent_comments(spark, folder):
-    return listings.recent_comments(bindings.results(spark, folder))
+    return listings.recent_comments(_newest(spark, folder, 100))
 
 
 @query
 def recent_comments_filtered(spark, folder):
-    return listings.recent_filtered(bindings.results(spark, folder), 50, ["negative", "neutral"], True)
+    chosen = (["negative", "neutral"], True)
+    return listings.recent_filtered(_newest(spark, folder, 50, *chosen), 50, *chosen)
 
 
 @query
 def recent_toxic(spark, folder):
-    return listings.recent_toxic(bindings.results(spark, folder), 20)
+    return listings.recent_toxic(_newest(spark, folder, 20, None, True), 20)
 
 
 @query
@@ -179,7 +186,7 @@ def page_slice(spark, folder):
 
 @query
 def display_projection(spark, folder):
-    return listings.display(listings.recent_filtered(bindings.results(spark, folder), 50))
+    return listings.display(listings.recent_filtered(_newest(spark, folder, 50), 50))
 
 
 # --- copies, pages, merge, retention, counters ------------------------------------------------
