@@ -93,8 +93,8 @@ def substring_hits(text, entries) -> Column:
     return total
 
 
-def quick_ratio(text, n_words, entries=values.QUICK_TOXIC) -> Column:
-    return substring_hits(text, entries) / F.greatest(as_column(n_words), F.lit(1))
+def quick_ratio(hits, n_words) -> Column:
+    return as_column(hits) / F.greatest(as_column(n_words), F.lit(1))
 
 
 def quick_is_toxic(ratio, threshold: float = 0.1) -> Column:

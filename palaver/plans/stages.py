@@ -154,7 +154,7 @@ def quick_record(df: DataFrame, ingestion_time=None) -> DataFrame:
         scores.substring_hits("message", values.QUICK_POSITIVE).alias("_positive"),
         scores.substring_hits("message", values.QUICK_NEGATIVE).alias("_negative"),
         scores.substring_hits("message", values.QUICK_TOXIC).alias("_toxic"),
-    ).withColumn("_ratio", F.col("_toxic") / F.greatest("word_count", F.lit(1)))
+    ).withColumn("_ratio", scores.quick_ratio("_toxic", "word_count"))
     toxic, clean = values.LABELS
     ingested = F.current_timestamp().cast("timestamp_ntz") if ingestion_time is None else ingestion_time
     return counted.select(
