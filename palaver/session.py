@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,17 +13,14 @@ LONGEST_HEAD_KEY = 256
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors see, as named by ``spark.checkpoint.dir``.
+    """Folder that the driver and all executors see: ``spark.checkpoint.dir``, else one below the warehouse.
 
-    Only a local session, whose executors are this machine, may fall back to a temporary folder.
+    Both are paths of the cluster's file system; a temporary folder of one machine is never used.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="palaver-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_palaver"
+        spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
@@ -39,7 +35,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     Unlike a cache it survives the loss of executors, and it is computed once for several readers.
     """
     path = run_folder(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
