@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import anomaly, bpe, mixing, sharding, substrings
+from palaver.llm import anomaly, bpe, mixing, near_copies, sharding, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,11 @@ def op3_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mix).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_copies.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(spark, vocabulary_path())
     return bpe.encode(table(spark, sf_dir, "documents"), ranks, piece_pattern(), keep=["doc_id"], with_ids=False)
@@ -53,4 +58,4 @@ def op10_isolation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_rendezvous_shards, op3_pivotal_mix, op7_byte_bpe, op8_repeated_windows, op10_isolation_rules)}
+    op1_rendezvous_shards, op3_pivotal_mix, op5_chosen_path, op7_byte_bpe, op8_repeated_windows, op10_isolation_rules)}
