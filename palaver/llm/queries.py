@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import anomaly, bpe, mixing, near_copies, sharding, substrings
+from palaver.llm import anomaly, bpe, maxscore, mixing, near_copies, sharding, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +51,10 @@ def op8_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"], with_text=False)
 
 
+def op9_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op10_isolation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = anomaly.written_statistics(table(spark, sf_dir, "documents").select("doc_id", "text"))
     forest, limit = anomaly.fit(stats, table(spark, sf_dir, "labels"))
@@ -58,4 +62,5 @@ def op10_isolation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_rendezvous_shards, op3_pivotal_mix, op5_chosen_path, op7_byte_bpe, op8_repeated_windows, op10_isolation_rules)}
+    op1_rendezvous_shards, op3_pivotal_mix, op5_chosen_path, op7_byte_bpe, op8_repeated_windows,
+    op9_maxscore, op10_isolation_rules)}
