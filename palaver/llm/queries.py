@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import anomaly, bpe, maxscore, mixing, near_copies, sharding, substrings
+from palaver.llm import anomaly, bpe, html_text, maxscore, mixing, near_copies, sharding, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,10 @@ def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_boosted_dom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(spark, vocabulary_path())
     return bpe.encode(table(spark, sf_dir, "documents"), ranks, piece_pattern(), keep=["doc_id"], with_ids=False)
@@ -62,5 +66,5 @@ def op10_isolation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_rendezvous_shards, op3_pivotal_mix, op5_chosen_path, op7_byte_bpe, op8_repeated_windows,
+    op1_rendezvous_shards, op3_pivotal_mix, op5_chosen_path, op6_boosted_dom, op7_byte_bpe, op8_repeated_windows,
     op9_maxscore, op10_isolation_rules)}
