@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import anomaly, bpe, html_text, maxscore, mixing, near_copies, sharding, substrings
+from palaver.llm import anomaly, bayes, bpe, html_text, markov, maxscore, mixing, near_copies, sharding, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,11 +32,19 @@ def op1_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.rendezvous_shards(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op2_site_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bayes.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), host="source", path="lang")
+
+
 def op3_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.pivotal_mix(table(spark, sf_dir, "documents"))
     return mixing.taken_words(mix).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op4_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markov.scores(table(spark, sf_dir, "documents"))
+
+
 def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_copies.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -66,5 +74,5 @@ def op10_isolation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_rendezvous_shards, op3_pivotal_mix, op5_chosen_path, op6_boosted_dom, op7_byte_bpe, op8_repeated_windows,
-    op9_maxscore, op10_isolation_rules)}
+    op1_rendezvous_shards, op2_site_bayes, op3_pivotal_mix, op4_hidden_markov, op5_chosen_path,
+    op6_boosted_dom, op7_byte_bpe, op8_repeated_windows, op9_maxscore, op10_isolation_rules)}
