@@ -229,3 +229,11 @@ def judged(stats: DataFrame, forest: list, limit: float) -> DataFrame:
     """Add ``base_failed, anomaly, kept``."""
     scored = with_scores(stats, forest)
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") < limit))
+
+
+def accepted_rows(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``df`` that the rules and the forest accept."""
+    narrow = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    forest, limit = fit(written_statistics(narrow), labels.select(F.col(key).alias("doc_id"), "quality"))
+    whole = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(text).alias("text"))
+    return judged(statistics(whole, keep=["_row"]), forest, limit).filter("kept").select("_row.*")

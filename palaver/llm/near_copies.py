@@ -285,7 +285,10 @@ def confirmed(sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, text_md5, n_shingles, component_id, kept)``, one row per input row."""
+    """``(doc_id, text_md5, n_shingles, group_id, component_id, kept)``, one row per input row.
+
+    ``group_id`` numbers the components of this run; it is null for an empty set.
+    """
     narrow = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"),
                        F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("text_md5"))
     rows = written(narrow.mapInArrow(
@@ -304,8 +307,27 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     roots = nodes.select("id", "digest", "doc_id").join(confirmed(sets), "id", "left").withColumn(
         "root", F.coalesce("root", "id"))
     numbers = roots.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = roots.join(numbers, "root").select("digest", "component_id")
+    named = roots.join(numbers, "root").select("digest", F.col("root").alias("group_id"), "component_id")
     out = rows.join(named, "digest", "left").withColumn(
         "component_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return out.select("doc_id", "text_md5", "n_shingles", "component_id",
+    return out.select("doc_id", "text_md5", "n_shingles", "group_id", "component_id",
                       F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def one_per_group(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``df`` that stand for their groups: one of each, and all rows with empty sets."""
+    found = near_duplicates(df, key, text)
+    same = ["doc_id", "text_md5"]
+    counts = found.groupBy("group_id", *same).agg(F.count(F.lit(1)).alias("n"))
+    first = counts.filter("group_id IS NOT NULL").groupBy("group_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), *same, "n")).alias("one"))
+    chosen = first.select("one.doc_id", "one.text_md5", F.col("one.n").alias("n")).unionByName(
+        counts.filter("group_id IS NULL").select(*same, F.lit(0).cast("long").alias("n")))
+    plan = written(chosen.withColumnsRenamed({"doc_id": "_id", "text_md5": "_md5", "n": "_n"}), "chosen")
+    own = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(key).cast("long").alias("_key"),
+                    F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("_digest"))
+    match = F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_md5"))
+    alone = own.join(plan.filter("_n < 2"), match).select("_row")
+    # equal rows are one document here; rows of this kind are few or alike, and combine before the shuffle
+    alike = own.join(plan.filter("_n > 1"), match).groupBy("_id", "_md5").agg(F.first("_row").alias("_row")).select("_row")
+    return alone.unionByName(alike).select("_row.*")

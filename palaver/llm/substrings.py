@@ -202,3 +202,13 @@ def remove_repeats(df: DataFrame, text: str = "text", size: int = SIZE, keep: li
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + [
         "n_words long", "n_removed long", "kept_sha256 string"] + ["kept_text string"] * with_text)
     return joined.mapInArrow(cut_texts(text, keep, with_text), schema)
+
+
+def without_repeats(df: DataFrame, text: str = "text", n_chars: str = "n_chars", size: int = SIZE) -> DataFrame:
+    """The rows of ``df`` with the kept text in place of the text, and its length in ``n_chars`` if there is such a column."""
+    own = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(text).alias("text"))
+    cut_rows = remove_repeats(own, "text", size, keep=["_row"])
+    row = F.col("_row").withField(text, F.col("kept_text"))
+    if n_chars in df.columns:
+        row = row.withField(n_chars, F.char_length("kept_text").cast(df.schema[n_chars].dataType))
+    return cut_rows.select(row.alias("_row")).select("_row.*")
