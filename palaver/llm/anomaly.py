@@ -24,6 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from palaver.llm.frames import free
 from palaver.llm.words import WordHasher, covered, repeated, slices
 from palaver.session import written
 
@@ -150,13 +151,13 @@ def statistics(df: DataFrame, text: str = "text", keep: list[str] | None = None)
     def run(incoming):
         hasher = WordHasher()
         for batch in incoming:
-            parts = [counts_of(p, hasher) for p in slices(batch.column(batch.schema.get_field_index("_text")))]
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in keep]
+            *columns, texts = batch.columns
+            parts = [counts_of(p, hasher) for p in slices(texts)]
             columns += [pa.array(np.concatenate([p[c] for p in parts] or [np.zeros(0)]).astype(np.int64)) for c in COUNTS]
             yield pa.RecordBatch.from_arrays(columns, names=keep + COUNTS)
 
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + [f"{c} long" for c in COUNTS])
-    return df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text")).mapInArrow(run, schema)
+    return df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias(free(keep, "text"))).mapInArrow(run, schema)
 
 
 def written_statistics(df: DataFrame, text: str = "text") -> DataFrame:
@@ -218,6 +219,7 @@ def threshold(scored: DataFrame, quality: str) -> float:
 
 def fit(stats: DataFrame, labels: DataFrame, key: str = "doc_id", quality: str = "quality") -> tuple[list, float]:
     """Forest and threshold from narrow statistics and the labels; labels are few beside the documents."""
+    stats = stats.select(key, *COUNTS)
     marks = labels.groupBy(F.col(key).alias("_key")).agg(F.min(quality).alias("_quality"))
     labelled = stats.join(marks, F.col(key) == F.col("_key"))
     good = labelled.filter("_quality = 1")

@@ -22,6 +22,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from palaver.llm.frames import free
+
 LONGEST = 256
 CACHED_PIECES = 400_000
 ROWS_AT_ONCE = 1 << 16
@@ -234,11 +236,12 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "te
         vocabulary = Vocabulary(shared.value)
         encoder = Encoder(vocabulary, pattern)
         for batch in incoming:
+            *columns, texts = batch.columns
             packed = []
-            for group in groups(batch.column(batch.schema.get_field_index("_text")).to_pylist()):
+            for group in groups(texts.to_pylist()):
                 packed += encoder.encode(group)
             decoded = (vocabulary.decode(np.frombuffer(p, "<u4")) for p in packed)
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in keep] + [
+            columns += [
                 pa.array([len(p) // 4 for p in packed], pa.int64()),
                 pa.array([hashlib.sha256(p).hexdigest() for p in packed], pa.string()),
                 pa.array([hashlib.sha256(d).hexdigest() for d in decoded], pa.string()),
@@ -247,7 +250,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "te
 
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + ["n_tokens long", "ids_sha256 string", "decoded_sha256 string"]
                        + ["ids binary"] * with_ids)
-    return df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text")).mapInArrow(run, schema)
+    return df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias(free(keep, "text"))).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -264,4 +267,4 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", text: str =
             yield pa.RecordBatch.from_arrays(columns + [pa.array(texts, pa.string())], names=keep + [text])
 
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    return df.select(*keep).mapInArrow(run, ", ".join([f"`{c}` {kinds[c]}" for c in keep] + [f"`{text}` string"]))
+    return df.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, ", ".join([f"`{c}` {kinds[c]}" for c in keep] + [f"`{text}` string"]))

@@ -25,6 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from palaver.llm.frames import free
 from palaver.llm.words import WordHasher, run_lengths, slices
 
 SIZE = 35
@@ -139,7 +140,7 @@ def intervals(size: int):
 
 def find_repeats(df: DataFrame, text: str = "text", size: int = SIZE) -> DataFrame:
     """``(digest, spans)``: MD5 of each text with repeated windows, and its intervals of words (int32 pairs)."""
-    n_bytes = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    n_bytes = df.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
     buckets = max(1, -(-int(n_bytes) // BUCKET_BYTES))
     packs = df.select(F.col(text).alias("text")).mapInArrow(pack_windows(size, buckets), ROWS_SQL)
     answers = packs.groupBy("bucket").applyInPandas(answer(buckets), ROWS_SQL)
@@ -159,14 +160,13 @@ def cut(pieces: list[bytes], spans: bytes | None) -> tuple[list[bytes], int]:
     return kept, len(pieces) - len(kept)
 
 
-def cut_texts(text: str, keep: list[str], with_text: bool):
-    """Mapper: columns ``keep``, then n_words, n_removed, kept_sha256 and, if wanted, the kept text."""
+def cut_texts(keep: list[str], with_text: bool):
+    """Mapper over columns ``keep``, text and intervals: ``keep``, n_words, n_removed, kept_sha256 and, if wanted, the kept text."""
 
     def run(incoming):
         for batch in incoming:
             counts, removed, sums, texts = [], [], [], []
-            for value, spans in zip(batch.column(batch.schema.get_field_index(text)).to_pylist(),
-                                    batch.column(batch.schema.get_field_index("_spans")).to_pylist()):
+            for value, spans in zip(batch.column(len(keep)).to_pylist(), batch.column(len(keep) + 1).to_pylist()):
                 pieces = (value or "").encode().split()
                 left, gone = cut(pieces, spans)
                 joined = b" ".join(left)
@@ -175,7 +175,7 @@ def cut_texts(text: str, keep: list[str], with_text: bool):
                 sums.append(hashlib.sha256(joined).hexdigest())
                 if with_text:
                     texts.append(joined.decode() if gone else value)
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in keep]
+            columns = batch.columns[:len(keep)]
             columns += [pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(sums, pa.string())]
             names = keep + ["n_words", "n_removed", "kept_sha256"]
             if with_text:
@@ -194,14 +194,15 @@ def remove_repeats(df: DataFrame, text: str = "text", size: int = SIZE, keep: li
     """
     new = ["n_words", "n_removed", "kept_sha256"] + ["kept_text"] * with_text
     keep = [c for c in (df.columns if keep is None else keep) if c not in new]
-    source = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text])])
-    spans = find_repeats(df, text, size).select(F.col("digest").alias("_digest"), F.col("spans").alias("_spans"))
-    named = source.withColumn("_digest", F.unhex(F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")))))
-    joined = named.join(spans, "_digest", "left").drop("_digest")
+    value, name, own = free(keep, "text"), free(keep, "digest"), free(keep, "spans")
+    source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias(value))
+    named = source.withColumn(name, F.unhex(F.md5(F.coalesce(F.col(value), F.lit("")))))
+    spans = find_repeats(df, text, size).select(F.col("digest").alias(name), F.col("spans").alias(own))
+    joined = named.join(spans, name, "left").select(*[F.col(f"`{c}`") for c in [*keep, value, own]])
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + [
         "n_words long", "n_removed long", "kept_sha256 string"] + ["kept_text string"] * with_text)
-    return joined.mapInArrow(cut_texts(text, keep, with_text), schema)
+    return joined.mapInArrow(cut_texts(keep, with_text), schema)
 
 
 def without_repeats(df: DataFrame, text: str = "text", n_chars: str = "n_chars", size: int = SIZE) -> DataFrame:
