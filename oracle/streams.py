@@ -7,6 +7,18 @@ from oracle.reports import NEGATIVE, NEUTRAL, POSITIVE
 
 SENTIMENT_SCORE = f"{rounded('sentiment_score', 6)} AS sentiment_score"
 
+
+def windows(placed: str, hours: int) -> str:
+    """Statistics of windows; ``placed`` has each row once per window, with the window's start."""
+    return f"""
+        SELECT CAST(start AS TIMESTAMP) AS period_start, CAST(start + INTERVAL {hours} HOUR AS TIMESTAMP) AS period_end,
+               COUNT(*) AS total_comments, {tally('is_toxic')} AS toxic_count, {tally('NOT is_toxic')} AS non_toxic_count,
+               {tally(POSITIVE)} AS positive_count, {tally(NEGATIVE)} AS negative_count, {tally(NEUTRAL)} AS neutral_count,
+               {rounded('AVG(toxicity_score)', 6)} AS avg_toxicity_score,
+               {rounded('AVG(sentiment_score)', 6)} AS avg_sentiment_score
+        FROM ({placed}) GROUP BY start"""
+
+
 SQL = {
     "stream_clean": with_cleaned("SELECT comment_id, cleaned_message FROM cleaned"),
     "stream_hops": with_scored(f"SELECT comment_id, toxicity_score, label, is_toxic, sentiment, {SENTIMENT_SCORE} FROM scored"),
@@ -17,14 +29,10 @@ SQL = {
     "stream_fan_out": with_scored("""
         SELECT comment_id AS key, '{"comment_id":"' || comment_id || '","label":"' || label || '","is_toxic":'
                || CASE WHEN is_toxic THEN 'true' ELSE 'false' END || '}' AS value FROM scored"""),
-    "stream_window_stats": with_scored(f"""
-        SELECT CAST(date_trunc('hour', ingestion_time) AS TIMESTAMP) AS period_start,
-               CAST(date_trunc('hour', ingestion_time) + INTERVAL 1 HOUR AS TIMESTAMP) AS period_end,
-               COUNT(*) AS total_comments, {tally('is_toxic')} AS toxic_count, {tally('NOT is_toxic')} AS non_toxic_count,
-               {tally(POSITIVE)} AS positive_count, {tally(NEGATIVE)} AS negative_count, {tally(NEUTRAL)} AS neutral_count,
-               {rounded('AVG(toxicity_score)', 6)} AS avg_toxicity_score,
-               {rounded('AVG(sentiment_score)', 6)} AS avg_sentiment_score
-        FROM scored GROUP BY date_trunc('hour', ingestion_time)"""),
+    "stream_window_stats": with_scored(windows("SELECT *, date_trunc('hour', ingestion_time) AS start FROM scored", 1)),
+    "stream_sliding_stats": with_scored(windows("""
+        SELECT *, date_trunc('hour', ingestion_time) AS start FROM scored UNION ALL
+        SELECT *, date_trunc('hour', ingestion_time) - INTERVAL 1 HOUR AS start FROM scored""", 2)),
     "stream_dedup": "SELECT DISTINCT md5(text) AS content_key FROM documents",
     "stream_label_join": with_scored("""
         SELECT comment_id, toxicity_score, is_toxic, l.toxic FROM scored JOIN labels l ON l.doc_id = scored.doc_id"""),

@@ -16,12 +16,17 @@ from palaver.plans import bindings, stages
 from palaver.plans.registry import query
 from palaver.streaming import hops, sinks, stateful
 
+FILES_PER_TRIGGER = 64  # the size of a micro-batch, whatever the size of the table
+# The tables are not in time order: any file may hold any time. The delay covers their whole span, so that
+# no row is late; a live source has its own, far smaller one.
+DISORDER = "400 days"
+
 
 def _stream(spark, folder, name, key):
     """A table as a file stream. The pattern stands for a single file as well as for a folder."""
     stored = bindings.table(spark, folder, name)
-    stream = hops.read_files_stream(spark, os.path.join(folder, f"{name}.parquet*"), stored.schema)
-    return session.spread(stream, key, stored)
+    stream = hops.read_files_stream(spark, os.path.join(folder, f"{name}.parquet*"), stored.schema, FILES_PER_TRIGGER)
+    return session.spread(stream, key)
 
 
 def _texts(spark, folder):
@@ -93,10 +98,10 @@ def stream_fan_out(spark, folder):
     scored = stages.analyse(_comments(spark, folder)).withColumnRenamed("message", "original_message")
     rows = stages.result_record(scored, F.col("created_time"), F.col("ingestion_time"))
 
-    def publish(batch, epoch):
-        sinks.write_epoch(encode_envelope(batch, "comment_id", ["comment_id", "label", "is_toxic"]), messages, epoch)
+    def publish(batch, run, epoch):
+        sinks.write_epoch(encode_envelope(batch, "comment_id", ["comment_id", "label", "is_toxic"]), messages, run, epoch)
     hops.drained(sinks.to_epochs(rows, path, checkpoint, also=publish))
-    return spark.read.schema("key string, value string").parquet(messages).drop("epoch")
+    return spark.read.schema("key string, value string").parquet(messages).drop("run", "epoch")
 
 
 @query
@@ -104,7 +109,11 @@ def stream_window_stats(spark, folder):
     """Hourly statistics as an update stream; the last version of each window counts."""
     path, checkpoint = _folders(spark, "stream-windows")
     scored = stages.analyse(_comments(spark, folder)).withColumn("ts", F.col("ingestion_time").cast("timestamp"))
-    windows = stateful.windowed_statistics(scored, "ts", "1 hour")
+    return _window_rows(spark, stateful.windowed_statistics(scored, "ts", "1 hour", delay=DISORDER), path, checkpoint)
+
+
+def _window_rows(spark, windows, path, checkpoint):
+    """Drain an update stream of windows; the last version of each counts."""
     hops.drained(sinks.to_epochs(windows, path, checkpoint, mode="update"))
     rest = tuple(c for c in windows.columns if c != "period_start")
     last = sinks.current_rows(spark, path, windows.schema, "period_start", ("period_start",), rest)
@@ -117,13 +126,22 @@ def stream_window_stats(spark, folder):
     )
 
 
+@query
+def stream_sliding_stats(spark, folder):
+    """Statistics of the trailing two hours, every hour."""
+    path, checkpoint = _folders(spark, "stream-sliding")
+    scored = stages.analyse(_comments(spark, folder)).withColumn("ts", F.col("ingestion_time").cast("timestamp"))
+    windows = stateful.windowed_statistics(scored, "ts", "2 hours", "1 hour", delay=DISORDER)
+    return _window_rows(spark, windows, path, checkpoint)
+
+
 @query
 def stream_dedup(spark, folder):
     """Distinct texts of the stream, by content hash, within a watermark longer than the data."""
     path, checkpoint = _folders(spark, "stream-dedup")
     rows = _comments(spark, folder).select(
         F.md5("message").alias("content_key"), F.col("ingestion_time").cast("timestamp").alias("ts"))
-    distinct = stateful.without_duplicates(rows, "ts", ["content_key"], "90 days").select("content_key")
+    distinct = stateful.without_duplicates(rows, "ts", ["content_key"], DISORDER).select("content_key")
     hops.drained(sinks.to_files(distinct, path, checkpoint))
     return spark.read.schema(distinct.schema).parquet(path)
 
@@ -137,7 +155,7 @@ def stream_label_join(spark, folder):
     labels = bindings.with_events(_stream(spark, folder, "labels", "doc_id"), spark, folder).select(
         F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("comment_id"), "toxic",
         F.col("ingestion_time").cast("timestamp").alias("labelled_at"))
-    joined = stateful.join_truth_stream(predicted, labels, "comment_id", "predicted_at", "labelled_at")
+    joined = stateful.join_truth_stream(predicted, labels, "comment_id", "predicted_at", "labelled_at", delay=DISORDER)
     out = joined.select("comment_id", "toxicity_score", "is_toxic", "toxic")
     hops.drained(sinks.to_files(out, path, checkpoint))
     return spark.read.schema(out.schema).parquet(path)

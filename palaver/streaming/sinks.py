@@ -1,12 +1,21 @@
-"""Sinks: plain files, and an append-by-epoch table with latest-wins reading."""
+"""Sinks: plain files, and an append-by-epoch table with latest-wins reading.
+
+The table is a folder of row versions, ``run=<run>/epoch=<n>``. A run is the life of one checkpoint:
+its name is kept in the checkpoint's folder and begins with the time it started. A stream that goes
+on from its checkpoint goes on with its run, and a batch that is tried again replaces its own folder.
+A stream with a new checkpoint is a new run, so it never touches what an earlier one has stored.
+"""
 
 from __future__ import annotations
 
 import os
+import time
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from palaver.operators.merge import SCORE_COLUMNS, latest_wins
 
@@ -18,46 +27,76 @@ def to_files(df: DataFrame, path: str, checkpoint: str, mode: str = "append") ->
     )
 
 
-def write_epoch(batch: DataFrame, path: str, epoch: int) -> None:
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The run of a checkpoint; a checkpoint without one starts a run that sorts after all earlier ones."""
+    place = os.path.join(checkpoint, "run")
+    try:
+        stored = [r["value"] for r in spark.read.text(place).collect()]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = []
+    if not stored:
+        stored = [f"{time.time_ns():020d}-{uuid.uuid4().hex[:12]}"]
+        spark.createDataFrame([(stored[0],)], "value string").coalesce(1).write.mode("overwrite").text(place)
+    return stored[0]
+
+
+def epoch_path(path: str, run: str, epoch: int) -> str:
+    return os.path.join(path, f"run={run}", f"epoch={epoch}")
+
+
+def write_epoch(batch: DataFrame, path: str, run: str, epoch: int) -> None:
     """Write a micro-batch to its own folder, replacing what an earlier try of it left.
 
     The cost is that of the batch, whatever the size of the table; a replay gives the same files.
     """
-    batch.write.mode("overwrite").parquet(os.path.join(path, f"epoch={epoch}"))
+    batch.write.mode("overwrite").parquet(epoch_path(path, run, epoch))
 
 
 def to_epochs(df: DataFrame, path: str, checkpoint: str, mode: str = "append", also=None) -> DataStreamWriter:
-    """Epoch sink. ``also(batch, epoch)`` writes a second output from the same computed batch.
+    """Epoch sink. ``also(batch, run, epoch)`` writes a second output from the same computed batch.
 
     With a second output the batch is written first and read back for it, so the source is read
     and scored once. Errors fail the query: a batch that was not written is tried again.
     """
+    run = run_of(df.sparkSession, checkpoint)
+
     def write(batch: DataFrame, epoch: int) -> None:
-        write_epoch(batch, path, epoch)
+        write_epoch(batch, path, run, epoch)
         if also is not None:
-            stored = batch.sparkSession.read.schema(batch.schema).parquet(os.path.join(path, f"epoch={epoch}"))
-            also(stored, epoch)
+            stored = batch.sparkSession.read.schema(batch.schema).parquet(epoch_path(path, run, epoch))
+            also(stored, run, epoch)
     return df.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint)
 
 
-def all_epochs(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Every stored row version with its ``epoch``."""
-    versioned = StructType([*schema.fields, StructField("epoch", LongType())])
-    return spark.read.schema(versioned).parquet(path)
+def all_epochs(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
+    """Every stored row version of one or more table folders, with its ``run`` and ``epoch``."""
+    versioned = StructType([*schema.fields, StructField("run", StringType()), StructField("epoch", LongType())])
+    frames = [spark.read.schema(versioned).parquet(p) for p in ([path] if isinstance(path, str) else path)]
+    versions = frames[0]
+    for frame in frames[1:]:
+        versions = versions.unionByName(frame)
+    return versions
 
 
-def current_rows(spark: SparkSession, path: str, schema: StructType, key: str = "comment_id",
+def current_rows(spark: SparkSession, path: str | list[str], schema: StructType, key: str = "comment_id",
                  order=("ingestion_time",), update=SCORE_COLUMNS) -> DataFrame:
     """The table as of now: first values of the fixed columns, last values of the others.
 
-    Row versions are ordered by epoch, then by ``order`` within it.
+    Row versions are ordered by run, epoch, then by ``order`` within it.
     """
-    names = ["epoch", *[f"_o{i}" for i in range(len(order))]]
+    names = ["run", "epoch", *[f"_o{i}" for i in range(len(order))]]
     versions = all_epochs(spark, path, schema)
-    versions = versions.select("*", *[F.col(c).alias(n) for c, n in zip(order, names[1:])])
+    versions = versions.select("*", *[F.col(c).alias(n) for c, n in zip(order, names[2:])])
     return latest_wins(versions, key, names, update)
 
 
 def compact(spark: SparkSession, path: str, target: str, schema: StructType, **options) -> None:
-    """Write the current rows as epoch -1 of a new table folder, for readers to move on to."""
-    write_epoch(current_rows(spark, path, schema, **options), target, -1)
+    """Fold the current rows into a table folder of their own, as the run before all others.
+
+    Streams may go on writing to ``path``: its folders stay as they are, and reading ``[target, path]``
+    gives every row whether it came before, during or after. Old runs whose streams have ended can
+    then be removed from ``path`` by whoever keeps the storage.
+    """
+    write_epoch(current_rows(spark, path, schema, **options), target, "0", -1)
