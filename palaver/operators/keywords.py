@@ -30,7 +30,7 @@ def comment_keywords(df: DataFrame, cleaned: str = "cleaned_comment", limit: int
 
 
 def trending(df: DataFrame, keywords: str = "keywords", ts: str = "ingestion_time") -> DataFrame:
-    """Per keyword: occurrences, mean sentiment and toxicity, first and last time seen.
+    """Per keyword: occurrences, mean sentiment and toxicity and of how many scores, first and last time seen.
 
     A keyword listed twice in one comment counts twice. Sums are combined within each task first.
     """
@@ -41,6 +41,8 @@ def trending(df: DataFrame, keywords: str = "keywords", ts: str = "ingestion_tim
             F.count(F.lit(1)).alias("count"),
             F.avg("sentiment_score").alias("sentiment_avg"),
             F.avg("toxicity_score").alias("toxicity_avg"),
+            F.count("sentiment_score").alias("sentiment_n"),
+            F.count("toxicity_score").alias("toxicity_n"),
             F.max("_ts").alias("last_updated"),
             F.min("_ts").alias("first_seen"),
         )
@@ -48,15 +50,17 @@ def trending(df: DataFrame, keywords: str = "keywords", ts: str = "ingestion_tim
 
 
 def merge_trending(existing: DataFrame, update: DataFrame) -> DataFrame:
-    """Fold a new aggregate into the stored one: counts add up, means are weighted by count."""
+    """Fold a new aggregate into the stored one: counts add up, means are weighted by the scores they are of."""
     both = existing.unionByName(update)
 
-    def mean(name):
-        return (F.sum(F.col(name) * F.col("count")) / F.sum("count")).alias(name)
+    def mean(name, n):
+        return (F.sum(F.col(name) * F.col(n)) / F.nullif(F.sum(n), F.lit(0))).alias(name)
     return both.groupBy("keyword").agg(
         F.sum("count").alias("count"),
-        mean("sentiment_avg"),
-        mean("toxicity_avg"),
+        mean("sentiment_avg", "sentiment_n"),
+        mean("toxicity_avg", "toxicity_n"),
+        F.sum("sentiment_n").alias("sentiment_n"),
+        F.sum("toxicity_n").alias("toxicity_n"),
         F.max("last_updated").alias("last_updated"),
         F.min("first_seen").alias("first_seen"),
     )

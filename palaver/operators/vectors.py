@@ -119,12 +119,12 @@ def embedding_matrix(vocabulary: DataFrame, vectors: DataFrame, dim: int, key: s
 def mean_embedding(df: DataFrame, matrix: DataFrame, key: str, text: str, dim: int) -> DataFrame:
     """``(key, vector)``: mean vector of the known words of each text, repeats counted.
 
-    Words are counted inside the row first. The head of the matrix is broadcast up to 64 MB, the
-    rarer words are joined by shuffle. One sum per dimension is a plain hash aggregate: each task
+    Words are counted inside the row first. The head of the matrix is broadcast, the rarer words are
+    joined by shuffle. One sum per dimension is a plain hash aggregate: each task
     sends one row per text, not one vector per word.
     """
     words = term_rows(df, key, vocabulary_tokens(text)).withColumnRenamed("term", "word")
-    known = session.ranked_lookup(words, matrix, "word", "index", row_bytes=64 + 4 * dim)
+    known = session.ranked_lookup(words, matrix, "word", "index")
     sums = [F.expr(f"sum(n * cast(get(vector, {i}) AS double))").alias(f"_s{i}") for i in range(dim)]
     totals = known.groupBy(key).agg(F.sum("n").alias("_n"), *sums)
     return totals.select(key, F.expr(f"array({', '.join(f'_s{i} / _n' for i in range(dim))})").alias("vector"))

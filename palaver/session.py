@@ -1,4 +1,4 @@
-"""Session-level helpers: shared work folder, input size checks, spreading of small inputs."""
+"""Session-level helpers: shared work folder, written results, spreading of small inputs, skewed lookups."""
 
 from __future__ import annotations
 
@@ -7,8 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-SMALL_INPUT_BYTES_PER_CORE = 128 * 1024 * 1024
-BROADCAST_BYTES = 64 * 1024 * 1024
+HEAD_RANKS = 4096
 LONGEST_HEAD_KEY = 256
 
 
@@ -39,46 +38,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer's size estimate; for a plain file scan this is the size of the files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal rows to as many partitions as ``spark.palaver.inputPartitions`` says; without it leave them as read.
 
-
-def fills_cluster(df: DataFrame) -> bool:
-    """Whether a file scan is large enough to have a split for every core."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return cores < 2 or estimated_bytes(df) > cores * SMALL_INPUT_BYTES_PER_CORE
-
-
-def spread(df: DataFrame, key: str, size_of: DataFrame | None = None) -> DataFrame:
-    """Repartition an input that is too small to fill the cluster; leave a large one as it is.
-
-    A few megabytes in one Parquet row group would run the text functions in a single task. The
-    shuffle this adds is bounded by cores x 128 MB; above that the scan has splits for every core
-    and the frame is returned untouched, so no large text column is ever shuffled here. For a
-    stream the size is that of ``size_of``, the files as a plain table.
+    For tables of a few files that hold less than a split for every core. Large ones need no such
+    setting: the scan has its splits, and no text is shuffled.
     """
-    if fills_cluster(df if size_of is None else size_of):
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    partitions = df.sparkSession.conf.get("spark.palaver.inputPartitions", None)
+    return df.repartition(int(partitions), key) if partitions else df
 
 
-def ranked_lookup(big: DataFrame, table: DataFrame, key: str, rank: str, how: str = "inner",
-                  row_bytes: int = 64, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def ranked_lookup(big: DataFrame, table: DataFrame, key: str, rank: str, how: str = "inner") -> DataFrame:
     """Join a large frame with a lookup table ranked 1.. by falling frequency of its string key.
 
-    A table whose measured size (keys, and ``row_bytes`` for the rest of a row) stays within the
-    limit is broadcast whole. Of a larger one the first ranks are broadcast, so the hot keys never
-    meet in one task; keys of lower rank are joined by shuffle, where each holds only a small share
-    of the counted occurrences. Overlong keys never go into the broadcast head, which bounds its
-    size. No row is lost on either way.
+    The first ``HEAD_RANKS`` keys are broadcast, so the hot ones never meet in one task; their number
+    and the length of their keys bound that side. All other rows go on to one shuffled join; rows
+    found in the head are dealt over it by their own hash. Every row of ``big`` is computed once.
     """
-    rows, key_bytes = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(key)), F.lit(0))).first()
-    if key_bytes + rows * row_bytes <= broadcast_bytes:
-        return big.join(F.broadcast(table), key, how)
-    head_rows = broadcast_bytes // (row_bytes + LONGEST_HEAD_KEY)
-    in_head = (F.col(rank) <= head_rows) & (F.octet_length(key) <= LONGEST_HEAD_KEY)
-    head, tail = F.broadcast(table.filter(in_head)), table.filter(~in_head)
-    found = big.join(head, key)
-    rest = big.join(head, key, "left_anti").join(tail, key, how)
-    return found.unionByName(rest)
+    columns = [c for c in table.columns if c != key]
+    in_head = (F.col(rank) <= HEAD_RANKS) & (F.octet_length(key) <= LONGEST_HEAD_KEY)
+    values = F.struct(*columns)
+    head = F.broadcast(table.filter(in_head).select(key, values.alias("_head")))
+    tail = table.filter(~in_head).select(F.col(key).alias("_key"), values.alias("_tail"))
+    own = F.when(F.col("_head").isNull(), F.col(key)).otherwise(
+        F.concat(F.lit("\u0000"), F.xxhash64(*big.columns).cast("string")))
+    found = big.join(head, key, "left").withColumn("_key", own).join(tail, "_key", "left").withColumn(
+        "_found", F.coalesce("_head", "_tail"))
+    if how == "inner":
+        found = found.filter("_found IS NOT NULL")
+    return found.select(*big.columns, *[F.col("_found")[c].alias(c) for c in columns])

@@ -17,11 +17,11 @@ from palaver.operators import (corpus, evaluation, forest, keywords, listings, m
 
 T0 = datetime(2024, 1, 10, 12, 0)
 SEED_ROWS = [
-    ("post_001", "comment_001", "Alice Martin", "Great content! I really love this post!", 0.05, 0.92, 120),
-    ("post_001", "comment_002", "Bob Johnson", "This is absolutely terrible and offensive!", 0.85, 0.15, 60),
-    ("post_002", "comment_003", "Charlie Brown", "Nice work, thanks for sharing this information.", 0.08, 0.78, 30),
-    ("post_002", "comment_004", "Diana Wilson", "I disagree with this post.", 0.22, 0.35, 15),
-    ("post_003", "comment_005", "Eve Thompson", "Amazing! Keep up the excellent work!", 0.03, 0.95, 0),
+    ("p1", "comment_001", "ana", "a fine map of the harbour", 0.1, 0.8, 120),
+    ("p1", "comment_002", "ben", "rude remark about a map", 0.9, 0.2, 60),
+    ("p2", "comment_003", "cem", "where is the harbour", 0.05, 0.7, 30),
+    ("p2", "comment_004", "dot", "not where the map says", 0.3, 0.4, 15),
+    ("p3", "comment_005", "eli", "thank you for the map", 0.02, 0.9, 0),
 ]
 
 
@@ -195,6 +195,15 @@ def test_trending_equals_the_running_mean(spark):
             assert (r.sentiment_avg, r.toxicity_avg) == (pytest.approx(m), pytest.approx(t))
 
 
+def test_merged_means_leave_out_missing_scores(spark):
+    rows = [(["k"], 0.2, None), (["k"], None, None), (["k"], 0.8, 0.5)]
+    df = spark.createDataFrame([(*r, T0 + timedelta(minutes=i)) for i, r in enumerate(rows)],
+                               "keywords array<string>, sentiment_score double, toxicity_score double, ingestion_time timestamp_ntz")
+    first = F.col("ingestion_time") < F.lit(T0 + timedelta(minutes=2))
+    merged = keywords.merge_trending(keywords.trending(df.filter(first)), keywords.trending(df.filter(~first))).first()
+    assert (merged["count"], merged.sentiment_avg, merged.toxicity_avg) == (3, pytest.approx(0.5), 0.5)
+
+
 def test_search_ways_agree(spark, tmp_path):
     rng = random.Random(3)
     words = ["kill", "bill", "Mill", "the", "till"]
@@ -228,16 +237,17 @@ def test_global_rank_over_many_partitions(spark):
     assert found == {w: i + 1 for i, (w, _) in enumerate(sorted(rows, key=lambda r: (-r[1], r[0])))}
 
 
-@pytest.mark.parametrize("limit", [64 * 1024 * 1024, 1000])
+@pytest.mark.parametrize("head", [4096, 5])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_ranked_lookup_is_whole_with_and_without_broadcast(spark, limit, how):
+def test_ranked_lookup_is_whole_for_head_and_tail(spark, monkeypatch, head, how):
+    monkeypatch.setattr(session, "HEAD_RANKS", head)
     words = [f"w{i}" for i in range(50)] + ["long" * 200]
     table = spark.createDataFrame([(w, i + 1) for i, w in enumerate(words)], "word string, index int")
     tokens = [(i, "w0" if i % 3 == 0 else words[i % 51] if i % 7 else "unknown") for i in range(900)]
     big = spark.createDataFrame(tokens, "id int, word string")
     rank = {w: i + 1 for i, w in enumerate(words)}
     expected = Counter((i, w, rank.get(w)) for i, w in tokens if how == "left" or w in rank)
-    found = session.ranked_lookup(big, table, "word", "index", how, broadcast_bytes=limit).select("id", "word", "index")
+    found = session.ranked_lookup(big, table, "word", "index", how).select("id", "word", "index")
     assert Counter(tuple(r) for r in found.collect()) == expected
 
 
