@@ -61,14 +61,6 @@ SQL = {
     "json_envelope_roundtrip": with_comments(
         f"""SELECT comment_id AS comment_id_key, 'facebook' AS source, post_id, comment_id, username AS "user", message,
         {ISO} || 'Z' AS created_time FROM comments"""),
-    "synthetic_comments": f"""
-        WITH templates AS (SELECT * FROM (VALUES {', '.join(
-            f"({i}, {quoted(u)}, {quoted(m)})" for i, (u, m) in enumerate(values.FEED_TEMPLATES))}) AS t(k, u, m)),
-        fed AS (SELECT event_id, u, m, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS made
-                FROM events JOIN templates ON k = event_id % {len(values.FEED_TEMPLATES)})
-        SELECT 'facebook_test' AS source, 'test_post_' || CAST(event_id // 10 AS VARCHAR) AS post_id,
-               substring(md5(m || made), 1, 16) AS comment_id, u AS "user", m AS message, made || 'Z' AS created_time
-        FROM fed""",
     "text_features": with_features(f"""
         SELECT comment_id, CAST(char_count AS INTEGER) AS char_count, CAST(word_count AS INTEGER) AS word_count,
                {rounded('avg_word_length', 6)} AS avg_word_length, {rounded('lexical_score', 6)} AS lexical_score,

@@ -32,14 +32,15 @@ def safe_timestamp(value) -> Column:
     """ISO text to a zone-less UTC timestamp; NULL when it is not one."""
     text = as_column(value)
     # Text without a zone is read as it stands, text with one is moved to UTC.
-    zoned = F.regexp_extract(text, r"(?:Z|[+-]\d{2}:?\d{2})$", 0)
-    local = F.regexp_replace(text, r"(?:Z|[+-]\d{2}:?\d{2})$", "")
+    zone = r"(?:Z|(?<=:\d{2}(?:\.\d{1,9})?)[+-]\d{2}(?::?\d{2})?)$"
+    zoned = F.regexp_extract(text, zone, 0)
+    local = F.regexp_replace(text, zone, "")
     base = F.try_to_timestamp_ntz(local) if hasattr(F, "try_to_timestamp_ntz") else local.try_cast("timestamp_ntz")
     sign = F.when(F.substring(zoned, 1, 1) == "-", 1).otherwise(-1)
     digits = F.regexp_replace(zoned, r"[^0-9]", "")
+    past_hour = F.when(F.length(digits) == 4, F.substring(digits, 3, 2).try_cast("int")).otherwise(0)
     shift = F.when(
-        F.length(digits) == 4,
-        sign * (F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int")),
+        F.length(digits) >= 2, sign * (F.substring(digits, 1, 2).try_cast("int") * 60 + past_hour),
     ).otherwise(0)
     return base + F.make_dt_interval(F.lit(0), F.lit(0), shift)
 

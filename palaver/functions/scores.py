@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 from palaver import values
@@ -116,4 +118,5 @@ def quick_sentiment_score(positive, negative) -> Column:
 
 
 def minimal_flag(text, entries=values.MINIMAL_TOXIC) -> Column:
-    return F.lower(as_column(text)).rlike("|".join(entries))
+    lowered = F.lower(as_column(text))
+    return reduce(lambda a, b: a | b, [lowered.contains(e) for e in entries], F.lit(False))

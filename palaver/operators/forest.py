@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, IDF, Normalizer, RegexTokenizer
@@ -87,7 +88,10 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(spark: SparkSession, path: str) -> PipelineModel | None:
     """The stored model, or None when there is none at the path."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path, "metadata")
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return None
+    try:
+        spark.read.text(f"{path}/metadata")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
     return PipelineModel.load(path)

@@ -49,28 +49,6 @@ def topic_of(stage: Column, default: str = values.STAGE_TOPICS["raw"]) -> Column
     return F.coalesce(F.try_element_at(names, stage), F.lit(default))
 
 
-def simulated_feed(index: DataFrame, i: str, created_time: Column, templates=values.FEED_TEMPLATES) -> DataFrame:
-    """One comment per index row: the templates in turn, ten comments per post.
-
-    Works on ``spark.range`` and on a rate stream alike; the id hashes message and time.
-    """
-    bank = F.array(*[F.struct(F.lit(u).alias("user"), F.lit(m).alias("message")) for u, m in templates])
-    n = len(templates)
-    picked = index.select(
-        F.col(i).alias("_i"),
-        F.element_at(bank, (F.col(i) % n + 1).cast("int")).alias("_t"),
-        created_time.alias("created_time"),
-    )
-    return picked.select(
-        F.lit("facebook_test").alias("source"),
-        F.concat(F.lit("test_post_"), F.floor(F.col("_i") / 10).cast("string")).alias("post_id"),
-        F.substring(F.md5(F.concat(F.col("_t.message"), F.col("created_time"))), 1, 16).alias("comment_id"),
-        F.col("_t.user").alias("user"),
-        F.col("_t.message").alias("message"),
-        F.concat(F.col("created_time"), F.lit("Z")).alias("created_time"),
-    )
-
-
 def union_pages(*pages: DataFrame) -> DataFrame:
     """All rows of all pages, columns matched by name."""
     return reduce(lambda a, b: a.unionByName(b), pages)
@@ -85,3 +63,15 @@ def first_seen(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")
     return df.groupBy(*keys).agg(first).select(*keys, "_first.*").select(*df.columns)
+
+
+def first_texts(df: DataFrame, text: str, order: list[str]) -> DataFrame:
+    """``first_seen`` of whole texts: grouped by their SHA-256, the texts themselves fetched at the end.
+
+    ``order`` has to tell rows apart. Only the hash and ``order`` go through the grouping; the rows
+    chosen are then joined to the texts where they are read. A null text is a text of its own.
+    """
+    at = F.struct(*order)
+    named = df.withColumn("_hash", F.sha2(F.col(text), 256)).withColumn("_at", at)
+    chosen = named.groupBy("_hash").agg(F.min("_at").alias("_at")).select(F.col("_at").alias("_chosen"))
+    return named.join(chosen, named["_at"].eqNullSafe(chosen["_chosen"]), "left_semi").select(*df.columns)

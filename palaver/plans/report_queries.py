@@ -196,7 +196,7 @@ def display_projection(spark, folder):
 def dedup_first_seen(spark, folder):
     """The first comment of each distinct text."""
     rows = bindings.comments(spark, folder).select("message", "comment_id", "ingestion_time", "doc_id")
-    return records.first_seen(rows, ["message"], ["ingestion_time", "doc_id"])
+    return records.first_texts(rows, "message", ["ingestion_time", "doc_id"])
 
 
 @query

@@ -62,14 +62,6 @@ def json_envelope_roundtrip(spark, folder):
     return records.decode_envelope(sent, schemas.RAW).drop("broker_timestamp")
 
 
-@query
-def synthetic_comments(spark, folder):
-    """The simulated feed, one comment per event."""
-    events = bindings.table(spark, folder, "events").select("event_id", "ts")
-    made = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return records.simulated_feed(events, "event_id", made)
-
-
 @query
 def text_features(spark, folder):
     built = stages.feature_stage(stages.clean_stage(bindings.texts(spark, folder)))

@@ -90,20 +90,6 @@ DISPLAY_NAMES = {
     "ingestion_time": "Date",
 }
 
-# --- fixed values: simulated feed ------------------------------------------------------------
-FEED_TEMPLATES = (
-    ("Alice", "Great post! I love this content."),
-    ("Bob", "This is terrible, you're so stupid!"),
-    ("Charlie", "Interesting perspective on the topic."),
-    ("Dave", "I hate everything about this!"),
-    ("Eve", "Beautiful work, keep it up!"),
-    ("Frank", "You're an idiot, this is garbage."),
-    ("Grace", "Thanks for sharing this information."),
-    ("Henry", "Die in a fire, moron!"),
-    ("Ivy", "Very insightful analysis."),
-    ("Jack", "This is so offensive and racist!"),
-)
-
 # --- fixed values: code point ranges dropped by the main cleaner ------------------------------
 # The last range reaches from the enclosed letters to the squared CJK signs, so it also holds all
 # CJK, kana and hangul text. EMOJI_RANGES_STRICT leaves that text alone and adds the newer blocks.
