@@ -133,6 +133,8 @@ SQL = {
     "stopword_filter": f"""SELECT 'c' || CAST(doc_id AS VARCHAR) AS comment_id,
         array_to_string({words('text')}, ' ') AS message FROM documents""",
     "label_prevalence": f"WITH {LABELLED}, {MARKED} {prevalence('all', 'TRUE')} UNION ALL {prevalence('used', 'toxic >= 0')}",
+    "label_split": """SELECT doc_id, ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT % 5 = 0 AS held_out
+        FROM documents JOIN labels USING (doc_id)""",
     "labelled_comments": f"WITH {LABELLED} SELECT doc_id, comment_text, toxic, low_quality FROM labelled",
     "valid_labels": f"WITH {LABELLED}, {MARKED} SELECT doc_id, toxic, low_quality FROM marked WHERE toxic >= 0",
     "tfidf": f"""WITH n AS (SELECT COUNT(*) AS n FROM documents),

@@ -99,6 +99,10 @@ SQL = {
                {tally(POSITIVE)} AS positive_count, {tally(NEGATIVE)} AS negative_count,
                {rounded('AVG(toxicity_score)', 3)} AS avg_toxicity, {rounded('AVG(sentiment_score)', 3)} AS avg_sentiment
         FROM scored WHERE {last('7 DAY')} GROUP BY 1 ORDER BY 1 DESC"""),
+    "stored_results": with_scored("""SELECT comment_id, CAST(ingestion_time AS DATE) AS ingestion_day, toxicity_score, label, sentiment,
+        ingestion_time FROM scored"""),
+    "recent_export": with_scored(
+        f"{FILTERED} WHERE sentiment IN ('negative', 'neutral') AND is_toxic {LIST_ORDER} LIMIT 50"),
     "hourly_activity": with_scored(f"""
         SELECT CAST(date_trunc('hour', ingestion_time) AS TIMESTAMP) AS hour, COUNT(*) AS comment_count,
                {tally('is_toxic')} AS toxic_count, {rounded('AVG(toxicity_score)', 4)} AS avg_toxicity,

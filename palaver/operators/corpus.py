@@ -54,3 +54,9 @@ def split_columns(df: DataFrame, text: str = "comment_text", drop=("id",)) -> tu
     """Text frame and label frame."""
     rest = df.drop(*drop)
     return rest.select(text), rest.drop(text)
+
+
+def held_out(key: str, parts: int = 5) -> Column:
+    """One part in ``parts`` of the rows, by the MD5 of their key: the same in every run and engine."""
+    digits = F.substring(F.md5(F.col(key).cast("string")), 1, 8)
+    return F.conv(digits, 16, 10).cast("bigint") % parts == 0

@@ -31,15 +31,21 @@ def upsert(existing: DataFrame, batch: DataFrame, key: str = "comment_id", order
            update: tuple[str, ...] = SCORE_COLUMNS) -> DataFrame:
     """Insert new keys; for a known key overwrite only the ``update`` columns.
 
-    Rows of the batch follow all stored rows. Within the batch ``order`` (columns of both frames)
-    decides. Replaying a batch changes nothing.
+    ``existing`` has one row per key. Within the batch ``order`` (columns of the batch) decides.
+    Replaying a batch changes nothing. Of the batch only the narrow last updates meet the stored
+    rows, in one join that moves no stored row where the batch's keys fit a broadcast, or where the
+    table is bucketed by its key; no stored text is sorted or aggregated.
     """
     order = ["ingestion_time"] if order is None else order
-    renamed = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
-    names = ["_turn", *[f"_o{i}" for i in range(len(order))]]
-    old = existing.select("*", F.lit(0).alias("_turn"), *renamed)
-    new = batch.select("*", F.lit(1).alias("_turn"), *renamed)
-    return latest_wins(old.unionByName(new), key, names, update)
+    names = [f"_o{i}" for i in range(len(order))]
+    changed = [c for c in existing.columns if c in update]
+    versions = batch.select("*", *[F.col(c).alias(n) for c, n in zip(order, names)])
+    last = versions.groupBy(key).agg(F.max_by(F.struct(*changed), F.struct(*names)).alias("_last"))
+    known = existing.join(last, key, "left").select(*[
+        F.when(F.col("_last").isNotNull(), F.col("_last")[c]).otherwise(F.col(c)).alias(c) if c in changed else F.col(c)
+        for c in existing.columns])
+    new = latest_wins(versions.join(existing.select(key), key, "left_anti"), key, names, update)
+    return known.unionByName(new)
 
 
 def expired(as_of: Column, keep_days: int, ts: str = "timestamp") -> Column:

@@ -21,15 +21,18 @@ def with_terms(df: DataFrame, text: str, out: str = "terms", stopwords=values.ST
     return computed_once(df, {out: F.array_distinct(F.expr(words))})
 
 
-def _normal(terms) -> list[str]:
-    return [t.lower() for t in terms]
+def _normal(terms, stopwords=values.STOPWORDS) -> list[str]:
+    """Query terms as they stand in texts: lower-case, stopwords ignored."""
+    return [t.lower() for t in terms if t.lower() not in stopwords]
 
 
 def matches(terms, all_of=(), any_of=(), none_of=()) -> Column:
-    """AND, OR and NOT of terms over a term array."""
-    terms = as_column(terms)
+    """AND, OR and NOT of terms over a term array. A query that wants stopwords only matches nothing."""
+    terms, wanted = as_column(terms), [*_normal(all_of), *_normal(any_of)]
+    if (all_of or any_of) and not wanted:
+        return F.lit(False)
     tests = [F.array_contains(terms, t) for t in _normal(all_of)]
-    if any_of:
+    if _normal(any_of):
         tests.append(F.arrays_overlap(terms, F.array(*[F.lit(t) for t in _normal(any_of)])))
     tests += [~F.array_contains(terms, t) for t in _normal(none_of)]
     return reduce(lambda a, b: a & b, tests, F.lit(True))
@@ -44,7 +47,7 @@ def search(df: DataFrame, text: str, all_of=(), any_of=(), none_of=()) -> DataFr
     lowered = F.lower(text)
     for term in _normal(all_of):
         df = df.filter(lowered.contains(term))
-    if any_of:
+    if _normal(any_of):
         df = df.filter(reduce(lambda a, b: a | b, [lowered.contains(t) for t in _normal(any_of)]))
     return with_terms(df, text, "_terms").filter(matches("_terms", all_of, any_of, none_of)).drop("_terms")
 
@@ -57,20 +60,19 @@ def posting_table(df: DataFrame, text: str, key: str = "comment_id") -> DataFram
 def write_postings(postings: DataFrame, path: str, buckets: int = 256) -> None:
     """Store postings by term hash, so a query reads only the folders of its terms.
 
-    Rows are spread by term and a salt: the list of a very common term is written by many tasks.
+    Rows are dealt by ranges of bucket, term and key: a list takes as many tasks as its length needs.
     """
-    salted = postings.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
-    spread = salted.repartition("bucket", F.pmod(F.xxhash64(*postings.columns), F.lit(8)))
+    placed = postings.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
+    spread = placed.repartitionByRange("bucket", "term", *[c for c in postings.columns if c != "term"])
     spread.sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def read_postings(spark, path: str, terms, buckets: int = 256) -> DataFrame:
     """The stored lists of the given terms; folders of other buckets are not read."""
     wanted = _normal(terms)
-    numbers = spark.createDataFrame([(t,) for t in wanted], "term string").select(
-        F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int").alias("b"))
-    folders = sorted({row.b for row in numbers.collect()})
-    return spark.read.parquet(path).filter(F.col("bucket").isin(folders) & F.col("term").isin(wanted)).drop("bucket")
+    # constants, which the optimiser folds: the folders are known when the files are listed
+    folders = [F.pmod(F.xxhash64(F.lit(t)), F.lit(buckets)).cast("int") for t in wanted]
+    return spark.read.parquet(path).filter(F.col("bucket").isin(*folders) & F.col("term").isin(wanted)).drop("bucket")
 
 
 def search_postings(postings: DataFrame, key: str, all_of=(), any_of=(), none_of=()) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from palaver import session
 from palaver.functions.scalars import moment
 from palaver.plans import stages
-from palaver.sources.files import read_table
+from palaver.sources import files
 
 AS_OF = "2024-01-10 00:00:00"
 
@@ -19,7 +19,7 @@ def as_of():
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return read_table(spark, os.path.join(folder, f"{name}.parquet"))
+    return files.read_table(spark, os.path.join(folder, f"{name}.parquet"))
 
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,18 +61,41 @@ def _as_result(df: DataFrame) -> DataFrame:
     return renamed.select(*RESULT, "doc_id", "lang", "toxic_word_count", "lexical_score")
 
 
-def results(spark: SparkSession, folder: str) -> DataFrame:
-    """The result table over all comments.
+_STORED: dict[tuple[str, str, str], str] = {}
 
-    Texts are scored where they are read and joined with their events afterwards, so a report that
-    needs no text shuffles a few numbers per comment instead of the text.
+
+def stored(spark: SparkSession, folder: str, name: str, write) -> str:
+    """Path of a table derived from a folder of tables, written on its first use in this application.
+
+    ``write(path)`` is the job that a collector would run once; the reports then read what it wrote.
     """
-    return _as_result(with_events(stages.analyse(texts(spark, folder)), spark, folder))
+    key = (spark.conf.get("spark.app.id"), folder, name)
+    if key not in _STORED:
+        path = session.run_folder(spark, name)
+        write(path)
+        _STORED[key] = path
+    return _STORED[key]
 
 
-def results_by_time(spark: SparkSession, folder: str) -> DataFrame:
-    """The same table for reports over a time range: joined first, scored afterwards.
+def result_table(spark: SparkSession, folder: str) -> str:
+    """The result table of all comments by ingestion day.
 
-    A range on the times reaches the events scan, and only the comments in it are scored.
+    Texts are scored where they are read and joined with their events afterwards.
     """
-    return _as_result(stages.analyse(comments(spark, folder)))
+    def write(path: str) -> None:
+        files.write_results(_as_result(with_events(stages.analyse(texts(spark, folder)), spark, folder)), path)
+    return stored(spark, folder, "results", write)
+
+
+def results(spark: SparkSession, folder: str, span=None) -> DataFrame:
+    """The stored results; with a span (an interval) only the days that it reaches back from ``as_of``."""
+    path = result_table(spark, folder)
+    if span is None:
+        return files.read_results(spark, path)
+    return files.read_results(spark, path, as_of() - span, as_of())
+
+
+def results_until(spark: SparkSession, folder: str) -> DataFrame:
+    """What was stored before ``as_of``."""
+    rows = files.read_results(spark, result_table(spark, folder), until=as_of())
+    return rows.filter(F.col("ingestion_time") < as_of())

@@ -213,6 +213,23 @@ def model_or_rule_score(spark, folder):
     return scored.unionByName(plain).select("doc_id", "source", "toxicity_score")
 
 
+@query
+def label_split(spark, folder):
+    """Which labelled texts train the model and which test it."""
+    return labelled(spark, folder).select("doc_id", corpus.held_out("doc_id").alias("held_out"))
+
+
+@query
+def forest_report(spark, folder):
+    """Forests fitted on the training part, measured on the held-out part."""
+    rows = session.written(corpus.prepare(labelled(spark, folder)), "labelled")
+    model = forest.fit_forest(rows.filter(~corpus.held_out("doc_id")), "comment_text", LABELS, depth=10, vocabulary_size=1000)
+    found = forest.predict(model, rows.filter(corpus.held_out("doc_id")))
+    flags = forest.label_map(LABELS)
+    judged = found.select(*LABELS, *[F.element_at(flags, c).alias(f"predicted_{c}") for c in LABELS])
+    return evaluation.label_report(judged, {c: (c, f"predicted_{c}") for c in LABELS})
+
+
 # --- file formats ----------------------------------------------------------------------------
 
 

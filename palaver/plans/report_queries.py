@@ -4,10 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from palaver import session
 from palaver.functions.scalars import days, fixed, hours, moment
 from palaver.operators import keywords, listings, merge, records, rollups, search
 from palaver.plans import bindings, stages
 from palaver.plans.registry import query
+from palaver.sources import files
+
+
+@query
+def stored_results(spark, folder):
+    """The result table as it is stored, texts left out."""
+    return bindings.results(spark, folder).select("comment_id", "ingestion_day", "toxicity_score", "label", "sentiment", "ingestion_time")
+
+
+@query
+def recent_export(spark, folder):
+    """The filtered list of recent comments, to CSV and back."""
+    chosen = (["negative", "neutral"], True)
+    rows = listings.recent_filtered(_newest(spark, folder, 50, *chosen), 50, *chosen)
+    path = session.run_folder(spark, "export")
+    files.write_csv(rows, path)
+    return files.read_csv(spark, path, rows.schema)
 
 
 @query
@@ -32,22 +50,22 @@ def daily_summary_ingested(spark, folder):
 
 @query
 def daily_summary_recent(spark, folder):
-    return rollups.daily_summary_recent(bindings.results_by_time(spark, folder), bindings.as_of(), 7)
+    return rollups.daily_summary_recent(bindings.results(spark, folder, days(7)), bindings.as_of(), 7)
 
 
 @query
 def hourly_activity(spark, folder):
-    return rollups.hourly_activity(bindings.results_by_time(spark, folder), bindings.as_of())
+    return rollups.hourly_activity(bindings.results(spark, folder, hours(24)), bindings.as_of())
 
 
 @query
 def timeline_days(spark, folder):
-    return rollups.timeline(bindings.results_by_time(spark, folder), bindings.as_of(), days(7))
+    return rollups.timeline(bindings.results(spark, folder, days(7)), bindings.as_of(), days(7))
 
 
 @query
 def timeline_hours(spark, folder):
-    return rollups.timeline(bindings.results_by_time(spark, folder), bindings.as_of(), hours(48))
+    return rollups.timeline(bindings.results(spark, folder, hours(48)), bindings.as_of(), hours(48))
 
 
 @query
@@ -72,7 +90,7 @@ def sentiment_distribution(spark, folder):
 
 @query
 def realtime_stats(spark, folder):
-    return rollups.realtime_statistics(bindings.results_by_time(spark, folder), bindings.as_of(), 60)
+    return rollups.realtime_statistics(bindings.results(spark, folder, hours(1)), bindings.as_of(), 60)
 
 
 @query
@@ -149,8 +167,11 @@ def posting_table(spark, folder):
 
 @query
 def keyword_search_postings(spark, folder):
-    """The same search answered by the posting table alone."""
-    postings = search.posting_table(bindings.texts(spark, folder), "message")
+    """The same search answered by the stored postings alone."""
+    def write(path):
+        search.write_postings(search.posting_table(bindings.texts(spark, folder), "message"), path)
+    path = bindings.stored(spark, folder, "postings", write)
+    postings = search.read_postings(spark, path, [*WANTED, *UNWANTED])
     return search.search_postings(postings, "comment_id", any_of=WANTED, none_of=UNWANTED)
 
 
@@ -158,8 +179,8 @@ def keyword_search_postings(spark, folder):
 
 
 def _newest(spark, folder, limit, sentiments=None, toxic_only=False):
-    scored = bindings.results(spark, folder).drop("comment", "cleaned_comment")
-    texts = bindings.texts(spark, folder).select("comment_id", F.col("message").alias("comment"))
+    rows = bindings.results(spark, folder)
+    scored, texts = rows.drop("comment", "cleaned_comment"), rows.select("comment_id", "comment")
     return listings.newest_with_text(scored, texts, limit, sentiments, toxic_only)
 
 
@@ -213,8 +234,7 @@ def union_pages(spark, folder):
 
 def _merge_inputs(spark, folder):
     """Stored rows up to a moment; a batch with two later versions of every comment."""
-    stored = bindings.results_by_time(spark, folder).filter(F.col("ingestion_time") < bindings.as_of())
-    stored = stored.select(*bindings.RESULT)
+    stored = bindings.results_until(spark, folder).select(*bindings.RESULT)
     raw = bindings.comments(spark, folder).withColumnRenamed("username", "user")
     quick = stages.quick_record(raw, F.col("created_time") + hours(1))
     minimal = stages.minimal_record(raw, F.col("created_time") + hours(2))

@@ -7,7 +7,8 @@ from pyspark.sql.types import StructType
 
 from palaver import schemas
 
-CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"', "quote": '"'}
+TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"', "quote": '"', **TIMES}
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -15,6 +16,21 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return reader.parquet(path)
 
 
+def write_results(df: DataFrame, path: str, ts: str = "ingestion_time", mode: str = "append") -> None:
+    """Append scored rows to the result table, in a folder per ingestion day."""
+    df.withColumn("ingestion_day", F.to_date(ts)).write.mode(mode).partitionBy("ingestion_day").parquet(path)
+
+
+def read_results(spark: SparkSession, path: str, since=None, until=None) -> DataFrame:
+    """The result table, or only its folders of the days from ``since`` to ``until`` (columns or dates, both inclusive)."""
+    rows = spark.read.parquet(path)
+    if since is not None:
+        rows = rows.filter(F.col("ingestion_day") >= F.to_date(since))
+    if until is not None:
+        rows = rows.filter(F.col("ingestion_day") <= F.to_date(until))
+    return rows
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType = schemas.CORPUS) -> DataFrame:
     """CSV with a header, quoted line breaks and doubled quotes; the schema is always declared.
 
@@ -25,7 +41,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType = schemas.CORPUS
 
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
     """CSV without an index column; each task writes its own file."""
-    df.write.mode(mode).options(header=True, escape='"', quote='"').csv(path)
+    df.write.mode(mode).options(header=True, escape='"', quote='"', **TIMES).csv(path)
 
 
 def read_word_vectors(spark: SparkSession, path: str, dim: int = 100) -> DataFrame:

@@ -204,6 +204,12 @@ def test_merged_means_leave_out_missing_scores(spark):
     assert (merged["count"], merged.sentiment_avg, merged.toxicity_avg) == (3, pytest.approx(0.5), 0.5)
 
 
+def test_search_ignores_stopwords_in_the_query(spark):
+    df = spark.createDataFrame([("1", "the cat sat"), ("2", "the dog")], "comment_id string, t string")
+    assert [r.comment_id for r in search.search(df, "t", all_of=("the", "cat")).collect()] == ["1"]
+    assert search.search(df, "t", any_of=("the",)).count() == 0
+
+
 def test_search_ways_agree(spark, tmp_path):
     rng = random.Random(3)
     words = ["kill", "bill", "Mill", "the", "till"]
