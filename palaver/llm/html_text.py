@@ -25,6 +25,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
@@ -215,18 +216,20 @@ def block_text(page: Page, kept: list[bool]) -> str:
 def main_texts(df: DataFrame, trees: list, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """``(page_id, url, text, n_chars)`` for every page."""
 
-    def run(batches):
-        for batch in batches:
-            pages = [read_page(h) for h in batch["html"]]
+    def run(incoming):
+        for batch in incoming:
+            pages = [read_page(h) for h in batch.column(2).to_pylist()]
             rows = [features(p) for p in pages]
             odds = log_odds(trees, np.concatenate(rows)) if rows else np.zeros(0)
             ends = np.cumsum([len(r) for r in rows])
             texts = [block_text(p, decode(p, odds[e - len(r):e])) for p, r, e in zip(pages, rows, ends)]
-            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+            yield pa.RecordBatch.from_arrays(
+                batch.columns[:2] + [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                names=["page_id", "url", "text", "n_chars"])
 
     narrow = df.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
     kind = df.schema[page_id].dataType.simpleString()
-    return narrow.mapInPandas(run, f"page_id {kind}, url string, text string, n_chars long")
+    return narrow.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
 
 
 def extract(df: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

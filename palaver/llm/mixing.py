@@ -98,7 +98,7 @@ def round_block(rows: pd.DataFrame) -> pd.DataFrame:
     extra = pd.array(chances.round().astype("int64"), dtype="Int64")
     if held >= 0:
         extra[held] = pd.NA
-    return rows.assign(chance=chances, extra=extra)[["node", "source_no", "size", "chance", "extra"]]
+    return rows.assign(node=rows["node"].astype(object), chance=chances, extra=extra)[["node", "source_no", "size", "chance", "extra"]]
 
 
 def rounded(rows: DataFrame) -> DataFrame:
