@@ -101,7 +101,17 @@ def test_abbreviation_table_is_a_parameter(spark):
     df = spark.createDataFrame([(["u", "BRB", "you"],)], "w array<string>")
     out = df.select(text.expand_abbreviations("w").alias("d"),
                     text.expand_abbreviations("w", [("u", "you all")]).alias("own")).first()
-    assert (out.d, out.own) == ("u be right back you", "you all BRB you")
+    assert (out.d, out.own) == ("you be right back you", "you all BRB you")
+
+
+def test_abbreviations_of_raw_tokens(spark):
+    """Golden rows, typed here and not taken from the table."""
+    golden = {"w8": "wait", "GR8": "great", "u": "you", "b4": "before", "l8r": "later", "rt": "retweet", "$": " dollar ",
+              "tl;dr": "too long i did not read", "ig": "ig", "w/": "with", "Encl.": "enclosed", "zzz": "sleeping bored and tired"}
+    df = spark.createDataFrame([(w, [w]) for w in golden], "word string, w array<string>")
+    found = {r.word: r.d for r in df.select("word", text.expand_abbreviations("w").alias("d")).collect()}
+    assert found == golden
+    assert len(values.ABBREVIATIONS) == len(dict(values.ABBREVIATIONS)) == 227
 
 
 def python_clean(message: str) -> str:
