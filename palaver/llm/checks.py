@@ -1,20 +1,55 @@
-"""DuckDB SQL of the queries that SQL can express."""
+"""DuckDB SQL of the queries that SQL can express: sharding, repeated windows, search."""
 
 from __future__ import annotations
 
-DRAW = "(('0x' || substr(md5({key} || ':{shard}'), 1, 13))::BIGINT + 0.5) / 4503599627370496.0"
-SHARDS = 24
+DRAW = "(('0x' || substr(md5(key || ':{shard}'), 1, 13))::BIGINT + 0.5) / 4503599627370496.0"
+CRC_POLYNOMIAL = 0xEDB88320
 
 
 def rendezvous(shards: int) -> str:
-    scores = [f"-1.0 / ln({DRAW.format(key='key', shard=i)})" for i in range(shards + 1)]
+    """One score per shard and row, and CRC-32 of the text's bytes by a table of 256 steps."""
+    scores = [f"-1.0 / ln({DRAW.format(shard=i)})" for i in range(shards + 1)]
+    step = f"CASE WHEN c & 1 = 1 THEN xor(c >> 1, {CRC_POLYNOMIAL}) ELSE c >> 1 END"
     return f"""
-    WITH keyed AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(doc_id::VARCHAR, 'null') AS key FROM documents),
-    sized AS (SELECT doc_id, octet_length(encode(text)) + 8 AS size, text, key FROM keyed),
-    drawn AS (SELECT *, [{', '.join(scores[:shards])}] AS s, {scores[shards]} AS grown FROM sized),
-    won AS (SELECT doc_id, size, text, list_position(s, list_max(s)) - 1 AS shard, list_max(s) AS best, grown FROM drawn)
-    SELECT doc_id, size::BIGINT AS size, 'key' AS law, shard::INTEGER AS shard,
-           CASE WHEN grown > best THEN {shards} ELSE shard END::INTEGER AS grown_shard FROM won"""
+    WITH crc_table AS (SELECT list(list_reduce(list_prepend(b, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: {step}) ORDER BY b) AS t
+        FROM (SELECT unnest(generate_series(0, 255)) AS b)),
+    keyed AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS data, coalesce(doc_id::VARCHAR, 'null') AS key FROM documents),
+    crc AS (SELECT doc_id, key, length(data) // 2 + 8 AS size, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+        list_transform(regexp_extract_all(data, '..'), lambda h: ('0x' || h)::BIGINT)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS text_crc32 FROM keyed, crc_table),
+    drawn AS (SELECT *, [{', '.join(scores[:shards])}] AS s, {scores[shards]} AS grown FROM crc),
+    won AS (SELECT doc_id, size, text_crc32, list_position(s, list_max(s)) - 1 AS shard,
+        grown > list_max(s) AS moves, substr(md5(key || '/' || size || '/' || text_crc32), 1, 3) AS cell FROM drawn)
+    SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard::INTEGER AS shard,
+           row_number() OVER (PARTITION BY shard ORDER BY cell, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot,
+           CASE WHEN moves THEN {shards} ELSE shard END::INTEGER AS grown_shard FROM won"""
 
 
-SQL: dict[str, str] = {}
+def repeated_windows(size: int) -> str:
+    return rf"""
+    WITH texts AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    windows AS MATERIALIZED (SELECT r, i, array_to_string(ws[i:i + {size - 1}], ' ') AS k
+        FROM (SELECT r, ws, unnest(generate_series(1, len(ws) - {size - 1})) AS i FROM texts)),
+    again AS (SELECT r, i FROM windows WHERE k IN (SELECT k FROM windows GROUP BY k HAVING count(*) > 1)),
+    gone AS (SELECT DISTINCT r, unnest(generate_series(i, i + {size - 1})) AS p FROM again),
+    placed AS (SELECT r, unnest(ws) AS word, unnest(generate_series(1, len(ws))) AS p FROM texts),
+    kept AS (SELECT r, string_agg(word, ' ' ORDER BY p) AS words, count(*) AS n FROM placed ANTI JOIN gone USING (r, p) GROUP BY r)
+    SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
+           sha256(coalesce(words, '')) AS kept_sha256 FROM texts LEFT JOIN kept USING (r)"""
+
+
+def top_k(k: int, every: int) -> str:
+    return f"""
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2]))::BIGINT AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % {every} = 0)
+    SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= {k}"""
+
+
+SQL: dict[str, str] = {
+    "op1_rendezvous_shards": rendezvous(24),
+    "op8_repeated_windows": repeated_windows(35),
+    "op9_maxscore": top_k(20, 20),
+}
