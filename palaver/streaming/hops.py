@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from palaver import schemas
@@ -53,19 +53,40 @@ def continuous(writer: DataStreamWriter, every: str = "5 seconds") -> StreamingQ
     return writer.trigger(processingTime=every).start()
 
 
-def progress_metrics(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Counters of a stream's recent triggers as ``(metric_name, metric_value, recorded_at)`` rows.
+class ProgressLog(StreamingQueryListener):
+    """Counters of every trigger of the streams that run while it listens, one small record each.
 
-    The progress reports hold one small record per trigger, whatever the size of the data.
+    ``spark.streams.addListener(log)`` starts it. A stream's own report list keeps the last triggers only.
     """
-    rows = []
-    for report in query.recentProgress:
-        at = datetime.fromisoformat(report["timestamp"].replace("Z", "+00:00")).replace(tzinfo=None)
-        dropped = sum(state["numRowsDroppedByWatermark"] for state in report["stateOperators"])
-        rows.append(("input_rows", float(report["numInputRows"]), at))
-        rows.append(("trigger_milliseconds", float(report["durationMs"].get("triggerExecution", 0)), at))
-        rows.append(("late_rows_dropped", float(dropped), at))
-    return spark.createDataFrame(rows, schemas.METRICS)
+
+    def __init__(self) -> None:
+        self.rows: list[tuple[str, float, datetime]] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        report = event.progress
+        at = datetime.fromisoformat(report.timestamp.replace("Z", "+00:00")).replace(tzinfo=None)
+        dropped = sum(state.numRowsDroppedByWatermark for state in report.stateOperators)
+        self.rows += [("input_rows", float(report.numInputRows), at),
+                      ("trigger_milliseconds", float(report.durationMs.get("triggerExecution", 0)), at),
+                      ("late_rows_dropped", float(dropped), at)]
+
+    def onQueryTerminated(self, event) -> None:
+        if event.exception:
+            self.rows.append(("errors", 1.0, datetime.now(timezone.utc).replace(tzinfo=None)))
+
+    def metrics(self, spark: SparkSession) -> DataFrame:
+        """``(metric_name, metric_value, recorded_at)`` rows, for example to append to a metrics table."""
+        return spark.createDataFrame(list(self.rows), schemas.METRICS)
+
+
+def append_metrics(metrics: DataFrame, path: str) -> None:
+    metrics.write.mode("append").parquet(path)
 
 
 def stop_all(spark: SparkSession) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -139,13 +140,21 @@ def test_window_updates_and_late_rows(spark, tmp_path):
         df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = hops.read_files_stream(spark, str(tmp_path / "in"), df.schema, files_per_trigger=1)
     windows = stateful.windowed_statistics(stream, "ts", "5 minutes")
-    query = hops.drained(sinks.to_epochs(windows, str(tmp_path / "w"), str(tmp_path / "cp"), mode="update"))
+    log = hops.ProgressLog()
+    spark.streams.addListener(log)
+    hops.drained(sinks.to_epochs(windows, str(tmp_path / "w"), str(tmp_path / "cp"), mode="update"))
     rest = tuple(c for c in windows.columns if c != "period_start")
     last = sinks.current_rows(spark, str(tmp_path / "w"), windows.schema, "period_start", ("period_start",), rest)
     found = {r.period_start: (r.total_comments, r.toxic_count) for r in last.collect()}
     assert found == {at(0): (3, 2), at(60): (2, 0)}  # minute 4 came an hour late
+    for _ in range(100):  # reports come on a thread of their own
+        if sum(v for k, v, _ in log.rows if k == "input_rows") == 6:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(log)
+    hops.append_metrics(log.metrics(spark), str(tmp_path / "metrics"))
     metrics = {}
-    for row in hops.progress_metrics(spark, query).collect():
+    for row in spark.read.parquet(str(tmp_path / "metrics")).collect():
         metrics[row.metric_name] = metrics.get(row.metric_name, 0) + row.metric_value
     assert (metrics["input_rows"], metrics["late_rows_dropped"]) == (6.0, 1.0)
 
