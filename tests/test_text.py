@@ -21,13 +21,13 @@ GOLDEN = [
     ("stupid idiot !!!", "stupid idiot !!!", 0.55),
     ("This is a comment!", "this is a comment!", 0.0),
 ]
-FEED = [
-    ("Great post! I love this content.", -1 / 3, 0, 2, 0.0, False, "positive", 0.5 + 1 / 3),
-    ("This is terrible, you're so stupid!", 0.0, 0, 0, 0.0, False, "neutral", 0.5),
-    ("I hate everything about this!", 0.4, 1, 0, 0.25, False, "negative", 0.1),
-    ("You're an idiot, this is garbage.", 0.0, 0, 0, 0.0, False, "neutral", 0.5),
-    ("Die in a fire, moron!", 0.4, 1, 0, 0.5, True, "negative", 0.1),
-    ("This is so offensive and racist!", 1 / 3, 1, 0, 0.0, False, "negative", 0.5 - 1 / 3),
+COUNTED = [
+    ("great day and I love tea", -1 / 3, 0, 2, 0.0, False, "positive", 0.5 + 1 / 3),
+    ("What a stupid, stupid! story", 0.0, 0, 0, 0.0, False, "neutral", 0.5),
+    ("we hate rain in June", 0.4, 1, 0, 0.25, False, "negative", 0.1),
+    ("Only an idiot. says garbage.", 0.0, 0, 0, 0.0, False, "neutral", 0.5),
+    ("die on a hill, friend", 0.4, 1, 0, 0.5, True, "negative", 0.1),
+    ("an offensive smell in the kitchen", 1 / 3, 1, 0, 0.0, False, "negative", 0.5 - 1 / 3),
 ]
 
 
@@ -44,9 +44,9 @@ def test_rows_without_text_are_dropped(spark):
     assert [r.cleaned_message for r in strict] == ["中文", "kept"]
 
 
-def test_feed_templates(spark):
-    df = spark.createDataFrame([(m,) for m, *_ in FEED], "message string")
-    for row, expected in zip(stages.analyse(df).collect(), FEED):
+def test_counted_words_and_scores(spark):
+    df = spark.createDataFrame([(m,) for m, *_ in COUNTED], "message string")
+    for row, expected in zip(stages.analyse(df).collect(), COUNTED):
         _, lexical, toxic, positive, score, flagged, mood, mood_score = expected
         assert row.lexical_score == pytest.approx(lexical)
         assert (row.toxic_word_count, row.positive_word_count) == (toxic, positive)
@@ -55,7 +55,7 @@ def test_feed_templates(spark):
 
 
 def test_threshold_is_a_parameter(spark):
-    df = spark.createDataFrame([("I hate everything about this!",)], "message string")
+    df = spark.createDataFrame([("we hate rain in June",)], "message string")
     assert stages.analyse(df, threshold=0.25).first().label == "toxique"
     assert stages.analyse(df).first().label == "non_toxique"
 
