@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-HEAD_RANKS = 4096
+HEAD_RANKS = 32_768
 LONGEST_HEAD_KEY = 256
 
 
@@ -51,19 +51,13 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 def ranked_lookup(big: DataFrame, table: DataFrame, key: str, rank: str, how: str = "inner") -> DataFrame:
     """Join a large frame with a lookup table ranked 1.. by falling frequency of its string key.
 
-    The first ``HEAD_RANKS`` keys are broadcast, so the hot ones never meet in one task; their number
-    and the length of their keys bound that side. All other rows go on to one shuffled join; rows
-    found in the head are dealt over it by their own hash. Every row of ``big`` is computed once.
+    The first ``HEAD_RANKS`` keys are broadcast, so the hot ones never meet in one task and never
+    move; their number and the length of their keys bound that side. Rows of rarer keys are joined by
+    shuffle. The same plan holds at every size; ``big`` is scanned by both parts, so it should be
+    cheap to compute or written.
     """
-    columns = [c for c in table.columns if c != key]
     in_head = (F.col(rank) <= HEAD_RANKS) & (F.octet_length(key) <= LONGEST_HEAD_KEY)
-    values = F.struct(*columns)
-    head = F.broadcast(table.filter(in_head).select(key, values.alias("_head")))
-    tail = table.filter(~in_head).select(F.col(key).alias("_key"), values.alias("_tail"))
-    own = F.when(F.col("_head").isNull(), F.col(key)).otherwise(
-        F.concat(F.lit("\u0000"), F.xxhash64(*big.columns).cast("string")))
-    found = big.join(head, key, "left").withColumn("_key", own).join(tail, "_key", "left").withColumn(
-        "_found", F.coalesce("_head", "_tail"))
-    if how == "inner":
-        found = found.filter("_found IS NOT NULL")
-    return found.select(*big.columns, *[F.col("_found")[c].alias(c) for c in columns])
+    head, tail = table.filter(in_head), table.filter(~in_head)
+    found = big.join(F.broadcast(head), key)
+    rest = big.join(F.broadcast(head.select(key)), key, "left_anti").join(tail, key, how)
+    return found.unionByName(rest)

@@ -53,3 +53,13 @@ def test_model_queries_cover_every_labelled_text(name, spark, sf_dir):
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["realtime_stats", "hourly_activity", "timeline_days", "timeline_hours", "daily_summary_recent"])
+def test_range_reports_read_only_their_days_and_no_text(name, spark, sf_dir, capsys):
+    result = QUERIES[name](spark, sf_dir)
+    capsys.readouterr()
+    result.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(ingestion_day" in plan
+    assert "comment:string" not in plan and "documents.parquet" not in plan and "Join" not in plan
