@@ -5,9 +5,10 @@ from the start. Each node has ``COORDINATES`` minwise tokens. A tree branches th
 far selects a coordinate, and the node goes to the branch of its token there. Similar sets agree in
 a token with odds equal to their similarity, so they tend to stay together while others part. A
 branch of at most ``LEAF`` nodes is a leaf, whose members are compared exhaustively by their tokens;
-larger ones branch again, ``DEPTH`` times at most. What is still large then consists of near copies
-that no token parts: it is dealt at random to leaves, anew in each tree. ``TREES`` independent trees
-are united: a pair of similarity 0.85 shares the leaf of a tree with odds of 0.85 per branching.
+larger ones branch again, up to ``DEPTH`` levels. The members of a large branch are also dealt at
+random to leaves, anew on each level of each tree: near copies by the thousand, which tokens part
+slowly, find each other there. ``TREES`` independent trees are united: a pair of similarity 0.85
+shares the leaf of a tree with odds of 0.85 per branching.
 
 Nodes whose tokens agree enough form candidate clusters. Links are then confirmed on the full sets
 with exact counts, inside each cluster. A cluster whose sets are too many for one task is dealt to
@@ -22,6 +23,7 @@ the same component. An empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -34,7 +36,7 @@ from palaver.llm.words import Slice, WordHasher, mixed, run_lengths, slices
 from palaver.session import written
 
 SHINGLE, PERCENT = 5, 85
-COORDINATES, TREES, DEPTH, LEAF = 96, 12, 8, 64
+COORDINATES, TREES, DEPTH, LEAF = 96, 12, 4, 64
 AGREE = 0.67  # of the tokens, five standard deviations below the similarity asked for
 CHUNK_SHINGLES = 1 << 20
 SEEDS = mixed(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64))
@@ -91,53 +93,47 @@ def sketch(incoming):
 
 
 def paths(tokens: np.ndarray, tree: np.ndarray, depth: int) -> np.ndarray:
-    """Keys of the branches at depths 1 to ``depth``, one column each, for rows with their tree."""
-    key = mixed(tree.astype(np.uint64) + np.uint64(1000))
-    rows, out = np.arange(len(tokens)), np.empty((len(tokens), depth), np.int64)
+    """Keys of the branches at a depth, for rows with their tree. The path so far chooses the next token."""
+    key, rows = mixed(tree.astype(np.uint64) + np.uint64(1000)), np.arange(len(tokens))
     for d in range(depth):
         # the first choice depends on the tree alone and differs between trees
         at = (tree * 7 + 3) % COORDINATES if d == 0 else (mixed(key) % np.uint64(COORDINATES)).astype(np.int64)
         key = mixed(key * np.uint64(31) + (at.astype(np.uint64) << np.uint64(32)) + tokens[rows, at])
-        out[:, d] = key.view(np.int64)
-    return out
+    return key.view(np.int64)
 
 
-def first_branches(incoming):
-    for batch in incoming:
-        tokens = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, COORDINATES)
-        ids = batch.column(0).to_numpy()
-        for tree in range(TREES):
-            trees = np.full(len(ids), tree)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids), pa.array(trees, pa.int64()), pa.array(paths(tokens, trees, 1)[:, 0])], names=["id", "tree", "branch"])
+def branches(depth: int, every_tree: bool):
+    """Mapper: ``(id, tree, branch)`` at one depth, from ``(id, tokens)`` in every tree or ``(id, tokens, tree)``."""
 
+    def run(incoming):
+        for batch in incoming:
+            ids = batch.column(0).to_numpy()
+            tokens = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, COORDINATES)
+            chosen = [np.full(len(ids), t) for t in range(TREES)] if every_tree else [batch.column(2).to_numpy()]
+            for tree in chosen:
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(tree, pa.int64()), pa.array(paths(tokens, tree, depth))],
+                                                 names=["id", "tree", "branch"])
 
-def deep_branches(incoming):
-    for batch in incoming:
-        tokens = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(-1, COORDINATES)
-        ids, trees = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        keys = paths(tokens, trees, DEPTH)
-        for d in range(1, DEPTH):
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(trees), pa.array(np.full(len(ids), d + 1)), pa.array(keys[:, d])],
-                                             names=["id", "tree", "depth", "branch"])
+    return run
 
 
 def leaves(nodes: DataFrame) -> DataFrame:
-    """``(id, leaf)`` for the nodes that share a leaf, in every tree."""
-    rows = nodes.select("id", "tokens").mapInArrow(first_branches, "id long, tree long, branch long")
-    shared = rows.groupBy("branch").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    first = written(rows.join(shared, "branch"), "branches")
-    small = first.filter(f"n <= {LEAF}").select("id", F.col("branch").alias("leaf"))
-    large = first.filter(f"n > {LEAF}").select("id", "tree").join(nodes.select("id", "tokens"), "id")
-    deep = written(large.select("id", "tree", "tokens").mapInArrow(deep_branches, "id long, tree long, depth long, branch long"), "branches")
-    sizes = deep.groupBy("branch").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    sized = deep.join(sizes, "branch", "left").withColumn("n", F.coalesce("n", F.lit(1)))
-    ends = sized.filter(f"n <= {LEAF} OR depth = {DEPTH}").groupBy("id", "tree").agg(
-        F.min(F.struct("depth", "branch", "n")).alias("end")).select("id", "tree", "end.*")
-    # what no token parts is dealt to leaves of about three quarters of the largest size
-    parts = F.ceil(F.col("n") / (LEAF * 3 // 4))
-    part = F.when(F.col("n") > LEAF, F.pmod(F.xxhash64("id", "tree"), parts)).otherwise(0)
-    return small.unionByName(ends.filter("n > 1").select("id", F.xxhash64("branch", part).alias("leaf")))
+    """``(id, leaf)`` for the nodes that share a leaf, in every tree. Only what is still too large branches on."""
+    rows = nodes.select("id", "tokens").mapInArrow(branches(1, True), "id long, tree long, branch long")
+    found = []
+    for depth in range(1, DEPTH + 1):
+        shared = rows.groupBy("branch").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        sized = written(rows.join(shared, "branch"), "branches")
+        found.append(sized.filter(f"n <= {LEAF}").select("id", F.col("branch").alias("leaf")))
+        large = sized.filter(f"n > {LEAF}")
+        if large.isEmpty():
+            break
+        # members of a large branch also meet at random, in leaves of about three quarters of the largest size
+        part = F.pmod(F.xxhash64("id", "tree", F.lit(depth)), F.ceil(F.col("n") / (LEAF * 3 // 4)))
+        found.append(large.select("id", F.xxhash64("branch", part).alias("leaf")))
+        rows = nodes.select("id", "tokens").join(large.select("id", "tree"), "id").mapInArrow(
+            branches(depth + 1, False), "id long, tree long, branch long")
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def compare_leaves(incoming):
@@ -301,7 +297,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     clusters = candidate_clusters(nodes)
     wanted = written(clusters.join(nodes.select("id", "doc_id", "text_md5", "n_shingles"), "id"), "wanted")
     same = narrow["text_md5"].eqNullSafe(wanted["text_md5"]) & narrow["doc_id"].eqNullSafe(wanted["doc_id"])
-    texts = narrow.join(wanted, same).select(wanted["id"], "text")
+    # merged at every size: whether the few candidates would fit a broadcast depends on the input
+    texts = narrow.join(wanted.hint("merge"), same).select(wanted["id"], "text")
     sets = written(texts.mapInArrow(full_sets, "id long, shingles binary").dropDuplicates(["id"]).join(
         wanted.select("id", F.col("root").alias("cluster"), "n_shingles"), "id"), "sets")
     roots = nodes.select("id", "digest", "doc_id").join(confirmed(sets), "id", "left").withColumn(
