@@ -12,8 +12,8 @@ The symbols' probability is exact: the scaled forward recursion runs over the wh
 states are trained by Baum-Welch: in each round every partition adds up the expected counts of its
 training documents, in stretches of up to ``STRETCH`` tokens, Spark sums them, and the driver gets a
 table of states by symbols, whose size does not depend on the data. Word counts cover all training
-documents. The ``LISTED`` most frequent words go to the tasks as a table (its number of rows is
-the bound); all other words find their counts by a join.
+documents. The most frequent words, ``LISTED`` at most, go to the tasks as a table; all other words
+find their counts by a join.
 
 Edge cases: a null or empty text is one end token; a null number is treated as an empty one when
 documents are held out; equal rows get equal scores; without training documents the
@@ -27,6 +27,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from palaver.session import written
@@ -40,6 +41,7 @@ FOLDS, HELD_OUT = 7, 2
 TOKENS_AT_ONCE = 1 << 19
 COUNTED_AT_ONCE = 300_000
 PSEUDO = 0.01
+ENCODED = ["row", "doc_id", "held_out", "symbols", "known", "logs", "inside", "rest"]
 
 
 def held_out(key: Column) -> Column:
@@ -59,15 +61,40 @@ def ending_column(word: Column) -> Column:
     return (F.crc32(F.substring(F.encode(word, "UTF-8"), -2, 2)) % CLASSES + HEAD).cast("int")
 
 
-def count_words(batches):
-    for batch in batches:
+def count_words(incoming):
+    """Mapper over a text column: words and their counts, summed as far as memory allows."""
+
+    def rows(counts):
+        return pa.RecordBatch.from_arrays([pa.array([w.decode() for w in counts], pa.string()), pa.array(counts.values(), pa.int64())],
+                                          names=["word", "c"])
+
+    for batch in incoming:
         counts: Counter = Counter()
-        for text in batch["text"]:
+        for text in batch.column(0).to_pylist():
             counts.update(words_of(text))
             if len(counts) > COUNTED_AT_ONCE:
-                yield pd.DataFrame({"word": [w.decode() for w in counts], "c": list(counts.values())})
+                yield rows(counts)
                 counts = Counter()
-        yield pd.DataFrame({"word": [w.decode() for w in counts], "c": list(counts.values())}).astype({"c": "int64"})
+        yield rows(counts)
+
+
+def most_frequent(counts: DataFrame, limit: int) -> list[tuple[str, int]]:
+    """The words whose count falls into the highest classes that hold ``limit`` words together, by falling count.
+
+    Classes are sixteenths of a power of two; their sizes come first, so that no task sends more
+    than its share of the list. Overlong words are left to the join, which bounds the bytes as well.
+    """
+    grade = F.floor(16 * F.log2("c"))
+    short = counts.filter(F.octet_length("word") <= LONGEST_LISTED)
+    left, lowest = limit, None
+    for r in sorted(short.groupBy(grade.alias("grade")).count().collect(), key=lambda r: -r["grade"]):
+        left -= r["count"]
+        if left < 0:
+            break
+        lowest = r["grade"]
+    if lowest is None:
+        return []
+    return sorted(((r["word"], r["c"]) for r in short.filter(grade >= lowest).collect()), key=lambda x: (-x[1], x[0].encode()))
 
 
 class Lexicon:
@@ -160,7 +187,7 @@ class Model:
         return np.concatenate((start, steps.ravel(), emits.T.ravel()))
 
     def log10_likelihood(self, sequences: list[np.ndarray]) -> np.ndarray:
-        """Exact log10 probability of each whole sequence, all of one batch at a time."""
+        """Exact log10 probability of each whole sequence."""
         order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
         lengths = np.array([len(sequences[i]) for i in order])
         starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
@@ -217,14 +244,12 @@ def scores(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` for every document."""
     docs = df.select(F.col(key).alias("doc_id"), held_out(F.col(key)).alias("held_out"), F.col(text).alias("text"))
     training = docs.filter("NOT held_out")
-    counts = written(training.select("text").mapInPandas(count_words, "word string, c long").groupBy("word").agg(
+    counts = written(training.select("text").mapInArrow(count_words, "word string, c long").groupBy("word").agg(
         F.sum("c").alias("c")), "words")
     n_train = training.count()
     n_words, n_types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     n_tokens, n_types = n_words + n_train, n_types + (n_train > 0)
-    # overlong words are looked up by the join, which bounds the bytes of the list as well
-    listed = [(r["word"], r["c"]) for r in counts.filter(F.octet_length("word") <= LONGEST_LISTED).orderBy(
-        F.col("c").desc(), "word").limit(LISTED).collect()]
+    listed = most_frequent(counts, LISTED)
     by_symbol = counts.groupBy(ending_column(F.col("word")).alias("symbol")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"))
     totals = {r["symbol"]: [r["n"], r["v"]] for r in by_symbol.collect()}
     for word, c in listed[:HEAD]:
@@ -232,15 +257,16 @@ def scores(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         own[0], own[1] = own[0] - c, own[1] - 1
     lexicon = df.sparkSession.sparkContext.broadcast((listed, totals, n_train))
 
-    def encode(batches):
+    def encode(incoming):
         own = Lexicon(*lexicon.value)
-        for batch in batches:
-            rows = [own.encode(t) for t in batch["text"]]
-            out = pd.DataFrame(rows, columns=["symbols", "known", "logs", "inside", "rest"])
-            yield batch[["row", "doc_id", "held_out"]].assign(**{c: out[c].to_numpy() for c in out})
+        for batch in incoming:
+            *columns, texts = batch.columns
+            coded = zip(*(own.encode(t) for t in texts.to_pylist())) if len(texts) else [[]] * 5
+            kinds = (pa.binary(), pa.int64(), pa.float64(), pa.float64(), pa.string())
+            yield pa.RecordBatch.from_arrays(columns + [pa.array(c, k) for c, k in zip(coded, kinds)], names=ENCODED)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    encoded = written(docs.withColumn("row", F.monotonically_increasing_id()).mapInPandas(
+    encoded = written(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text").mapInArrow(
         encode, f"row long, doc_id {kind}, held_out boolean, symbols binary, known long, logs double, inside double, rest string"),
         "encoded")
     model = train(encoded)
