@@ -234,8 +234,21 @@ def judged(stats: DataFrame, forest: list, limit: float) -> DataFrame:
 
 
 def accepted_rows(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``df`` that the rules and the forest accept."""
+    """The rows of ``df`` that the rules and the forest accept.
+
+    The fit reads narrow statistics; the rows then go through one mapper, which judges them from
+    their text and passes on those it accepts.
+    """
     narrow = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     forest, limit = fit(written_statistics(narrow), labels.select(F.col(key).alias("doc_id"), "quality"))
-    whole = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(text).alias("text"))
-    return judged(statistics(whole, keep=["_row"]), forest, limit).filter("kept").select("_row.*")
+    place = df.columns.index(text)
+
+    def run(incoming):
+        hasher = WordHasher()
+        for batch in incoming:
+            for part in slices(batch.column(place)):
+                counts = counts_of(part, hasher)
+                kept = ~fails(counts) & (score_rows(forest, features(counts)) < limit)
+                yield batch.slice(part.first, part.n).filter(pa.array(kept))
+
+    return df.mapInArrow(run, df.schema)

@@ -30,7 +30,7 @@ from palaver.llm.words import WordHasher, run_lengths, slices
 
 SIZE = 35
 BUCKET_BYTES = 2 << 20
-HASHED_AT_ONCE = 4 << 20
+HASHED_AT_ONCE = 2 << 20
 DIGEST = 16
 #: What a row holds: a pack of hashes, an answer (places of repeated windows), or the texts of a slice.
 PACK, ANSWER, TEXTS = 0, 1, 2
@@ -207,9 +207,14 @@ def remove_repeats(df: DataFrame, text: str = "text", size: int = SIZE, keep: li
 
 def without_repeats(df: DataFrame, text: str = "text", n_chars: str = "n_chars", size: int = SIZE) -> DataFrame:
     """The rows of ``df`` with the kept text in place of the text, and its length in ``n_chars`` if there is such a column."""
-    own = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(text).alias("text"))
-    cut_rows = remove_repeats(own, "text", size, keep=["_row"])
-    row = F.col("_row").withField(text, F.col("kept_text"))
-    if n_chars in df.columns:
-        row = row.withField(n_chars, F.char_length("kept_text").cast(df.schema[n_chars].dataType))
-    return cut_rows.select(row.alias("_row")).select("_row.*")
+    others = [F.col(f"`{c}`") for c in df.columns if c != text]
+    own = df.select(F.struct(F.lit(0).alias("_"), *others).alias("_row"), F.col(f"`{text}`").alias("text"))
+    rows = remove_repeats(own, "text", size, keep=["_row"])
+
+    def value(name: str):
+        if name == text:
+            return F.col("kept_text").alias(name)
+        if name == n_chars:
+            return F.char_length("kept_text").cast(df.schema[name].dataType).alias(name)
+        return F.col("_row")[name].alias(name)
+    return rows.select(*[value(c) for c in df.columns])
