@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from palaver.llm.frames import free
 
 LONGEST = 256
-CACHED_PIECES = 400_000
+CACHED_PIECES = 200_000
 ROWS_AT_ONCE = 1 << 16
 NONE = np.int64(1) << 40
 
