@@ -69,7 +69,7 @@ def stored(spark: SparkSession, folder: str, name: str, write) -> str:
 
     ``write(path)`` is the job that a collector would run once; the reports then read what it wrote.
     """
-    key = (spark.conf.get("spark.app.id"), folder, name)
+    key = (spark.conf.get("spark.app.id", ""), folder, name)
     if key not in _STORED:
         path = session.run_folder(spark, name)
         write(path)
