@@ -21,8 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return near_copies.one_per_group(docs)
+    """One document of each group of near copies: five words, a similarity of 0.8 or more."""
+    return near_copies.one_per_group(docs, percent=near_copies.PERCENT)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,10 +7,12 @@ a token with odds equal to their similarity, so they tend to stay together while
 branch of at most ``LEAF`` nodes is a leaf, whose members are compared exhaustively by their tokens;
 larger ones branch again, up to ``DEPTH`` levels. The members of a large branch are also dealt at
 random to leaves, anew on each level of each tree: near copies by the thousand, which tokens part
-slowly, find each other there. ``TREES`` independent trees are united: a pair of similarity 0.85
-shares the leaf of a tree with odds of 0.85 per branching.
+slowly, find each other there. ``TREES`` independent trees are united: a pair of similarity s
+shares the leaf of a tree with odds of s per branching. After two branchings 12 trees miss a pair of
+0.85 with odds of 2e-7 and one of 0.80 with 5e-6; after four, of 2e-4 and 2e-3.
 
-Nodes whose tokens agree enough form candidate clusters. Links are then confirmed on the full sets
+The similarity asked for is an argument in percent. Nodes whose tokens agree enough, five standard
+deviations below it, form candidate clusters. Links are then confirmed on the full sets
 with exact counts, inside each cluster. A cluster whose sets are too many for one task is dealt to
 chunks that all hold one common pivot; members that their chunk does not link to the pivot are
 then compared with all chunks. So within a cluster no link between components is lost.
@@ -35,14 +37,20 @@ from palaver.llm.components import components
 from palaver.llm.words import Slice, WordHasher, mixed, run_lengths, slices
 from palaver.session import written
 
-SHINGLE, PERCENT = 5, 85
+SHINGLE = 5
+#: Similarity in percent: that of stages without a contract of their own, and that of op5.
+PERCENT, OP5_PERCENT = 80, 85
 COORDINATES, TREES, DEPTH, LEAF = 96, 12, 4, 64
-AGREE = 0.67  # of the tokens, five standard deviations below the similarity asked for
 CHUNK_SHINGLES = 1 << 20
 SEEDS = mixed(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64))
 FACTORS, OFFSETS = (SEEDS[:COORDINATES].astype(np.uint32) | np.uint32(1)), SEEDS[COORDINATES:].astype(np.uint32)
 
 
+def agreement(percent: int) -> float:
+    """Least number of equal tokens of a candidate pair, five standard deviations below the similarity asked for."""
+    return COORDINATES * percent / 100 - 5 * (COORDINATES * percent / 100 * (1 - percent / 100)) ** 0.5
+
+
 def shingle_sets(part: Slice, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray]:
     """``(hashes, starts)``: the distinct shingle hashes of all texts, sorted within each."""
     at, size = part.windows(SHINGLE), SHINGLE
@@ -136,21 +144,25 @@ def leaves(nodes: DataFrame) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, found)
 
 
-def compare_leaves(incoming):
+def compare_leaves(least: float):
     """Mapper over rows ``(leaf, id, low_tokens)`` sorted by leaf: links ``(a, b)`` of each member to its leaf's smallest."""
-    held = None
-    for batch in incoming:
-        own = (batch.column(0).to_numpy(), batch.column(1).to_numpy(),
-               np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(-1, COORDINATES))
-        leaf, ids, tokens = own if held is None else (np.concatenate(x) for x in zip(held, own))
-        last = int(np.searchsorted(leaf, leaf[-1])) if len(leaf) else 0  # the last leaf may go on in the next batch
-        yield from linked_rows(leaf[:last], ids[:last], tokens[:last])
-        held = leaf[last:], ids[last:], tokens[last:]
-    if held is not None:
-        yield from linked_rows(*held)
+
+    def run(incoming):
+        held = None
+        for batch in incoming:
+            own = (batch.column(0).to_numpy(), batch.column(1).to_numpy(),
+                   np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(-1, COORDINATES))
+            leaf, ids, tokens = own if held is None else (np.concatenate(x) for x in zip(held, own))
+            last = int(np.searchsorted(leaf, leaf[-1])) if len(leaf) else 0  # the last leaf may go on in the next batch
+            yield from linked_rows(leaf[:last], ids[:last], tokens[:last], least)
+            held = leaf[last:], ids[last:], tokens[last:]
+        if held is not None:
+            yield from linked_rows(*held, least)
+
+    return run
 
 
-def linked_rows(leaf: np.ndarray, ids: np.ndarray, tokens: np.ndarray):
+def linked_rows(leaf: np.ndarray, ids: np.ndarray, tokens: np.ndarray, least: float):
     label = np.arange(len(ids))
     left, right = [], []
     for step in range(1, 2 * LEAF):
@@ -158,7 +170,7 @@ def linked_rows(leaf: np.ndarray, ids: np.ndarray, tokens: np.ndarray):
         if not len(i):
             break
         for part in np.array_split(i, len(i) // 50_000 + 1):
-            agree = (tokens[part] == tokens[part + step]).sum(axis=1) >= AGREE * COORDINATES
+            agree = (tokens[part] == tokens[part + step]).sum(axis=1) >= least
             left.append(part[agree])
             right.append(part[agree] + step)
     if not left:
@@ -177,11 +189,11 @@ def linked_rows(leaf: np.ndarray, ids: np.ndarray, tokens: np.ndarray):
         yield pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(ids[label[linked]])], names=["a", "b"])
 
 
-def candidate_clusters(nodes: DataFrame) -> DataFrame:
+def candidate_clusters(nodes: DataFrame, percent: int) -> DataFrame:
     """``(id, root)``: clusters of nodes whose tokens agree in a leaf."""
     members = leaves(nodes).distinct().join(nodes.select("id", "low_tokens"), "id")
     ordered = members.select("leaf", "id", "low_tokens").repartition("leaf").sortWithinPartitions("leaf")
-    return components(ordered.mapInArrow(compare_leaves, "a long, b long"))
+    return components(ordered.mapInArrow(compare_leaves(agreement(percent)), "a long, b long"))
 
 
 def full_sets(incoming):
@@ -197,7 +209,8 @@ def full_sets(incoming):
 class Sets:
     """Full sets side by side, one compared with all at a time."""
 
-    def __init__(self, sets: list[bytes]):
+    def __init__(self, sets: list[bytes], percent: int):
+        self.percent = percent
         sizes = np.array([len(s) // 8 for s in sets])
         _, self.tokens = np.unique(np.frombuffer(b"".join(sets), np.uint64), return_inverse=True)
         self.n, self.ends = sizes, np.cumsum(sizes)
@@ -210,13 +223,13 @@ class Sets:
         self.marks[own] = 1
         common = np.add.reduceat(self.marks[self.tokens], self.starts)
         self.marks[own] = 0
-        return 100 * common >= PERCENT * (self.n + self.n[i] - common)
+        return 100 * common >= self.percent * (self.n + self.n[i] - common)
 
 
-def exact_labels(sets: list[bytes]) -> np.ndarray:
+def exact_labels(sets: list[bytes], percent: int = OP5_PERCENT) -> np.ndarray:
     """Component of each set. Sets outside the largest component are compared with all others, so no
     link that joins two components is missed; links inside one need no proof."""
-    compared, label, open_ = Sets(sets), np.arange(len(sets)), np.ones(len(sets), bool)
+    compared, label, open_ = Sets(sets, percent), np.arange(len(sets)), np.ones(len(sets), bool)
     while True:
         values, counts = np.unique(label, return_counts=True)
         todo = np.flatnonzero(open_ & (label != values[counts.argmax()])) if len(values) > 1 else []
@@ -228,22 +241,22 @@ def exact_labels(sets: list[bytes]) -> np.ndarray:
         label[np.isin(label, joined)] = joined[0]
 
 
-def confirm(rows: pd.DataFrame) -> pd.DataFrame:
+def confirm(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     """A bundle of clusters, or one chunk of a large one: ``(cluster, id, root, settled)``."""
     out = []
     for cluster, own in rows.groupby("cluster"):
         own = own.drop_duplicates("id").sort_values("id")
-        ids, label = own["id"].to_numpy(), exact_labels(own["shingles"].tolist())
+        ids, label = own["id"].to_numpy(), exact_labels(own["shingles"].tolist(), percent)
         pivot = label[own["pivot"].to_numpy(bool)]
         out.append(pd.DataFrame({"cluster": cluster, "id": ids, "root": ids[label],
                                  "settled": np.isin(label, pivot) if len(pivot) else True}))
     return pd.concat(out)
 
 
-def visit(rows: pd.DataFrame) -> pd.DataFrame:
+def visit(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     """One chunk and the unsettled members of its cluster: links ``(a, b)`` of each to the chunk's members."""
     rows = rows.sort_values("visitor", ascending=False).drop_duplicates("id")
-    ids, compared = rows["id"].to_numpy(), Sets(rows["shingles"].tolist())
+    ids, compared = rows["id"].to_numpy(), Sets(rows["shingles"].tolist(), percent)
     out = []
     for i in np.flatnonzero(rows["visitor"].to_numpy(bool)):
         others = ids[compared.links(i)]
@@ -251,7 +264,7 @@ def visit(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}).astype("int64")
 
 
-def confirmed(sets: DataFrame) -> DataFrame:
+def confirmed(sets: DataFrame, percent: int) -> DataFrame:
     """``(id, root)`` of the true components from ``(id, cluster, n_shingles, shingles)``."""
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     bundles = max(1, -(-int(total) // CHUNK_SHINGLES))
@@ -266,7 +279,7 @@ def confirmed(sets: DataFrame) -> DataFrame:
     members = placed.withColumn("bundle", chunk)
     pivots = placed.filter("pivot AND chunks > 1").withColumn("bundle", F.explode(every_chunk))
     labels = written(members.select(columns).unionByName(pivots.select(columns)).groupBy("bundle").applyInPandas(
-        confirm, "cluster long, id long, root long, settled boolean"), "labels")
+        lambda rows: confirm(rows, percent), "cluster long, id long, root long, settled boolean"), "labels")
     several = plan.filter("chunks > 1").select("cluster")
     in_several = labels.join(several, "cluster", "left_semi")
     open_ids = in_several.groupBy("id").agg(F.max("settled").alias("settled")).filter("NOT settled").select("id")
@@ -275,15 +288,15 @@ def confirmed(sets: DataFrame) -> DataFrame:
     hosts = members.filter("chunks > 1").join(visited, "cluster", "left_semi")
     columns = ["bundle", "id", "shingles", "visitor"]
     found = hosts.withColumn("visitor", F.lit(False)).select(columns).unionByName(
-        visitors.withColumn("visitor", F.lit(True)).select(columns)).groupBy("bundle").applyInPandas(visit, "a long, b long")
+        visitors.withColumn("visitor", F.lit(True)).select(columns)).groupBy("bundle").applyInPandas(lambda rows: visit(rows, percent), "a long, b long")
     spread = components(in_several.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(found))
     return labels.join(several, "cluster", "left_anti").select("id", "root").unionByName(spread)
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = OP5_PERCENT) -> DataFrame:
     """``(doc_id, text_md5, n_shingles, group_id, component_id, kept)``, one row per input row.
 
-    ``group_id`` numbers the components of this run; it is null for an empty set.
+    Sets of a similarity of ``percent`` or more are linked. ``group_id`` numbers the components of this run; it is null for an empty set.
     """
     narrow = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"),
                        F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("text_md5"))
@@ -294,14 +307,14 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
         F.first("tokens").alias("tokens"), F.first("low_tokens").alias("low_tokens"))
     nodes = written(nodes.select(F.monotonically_increasing_id().alias("id"), "digest", "_one.doc_id", "_one.text_md5",
                                  "n_shingles", "tokens", "low_tokens"), "nodes")
-    clusters = candidate_clusters(nodes)
+    clusters = candidate_clusters(nodes, percent)
     wanted = written(clusters.join(nodes.select("id", "doc_id", "text_md5", "n_shingles"), "id"), "wanted")
     same = narrow["text_md5"].eqNullSafe(wanted["text_md5"]) & narrow["doc_id"].eqNullSafe(wanted["doc_id"])
     # merged at every size: whether the few candidates would fit a broadcast depends on the input
     texts = narrow.join(wanted.hint("merge"), same).select(wanted["id"], "text")
     sets = written(texts.mapInArrow(full_sets, "id long, shingles binary").dropDuplicates(["id"]).join(
         wanted.select("id", F.col("root").alias("cluster"), "n_shingles"), "id"), "sets")
-    roots = nodes.select("id", "digest", "doc_id").join(confirmed(sets), "id", "left").withColumn(
+    roots = nodes.select("id", "digest", "doc_id").join(confirmed(sets, percent), "id", "left").withColumn(
         "root", F.coalesce("root", "id"))
     numbers = roots.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = roots.join(numbers, "root").select("digest", F.col("root").alias("group_id"), "component_id")
@@ -311,9 +324,9 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
                       F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def one_per_group(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def one_per_group(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``df`` that stand for their groups: one of each, and all rows with empty sets."""
-    found = near_duplicates(df, key, text)
+    found = near_duplicates(df, key, text, percent)
     same = ["doc_id", "text_md5"]
     counts = found.groupBy("group_id", *same).agg(F.count(F.lit(1)).alias("n"))
     first = counts.filter("group_id IS NOT NULL").groupBy("group_id").agg(

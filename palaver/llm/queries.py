@@ -46,7 +46,7 @@ def op4_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_copies.near_duplicates(table(spark, sf_dir, "documents"))
+    found = near_copies.near_duplicates(table(spark, sf_dir, "documents"), percent=near_copies.OP5_PERCENT)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 

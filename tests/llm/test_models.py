@@ -28,7 +28,7 @@ def shingles(text):
     return frozenset([b" ".join(w)] if 0 < len(w) < 5 else (b" ".join(w[i:i + 5]) for i in range(len(w) - 4)))
 
 
-def brute_components(rows):
+def brute_components(rows, percent=85):
     """Component number of each row ``(doc_id, text)``."""
     sets = [shingles(t) for _, t in rows]
     parent = list(range(len(rows)))
@@ -41,7 +41,7 @@ def brute_components(rows):
     for i, j in itertools.combinations(range(len(rows)), 2):
         if sets[i] and sets[j]:
             common = len(sets[i] & sets[j])
-            if 100 * common >= 85 * (len(sets[i]) + len(sets[j]) - common):
+            if 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
                 parent[find(j)] = find(i)
     number = {}
     for i, (key, _) in enumerate(rows):
@@ -97,6 +97,16 @@ def test_one_row_stands_for_each_group(edge_docs, edge_rows):
     assert sorted((d if d is not None else -1) for d, _ in found.elements()) == [-1, -1, 1, 4, 5, 6, 7, 8, 9, 10, 10, 12, 20]
 
 
+def test_the_pipeline_drops_near_copies_from_four_fifths(spark):
+    # two texts of 200 words that differ in 4 words share about 0.81 of their shingles, in 3 words about 0.86
+    texts = [v for seed in range(30) for v in (prose(seed, 200), variants(seed, 1, 200, 3 + seed % 4)[0])]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect())
+    expected = {p: sorted({component for _, _, component in brute_components(rows, p)}) for p in (80, 85)}
+    assert kept == expected[80] != expected[85]
+
+
 def test_star_components(spark):
     edges = [(i + 1, i) for i in range(40)] + [(100, 50), (100, 60), (60, 61), (7, 7)]
     found = {r.id: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
