@@ -5,11 +5,14 @@ from the start. Each node has ``COORDINATES`` minwise tokens. A tree branches th
 far selects a coordinate, and the node goes to the branch of its token there. Similar sets agree in
 a token with odds equal to their similarity, so they tend to stay together while others part. A
 branch of at most ``LEAF`` nodes is a leaf, whose members are compared exhaustively by their tokens;
-larger ones branch again, up to ``DEPTH`` levels. The members of a large branch are also dealt at
+larger ones branch again, level by level, and no path asks for a token twice. A large branch ends in two
+cases only: all its members are in one cluster of candidates already, so that no pair in it can be
+lost, or all tokens have been asked and are equal. The members of a large branch are also dealt at
 random to leaves, anew on each level of each tree: near copies by the thousand, which tokens part
 slowly, find each other there. ``TREES`` independent trees are united: a pair of similarity s
-shares the leaf of a tree with odds of s per branching. After two branchings 12 trees miss a pair of
-0.85 with odds of 2e-7 and one of 0.80 with 5e-6; after four, of 2e-4 and 2e-3.
+stays together with odds of s per branching, and meets in a leaf as soon as a token of its own parts it
+from the rest. In a group whose members share g of their sets, a tree finds it with odds of at least
+(s - g) / (1 - g): with g = 0.5 twelve trees miss a pair of 0.85 with odds of 5e-7 and one of 0.80 with 2e-5.
 
 The similarity asked for is an argument in percent. Nodes whose tokens agree enough, five standard
 deviations below it, form candidate clusters. Links are then confirmed on the full sets
@@ -25,7 +28,6 @@ the same component. An empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 
 import numpy as np
@@ -40,7 +42,7 @@ from palaver.session import written
 SHINGLE = 5
 #: Similarity in percent: that of stages without a contract of their own, and that of op5.
 PERCENT, OP5_PERCENT = 80, 85
-COORDINATES, TREES, DEPTH, LEAF = 96, 12, 4, 64
+COORDINATES, TREES, LEAF = 96, 12, 64
 CHUNK_SHINGLES = 1 << 20
 SEEDS = mixed(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64))
 FACTORS, OFFSETS = (SEEDS[:COORDINATES].astype(np.uint32) | np.uint32(1)), SEEDS[COORDINATES:].astype(np.uint32)
@@ -101,49 +103,36 @@ def sketch(incoming):
 
 
 def paths(tokens: np.ndarray, tree: np.ndarray, depth: int) -> np.ndarray:
-    """Keys of the branches at a depth, for rows with their tree. The path so far chooses the next token."""
+    """Keys of the branches at a depth, for rows with their tree. The path so far chooses the next token, each one once."""
     key, rows = mixed(tree.astype(np.uint64) + np.uint64(1000)), np.arange(len(tokens))
+    asked = np.zeros((len(tokens), COORDINATES), bool)
     for d in range(depth):
         # the first choice depends on the tree alone and differs between trees
         at = (tree * 7 + 3) % COORDINATES if d == 0 else (mixed(key) % np.uint64(COORDINATES)).astype(np.int64)
+        while (again := asked[rows, at]).any():
+            at = np.where(again, (at + 1) % COORDINATES, at)
+        asked[rows, at] = True
         key = mixed(key * np.uint64(31) + (at.astype(np.uint64) << np.uint64(32)) + tokens[rows, at])
     return key.view(np.int64)
 
 
-def branches(depth: int, every_tree: bool):
-    """Mapper: ``(id, tree, branch)`` at one depth, from ``(id, tokens)`` in every tree or ``(id, tokens, tree)``."""
+def branches(depth: int, trees: int):
+    """Mapper: ``(id, tree, branch)`` at one depth, from ``(id, tokens)`` in all of so many trees or, with 0, ``(id, tokens, own trees)``."""
 
     def run(incoming):
         for batch in incoming:
             ids = batch.column(0).to_numpy()
             tokens = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, COORDINATES)
-            chosen = [np.full(len(ids), t) for t in range(TREES)] if every_tree else [batch.column(2).to_numpy()]
-            for tree in chosen:
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(tree, pa.int64()), pa.array(paths(tokens, tree, depth))],
+            own = None if trees else batch.column(2).to_pylist()
+            for tree in range(trees) if trees else sorted(set().union(*own)):
+                at = slice(None) if trees else np.array([tree in o for o in own])
+                chosen = np.full(len(ids[at]), tree)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(chosen, pa.int64()), pa.array(paths(tokens[at], chosen, depth))],
                                                  names=["id", "tree", "branch"])
 
     return run
 
 
-def leaves(nodes: DataFrame) -> DataFrame:
-    """``(id, leaf)`` for the nodes that share a leaf, in every tree. Only what is still too large branches on."""
-    rows = nodes.select("id", "tokens").mapInArrow(branches(1, True), "id long, tree long, branch long")
-    found = []
-    for depth in range(1, DEPTH + 1):
-        shared = rows.groupBy("branch").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        sized = written(rows.join(shared, "branch"), "branches")
-        found.append(sized.filter(f"n <= {LEAF}").select("id", F.col("branch").alias("leaf")))
-        large = sized.filter(f"n > {LEAF}")
-        if large.isEmpty():
-            break
-        # members of a large branch also meet at random, in leaves of about three quarters of the largest size
-        part = F.pmod(F.xxhash64("id", "tree", F.lit(depth)), F.ceil(F.col("n") / (LEAF * 3 // 4)))
-        found.append(large.select("id", F.xxhash64("branch", part).alias("leaf")))
-        rows = nodes.select("id", "tokens").join(large.select("id", "tree"), "id").mapInArrow(
-            branches(depth + 1, False), "id long, tree long, branch long")
-    return functools.reduce(DataFrame.unionByName, found)
-
-
 def compare_leaves(least: float):
     """Mapper over rows ``(leaf, id, low_tokens)`` sorted by leaf: links ``(a, b)`` of each member to its leaf's smallest."""
 
@@ -190,10 +179,33 @@ def linked_rows(leaf: np.ndarray, ids: np.ndarray, tokens: np.ndarray, least: fl
 
 
 def candidate_clusters(nodes: DataFrame, percent: int) -> DataFrame:
-    """``(id, root)``: clusters of nodes whose tokens agree in a leaf."""
-    members = leaves(nodes).distinct().join(nodes.select("id", "low_tokens"), "id")
-    ordered = members.select("leaf", "id", "low_tokens").repartition("leaf").sortWithinPartitions("leaf")
-    return components(ordered.mapInArrow(compare_leaves(agreement(percent)), "a long, b long"))
+    """``(id, root)``: clusters of nodes whose tokens agree in a leaf of some tree. Only large branches of several clusters branch on."""
+    held, links, clusters = nodes.select("id", "tokens", "low_tokens"), None, None
+    for depth in range(1, COORDINATES + 1):
+        source = held.select("id", "tokens") if depth == 1 else held.select("id", "tokens", "trees")
+        rows = source.mapInArrow(branches(depth, TREES if depth == 1 else 0), "id long, tree long, branch long")
+        shared = rows.groupBy("branch").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        sized = written(rows.join(shared, "branch"), "branches")
+        large = sized.filter(f"n > {LEAF}")
+        # members of a large branch also meet at random, in leaves of about three quarters of the largest size
+        part = F.when(F.col("n") > LEAF, F.pmod(F.xxhash64("id", "tree", F.lit(depth)), F.ceil(F.col("n") / (LEAF * 3 // 4)))).otherwise(-1)
+        members = sized.select("id", F.xxhash64("branch", part).alias("leaf")).join(held.select("id", "low_tokens"), "id")
+        ordered = members.select("leaf", "id", "low_tokens").repartition("leaf").sortWithinPartitions("leaf")
+        found = ordered.mapInArrow(compare_leaves(agreement(percent)), "a long, b long")
+        if depth == COORDINATES:  # what is still large has equal tokens
+            least = large.groupBy("branch").agg(F.min("id").alias("b"))
+            found = found.unionByName(large.join(least, "branch").select(F.col("id").alias("a"), "b"))
+        links = found if links is None else clusters.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(found)
+        clusters = components(links)
+        if depth == COORDINATES or large.isEmpty():
+            break
+        rooted = large.join(clusters, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        several = rooted.groupBy("branch").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+        trees = large.join(several, "branch", "left_semi").groupBy("id").agg(F.collect_list("tree").alias("trees"))
+        held = written(held.select("id", "tokens", "low_tokens").join(trees, "id"), "open")
+        if held.isEmpty():
+            break
+    return clusters
 
 
 def full_sets(incoming):

@@ -89,6 +89,22 @@ def test_clusters_larger_than_a_chunk(spark, monkeypatch):
     assert found_components(spark.createDataFrame(rows, "doc_id long, text string")) == Counter(brute_components(rows))
 
 
+def test_pairs_within_a_large_group_that_shares_a_passage(spark, monkeypatch):
+    # 240 nodes that agree in about 0.72 of their tokens, in pairs that agree in 94 of 96; one tree, leaves of 16
+    monkeypatch.setattr(near_copies, "TREES", 1)
+    monkeypatch.setattr(near_copies, "LEAF", 16)
+    random, rows = np.random.default_rng(9), []
+    group = random.integers(0, 1 << 32, 96, np.uint32)
+    for pair in range(120):
+        one = np.where(random.random(96) < 0.85, group, random.integers(0, 1 << 32, 96, np.uint32))
+        other = one.copy()
+        other[random.choice(96, 2, replace=False)] += np.uint32(1)
+        rows += [(2 * pair + i, x.tobytes(), x.astype(np.uint16).tobytes()) for i, x in enumerate((one, other))]
+    nodes = spark.createDataFrame(rows, "id long, tokens binary, low_tokens binary")
+    root = {r.id: r.root for r in near_copies.candidate_clusters(nodes, 97).collect()}
+    assert sum(2 * p in root and root[2 * p] == root.get(2 * p + 1) for p in range(120)) >= 105
+
+
 def test_one_row_stands_for_each_group(edge_docs, edge_rows):
     kept = near_copies.one_per_group(edge_docs)
     assert kept.columns == edge_docs.columns
