@@ -17,8 +17,10 @@ from the rest. In a group whose members share g of their sets, a tree finds it w
 The similarity asked for is an argument in percent. Nodes whose tokens agree enough, five standard
 deviations below it, form candidate clusters. Links are then confirmed on the full sets
 with exact counts, inside each cluster. A cluster whose sets are too many for one task is dealt to
-chunks that all hold one common pivot; members that their chunk does not link to the pivot are
-then compared with all chunks. So within a cluster no link between components is lost.
+chunks. Each settles its own links; then, in rounds, one member of each of the ``PIVOTS`` largest
+components so far is compared with all chunks, as long as a round leaves a quarter fewer members outside
+their cluster's largest component. Those still outside are dealt to chunks of their own, and each
+meets every chunk of the cluster. So no task holds more than two chunks, and no link is lost.
 
 Edge cases: fewer than five words make one shingle, null and empty texts an empty set, linked with
 nothing (component and document are the same). A null document number is allowed; a component's
@@ -33,7 +35,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from palaver.llm.components import components
 from palaver.llm.words import Slice, WordHasher, mixed, run_lengths, slices
@@ -43,7 +45,7 @@ SHINGLE = 5
 #: Similarity in percent: that of stages without a contract of their own, and that of op5.
 PERCENT, OP5_PERCENT = 80, 85
 COORDINATES, TREES, LEAF = 96, 12, 64
-CHUNK_SHINGLES = 1 << 20
+CHUNK_SHINGLES, PIVOTS = 1 << 20, 8
 SEEDS = mixed(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64))
 FACTORS, OFFSETS = (SEEDS[:COORDINATES].astype(np.uint32) | np.uint32(1)), SEEDS[COORDINATES:].astype(np.uint32)
 
@@ -254,55 +256,80 @@ def exact_labels(sets: list[bytes], percent: int = OP5_PERCENT) -> np.ndarray:
 
 
 def confirm(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """A bundle of clusters, or one chunk of a large one: ``(cluster, id, root, settled)``."""
+    """A bundle of clusters, or one chunk of a large one: ``(cluster, id, root)``."""
     out = []
     for cluster, own in rows.groupby("cluster"):
         own = own.drop_duplicates("id").sort_values("id")
         ids, label = own["id"].to_numpy(), exact_labels(own["shingles"].tolist(), percent)
-        pivot = label[own["pivot"].to_numpy(bool)]
-        out.append(pd.DataFrame({"cluster": cluster, "id": ids, "root": ids[label],
-                                 "settled": np.isin(label, pivot) if len(pivot) else True}))
+        out.append(pd.DataFrame({"cluster": cluster, "id": ids, "root": ids[label]}))
     return pd.concat(out)
 
 
 def visit(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """One chunk and the unsettled members of its cluster: links ``(a, b)`` of each to the chunk's members."""
+    """One chunk and its visitors: links ``(a, b)`` between the roots that the visitors join."""
     rows = rows.sort_values("visitor", ascending=False).drop_duplicates("id")
-    ids, compared = rows["id"].to_numpy(), Sets(rows["shingles"].tolist(), percent)
-    out = []
+    compared = Sets(rows["shingles"].tolist(), percent)
+    roots, own = np.unique(rows["root"].to_numpy(), return_inverse=True)
+    label = own.copy()
     for i in np.flatnonzero(rows["visitor"].to_numpy(bool)):
-        others = ids[compared.links(i)]
-        out.append(pd.DataFrame({"a": ids[i], "b": others[others != ids[i]]}))
-    return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}).astype("int64")
+        if (label == label[0]).all():
+            break
+        joined = np.unique(label[compared.links(i)])
+        label[np.isin(label, joined)] = joined[0]
+    return pd.DataFrame({"a": roots[own], "b": roots[label]}).query("a != b").drop_duplicates()
+
+
+def visits(hosts: DataFrame, visitors: DataFrame, rooted: DataFrame, percent: int) -> DataFrame:
+    """``rooted`` after the visitors have met the hosts of their bundles."""
+    columns = ["bundle", "id", "root", "shingles", "visitor"]
+    rows = hosts.withColumn("visitor", F.lit(False)).select(columns).unionByName(visitors.withColumn("visitor", F.lit(True)).select(columns))
+    joined = components(rows.groupBy("bundle").applyInPandas(lambda own: visit(own, percent), "a long, b long"))
+    renamed = joined.select(F.col("id").alias("root"), F.col("root").alias("_to"))
+    return written(rooted.join(renamed, "root", "left").select("cluster", "id", F.coalesce("_to", "root").alias("root")), "rooted")
+
+
+def joined_chunks(large: DataFrame, rooted: DataFrame, percent: int) -> DataFrame:
+    """``(cluster, id, root)`` over all chunks, from ``(cluster, id, n_shingles, shingles, chunk, chunks)`` and the roots within each chunk."""
+    every_chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+    before = None
+    while True:
+        sizes = written(rooted.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("one")), "sizes")
+        largest = sizes.groupBy("cluster").agg(F.max(F.struct("n", "root")).alias("top"))
+        outside = (sizes.agg(F.sum("n")).first()[0] or 0) - (largest.agg(F.sum("top.n")).first()[0] or 0)
+        if not outside:
+            return rooted
+        if before is not None and 4 * outside > 3 * before:
+            break
+        before = outside
+        place = F.row_number().over(Window.partitionBy("cluster").orderBy(F.col("n").desc(), "root"))
+        pivots = sizes.withColumn("_at", place).filter(F.col("_at") <= PIVOTS).select(F.col("one").alias("id"), "root")
+        hosts = large.join(rooted.select("id", "root"), "id").withColumn("bundle", F.xxhash64("cluster", "chunk"))
+        visitors = large.join(pivots, "id").withColumn("_host", every_chunk).withColumn("bundle", F.xxhash64("cluster", "_host"))
+        rooted = visits(hosts, visitors, rooted, percent)
+    left = large.join(rooted.select("id", "root"), "id").join(largest, "cluster").filter("root <> top.root")
+    rooms = written(left.groupBy("cluster").agg(F.ceil(F.sum("n_shingles") / CHUNK_SHINGLES).alias("rooms")), "rooms")
+    hosts = large.join(rooted.select("id", "root"), "id").join(rooms, "cluster").withColumn(
+        "_room", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rooms") - 1)))
+    visitors = left.join(rooms, "cluster").withColumn("_room", F.pmod(F.xxhash64("id", F.lit(2)), F.col("rooms"))).withColumn("_host", every_chunk)
+    return visits(hosts.withColumn("bundle", F.xxhash64("cluster", "chunk", "_room")),
+                  visitors.withColumn("bundle", F.xxhash64("cluster", "_host", "_room")), rooted, percent)
 
 
 def confirmed(sets: DataFrame, percent: int) -> DataFrame:
     """``(id, root)`` of the true components from ``(id, cluster, n_shingles, shingles)``."""
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     bundles = max(1, -(-int(total) // CHUNK_SHINGLES))
-    plan = written(sets.groupBy("cluster").agg(
-        F.ceil(F.sum("n_shingles") / CHUNK_SHINGLES).alias("chunks"), F.min(F.struct(F.xxhash64("id"), "id"))["id"].alias("pivot_id")),
-        "clusters")
-    placed = sets.join(plan, "cluster").withColumn("pivot", F.col("id") == F.col("pivot_id"))
-    chunk = F.when(F.col("chunks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(bundles))).otherwise(
-        F.xxhash64("cluster", F.pmod(F.xxhash64("id", F.lit(1)), F.col("chunks"))))
-    every_chunk = F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda c: F.xxhash64("cluster", c))
-    columns = ["bundle", "cluster", "id", "pivot", "shingles"]
-    members = placed.withColumn("bundle", chunk)
-    pivots = placed.filter("pivot AND chunks > 1").withColumn("bundle", F.explode(every_chunk))
-    labels = written(members.select(columns).unionByName(pivots.select(columns)).groupBy("bundle").applyInPandas(
-        lambda rows: confirm(rows, percent), "cluster long, id long, root long, settled boolean"), "labels")
+    plan = written(sets.groupBy("cluster").agg(F.ceil(F.sum("n_shingles") / CHUNK_SHINGLES).alias("chunks")), "clusters")
+    placed = sets.join(plan, "cluster").withColumn("chunk", F.pmod(F.xxhash64("id", F.lit(1)), F.col("chunks")))
+    bundle = F.when(F.col("chunks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(bundles))).otherwise(F.xxhash64("cluster", "chunk"))
+    labels = written(placed.select(bundle.alias("bundle"), "cluster", "id", "shingles").groupBy("bundle").applyInPandas(
+        lambda rows: confirm(rows, percent), "cluster long, id long, root long"), "labels")
     several = plan.filter("chunks > 1").select("cluster")
-    in_several = labels.join(several, "cluster", "left_semi")
-    open_ids = in_several.groupBy("id").agg(F.max("settled").alias("settled")).filter("NOT settled").select("id")
-    visitors = placed.filter("chunks > 1").join(open_ids, "id", "left_semi").withColumn("bundle", F.explode(every_chunk))
-    visited = visitors.select("cluster").distinct()
-    hosts = members.filter("chunks > 1").join(visited, "cluster", "left_semi")
-    columns = ["bundle", "id", "shingles", "visitor"]
-    found = hosts.withColumn("visitor", F.lit(False)).select(columns).unionByName(
-        visitors.withColumn("visitor", F.lit(True)).select(columns)).groupBy("bundle").applyInPandas(lambda rows: visit(rows, percent), "a long, b long")
-    spread = components(in_several.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(found))
-    return labels.join(several, "cluster", "left_anti").select("id", "root").unionByName(spread)
+    if several.isEmpty():
+        return labels.select("id", "root")
+    large = written(placed.filter("chunks > 1"), "large")
+    spread = joined_chunks(large, labels.join(several, "cluster", "left_semi"), percent)
+    return labels.join(several, "cluster", "left_anti").select("id", "root").unionByName(spread.select("id", "root"))
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = OP5_PERCENT) -> DataFrame:

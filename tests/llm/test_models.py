@@ -89,6 +89,22 @@ def test_clusters_larger_than_a_chunk(spark, monkeypatch):
     assert found_components(spark.createDataFrame(rows, "doc_id long, text string")) == Counter(brute_components(rows))
 
 
+def test_no_task_holds_more_than_two_chunks(spark, monkeypatch):
+    # 110 texts share a passage (0.78, one candidate cluster of about nine chunks) and link with few others; 12 have copies
+    passage, random = prose(80, 200), np.random.default_rng(4)
+    texts = [passage + " " + " ".join(f"own{i}x{k}" for k in range(24)) for i in range(110)]
+    texts += [t + f" new{random.integers(1 << 30)}" for t in texts[:12]]
+    rows, plain = list(enumerate(texts)), near_copies.visit
+
+    def bounded(own, percent):
+        assert sum(map(len, own["shingles"])) // 8 <= 12_000  # chunks are dealt by hash: 3000 on average
+        return plain(own, percent)
+
+    monkeypatch.setattr(near_copies, "CHUNK_SHINGLES", 3000)
+    monkeypatch.setattr(near_copies, "visit", bounded)
+    assert found_components(spark.createDataFrame(rows, "doc_id long, text string")) == Counter(brute_components(rows))
+
+
 def test_pairs_within_a_large_group_that_shares_a_passage(spark, monkeypatch):
     # 240 nodes that agree in about 0.72 of their tokens, in pairs that agree in 94 of 96; one tree, leaves of 16
     monkeypatch.setattr(near_copies, "TREES", 1)
