@@ -7,12 +7,16 @@ from html.parser import HTMLParser
 
 import numpy as np
 
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: Elements whose content is never text of the page.
-SILENT = {"head", "title", "script", "style", "noscript", "template", "svg", "iframe", "object", "select", "textarea", "button",
-          "canvas", "audio", "video", "math"}
+SILENT = {"head", "title", "script", "style", "noscript", "template", "svg", "iframe", "select", "textarea", "button", "canvas",
+          "audio", "video", "annotation", "annotation-xml"}
+#: Elements that can stand in a head; any other one, or text, ends it.
+HEAD_TAGS = {"base", "basefont", "bgsound", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label",
-          "mark", "q", "ruby", "s", "samp", "small", "span", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "input"}
+          "mark", "q", "ruby", "s", "samp", "small", "span", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "input",
+          "object", "math", "mi", "mn", "mo", "ms", "mtext", "mrow", "msub", "msup", "msubsup", "mfrac", "msqrt", "mroot", "mover", "munder",
+          "munderover", "mtable", "mtr", "mtd", "mstyle", "mspace", "mpadded", "mphantom", "menclose", "mmultiscripts", "semantics"}
 #: A start tag closes open elements of its row up to the nearest of the second set.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -28,6 +32,8 @@ FRAME_TAGS = frozenset("nav footer header aside form menu dialog fieldset".split
 TEXT_TAGS = frozenset("article main".split())
 TAG_KINDS = [{"p"}, {"h1", "h2", "h3", "h4", "h5", "h6"}, {"li", "dt", "dd"}, {"ul", "ol", "dl"}, {"div", "section"}, TEXT_TAGS,
              FRAME_TAGS, {"a"}, {"blockquote", "pre", "table", "tr", "td", "th", "figure", "figcaption"}, {"#text"}]
+#: Start tags that end an unclosed ``button`` or ``select``.
+PARTS = TEXT_TAGS | FRAME_TAGS | {"section", "table", "h1", "h2", "h3", "h4", "h5", "h6"}
 ROOTS = {"#page", "html", "body"}
 N_FEATURES = len(TAG_KINDS) + 18
 WORDS = re.compile(r"[a-z]+")
@@ -81,13 +87,27 @@ class Reader(HTMLParser):
             if tag in tags:
                 self.close_from(at)
 
+    def leave_silence(self, tag: str) -> None:
+        """What cannot stand in a head ends it, and a body in any part of it; parts of a page end a button or a list of options."""
+        first = self.silent[0]
+        if first == "head" and (tag == "body" or (len(self.silent) == 1 and tag not in HEAD_TAGS | {"head", "html"})):
+            self.silent.clear()
+        elif first in ("button", "select") and (tag == first or tag in PARTS):
+            self.silent.clear()
+
     def handle_starttag(self, tag, attrs):
         if self.silent:
+            self.leave_silence(tag)
+        if self.silent:
+            if tag in ("head", "html"):
+                return
             if tag not in VOID:
                 self.silent.append(tag)
             return
         if tag == "body" and any(self.page.tag[i] == "body" for i in self.open):
             return
+        if tag == "head" and any(self.page.tag[i] not in ROOTS - {"body"} for i in self.open):
+            return
         if tag in SILENT:
             self.silent.append(tag)
             return
@@ -113,9 +133,10 @@ class Reader(HTMLParser):
             if tag in self.silent:
                 while self.silent.pop() != tag:
                     pass
-            elif tag in ("html", "body"):
-                self.silent.clear()
-            return
+                return
+            if tag not in ("html", "body") and all(self.page.tag[i] != tag for i in self.open):
+                return
+            self.silent.clear()  # the end of a parent ends what it holds
         if tag not in INLINE:
             self.page.now += 1
         for at in range(len(self.open) - 1, 0, -1):
@@ -124,17 +145,16 @@ class Reader(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if self.silent == ["head"] and data.strip():
+            self.silent.clear()
         if not self.silent:
             self.page.add(self.open[-1], "#text", frozenset(), data)
 
 
 def read_page(html: str | None) -> Page:
-    """The tree of a page; null is an empty one. An unclosed ``head`` ends where the body begins."""
+    """The tree of a page; null is an empty one. An unclosed ``head`` ends where the body, or anything of it, begins."""
     reader = Reader()
-    text = html or ""
-    if "<head" in text and "</head" not in text:
-        text = re.sub(r"<head[^>]*>", "", text, count=1)
-    reader.feed(text)
+    reader.feed(html or "")
     reader.close()
     return reader.page
 

@@ -158,6 +158,27 @@ def test_exact_labels_find_every_component():
     assert labels[-1] not in labels[:-1]
 
 
+# unclosed parts of a page
+
+@pytest.mark.parametrize("html", [
+    "<html><head><title>t</title><body><header>top</header><article>Body.</article></body></html>",
+    "<html><HEAD><title>t</title><body><article>Body.</article></body></html>",
+    "<html><head><title>t</title><header>top</header><article>Body.</article></html>",
+    "<head><meta charset=x><noscript><img src=x><body><article>Body.</article></body>",
+    "<head><title>t</title>text<article>Body.</article>",
+    "<body><div><button>go</div><article>Body.</article></body>",
+    "<body><button>go<button>on</button><article>Body.</article></body>",
+    "<body><select><option>one<article>Body.</article></body>",
+    "<body><div><noscript>off</div><article>Body.</article></body>",
+    "<body><div><object data=x></div><article>Body.</article></body>",
+    "<body><article>Bo<object>d</object><math><mi>y</mi><annotation>tex</annotation></math>.</article></body>"])
+def test_unclosed_parts_end_with_their_parent(html):
+    page = dom.read_page(html)
+    marks = html_text.content_marks(page)
+    assert html_text.block_text(page, marks) == "Body."
+    assert "go" not in page.text and "one" not in page.text and "off" not in page.text and "tex" not in page.text
+
+
 # search
 
 def brute_top(rows, k, every):
