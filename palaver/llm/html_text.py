@@ -7,12 +7,13 @@ goes through the tree from its leaves: a node may be kept only if its ancestors
 kept nodes has the largest sum of log odds, weighted by text. So no text is kept inside a dropped part,
 and a whole part is dropped when what it holds does not outweigh it.
 
-The trees are fitted on a bounded sample: ``PAGES`` pages, the first by hash of their number, and
+The trees are fitted on a bounded sample: ``PAGES`` pages with an ``article`` or ``main`` tag, the first by hash of their number, and
 ``VARIANTS`` altered forms of each. The given tables have no marked nodes, so the teacher is the
 markup that pages carry themselves: the content of ``article`` or ``main`` is main text, the rest of
 the body is not. The altered forms rename and move these known parts (an article in a plain ``div``,
 a menu as a side bar, forms, notices and reader comments also inside the article), so that the trees
-learn more than the names of two tags.
+learn more than the names of two tags. If no page carries such markup, a fixed rule stands for the trees: all
+text is main text but that in or below a part whose tag or attributes name it a frame.
 
 Edge cases: null, empty and broken html give the text that is left, or an empty one; equal rows get
 equal texts; an empty table gives no rows and needs no model; other columns are not read.
@@ -30,7 +31,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 
-from palaver.llm.dom import FRAME_WORDS, N_FEATURES, ROOTS, TEXT_WORDS, Page, features, read_page
+from palaver.llm.dom import FRAME_WORDS, N_FEATURES, ROOTS, TAG_KINDS, TEXT_WORDS, Page, features, read_page
 
 PAGES, VARIANTS = 160, 3
 TREES, TREE_DEPTH = 20, 5
@@ -160,7 +161,7 @@ def parse_trees(text: str) -> list[tuple[np.ndarray, ...]]:
 
 def fit_trees(pages: DataFrame) -> list[tuple[np.ndarray, ...]]:
     """Boosted trees from the bounded sample; none if no page carries a mark."""
-    sample = pages.orderBy(F.xxhash64("page_id", F.length("html"))).limit(PAGES)
+    sample = pages.filter(F.col("html").rlike(r"(?i)<(article|main)[\s/>]")).orderBy(F.xxhash64("page_id", F.length("html"))).limit(PAGES)
     rows = sample.repartition(8).mapInPandas(training_rows, "x array<double>, label double").select(
         array_to_vector("x").alias("features"), "label").cache()
     try:
@@ -186,6 +187,11 @@ def log_odds(trees: list, rows: np.ndarray) -> np.ndarray:
     return 2 * total
 
 
+def frame_rule(rows: np.ndarray) -> np.ndarray:
+    """Odds without a model: against what is in a frame (its tag or attributes say so), for all else."""
+    return np.where(rows[:, len(TAG_KINDS) + 2] > 0, -1.0, 1.0)
+
+
 def decode(page: Page, odds: np.ndarray) -> list[bool]:
     """The consistent choice of largest weight: a node's gain is its own and those of the children worth keeping."""
     n = len(page.tag)
@@ -220,7 +226,8 @@ def main_texts(df: DataFrame, trees: list, page_id: str = "page_id", url: str =
         for batch in incoming:
             pages = [read_page(h) for h in batch.column(2).to_pylist()]
             rows = [features(p) for p in pages]
-            odds = log_odds(trees, np.concatenate(rows)) if rows else np.zeros(0)
+            every = np.concatenate(rows) if rows else np.zeros((0, N_FEATURES))
+            odds = log_odds(trees, every) if trees else frame_rule(every)
             ends = np.cumsum([len(r) for r in rows])
             texts = [block_text(p, decode(p, odds[e - len(r):e])) for p, r, e in zip(pages, rows, ends)]
             yield pa.RecordBatch.from_arrays(

@@ -179,6 +179,18 @@ def test_unclosed_parts_end_with_their_parent(html):
     assert "go" not in page.text and "one" not in page.text and "off" not in page.text and "tex" not in page.text
 
 
+def test_rare_marks_are_found_and_no_marks_leave_the_rest_of_the_frame(spark):
+    body = "<p>" + prose(1, 30) + ".</p><p>" + prose(2, 30) + ".</p>"
+    plain = [(i, "u", f"<body><nav>menu</nav><div>{body}</div><div class=sidebar><p>side</p></div></body>") for i in range(600)]
+    marked = [(1000 + i, "u", f"<body><nav>menu {i}</nav><article>{body}</article><footer>end</footer></body>") for i in range(4)]
+    text = prose(1, 30) + ".\n" + prose(2, 30) + "."
+    kind = "page_id long, url string, html string"
+    found = html_text.extract(spark.createDataFrame(plain + marked, kind)).filter("page_id >= 1000").collect()
+    assert [r.text for r in found] == [text] * 4
+    rule = html_text.extract(spark.createDataFrame(plain[:3], kind)).collect()
+    assert [r.text for r in rule] == [text] * 3
+
+
 # search
 
 def brute_top(rows, k, every):
