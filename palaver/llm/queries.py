@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import anomaly, bayes, bpe, html_text, markov, maxscore, mixing, near_copies, sharding, substrings
+from palaver.llm import (
+    anomaly, bayes, bpe, centroids, html_text, license_scan, markov, maxscore, mixing, near_copies, piece_table, sharding, substrings)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +74,19 @@ def op10_isolation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anomaly.judged(stats, forest, limit)
 
 
+def op11_piece_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_table.fill_in_middle(table(spark, sf_dir, "documents"), keep=["doc_id"], with_output=False)
+
+
+def op12_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+def op13_hadamard_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_rendezvous_shards, op2_site_bayes, op3_pivotal_mix, op4_hidden_markov, op5_chosen_path,
-    op6_boosted_dom, op7_byte_bpe, op8_repeated_windows, op9_maxscore, op10_isolation_rules)}
+    op6_boosted_dom, op7_byte_bpe, op8_repeated_windows, op9_maxscore, op10_isolation_rules,
+    op11_piece_table, op12_license_join, op13_hadamard_centroids)}
