@@ -80,7 +80,7 @@ def search_group(k: int):
     """One shard and one block of queries: the k best of each query."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        ask, have = rows[rows["is_query"]], rows[~rows["is_query"]].sort_values("vec_id", na_position="last")
+        ask, have = rows[rows["is_query"]], rows[~rows["is_query"]].sort_values(["no_id", "vec_id"])
         out = {"row": [], "query_id": [], "vec_id": [], "score": [], "n": []}
         if len(ask) and len(have):
             width = int(max(map(len, rows["vector"])))
@@ -89,7 +89,7 @@ def search_group(k: int):
             if largest * 4 < EXACT:  # sums of products are exact in doubles, which multiply faster
                 queries, postings = queries.astype(float), postings.astype(float)
             ends = np.stack([postings.min(axis=1), postings.max(axis=1)]) if width else np.zeros((2, 0))
-            ids, n, null = have["vec_id"].to_numpy(), have["n"].to_numpy(), have["vec_id"].isna().to_numpy()
+            ids, n, null = have["vec_id"].to_numpy(), have["n"].to_numpy(), have["no_id"].to_numpy()
             for row, query_id, query in zip(ask["row"], ask["vec_id"], queries):
                 found, score = search(postings, ends, query, k, null | (ids != query_id))
                 best = np.lexsort((found, -score))[:k]  # candidates are in the order of their numbers
@@ -112,7 +112,10 @@ def top_k(df: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int
     queries = rows.filter(F.col("vec_id") % every == 0)
     n_rows, n_queries = rows.count(), queries.count()
     shards, blocks = max(1, -(-n_rows // SHARD_ROWS)), max(1, -(-n_queries // BLOCK_QUERIES))
-    columns = ["shard", "block", "is_query", "vec_id", "vector", "n", "row"]
+    # a null among the numbers would turn a group's numbers into doubles, which lose digits
+    rows = rows.withColumn("no_id", F.col("vec_id").isNull()).withColumn("vec_id", F.coalesce("vec_id", F.lit(0).cast("long")))
+    queries = queries.withColumn("no_id", F.lit(False))
+    columns = ["shard", "block", "is_query", "no_id", "vec_id", "vector", "n", "row"]
 
     def in_all(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))

@@ -15,8 +15,8 @@ from the rest. In a group whose members share g of their sets, a tree finds it w
 (s - g) / (1 - g): with g = 0.5 twelve trees miss a pair of 0.85 with odds of 5e-7 and one of 0.80 with 2e-5.
 
 The similarity asked for is an argument in percent. Nodes whose tokens agree enough, five standard
-deviations below it, form candidate clusters. Links are then confirmed on the full sets
-with exact counts, inside each cluster. A cluster whose sets are too many for one task is dealt to
+deviations below it, form candidate clusters. Links are then confirmed on the full sets of 62-bit shingle hashes,
+by counting, inside each cluster. A cluster whose sets are too many for one task is dealt to
 chunks. Each settles its own links; then, in rounds, one member of each of the ``PIVOTS`` largest
 components so far is compared with all chunks, as long as a round leaves a quarter fewer members outside
 their cluster's largest component. Those still outside are dealt to chunks of their own, and each

@@ -1,6 +1,6 @@
 """Removal of passages that repeat anywhere in the corpus: Rabin-Karp windows counted in Spark.
 
-A window is ``size`` consecutive words of one text. Every window gets a 64-bit rolling hash. Texts
+A window is ``size`` consecutive words of one text. Every window gets a rolling hash of 62 bits. Texts
 are hashed in slices of a few MB. Within a slice each hash is kept once, and those that stand there
 several times are known to repeat. The slice sends its distinct hashes, sorted, as differences, to
 buckets by their leading bits. A bucket merges the packs of all slices and answers each slice that
@@ -10,7 +10,7 @@ The answers of a slice become intervals of words per text: overlapping windows m
 All windows are judged on the input, not on what is left. A text is named by its digest and a slice
 by the digests of its texts, so names do not depend on tasks or machines, and equal texts share their
 intervals. The number of buckets follows the bytes of the texts. Two different windows get the same
-hash with odds of about 2**-64 per pair.
+hash with odds of about 2**-62 per pair (n windows: about n**2 / 2**63 such pairs, so one in two million of 10**13 windows).
 
 Edge cases: a null text has no words; a text of fewer than ``size`` words keeps them all; of equal
 rows every one counts; an empty table gives no rows; other columns pass through whatever their names.

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_SQL = r"[^\\x20\\x09-\\x0D]+"
 
@@ -28,30 +28,53 @@ def byte_values(seed: int) -> np.ndarray:
     return mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
 
 
+#: Two primes below 2**31: products of residues fit 64 bits.
+PRIMES = 2_147_483_647, 2_147_483_629
+
+
+def residues(x: np.ndarray, prime: int) -> np.ndarray:
+    return x - x // np.uint64(prime) * np.uint64(prime)
+
+
 class RollingHash:
-    """Polynomial hashes modulo 2**64 from prefix sums: any span costs two lookups.
+    """Polynomial hashes modulo two primes from prefix sums: any span costs two lookups each.
 
     ``sum(value[i] * base**i)`` over a span, divided by ``base**start``, does not depend on where the
-    span stands. The base is odd, so the division is a product with its inverse.
+    span stands. Both residues make a number of 62 bits. A power of two as modulus would be cheaper, but with it some
+    strings (Thue-Morse and its complement) collide for every base.
     """
 
     def __init__(self, base: int):
-        self.base = base | 1
-        self.inverse = pow(self.base, -1, 1 << 64)
-        self.powers = self.inverses = np.ones(1, np.uint64)
-
-    def prefix(self, values: np.ndarray) -> np.ndarray:
+        self.bases = [base % (p - 2) + 2 for p in PRIMES]
+        self.powers = [np.ones(1, np.uint32)] * 2
+        self.inverses = [np.ones(1, np.uint32)] * 2
+
+    @staticmethod
+    def powers_of(base: int, prime: int, n: int) -> np.ndarray:
+        out = np.ones(1, np.uint64)
+        while len(out) < n:
+            out = np.concatenate((out, residues(out[:n - len(out)] * np.uint64(pow(base, len(out), prime)), prime)))
+        return out.astype(np.uint32)
+
+    def prefix(self, values: np.ndarray) -> list[np.ndarray]:
         n = len(values) + 1
-        if n > len(self.powers):
-            self.powers, self.inverses = (
-                np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(2 * n, b, np.uint64))))
-                for b in (self.base, self.inverse))
-        sums = np.zeros(n, np.uint64)
-        np.cumsum(values * self.powers[:n - 1], out=sums[1:])
-        return sums
-
-    def spans(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mixed((sums[ends] - sums[starts]) * self.inverses[starts] + (ends - starts).astype(np.uint64))
+        if n > len(self.powers[0]):
+            room = n + n // 4
+            self.powers = [self.powers_of(b, p, room) for b, p in zip(self.bases, PRIMES)]
+            self.inverses = [self.powers_of(pow(b, -1, p), p, room) for b, p in zip(self.bases, PRIMES)]
+        out = []
+        for prime, powers in zip(PRIMES, self.powers):
+            sums = np.zeros(n, np.uint64)
+            # terms are below 2**31, so the sums of 2**33 of them fit
+            np.cumsum(residues(residues(values, prime) * powers[:n - 1], prime), out=sums[1:])
+            out.append(sums)
+        return out
+
+    def spans(self, sums: list[np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        high, low = (residues(residues(own[ends] - own[starts], prime) * inverses[starts], prime)
+                     for own, prime, inverses in zip(sums, PRIMES, self.inverses))
+        length = (ends - starts).astype(np.uint64)
+        return mixed((high << np.uint64(31)) + low + length * np.uint64(0x9E3779B97F4A7C15))
 
 
 class Slice:
@@ -88,7 +111,7 @@ class Slice:
 
 
 class WordHasher:
-    """64-bit hashes of the words of a slice, and of its word windows."""
+    """Hashes of the words of a slice, and of its word windows: 62 bits, spread over 64."""
 
     def __init__(self, seed: int = 1):
         self.values = byte_values(seed)

@@ -169,7 +169,36 @@ def test_statistics_of_whole_texts(spark, sf_dir):
     texts = {r.doc_id: r.text for r in docs.collect()}
     for r in queries.op10_isolation_rules(spark, sf_dir).collect():
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute_rules(texts[r.doc_id])
-        assert r.kept is False if r.base_failed else r.kept == (r.kept and not r.base_failed)
+        assert not (r.kept and r.base_failed)
+
+
+def naive_depth(tree, row, node=0):
+    feature, cut, right, length = tree[node]
+    if feature < 0:
+        return length
+    return naive_depth(tree, row, node + 1 if row[feature] < cut else right)
+
+
+def test_verdicts_follow_path_lengths_and_the_cheapest_limit(spark, sf_dir):
+    """Scores by walking each tree from its root, the limit by trying every step of the histogram."""
+    stats = anomaly.written_statistics(queries.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    labels = queries.table(spark, sf_dir, "labels")
+    forest, limit = anomaly.fit(stats, labels)
+    rows = anomaly.judged(stats, forest, limit).collect()
+    trees = [(list(zip(*(c.tolist() for c in tree[:4]))), tree[4]) for tree in forest]
+    score = {}
+    for r in rows:
+        values = anomaly.features({c: np.array([r[c]]) for c in anomaly.COUNTS})[0]
+        score[r.doc_id] = 2 ** -np.mean([naive_depth(nodes, values) / usual for nodes, usual in trees])
+        assert r.anomaly == pytest.approx(score[r.doc_id], rel=1e-9)
+        assert r.kept == (not r.base_failed and r.anomaly < limit)
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    judged = [(r.anomaly, quality[r.doc_id]) for r in rows if r.doc_id in quality and not r.base_failed]
+
+    def cost(at):
+        return sum((anomaly.LOST if q == 1 else 0) if a >= at else (q != 1) for a, q in judged)
+
+    assert cost(limit) == min(cost(i / anomaly.STEPS) for i in range(0, anomaly.STEPS + 1))
 
 
 def test_forest_separates_the_labelled_rows(spark):
@@ -267,6 +296,39 @@ def test_repeats_of_edge_rows(edge_docs, size):
     assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in out) == expected
 
 
+def thue_morse(order):
+    word = "a"
+    for _ in range(order):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("order", [9, 11])
+def test_words_that_collide_modulo_a_power_of_two_differ(spark, order):
+    one, other = thue_morse(order)
+    between = prose(31, 34)
+    texts = [f"{one} {between}", f"{other} {between}", "\n".join([one, other] * 2), f"{one} x y {other} x y"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert all(r.n_removed == 0 for r in substrings.remove_repeats(docs).collect())
+    for r in anomaly.with_scores(anomaly.statistics(docs), []).collect():
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute_rules(r.text)
+
+
+def test_residues_of_spans_equal_python_integers():
+    from palaver.llm.words import PRIMES, RollingHash
+
+    rolling = RollingHash(12345678901234567890)
+    values = np.random.default_rng(1).integers(0, 2**63, 300).astype(np.uint64)
+    sums = rolling.prefix(values)
+    for own, prime, base in zip(sums, PRIMES, rolling.bases):
+        total = sum(int(v) * pow(base, i, prime) for i, v in enumerate(values[:200]))
+        assert int(own[200]) % prime == total % prime
+    again = np.concatenate((values[:50], values))
+    moved = rolling.prefix(again)
+    starts, ends = np.array([0, 10, 299]), np.array([300, 25, 300])
+    assert (rolling.spans(sums, starts, ends) == rolling.spans(moved, starts + 50, ends + 50)).all()
+
+
 def test_repeats_across_many_slices_and_buckets(spark, monkeypatch):
     monkeypatch.setattr(substrings, "BUCKET_BYTES", 2000)
     monkeypatch.setattr(substrings, "HASHED_AT_ONCE", 3000)
