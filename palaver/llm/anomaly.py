@@ -47,8 +47,7 @@ def line_counts(part, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray]:
     full = words_before[ends] > words_before[starts]
     starts, ends = starts[full], ends[full]
     text = np.searchsorted(part.at, starts, side="right") - 1
-    prefix = hasher.by_byte.prefix(hasher.values[part.data])
-    keys = hasher.by_byte.spans(prefix, starts, ends)
+    keys = hasher.spans(part.data, starts, ends)
     order = np.lexsort((keys, text))
     same = (keys[order][1:] == keys[order][:-1]) & (text[order][1:] == text[order][:-1])
     return np.bincount(text, minlength=part.n), np.bincount(text[order][1:][same], minlength=part.n)

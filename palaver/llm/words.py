@@ -1,4 +1,4 @@
-"""Words of whole text columns as numpy arrays, and Rabin-Karp hashes of words and word windows.
+"""Words of whole text columns as numpy arrays, hashes of words, and Rabin-Karp hashes of word windows.
 
 A word is a longest run of characters other than space and U+0009 to U+000D. These separators are
 ASCII, so words can be cut from the UTF-8 bytes. A column is handled in slices of whole texts of
@@ -7,6 +7,7 @@ about ``SLICE_BYTES`` together, which bounds the memory; a longer text is a slic
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,57 +25,90 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def byte_values(seed: int) -> np.ndarray:
-    return mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
+#: Spans up to here are mixed eight bytes at a time, all of them side by side; longer ones take a library digest each.
+LONGEST_MIXED = 64
+STEP = np.uint64(0x9E3779B97F4A7C15)
+MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 
 
-#: Two primes below 2**31: products of residues fit 64 bits.
-PRIMES = 2_147_483_647, 2_147_483_629
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
+    """64-bit hashes of spans of bytes; no sums or powers, so no family of strings collides by structure."""
+    size = ends - starts
+    out = mixed(size.astype(np.uint64) * STEP + np.uint64(seed))
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each place
+    active = np.flatnonzero(size <= LONGEST_MIXED)
+    for at in range(0, LONGEST_MIXED, 8):
+        active = active[size[active] > at]
+        if not len(active):
+            break
+        held = eight[starts[active] + at] & MASKS[np.minimum(size[active] - at, 8)]
+        out[active] = mixed((out[active] ^ held) + STEP)
+    for i in np.flatnonzero(size > LONGEST_MIXED).tolist():
+        digest = hashlib.blake2b(data[starts[i]:ends[i]], digest_size=8, salt=seed.to_bytes(8, "little"))
+        out[i] = int.from_bytes(digest.digest(), "little")
+    return out
 
 
-def residues(x: np.ndarray, prime: int) -> np.ndarray:
-    return x - x // np.uint64(prime) * np.uint64(prime)
+#: The modulus 2**31 - 1: a remainder costs a shift and an addition, and products of remainders fit 64 bits.
+BITS = np.uint64(31)
+PRIME = np.uint64((1 << 31) - 1)
+
+
+def folded(x: np.ndarray) -> np.ndarray:
+    """A number below 2**33 with the same remainder, in place of one below 2**64; below 2**32 for one below 2**62."""
+    return (x & PRIME) + (x >> BITS)
+
+
+def remainder(x: np.ndarray) -> np.ndarray:
+    x = folded(folded(x))
+    return np.where(x >= PRIME, x - PRIME, x)
 
 
 class RollingHash:
-    """Polynomial hashes modulo two primes from prefix sums: any span costs two lookups each.
+    """Polynomial hashes modulo a prime with two bases, from prefix sums: any span costs two lookups each.
 
     ``sum(value[i] * base**i)`` over a span, divided by ``base**start``, does not depend on where the
-    span stands. Both residues make a number of 62 bits. A power of two as modulus would be cheaper, but with it some
-    strings (Thue-Morse and its complement) collide for every base.
+    span stands. A value is a pair of 31-bit numbers, one per base, and so is a hash. A power of two as modulus would be cheaper, but
+    then some strings (Thue-Morse and its complement) collide for every base.
     """
 
     def __init__(self, base: int):
-        self.bases = [base % (p - 2) + 2 for p in PRIMES]
+        self.bases = [(base + 0x9E3779B97F4A7C15 * i) % int(PRIME - np.uint64(2)) + 2 for i in (1, 2)]
         self.powers = [np.ones(1, np.uint32)] * 2
         self.inverses = [np.ones(1, np.uint32)] * 2
 
     @staticmethod
-    def powers_of(base: int, prime: int, n: int) -> np.ndarray:
+    def powers_of(base: int, n: int) -> np.ndarray:
         out = np.ones(1, np.uint64)
         while len(out) < n:
-            out = np.concatenate((out, residues(out[:n - len(out)] * np.uint64(pow(base, len(out), prime)), prime)))
+            out = np.concatenate((out, remainder(out[:n - len(out)] * np.uint64(pow(base, len(out), int(PRIME))))))
         return out.astype(np.uint32)
 
-    def prefix(self, values: np.ndarray) -> list[np.ndarray]:
-        n = len(values) + 1
+    def prefix(self, pairs: list[np.ndarray]) -> list[np.ndarray]:
+        """Sums of the values, given as two columns of numbers below 2**31."""
+        n = len(pairs[0]) + 1
         if n > len(self.powers[0]):
             room = n + n // 4
-            self.powers = [self.powers_of(b, p, room) for b, p in zip(self.bases, PRIMES)]
-            self.inverses = [self.powers_of(pow(b, -1, p), p, room) for b, p in zip(self.bases, PRIMES)]
+            self.powers = [self.powers_of(b, room) for b in self.bases]
+            self.inverses = [self.powers_of(pow(b, -1, int(PRIME)), room) for b in self.bases]
         out = []
-        for prime, powers in zip(PRIMES, self.powers):
+        for values, powers in zip(pairs, self.powers):
             sums = np.zeros(n, np.uint64)
-            # terms are below 2**31, so the sums of 2**33 of them fit
-            np.cumsum(residues(residues(values, prime) * powers[:n - 1], prime), out=sums[1:])
+            terms = np.multiply(values, powers[:n - 1], dtype=np.uint64)
+            # folded terms are below 2**32, so the sums of 2**31 of them fit 63 bits
+            np.cumsum(folded(terms), out=sums[1:])
             out.append(sums)
         return out
 
     def spans(self, sums: list[np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        high, low = (residues(residues(own[ends] - own[starts], prime) * inverses[starts], prime)
-                     for own, prime, inverses in zip(sums, PRIMES, self.inverses))
-        length = (ends - starts).astype(np.uint64)
-        return mixed((high << np.uint64(31)) + low + length * np.uint64(0x9E3779B97F4A7C15))
+        high, low = (remainder(folded(folded(own[ends] - own[starts])) * inverses[starts]) for own, inverses in zip(sums, self.inverses))
+        return mixed((high << BITS) + low + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def halves(hashes: np.ndarray) -> list[np.ndarray]:
+    """Two 31-bit numbers of each hash."""
+    return [hashes & PRIME, (hashes >> BITS) & PRIME]
 
 
 class Slice:
@@ -114,14 +148,17 @@ class WordHasher:
     """Hashes of the words of a slice, and of its word windows: 62 bits, spread over 64."""
 
     def __init__(self, seed: int = 1):
-        self.values = byte_values(seed)
-        self.by_byte, self.by_word = RollingHash(0x5851F42D4C957F2D + 2 * seed), RollingHash(0x2545F4914F6CDD1D + 2 * seed)
+        self.seed, self.by_word = seed, RollingHash(0x2545F4914F6CDD1D + 2 * seed)
+
+    def spans(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of spans of bytes."""
+        return span_hashes(data, starts, ends, self.seed)
 
     def words(self, part: Slice) -> np.ndarray:
-        return self.by_byte.spans(self.by_byte.prefix(self.values[part.data]), part.starts, part.ends)
+        return self.spans(part.data, part.starts, part.ends)
 
     def windows(self, hashes: np.ndarray, at: np.ndarray, size: int | np.ndarray) -> np.ndarray:
-        return self.by_word.spans(self.by_word.prefix(hashes), at, at + size)
+        return self.by_word.spans(self.by_word.prefix(halves(hashes)), at, at + size)
 
 
 def text_column(column) -> tuple[np.ndarray, np.ndarray]:
