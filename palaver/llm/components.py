@@ -41,3 +41,19 @@ def components(edges: DataFrame) -> DataFrame:
         seen = now
     roots = edges.select(F.col("b").alias("id")).distinct().withColumn("root", F.col("id"))
     return edges.select(F.col("a").alias("id"), F.col("b").alias("root")).unionByName(roots)
+
+
+def united(clusters: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``(id, root)`` after further links ``(a, b)``: only the roots that these join are worked on."""
+    if clusters is None:
+        return components(links)
+    for end in ("a", "b"):
+        own = clusters.select(F.col("id").alias(end), F.col("root").alias("_root"))
+        links = links.join(own, end, "left").withColumn(end, F.coalesce("_root", end)).drop("_root")
+    links = written(downward(links), "links")
+    if links.isEmpty():
+        return clusters
+    joined = components(links)
+    moved = joined.select(F.col("id").alias("root"), F.col("root").alias("_to"))
+    known = clusters.join(moved, "root", "left").select("id", F.coalesce("_to", "root").alias("root"))
+    return written(known.unionByName(joined.join(clusters, "id", "left_anti")), "clusters")

@@ -5,9 +5,9 @@ from the start. Each node has ``COORDINATES`` minwise tokens. A tree branches th
 far selects a coordinate, and the node goes to the branch of its token there. Similar sets agree in
 a token with odds equal to their similarity, so they tend to stay together while others part. A
 branch of at most ``LEAF`` nodes is a leaf, whose members are compared exhaustively by their tokens;
-larger ones branch again, level by level, and no path asks for a token twice. A large branch ends in two
+larger ones branch again, level by level, and no path asks for a token twice. A large branch ends in three
 cases only: all its members are in one cluster of candidates already, so that no pair in it can be
-lost, or all tokens have been asked and are equal. The members of a large branch are also dealt at
+lost; or all but ``VISITORS`` are (or so few that they make at most ``VISITED`` pairs with the members), and these then meet every member in its leaves; or all tokens have been asked and are equal. The members of a large branch are also dealt at
 random to leaves, anew on each level of each tree: near copies by the thousand, which tokens part
 slowly, find each other there. ``TREES`` independent trees are united: a pair of similarity s
 stays together with odds of s per branching, and meets in a leaf as soon as a token of its own parts it
@@ -37,14 +37,17 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from palaver.llm.components import components
+from palaver.llm.components import components, united
 from palaver.llm.words import Slice, WordHasher, mixed, run_lengths, slices
 from palaver.session import written
 
 SHINGLE = 5
 #: Similarity in percent: that of stages without a contract of their own, and that of op5.
 PERCENT, OP5_PERCENT = 80, 85
-COORDINATES, TREES, LEAF = 96, 12, 64
+COORDINATES, TREES, LEAF, VISITORS = 96, 12, 64, 32
+VISITED = 40_000
+#: Rows of ids up to here are broadcast, checked by a count; more are joined by a shuffle.
+FEW_ROWS = 100_000
 CHUNK_SHINGLES, PIVOTS = 1 << 20, 8
 SEEDS = mixed(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64))
 FACTORS, OFFSETS = (SEEDS[:COORDINATES].astype(np.uint32) | np.uint32(1)), SEEDS[COORDINATES:].astype(np.uint32)
@@ -180,32 +183,63 @@ def linked_rows(leaf: np.ndarray, ids: np.ndarray, tokens: np.ndarray, least: fl
         yield pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(ids[label[linked]])], names=["a", "b"])
 
 
+def visits_of(rooted: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``(id, leaf)`` for branches that are one cluster but for a few: those few visit leaves that hold all members."""
+    members = rooted.join(sizes, "branch").withColumn("_leaves", F.ceil(F.col("n") / (LEAF * 3 // 4)).cast("long")).withColumn(
+        "_groups", F.ceil((F.col("n") - F.col("top.c")) / VISITORS).cast("long"))
+
+    def every(column: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(column) - 1))
+
+    def one_of(column: str, seed: int):
+        return F.pmod(F.xxhash64("id", "branch", F.lit(seed)), F.col(column))
+
+    hosts = members.select("id", "branch", one_of("_leaves", 1).alias("_at"), every("_groups").alias("_group"))
+    guests = members.filter("root <> top.root").select("id", "branch", one_of("_groups", 2).alias("_group"), every("_leaves").alias("_at"))
+    rows = hosts.unionByName(guests)
+    return written(rows.select("id", F.xxhash64("branch", "_at", "_group").alias("leaf")).distinct(), "visits")
+
+
 def candidate_clusters(nodes: DataFrame, percent: int) -> DataFrame:
-    """``(id, root)``: clusters of nodes whose tokens agree in a leaf of some tree. Only large branches of several clusters branch on."""
-    held, links, clusters = nodes.select("id", "tokens", "low_tokens"), None, None
+    """``(id, root)``: clusters of nodes whose tokens agree in a leaf of some tree.
+
+    A large branch of one cluster is done. One that is a single cluster but for a few members is settled on
+    the next level, where these meet all others. Only the remaining large branches branch on.
+    """
+    lows = nodes.select("id", "low_tokens")
+    held, clusters, waiting = nodes.select("id", "tokens"), None, None
     for depth in range(1, COORDINATES + 1):
-        source = held.select("id", "tokens") if depth == 1 else held.select("id", "tokens", "trees")
-        rows = source.mapInArrow(branches(depth, TREES if depth == 1 else 0), "id long, tree long, branch long")
+        rows = held.mapInArrow(branches(depth, TREES if depth == 1 else 0), "id long, tree long, branch long")
         shared = rows.groupBy("branch").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         sized = written(rows.join(shared, "branch"), "branches")
         large = sized.filter(f"n > {LEAF}")
         # members of a large branch also meet at random, in leaves of about three quarters of the largest size
         part = F.when(F.col("n") > LEAF, F.pmod(F.xxhash64("id", "tree", F.lit(depth)), F.ceil(F.col("n") / (LEAF * 3 // 4)))).otherwise(-1)
-        members = sized.select("id", F.xxhash64("branch", part).alias("leaf")).join(held.select("id", "low_tokens"), "id")
-        ordered = members.select("leaf", "id", "low_tokens").repartition("leaf").sortWithinPartitions("leaf")
+        leaves = sized.select("id", F.xxhash64("branch", part).alias("leaf"))
+        if waiting is not None:
+            leaves = leaves.unionByName(waiting)
+        leaves = written(leaves, "leaves")
+        if leaves.count() <= FEW_ROWS:  # two numbers a row: below 16 MB, so the tokens of all nodes need not move
+            leaves = F.broadcast(leaves)
+        ordered = leaves.join(lows, "id").select("leaf", "id", "low_tokens").repartition("leaf").sortWithinPartitions("leaf")
         found = ordered.mapInArrow(compare_leaves(agreement(percent)), "a long, b long")
         if depth == COORDINATES:  # what is still large has equal tokens
             least = large.groupBy("branch").agg(F.min("id").alias("b"))
             found = found.unionByName(large.join(least, "branch").select(F.col("id").alias("a"), "b"))
-        links = found if links is None else clusters.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(found)
-        clusters = components(links)
+        clusters = united(clusters, found)
         if depth == COORDINATES or large.isEmpty():
             break
-        rooted = large.join(clusters, "id", "left").withColumn("root", F.coalesce("root", "id"))
-        several = rooted.groupBy("branch").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-        trees = large.join(several, "branch", "left_semi").groupBy("id").agg(F.collect_list("tree").alias("trees"))
-        held = written(held.select("id", "tokens", "low_tokens").join(trees, "id"), "open")
-        if held.isEmpty():
+        rooted = written(large.drop("n").join(clusters, "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
+        own = rooted.groupBy("branch", "root").agg(F.count(F.lit(1)).alias("c"))
+        sizes = own.groupBy("branch").agg(F.sum("c").alias("n"), F.max(F.struct("c", "root")).alias("top")).filter("n > top.c")
+        sizes = written(sizes, "sizes")
+        others = F.col("n") - F.col("top.c")
+        few = (others <= VISITORS) | (others * F.col("n") <= VISITED)
+        waiting = visits_of(rooted, sizes.filter(few))
+        trees = rooted.join(sizes.filter(~few), "branch", "left_semi").groupBy("id").agg(F.collect_list("tree").alias("trees"))
+        trees = written(trees, "trees")
+        held = nodes.select("id", "tokens").join(F.broadcast(trees) if trees.count() <= FEW_ROWS else trees, "id")
+        if trees.isEmpty() and waiting.isEmpty():
             break
     return clusters
 
