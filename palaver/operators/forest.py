@@ -1,65 +1,294 @@
-"""Multi-label random forest on TF-IDF features, its predictions and the rule fallback."""
+"""Multi-label random forest on sparse TF-IDF features, its predictions and the rule fallback.
+
+All labels share one joint tree structure, and every term of the corpus is a feature. A text is one row
+with its sorted term numbers and weights; terms it lacks are zero and take no room. All trees grow together,
+level by level, one Spark job each. A task walks its rows down the tree grown so far and sends, for the open
+node it reaches, the terms this node may split on. They are added up by ``(tree, node, term)``: weight and positives
+per label above each cut. What is not above follows by subtraction from the totals of the node, so zeros are never
+counted. The best split of each open node goes to the driver. Memory does not depend on the vocabulary: the driver and the
+tasks hold the nodes of the model, nothing else.
+
+A node looks at a random part of the terms: the share of a square root, and at least about ``LEAST_SEEN``
+entries. A split has the least Gini impurity summed over labels; ties go to the smaller term number, then the lower cut.
+A tree's rows are drawn by a Poisson weight from the hash of the row, equal rows together.
+"""
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, IDF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from palaver import values
+from palaver import session, values
 from palaver.functions.scalars import fixed
-from palaver.functions.text import WORD
+from palaver.operators import vectors
 
-MAX_DEPTH = 30  # the library's limit
+#: A term splits a node by "weight above the cut"; 0 means that the text has the term.
+CUTS = (0.0, 0.05, 0.1, 0.2)
+LEAST_SEEN, MOST_BROADCAST = 256, 100_000
+POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(12)])
+ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def fit_tfidf(df: DataFrame, text: str, vocabulary_size: int = 20_000, output: str = "features") -> PipelineModel:
-    """Tokens, counts, smoothed idf + 1 and unit length, as one reusable model.
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Spread 64-bit integers over all bits."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
-    The library's idf has no ``+ 1``, so the fitted weights are raised by one in a product stage.
-    """
-    tokenizer = RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=rf"[{WORD}]{{2,}}", gaps=False)
-    counter = CountVectorizer(inputCol="_tokens", outputCol="_counts", vocabSize=vocabulary_size)
-    head = Pipeline(stages=[tokenizer, counter]).fit(df)
-    idf = IDF(inputCol="_counts", outputCol="_idf").fit(head.transform(df))
-    weights = Vectors.dense(idf.idf.toArray() + 1.0)
-    product = ElementwiseProduct(scalingVec=weights, inputCol="_counts", outputCol="_weighted")
-    return PipelineModel(stages=[*head.stages, product, Normalizer(p=2.0, inputCol="_weighted", outputCol=output)])
 
+def drawn(rows: np.ndarray, tree: int, seed: int) -> np.ndarray:
+    """How often a tree draws each row (a 64-bit hash): Poisson of mean 1."""
+    stream = mixed(np.array([seed * 1_000_003 + tree + 1], np.uint64) * ODD)
+    uniform = (mixed(rows.view(np.uint64) ^ stream) >> np.uint64(11)).astype(float) / (1 << 53)
+    return np.searchsorted(POISSON, uniform, side="right")
 
-def fit_forest(df: DataFrame, text: str = "comment_text", labels=values.TOXICITY_LABELS, trees: int = 15,
-               depth: int = MAX_DEPTH, seed: int = 0, vocabulary_size: int = 20_000) -> PipelineModel:
-    """One forest per label on shared features, in a single saveable pipeline model."""
-    features = fit_tfidf(df, text, vocabulary_size)
-    vectors = features.transform(df).select("features", *[F.col(c).cast("double").alias(c) for c in labels])
-    stages = list(features.stages)
-    for label in labels:
-        forest = RandomForestClassifier(
-            featuresCol="features", labelCol=label, predictionCol=f"prediction_{label}",
-            probabilityCol=f"probability_{label}", rawPredictionCol=f"raw_{label}",
-            numTrees=trees, maxDepth=min(depth, MAX_DEPTH), seed=seed,
-        )
-        stages.append(forest.fit(vectors))
-    return PipelineModel(stages=stages)
+
+def term_draw(terms: np.ndarray, tree: int, nodes: np.ndarray, seed: int) -> np.ndarray:
+    """A number in [0, 1) per term and node; a node looks at the terms below its share."""
+    node = mixed((nodes.astype(np.uint64) + np.uint64((seed * 1_000_003 + tree + 1) << 32)) * ODD)
+    return (mixed(terms.view(np.uint64) ^ node) >> np.uint64(11)).astype(float) / (1 << 53)
+
+
+class Tree:
+    """Nodes as columns; a leaf has no children (-1)."""
+
+    def __init__(self):
+        self.term, self.cut, self.low, self.high, self.n, self.positives, self.depth = [], [], [], [], [], [], []
+
+    def add(self, n: int, positives: list[int], depth: int) -> int:
+        for column, value in zip((self.term, self.cut, self.low, self.high, self.n, self.positives, self.depth),
+                                 (0, 0.0, -1, -1, n, positives, depth)):
+            column.append(value)
+        return len(self.n) - 1
+
+    def split(self, node: int, term: int, cut: float, n: int, positives: list[int]) -> list[int]:
+        """Children of a node; the one above the cut has ``n`` and ``positives``."""
+        depth = self.depth[node] + 1
+        rest = [a - b for a, b in zip(self.positives[node], positives)]
+        self.term[node], self.cut[node] = term, cut
+        self.low[node] = self.add(self.n[node] - n, rest, depth)
+        self.high[node] = self.add(n, list(positives), depth)
+        return [self.low[node], self.high[node]]
+
+    def mixed_labels(self, node: int) -> bool:
+        return any(0 < p < self.n[node] for p in self.positives[node])
+
+
+class Sparse:
+    """Rows of an Arrow batch ``(terms, weights)`` with the terms of each row sorted."""
+
+    def __init__(self, terms: pa.Array, weights: pa.Array):
+        self.terms, self.weights = (c.flatten().to_numpy(zero_copy_only=False) for c in (terms, weights))
+        sizes = np.diff(terms.offsets.to_numpy())
+        self.n, self.row = len(sizes), np.repeat(np.arange(len(sizes)), sizes)
+        self.known, code = np.unique(self.terms, return_inverse=True)
+        self.keys = self.row * max(len(self.known), 1) + code
+
+    def weight(self, rows: np.ndarray, terms: np.ndarray) -> np.ndarray:
+        """Weight of a term in each row, 0 where the row lacks it."""
+        if not len(self.keys):
+            return np.zeros(len(rows))
+        code = np.minimum(np.searchsorted(self.known, terms), len(self.known) - 1)
+        key = rows * len(self.known) + code
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.known[code] == terms) & (self.keys[at] == key), self.weights[at], 0.0)
+
+    def nodes(self, tree: tuple[np.ndarray, ...]) -> np.ndarray:
+        """The node of a tree (arrays term, cut, low, high) where each row ends."""
+        term, cut, low, high = tree
+        at = np.zeros(self.n, np.int64)
+        moving = np.arange(self.n)
+        while len(moving := moving[low[at[moving]] >= 0]):
+            node = at[moving]
+            above = self.weight(moving, term[node]) > cut[node]
+            at[moving] = np.where(above, high[node], low[node])
+        return at
+
+
+def arrays(tree: Tree) -> tuple[np.ndarray, ...]:
+    return (np.array(tree.term, np.int64), np.array(tree.cut, float), np.array(tree.low, np.int64), np.array(tree.high, np.int64))
+
+
+@dataclass
+class ForestModel:
+    """A forest: its labels, its nodes ``(tree, node, term, cut, low, high, shares)`` and the fitted ``(term, idf)``."""
+
+    labels: list[str]
+    text: str
+    nodes: list[tuple]
+    idf: DataFrame
+
+    def trees(self) -> list[tuple[tuple[np.ndarray, ...], np.ndarray]]:
+        out = []
+        for tree in sorted({n[0] for n in self.nodes}):
+            own = sorted(n for n in self.nodes if n[0] == tree)
+            columns = list(zip(*own))
+            kinds = (np.int64, float, np.int64, np.int64)
+            out.append((tuple(np.array(columns[2 + i], k) for i, k in enumerate(kinds)), np.array(columns[6], float)))
+        return out
+
+
+def features(df: DataFrame, idf: DataFrame, key: str, text: str) -> DataFrame:
+    """``(key, terms, weights)`` per row of a frame with unique keys; terms by number, weights to 12 digits."""
+    weighted = vectors.tfidf(df, idf, key, text).select(
+        key, F.struct(F.xxhash64("term").alias("t"), F.round("tfidf", 12).alias("w")).alias("_e"))
+    entries = weighted.groupBy(key).agg(F.sort_array(F.collect_list("_e")).alias("_e"))
+    joined = df.select(key).join(entries, key, "left").withColumn("_e", F.coalesce("_e", F.array().cast("array<struct<t:bigint,w:double>>")))
+    return joined.select(key, F.col("_e.t").alias("terms"), F.col("_e.w").alias("weights"))
 
 
-def _labels_of(model: PipelineModel) -> list[str]:
-    return [s.getPredictionCol().removeprefix("prediction_") for s in model.stages if s.hasParam("probabilityCol")]
+def _text_key(text: str) -> Column:
+    return F.md5(F.coalesce(F.col(text), F.lit("")))
 
 
-def _positive(label: str) -> Column:
-    """Probability of class 1; a label with one class in the training data has only class 0."""
-    return F.coalesce(F.get(vector_to_array(f"probability_{label}"), F.lit(1)), F.lit(0.0))
+def training_rows(df: DataFrame, text: str, labels, idf: DataFrame) -> DataFrame:
+    """``(row, copies, y, terms, weights)``: equal rows once, written for the jobs of all levels."""
+    keyed = df.select(_text_key(text).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"),
+                      F.array(*[F.col(c).cast("int") for c in labels]).alias("y"))
+    counts = keyed.groupBy("_key", "y").agg(F.count(F.lit(1)).alias("copies"))
+    texts = session.written(keyed.select("_key", "_text").dropDuplicates(["_key"]), "texts")
+    rows = counts.join(features(texts, idf, "_key", "_text"), "_key")
+    return session.written(rows.select(F.xxhash64("_key", "y").alias("row"), "copies", "y", "terms", "weights"), "training")
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Add ``probabilities``: the probability of each label in the model's order."""
-    scored = model.transform(df)
-    return scored.select(*df.columns, F.array(*[_positive(c) for c in _labels_of(model)]).alias("probabilities"))
+def _labels_matrix(column: pa.Array, n_labels: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, n_labels)
+
+
+def root_totals(rows: DataFrame, trees: int, n_labels: int, seed: int) -> list[tuple]:
+    """``(tree, n, positives)`` of all rows drawn by each tree."""
+
+    def run(incoming):
+        for batch in incoming:
+            row, copies, y = batch.column(0).to_numpy(), batch.column(1).to_numpy(), _labels_matrix(batch.column(2), n_labels)
+            weights = [drawn(row, t, seed) * copies for t in range(trees)]
+            sums = [[int(w.sum()), *map(int, w @ y)] for w in weights]
+            yield pa.RecordBatch.from_arrays([pa.array(range(trees), pa.int32()), pa.array(sums, pa.list_(pa.int64()))], names=["tree", "sums"])
+
+    found = rows.select("row", "copies", "y").mapInArrow(run, "tree int, sums array<bigint>")
+    totals = found.groupBy("tree").agg(*[F.sum(F.get("sums", F.lit(i))).alias(f"s{i}") for i in range(n_labels + 1)])
+    return sorted((r[0], r[1], list(r[2:])) for r in totals.collect())
+
+
+def seen_terms(forest: list[Tree], open_: dict[tuple[int, int], float], n_labels: int, seed: int):
+    """Mapper: ``(tree, node, term, weight, n, y)`` for each term that an open node looks at."""
+    grown = [arrays(t) for t in forest]
+    shares = []
+    for t in range(len(forest)):
+        share = np.zeros(len(forest[t].n))
+        for (tree, node), value in open_.items():
+            if tree == t:
+                share[node] = value
+        shares.append(share)
+
+    def run(incoming):
+        for batch in incoming:
+            row, copies, y = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
+            sparse = Sparse(batch.column(3), batch.column(4))
+            for tree, share in enumerate(shares):
+                if not share.any():
+                    continue
+                node, times = sparse.nodes(grown[tree]), drawn(row, tree, seed) * copies
+                least = np.where(times > 0, share[node], 0.0)
+                entry = np.flatnonzero(least[sparse.row] > 0)
+                own = sparse.row[entry]
+                entry = entry[term_draw(sparse.terms[entry], tree, node[own], seed) < least[own]]
+                own = sparse.row[entry]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(own), tree), pa.int32()), pa.array(node[own], pa.int32()), pa.array(sparse.terms[entry], pa.int64()),
+                    pa.array(sparse.weights[entry], pa.float64()), pa.array(times[own], pa.int64()), y.take(pa.array(own))],
+                    names=["tree", "node", "term", "weight", "n", "y"])
+
+    return run
+
+
+def impurity(n: Column, positives: list[Column]) -> Column:
+    """Gini impurity times the weight, summed over labels and halved."""
+    total = sum((p * (n - p) for p in positives[1:]), positives[0] * (n - positives[0]))
+    return total / n
+
+
+def best_splits(rows: DataFrame, forest: list[Tree], open_: dict[tuple[int, int], float], n_labels: int, seed: int) -> list:
+    """``(tree, node, term, cut number, n, positives)`` above the cut, for the open nodes that a split improves."""
+    seen = rows.mapInArrow(seen_terms(forest, open_, n_labels, seed), "tree int, node int, term bigint, weight double, n bigint, y array<int>")
+    above = []
+    for i, cut in enumerate(CUTS):
+        n = F.when(F.col("weight") > cut, F.col("n")).otherwise(0)
+        above += [F.sum(n).alias(f"n{i}")] + [F.sum(n * F.get("y", F.lit(j))).alias(f"p{i}_{j}") for j in range(n_labels)]
+    sums = seen.groupBy("tree", "node", "term").agg(*above)
+    totals = rows.sparkSession.createDataFrame(
+        [(t, node, forest[t].n[node], *forest[t].positives[node]) for t, node in open_],
+        "tree int, node int, n bigint, " + ", ".join(f"p{j} bigint" for j in range(n_labels)))
+    joined = sums.join(F.broadcast(totals) if len(open_) <= MOST_BROADCAST else totals, ["tree", "node"])
+    whole = [F.col(f"p{j}") for j in range(n_labels)]
+    choices = []
+    for i in range(len(CUTS)):
+        n, own = F.col(f"n{i}"), [F.col(f"p{i}_{j}") for j in range(n_labels)]
+        left = impurity(n, own) + impurity(F.col("n") - n, [a - b for a, b in zip(whole, own)])
+        choices.append(F.when((n > 0) & (n < F.col("n")), F.struct(
+            (left - impurity(F.col("n"), whole)).alias("change"), F.col("term").alias("term"), F.lit(i).alias("cut"),
+            n.alias("n"), F.array(*own).alias("positives"))))
+    best = joined.select("tree", "node", F.array_min(F.array(*choices)).alias("best")).filter("best.change < -1e-9")
+    return best.groupBy("tree", "node").agg(F.min("best").alias("best")).select("tree", "node", "best.*").collect()
+
+
+def grow(rows: DataFrame, n_labels: int, n_terms: int, mean_terms: float, trees: int, depth: int, seed: int) -> list[Tree]:
+    """All trees, level by level; the driver holds the nodes."""
+    forest = []
+    for _, n, positives in root_totals(rows, trees, n_labels, seed):
+        forest.append(Tree())
+        forest[-1].add(n, positives, 0)
+    open_ = [(t, 0) for t, tree in enumerate(forest) if tree.mixed_labels(0)]
+    while open_:
+        least = n_terms ** -0.5 if n_terms else 1.0
+        shares = {(t, node): min(1.0, max(least, LEAST_SEEN / max(forest[t].n[node] * mean_terms, 1.0))) for t, node in open_}
+        splits = best_splits(rows, forest, shares, n_labels, seed)
+        open_ = []
+        for s in sorted(splits, key=lambda s: (s.tree, s.node)):
+            tree = forest[s.tree]
+            children = tree.split(s.node, s.term, CUTS[s.cut], s.n, list(s.positives))
+            open_ += [(s.tree, c) for c in children if tree.depth[c] < depth and tree.n[c] > 1 and tree.mixed_labels(c)]
+    return forest
+
+
+def fit_forest(df: DataFrame, text: str = "comment_text", labels=values.TOXICITY_LABELS, trees: int = 15,
+               depth: int = 100, seed: int = 0) -> ForestModel:
+    """One joint forest for all labels over the whole vocabulary. Rows with a null label take no part."""
+    labels = list(labels)
+    known = df.select(text, *labels).dropna(subset=labels)
+    keyed = known.select(_text_key(text).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    idf = session.written(vectors.fit_idf(keyed, "_key", "_text"), "idf")
+    rows = training_rows(known, text, labels, idf)
+    n_terms = idf.count()
+    mean_terms = rows.agg(F.avg(F.size("terms"))).first()[0] or 0.0
+    forest = grow(rows, len(labels), n_terms, mean_terms, trees, depth, seed) if n_terms else []
+    nodes = [(t, i, tree.term[i], tree.cut[i], tree.low[i], tree.high[i], [p / tree.n[i] for p in tree.positives[i]])
+             for t, tree in enumerate(forest) if tree.n[0] for i in range(len(tree.n))]  # a tree that drew no row says nothing
+    return ForestModel(labels, text, nodes, idf)
+
+
+def predict(model: ForestModel, df: DataFrame) -> DataFrame:
+    """Add ``probabilities``: the mean share of each label in the leaves that a text reaches, in the model's order."""
+    forest, n_labels = model.trees(), len(model.labels)
+
+    def run(incoming):
+        for batch in incoming:
+            sparse = Sparse(batch.column(1), batch.column(2))
+            total = np.zeros((sparse.n, n_labels))
+            for tree, shares in forest:
+                total += shares[sparse.nodes(tree)]
+            means = pa.array((total / max(len(forest), 1)).tolist(), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), means], names=["_key", "probabilities"])
+
+    keyed = df.withColumn("_key", _text_key(model.text))
+    texts = session.written(keyed.select("_key", F.coalesce(F.col(model.text), F.lit("")).alias("_text")).dropDuplicates(["_key"]), "texts")
+    scored = features(texts, model.idf, "_key", "_text").mapInArrow(run, "_key string, probabilities array<double>")
+    return keyed.join(scored, "_key").select(*df.columns, "probabilities")
 
 
 def label_map(labels, probabilities="probabilities", threshold: float = 0.5) -> Column:
@@ -74,7 +303,7 @@ def model_score(probabilities="probabilities") -> Column:
     return fixed(F.try_divide(total, F.size(probabilities).cast("double")), 4)
 
 
-def score_with_fallback(df: DataFrame, model: PipelineModel | None, rule: str) -> DataFrame:
+def score_with_fallback(df: DataFrame, model: ForestModel | None, rule: str) -> DataFrame:
     """Add ``toxicity_score``: the model's mean, or the rule score (a column) without a model or a result."""
     if model is None:
         return df.withColumn("toxicity_score", F.col(rule))
@@ -82,16 +311,24 @@ def score_with_fallback(df: DataFrame, model: PipelineModel | None, rule: str) -
     return scored.drop("probabilities")
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+NODES = "tree int, node int, term bigint, cut double, low int, high int, shares array<double>"
+
+
+def save_model(model: ForestModel, path: str) -> None:
+    """Three Parquet folders: the form of the model, its nodes, its term weights."""
+    spark = model.idf.sparkSession
+    spark.createDataFrame(model.nodes, NODES).write.mode("overwrite").parquet(f"{path}/nodes")
+    model.idf.write.mode("overwrite").parquet(f"{path}/idf")
+    spark.createDataFrame([(model.labels, model.text)], "labels array<string>, text string").write.mode("overwrite").parquet(f"{path}/form")
 
 
-def load_model(spark: SparkSession, path: str) -> PipelineModel | None:
+def load_model(spark: SparkSession, path: str) -> ForestModel | None:
     """The stored model, or None when there is none at the path."""
     try:
-        spark.read.text(f"{path}/metadata")
+        form = spark.read.parquet(f"{path}/form").first()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return PipelineModel.load(path)
+    nodes = [tuple(r) for r in spark.read.parquet(f"{path}/nodes").collect()]
+    return ForestModel(list(form.labels), form.text, nodes, spark.read.parquet(f"{path}/idf"))

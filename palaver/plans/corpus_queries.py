@@ -180,17 +180,18 @@ def macro_f1(spark, folder):
 
 
 def _trained(spark, folder):
-    rows = session.written(corpus.prepare(labelled(spark, folder)), "labelled")
-    return rows, forest.fit_forest(rows, "comment_text", LABELS, depth=10, vocabulary_size=1000)
+    """Labelled texts and the forest fitted on them, each written on first use in an application."""
+    rows = spark.read.parquet(bindings.stored(spark, folder, "labelled", lambda path: corpus.prepare(
+        labelled(spark, folder)).write.parquet(path)))
+    path = bindings.stored(spark, folder, "forest", lambda path: forest.save_model(forest.fit_forest(rows, "comment_text", LABELS), path))
+    return rows, forest.load_model(spark, path)
 
 
 @query
 def forest_predictions(spark, folder):
-    """Forests on the labelled texts, saved and loaded again, over the same texts."""
+    """The stored forest of the labelled texts, over the same texts."""
     rows, model = _trained(spark, folder)
-    path = session.run_folder(spark, "forest")
-    forest.save_model(model, path)
-    found = forest.predict(forest.load_model(spark, path), rows)
+    found = forest.predict(model, rows)
     return found.select("doc_id", *[
         F.round(F.get("probabilities", F.lit(i)), 6).alias(f"p_{c}") for i, c in enumerate(LABELS)])
 
@@ -223,7 +224,7 @@ def label_split(spark, folder):
 def forest_report(spark, folder):
     """Forests fitted on the training part, measured on the held-out part."""
     rows = session.written(corpus.prepare(labelled(spark, folder)), "labelled")
-    model = forest.fit_forest(rows.filter(~corpus.held_out("doc_id")), "comment_text", LABELS, depth=10, vocabulary_size=1000)
+    model = forest.fit_forest(rows.filter(~corpus.held_out("doc_id")), "comment_text", LABELS)
     found = forest.predict(model, rows.filter(corpus.held_out("doc_id")))
     flags = forest.label_map(LABELS)
     judged = found.select(*LABELS, *[F.element_at(flags, c).alias(f"predicted_{c}") for c in LABELS])

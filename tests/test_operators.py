@@ -7,6 +7,7 @@ import random
 from collections import Counter
 from datetime import date, datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -267,16 +268,6 @@ def test_tfidf_by_hand(spark):
     assert set(found) == {(0, "aa"), (0, "bb"), (1, "bb"), (1, "cc")}
 
 
-def test_library_tfidf_equals_the_exact_one(spark):
-    df = spark.createDataFrame(list(enumerate(["aa bb aa", "bb cc", "cc cc dd bb"])), "id int, t string")
-    model = forest.fit_tfidf(df, "t")
-    terms = model.stages[1].vocabulary
-    exact = {(r.id, r.term): r.tfidf for r in vectors.tfidf(df, vectors.fit_idf(df, "id", "t"), "id", "t").collect()}
-    for row in model.transform(df).collect():
-        got = {(row.id, terms[i]): v for i, v in zip(row.features.indices, row.features.values)}
-        assert got == pytest.approx({k: v for k, v in exact.items() if k[0] == row.id})
-
-
 def test_sequences_and_padding(spark):
     df = spark.createDataFrame([(0, "b a a c"), (1, "zz"), (2, "a,b! C's")], "id int, t string")
     words = vectors.fit_vocabulary(df.filter("id = 0"), "t")
@@ -329,6 +320,85 @@ def test_forest_of_six_labels(spark, tmp_path):
     assert forest.load_model(spark, str(tmp_path / "none")) is None
 
 
+def brute_tree(rows, tree, depth, n_terms, mean_terms, seed=0):
+    """One tree by trying every term and cut of every node; leaves as ``(path, shares)``."""
+    def number(x):
+        return np.array([x], np.int64)
+
+    drawn = [(y, x, int(forest.drawn(number(row), tree, seed)[0]) * copies) for row, copies, y, x in rows]
+    ids, leaves = iter(range(1, 10_000)), {}
+
+    def impurity(part):
+        n = sum(w for *_, w in part)
+        p = [sum(w * y[j] for y, _, w in part) for j in range(len(rows[0][2]))]
+        return sum(a * (n - a) for a in p) / n, n, p
+
+    todo = [(0, drawn, 0, ())]
+    while todo:
+        level = []
+        for node, part, at, path in todo:
+            total, n, p = impurity(part)
+            best = None
+            if at < depth and n > 1 and any(0 < a < n for a in p):
+                share = min(1.0, max(n_terms ** -0.5, forest.LEAST_SEEN / max(n * mean_terms, 1.0)))
+                for term in sorted({t for _, x, w in part if w for t in x}):
+                    if forest.term_draw(number(term), tree, number(node), seed)[0] >= share:
+                        continue
+                    for i, cut in enumerate(forest.CUTS):
+                        high = [r for r in part if r[1].get(term, 0.0) > cut]
+                        low = [r for r in part if r[1].get(term, 0.0) <= cut]
+                        if sum(r[2] for r in high) and sum(r[2] for r in low):
+                            change = impurity(high)[0] + impurity(low)[0] - total
+                            if change < -1e-9 and (best is None or (change, term, i) < best[0]):
+                                best = (change, term, i), low, high
+            if best is None:
+                leaves[path] = [a / n for a in p]
+            else:
+                (_, term, i), low, high = best
+                level += [(next(ids), low, at + 1, (*path, (term, i, 0))), (next(ids), high, at + 1, (*path, (term, i, 1)))]
+        todo = level
+    return leaves
+
+
+def leaves_of(nodes):
+    own = {n[1]: n for n in nodes}
+
+    def walk(node, path):
+        _, _, term, cut, low, high, shares = own[node]
+        if low < 0:
+            return {path: shares}
+        i = forest.CUTS.index(cut)
+        return {**walk(low, (*path, (term, i, 0))), **walk(high, (*path, (term, i, 1)))}
+    return walk(0, ())
+
+
+@pytest.mark.parametrize("seen", [256, 20])
+def test_trees_equal_brute_force(spark, monkeypatch, seen):
+    monkeypatch.setattr(forest, "LEAST_SEEN", seen)
+    choose = random.Random(11)
+    texts = [" ".join(f"word{min(choose.randrange(40), choose.randrange(40))}" for _ in range(choose.randrange(0, 25))) for _ in range(90)]
+    rows = [(t, int(len(t) % 3 == 0), int("word1 " in t), choose.randrange(2)) for t in texts + texts[:10]] + [(None, 1, 0, 0)]
+    df = spark.createDataFrame(rows, "comment_text string, a int, b int, c int")
+    labels = ["a", "b", "c"]
+    model = forest.fit_forest(df, labels=labels, trees=4, depth=9)
+    given = [(r.row, r.copies, r.y, dict(zip(r.terms, r.weights)))
+             for r in forest.training_rows(df, "comment_text", labels, model.idf).collect()]
+    assert sum(r[1] for r in given) == len(rows)
+    mean_terms = sum(len(r[3]) for r in given) / len(given)
+    for tree in range(4):
+        found = leaves_of([n for n in model.nodes if n[0] == tree])
+        assert found == brute_tree(given, tree, 9, model.idf.count(), mean_terms)
+
+
+def test_forest_without_rows_or_terms(spark):
+    schema = "comment_text string, a int"
+    empty = forest.fit_forest(spark.createDataFrame([], schema), labels=["a"])
+    assert forest.predict(empty, spark.createDataFrame([("x y", 1), (None, 0)], schema)).select("probabilities").collect() == [([0.0],)] * 2
+    pure = forest.fit_forest(spark.createDataFrame([("aa bb", 1)] * 30 + [("cc", None)], schema), labels=["a"])
+    scored = forest.predict(pure, spark.createDataFrame([("zz", 1), ("aa", 0)], schema))
+    assert all(r.probabilities[0] in (0.0, 1.0) for r in scored.collect())
+
+
 def test_corpus_statistics(spark):
     df = spark.createDataFrame([("1", "a", 1), ("2", "b", 0), ("3", "c", -1), ("4", "d", 0)], "id string, t string, toxic int")
     row = corpus.label_prevalence(corpus.used_rows(df), ["toxic"]).first()
