@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracle.fragments import (AS_OF, WORD, found, listed, rounded, share, tally, with_cleaned, with_comments,
                               with_scored)
+from oracle.stemming import stem_tables
 from oracle.texts import MINIMAL, QUICK
 from palaver import values
 
@@ -56,6 +57,19 @@ TRENDING = """SELECT word AS keyword, COUNT(*) AS count, {0} AS sentiment_avg, {
 TERMS = f"list_filter({found('lower(message)', f'[{WORD}]+')}, lambda w: w NOT IN {listed(values.STOPWORDS)})"
 WANTED = "list_has_any(terms, ['kill', 'die', 'thon']) AND NOT list_contains(terms, 'pour')"
 
+#: Words with their places, without stopwords, and their stems.
+STEMMED = f"""WITH t AS (SELECT 'c' || CAST(doc_id AS VARCHAR) AS comment_id, source AS post_id, text AS message FROM documents),
+        kept AS MATERIALIZED (SELECT comment_id, w, i FROM (SELECT comment_id, unnest(ws) AS w, unnest(range(len(ws))) AS i
+            FROM (SELECT comment_id, {found('lower(message)', f'[{WORD}]+')} AS ws FROM t)) WHERE w NOT IN {listed(values.STOPWORDS)}),
+        terms AS (SELECT DISTINCT w AS term FROM kept),
+        {stem_tables('terms')},
+        s AS MATERIALIZED (SELECT comment_id, i, stem FROM kept JOIN stems ON term = w),
+        hits AS (SELECT a.comment_id FROM s a JOIN s b ON a.comment_id = b.comment_id AND b.i = a.i + 3 AND b.stem = 'apach'
+                 JOIN s c ON a.comment_id = c.comment_id AND c.i = a.i + 4 AND c.stem = 'licens' WHERE a.stem = 'licens'
+            UNION SELECT a.comment_id FROM s a JOIN s b ON a.comment_id = b.comment_id AND b.i = a.i + 1 AND b.stem = 'licens' WHERE a.stem = 'mit'
+            UNION SELECT comment_id FROM s WHERE stem = 'work' OR starts_with(stem, 'kill')
+            EXCEPT SELECT comment_id FROM s WHERE stem = 'gnu')"""
+
 LIST_ORDER = "ORDER BY ingestion_time DESC, comment_id"
 FILTERED = f"""SELECT comment_id, username, comment, label, {rounded('toxicity_score', 3)} AS toxicity_score, sentiment,
   {rounded('sentiment_score', 3)} AS sentiment_score, is_toxic, created_time, ingestion_time FROM scored"""
@@ -148,6 +162,9 @@ SQL = {
         SELECT DISTINCT unnest({TERMS}) AS term, comment_id FROM t""",
     "keyword_search_postings": f"""WITH t AS (SELECT 'c' || CAST(doc_id AS VARCHAR) AS comment_id, text AS message
         FROM documents), s AS (SELECT *, {TERMS} AS terms FROM t) SELECT comment_id FROM s WHERE {WANTED}""",
+    "text_stems": f"{STEMMED} SELECT term, stem FROM stems",
+    "stemmed_search": f"{STEMMED} SELECT comment_id, post_id, message FROM t JOIN hits USING (comment_id)",
+    "stemmed_search_index": f"{STEMMED} SELECT comment_id FROM hits",
     "recent_comments": with_scored(f"""
         SELECT comment_id, post_id, username, left(comment, 100) AS comment_preview, label,
                {rounded('toxicity_score', 4)} AS toxicity_score, sentiment, {rounded('sentiment_score', 4)} AS sentiment_score,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from palaver import session
 from palaver.functions.scalars import days, fixed, hours, moment
-from palaver.operators import keywords, listings, merge, records, rollups, search
+from palaver.operators import fulltext, keywords, listings, merge, records, rollups, search
 from palaver.plans import bindings, stages
 from palaver.plans.registry import query
 from palaver.sources import files
@@ -175,6 +175,39 @@ def keyword_search_postings(spark, folder):
     return search.search_postings(postings, "comment_id", any_of=WANTED, none_of=UNWANTED)
 
 
+# Inflected on purpose: stems make them meet the words of the texts.
+STEMMED = fulltext.both(
+    fulltext.either(fulltext.phrase("license under the apache licenses"), fulltext.phrase("MIT licensing"),
+                    fulltext.prefix("killing"), fulltext.word("works")),
+    fulltext.without(fulltext.word("GNU")))
+
+
+INDEX_BUCKETS = 32  # a few folders suffice for the tables here; one per 100 MB or so of postings
+
+
+def _index(spark, folder):
+    return bindings.stored(spark, folder, "fulltext", lambda path: fulltext.write_index(
+        fulltext.positional_postings(bindings.texts(spark, folder), "message", "comment_id"), path, INDEX_BUCKETS))
+
+
+@query
+def text_stems(spark, folder):
+    """The dictionary of the stored index: every distinct term with its stem."""
+    return spark.read.parquet(f"{_index(spark, folder)}/terms").select("term", "stem")
+
+
+@query
+def stemmed_search(spark, folder):
+    found = fulltext.find(bindings.texts(spark, folder), "message", STEMMED)
+    return found.select("comment_id", "post_id", "message")
+
+
+@query
+def stemmed_search_index(spark, folder):
+    """The same search answered by the stored index alone."""
+    return fulltext.find_in_index(spark, _index(spark, folder), "comment_id", STEMMED, INDEX_BUCKETS)
+
+
 # --- lists -----------------------------------------------------------------------------------
 
 
