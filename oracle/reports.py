@@ -217,3 +217,4 @@ SQL = {
         UNION ALL SELECT 'total_sent', SUM(least(u, 1))::DOUBLE, {AS_OF} FROM per_key
         UNION ALL SELECT 'duplicates_skipped', SUM(greatest(u - 1, 0))::DOUBLE, {AS_OF} FROM per_key""",
 }
+SQL["upsert_keyed_table"] = SQL["upsert_results"]

@@ -39,3 +39,4 @@ SQL = {
     "stream_drain": """SELECT 'c' || CAST(doc_id AS VARCHAR) AS comment_id, source AS post_id,
         CAST(length(text) AS INTEGER) AS char_count FROM documents""",
 }
+SQL["stream_fold"] = SQL["stream_score_upsert"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from palaver.functions.scalars import days
+from palaver.session import written
 
 SCORE_COLUMNS = ("toxicity_score", "label", "is_toxic", "sentiment", "sentiment_score", "ingestion_time")
 SCORE_ONLY_COLUMNS = ("toxicity_score", "ingestion_time")
@@ -27,25 +28,46 @@ def latest_wins(rows: DataFrame, key: str, order: list[str], update: tuple[str,
     return rows.groupBy(key).agg(*halves).select(key, *fields).select(*columns)
 
 
+def summary(batch: DataFrame, key: str = "comment_id", order: list[str] | None = None,
+            update: tuple[str, ...] = SCORE_COLUMNS) -> DataFrame:
+    """``(key, _last, _first)``: per key the ``update`` columns of its last row and the other columns of its first.
+
+    A column of ``order`` that is not among the ``update`` ones only decides and is left out.
+    """
+    order = ["ingestion_time"] if order is None else order
+    last = [c for c in batch.columns if c != key and c in update]
+    first = [c for c in batch.columns if c != key and c not in update and c not in order]
+    by = F.struct(*order)
+    return batch.groupBy(key).agg(F.max_by(F.struct(*last), by).alias("_last"),
+                                  (F.min_by(F.struct(*first), by) if first else F.lit(None)).alias("_first"))
+
+
+def merged(existing: DataFrame, rows: DataFrame, key: str, broadcast: bool = False) -> DataFrame:
+    """Stored rows after the updates of a summary (to be read twice), and a row for each new key.
+
+    With ``broadcast`` the summary's keys and last updates go to the stored rows, which then do not move.
+    """
+    last = rows.select(key, "_last")
+    changed = set(rows.schema["_last"].dataType.names)
+    known = existing.join(F.broadcast(last) if broadcast else last, key, "left").select(*[
+        F.when(F.col("_last").isNotNull(), F.col("_last")[c]).otherwise(F.col(c)).alias(c) if c in changed else F.col(c)
+        for c in existing.columns])
+    keys = rows.select(key)
+    found = existing.select(key).join(F.broadcast(keys), key, "left_semi") if broadcast else existing.select(key)
+    new = rows.join(F.broadcast(found) if broadcast else found, key, "left_anti")
+    return known.unionByName(new.select(*[
+        F.col(c) if c == key else F.col("_last" if c in changed else "_first")[c].alias(c) for c in existing.columns]))
+
+
 def upsert(existing: DataFrame, batch: DataFrame, key: str = "comment_id", order: list[str] | None = None,
            update: tuple[str, ...] = SCORE_COLUMNS) -> DataFrame:
     """Insert new keys; for a known key overwrite only the ``update`` columns.
 
     ``existing`` has one row per key. Within the batch ``order`` (columns of the batch) decides.
-    Replaying a batch changes nothing. Of the batch only the narrow last updates meet the stored
-    rows, in one join that moves no stored row where the batch's keys fit a broadcast, or where the
-    table is bucketed by its key; no stored text is sorted or aggregated.
+    Replaying a batch changes nothing. The batch is computed once, to one row per key, and written; stored
+    rows meet its narrow last updates in one join, and their keys alone tell the new ones.
     """
-    order = ["ingestion_time"] if order is None else order
-    names = [f"_o{i}" for i in range(len(order))]
-    changed = [c for c in existing.columns if c in update]
-    versions = batch.select("*", *[F.col(c).alias(n) for c, n in zip(order, names)])
-    last = versions.groupBy(key).agg(F.max_by(F.struct(*changed), F.struct(*names)).alias("_last"))
-    known = existing.join(last, key, "left").select(*[
-        F.when(F.col("_last").isNotNull(), F.col("_last")[c]).otherwise(F.col(c)).alias(c) if c in changed else F.col(c)
-        for c in existing.columns])
-    new = latest_wins(versions.join(existing.select(key), key, "left_anti"), key, names, update)
-    return known.unionByName(new)
+    return merged(existing, written(summary(batch, key, order, update), "summary"), key)
 
 
 def expired(as_of: Column, keep_days: int, ts: str = "timestamp") -> Column:

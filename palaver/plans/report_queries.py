@@ -9,7 +9,7 @@ from palaver.functions.scalars import days, fixed, hours, moment
 from palaver.operators import fulltext, keywords, listings, merge, records, rollups, search
 from palaver.plans import bindings, stages
 from palaver.plans.registry import query
-from palaver.sources import files
+from palaver.sources import files, keyed
 
 
 @query
@@ -274,6 +274,9 @@ def _merge_inputs(spark, folder):
     return stored, quick, minimal
 
 
+KEY_BUCKETS = 8  # for the tables here; one per few hundred MB
+
+
 def _merged_view(df):
     return df.select(
         "comment_id", "username", "cleaned_comment", fixed("toxicity_score", 6).alias("toxicity_score"), "label",
@@ -294,6 +297,15 @@ def upsert_scores_only(spark, folder):
     return _merged_view(merge.upsert(stored, minimal, update=merge.SCORE_ONLY_COLUMNS))
 
 
+@query
+def upsert_keyed_table(spark, folder):
+    """The same merge into a stored keyed table: only touched buckets are rewritten, the stored version stays as it is."""
+    stored, quick, minimal = _merge_inputs(spark, folder)
+    path = bindings.stored(spark, folder, "keyed", lambda path: keyed.merge(spark, path, stored, buckets=KEY_BUCKETS))
+    after = keyed.merge(spark, path, minimal.unionByName(quick).select(*bindings.RESULT), base=0)
+    return _merged_view(keyed.read(spark, path, stored.schema, after))
+
+
 def _stored_statistics(spark, folder):
     """Hourly and daily statistics, the hourly ones as real-time snapshots, one without a time."""
     rows = bindings.results(spark, folder)

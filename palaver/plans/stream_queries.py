@@ -90,6 +90,19 @@ def stream_score_upsert(spark, folder):
     return current.withColumn("sentiment_score", fixed("sentiment_score", 6))
 
 
+@query
+def stream_fold(spark, folder):
+    """Scored stream, folded into a keyed table between two runs over the same input; read by one path."""
+    path, checkpoint = _folders(spark, "stream-fold")
+    scored = stages.analyse(_comments(spark, folder)).withColumnRenamed("message", "original_message")
+    rows = stages.result_record(scored, F.col("created_time"), F.col("ingestion_time"))
+    hops.drained(sinks.to_epochs(rows, path, checkpoint))
+    sinks.fold(spark, path, schemas.RESULT, ended=True, buckets=8)
+    hops.drained(sinks.to_epochs(rows, path, f"{checkpoint}-replay"))
+    current = sinks.current_rows(spark, path, schemas.RESULT)
+    return current.withColumn("sentiment_score", fixed("sentiment_score", 6))
+
+
 @query
 def stream_fan_out(spark, folder):
     """One scored stream, two outputs from the same computed batch: table rows and messages."""

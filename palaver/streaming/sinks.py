@@ -11,13 +11,15 @@ from __future__ import annotations
 import os
 import time
 import uuid
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from palaver.operators.merge import SCORE_COLUMNS, latest_wins
+from palaver.operators.merge import SCORE_COLUMNS, latest_wins, upsert
+from palaver.sources import keyed
 
 
 def to_files(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataStreamWriter:
@@ -80,16 +82,62 @@ def all_epochs(spark: SparkSession, path: str | list[str], schema: StructType) -
     return versions
 
 
+def _table(path: str) -> str:
+    """Place of the folded rows; readers of the epochs pass over names with an underscore."""
+    return os.path.join(path, "_table")
+
+
+def _covered(commits: dict[str, int]) -> Column:
+    """Whether a row version belongs to an epoch that is folded already."""
+    return reduce(lambda a, b: a | b, [(F.col("run") == run) & (F.col("epoch") <= epoch) for run, epoch in commits.items()], F.lit(False))
+
+
 def current_rows(spark: SparkSession, path: str | list[str], schema: StructType, key: str = "comment_id",
                  order=("ingestion_time",), update=SCORE_COLUMNS) -> DataFrame:
     """The table as of now: first values of the fixed columns, last values of the others.
 
-    Row versions are ordered by run, epoch, then by ``order`` within it.
+    Row versions are ordered by run, epoch, then by ``order`` within it. Of a folded table the stored
+    rows are read and only later epochs are merged into them.
     """
     names = ["run", "epoch", *[f"_o{i}" for i in range(len(order))]]
-    versions = all_epochs(spark, path, schema)
+    folded = keyed.version(spark, _table(path)) if isinstance(path, str) else keyed.Version()
+    versions = all_epochs(spark, path, schema).filter(~_covered(folded.commits))
     versions = versions.select("*", *[F.col(c).alias(n) for c, n in zip(order, names[2:])])
-    return latest_wins(versions, key, names, update)
+    if folded.number < 0:
+        return latest_wins(versions, key, names, update)
+    return upsert(keyed.read(spark, _table(path), schema, folded.number), versions, key, names, update)
+
+
+def fold(spark: SparkSession, path: str, schema: StructType, key: str = "comment_id", order=("ingestion_time",),
+         update=SCORE_COLUMNS, ended: bool = False, buckets: int = 64) -> int:
+    """Merge finished epochs into the keyed table below ``path``; the number of its new version.
+
+    Streams may go on writing. The newest epoch of each run may still be written and is left for the next
+    time, unless the streams have ``ended``. Manifest and marks appear together, so a reader of ``path``
+    sees each row version once, whether it comes before, during or after.
+    """
+    folded = keyed.version(spark, _table(path))
+    versions = all_epochs(spark, path, schema).filter(~_covered(folded.commits))
+    there = versions.groupBy("run").agg(F.sort_array(F.collect_set("epoch")).alias("epochs")).collect()
+    marks = {r.run: r.epochs[-1 if ended else -2] for r in there if ended or len(r.epochs) > 1}
+    if not marks:
+        return folded.number
+    names = ["run", "epoch", *[f"_o{i}" for i in range(len(order))]]
+    batch = versions.filter(_covered(marks)).select("*", *[F.col(c).alias(n) for c, n in zip(order, names[2:])])
+    return keyed.merge(spark, _table(path), batch, key, names, update, buckets, marks)
+
+
+def drop_folded(spark: SparkSession, path: str, schema: StructType, keep: int = 2) -> int:
+    """Remove epochs that were folded ``keep`` versions ago or earlier, and old versions; the number of epochs removed."""
+    newest = keyed.version(spark, _table(path)).number
+    if newest - keep < 0:
+        return 0
+    old = keyed.version(spark, _table(path), newest - keep)
+    rows = all_epochs(spark, path, schema).filter(_covered(old.commits)).select("run", "epoch").distinct().collect()
+    for r in rows:
+        keyed.remove(spark, epoch_path(path, r.run, r.epoch))
+    keyed.cleanup(spark, _table(path), keep + 1)
+    return len(rows)
 
 
 def compact(spark: SparkSession, path: str, target: str, schema: StructType, **options) -> None:
