@@ -206,6 +206,17 @@ SQL = {
                  COALESCE(s.sentiment_score, m.sentiment_score) AS sentiment_score,
                  m.created_time + INTERVAL 2 HOUR AS ingestion_time
           FROM minimal_rows m LEFT JOIN stored s USING (comment_id))""", MINIMAL, STORED),
+    "statistics_table": with_scored(" UNION ALL BY NAME ".join([f"""(
+        SELECT TIMESTAMP '{at}' AS timestamp, {STATISTICS}, CAST(TIMESTAMP '{at}' - INTERVAL 5 MINUTE AS TIMESTAMP) AS period_start,
+               TIMESTAMP '{at}' AS period_end, 'realtime' AS period_type FROM scored
+        WHERE ingestion_time BETWEEN TIMESTAMP '{at}' - INTERVAL 5 MINUTE AND TIMESTAMP '{at}')"""
+        for at in ("2024-01-05 06:00:00", "2024-01-08 12:30:00", "2024-01-10 00:00:00")] + [f"({period('daily')})"])),
+    "collector_metrics": f"""WITH rows AS (
+          SELECT md5(text) AS k, CASE WHEN doc_id % 7 <> 0 AND text <> '' THEN 1 ELSE 0 END AS usable FROM documents),
+        per_key AS (SELECT k, COUNT(*) AS n, SUM(usable) AS u FROM rows GROUP BY k)
+        SELECT unnest(['total_fetched', 'total_sent', 'duplicates_skipped', 'errors', 'runtime_seconds']) AS metric_name,
+               unnest([SUM(n)::DOUBLE, SUM(least(u, 1))::DOUBLE, SUM(greatest(u - 1, 0))::DOUBLE, 0.0, 1.0]) AS metric_value,
+               {AS_OF} AS recorded_at FROM per_key""",
     "retention_cleanup": with_scored(f"""SELECT timestamp, total_comments, toxic_count, period_start, period_type FROM old
         WHERE NOT COALESCE({EXPIRED}, FALSE)""", OLD_STATISTICS),
     "retention_deleted": with_scored(

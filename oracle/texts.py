@@ -125,7 +125,7 @@ SQL = {
                0.0::DOUBLE AS severe_toxic_score, 0.0::DOUBLE AS obscene_score, 0.0::DOUBLE AS threat_score,
                0.0::DOUBLE AS insult_score, 0.0::DOUBLE AS identity_hate_score, 'non_toxique' AS label,
                FALSE AS is_toxic, 'neutral' AS sentiment, 0.5::DOUBLE AS sentiment_score, 0 AS word_count,
-               0 AS char_count, created_time, ingestion_time, FALSE AS requires_review, TRUE AS is_processed
+               0 AS char_count, CAST(NULL AS VARCHAR) AS keywords, created_time, ingestion_time, FALSE AS requires_review, TRUE AS is_processed
         FROM comments"""),
     "fill_nulls": with_comments("""
         SELECT comment_id, CASE WHEN doc_id % 4 <> 0 THEN username ELSE 'Unknown' END AS username,

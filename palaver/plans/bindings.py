@@ -52,6 +52,13 @@ def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def raw_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw records whose author and time are not needed: scored where they are read, no join."""
+    unknown = F.lit(None).cast("string")
+    return texts(spark, folder).select(
+        F.lit("facebook").alias("source"), "post_id", "comment_id", unknown.alias("user"), "message", unknown.alias("created_time"))
+
+
 RESULT = ["post_id", "comment_id", "username", "comment", "cleaned_comment", "toxicity_score", "label", "is_toxic",
           "sentiment", "sentiment_score", "word_count", "char_count", "created_time", "ingestion_time"]
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
-from palaver import session
+from palaver import schemas, session
 from palaver.functions.scalars import days, fixed, hours, moment
-from palaver.operators import fulltext, keywords, listings, merge, records, rollups, search
+from palaver.operators import collecting, fulltext, keywords, listings, merge, records, rollups, search
 from palaver.plans import bindings, stages
 from palaver.plans.registry import query
-from palaver.sources import files, keyed
+from palaver.sources import files, keyed, statistics
 
 
 @query
@@ -315,15 +317,48 @@ def _stored_statistics(spark, folder):
     return hourly.unionByName(rollups.period_statistics(rows, "daily"))
 
 
+SNAPSHOTS = ("2024-01-05 06:00:00", "2024-01-08 12:30:00", "2024-01-10 00:00:00")
+
+
+@query
+def statistics_table(spark, folder):
+    """Snapshots of the last five minutes at three moments and of each day, appended twice to a statistics table."""
+    path = session.run_folder(spark, "statistics")
+    rows = bindings.results(spark, folder)
+    for _ in range(2):
+        for at in SNAPSHOTS:
+            statistics.append(rollups.realtime_statistics(rows, moment(at)), path)
+        statistics.append(rollups.period_statistics(rows, "daily"), path)
+    return statistics.read(spark, path)
+
+
+def _after_retention(spark, folder):
+    """A statistics table after retention, and the number of rows that went."""
+    path = session.run_folder(spark, "statistics")
+    statistics.append(_stored_statistics(spark, folder), path)
+    return path, statistics.retain(spark, path, datetime(2024, 1, 14), 5)
+
+
 @query
 def retention_cleanup(spark, folder):
-    kept = merge.retain(_stored_statistics(spark, folder), moment("2024-01-14 00:00:00"), 5)
-    return kept.select("timestamp", "total_comments", "toxic_count", "period_start", "period_type")
+    path, _ = _after_retention(spark, folder)
+    return statistics.read(spark, path).select("timestamp", "total_comments", "toxic_count", "period_start", "period_type")
 
 
 @query
 def retention_deleted(spark, folder):
-    return merge.expired_count(_stored_statistics(spark, folder), moment("2024-01-14 00:00:00"), 5)
+    return spark.createDataFrame([(_after_retention(spark, folder)[1],)], "deleted_count bigint")
+
+
+@query
+def collector_metrics(spark, folder):
+    """Five metrics of a collecting run over all comments; of the runtime only that there was one."""
+    path = session.run_folder(spark, "collected")
+    rows = bindings.texts(spark, folder).select(
+        F.md5("message").alias("content_key"), F.when(F.col("doc_id") % 7 != 0, F.col("message")).alias("message"), "doc_id")
+    collecting.collect_run(rows, "message", "content_key", ["doc_id"], path, f"{path}-metrics", datetime(2024, 1, 10))
+    value = F.when(F.col("metric_name") == "runtime_seconds", (F.col("metric_value") > 0).cast("double")).otherwise(F.col("metric_value"))
+    return spark.read.schema(schemas.METRICS).parquet(f"{path}-metrics").withColumn("metric_value", value)
 
 
 @query

@@ -96,20 +96,20 @@ def score_comments(spark, folder):
 
 @query
 def toxicity_quick(spark, folder):
-    rows = stages.quick_record(bindings.raw_messages(spark, folder), bindings.as_of())
+    rows = stages.quick_record(bindings.raw_texts(spark, folder), bindings.as_of())
     return rows.select("comment_id", "cleaned_comment", fixed("toxicity_score", 6).alias("toxicity_score"), "label",
                        "is_toxic", "word_count", "char_count")
 
 
 @query
 def sentiment_quick(spark, folder):
-    rows = stages.quick_record(bindings.raw_messages(spark, folder), bindings.as_of())
+    rows = stages.quick_record(bindings.raw_texts(spark, folder), bindings.as_of())
     return rows.select("comment_id", "sentiment", "sentiment_score")
 
 
 @query
 def flag_minimal(spark, folder):
-    rows = stages.minimal_record(bindings.raw_messages(spark, folder), bindings.as_of())
+    rows = stages.minimal_record(bindings.raw_texts(spark, folder), bindings.as_of())
     return rows.select("comment_id", "cleaned_comment", "toxicity_score", "label", "is_toxic", "sentiment",
                        "sentiment_score", "word_count", "char_count")
 
@@ -157,7 +157,7 @@ def fill_defaults(spark, folder):
         "post_id", "comment_id", F.when(n % 4 != 0, F.col("username")).alias("username"),
         F.col("message").alias("comment"), "created_time", "ingestion_time",
     )
-    return quality.with_defaults(rows).drop("keywords")
+    return quality.with_defaults(rows).withColumn("keywords", F.array_join("keywords", " "))
 
 
 @query
