@@ -40,3 +40,4 @@ SQL = {
         CAST(length(text) AS INTEGER) AS char_count FROM documents""",
 }
 SQL["stream_fold"] = SQL["stream_score_upsert"]
+SQL["stream_dedup_table"] = SQL["stream_dedup"]

@@ -159,6 +159,17 @@ def stream_dedup(spark, folder):
     return spark.read.schema(distinct.schema).parquet(path)
 
 
+@query
+def stream_dedup_table(spark, folder):
+    """Distinct texts of the stream against the keys stored by earlier batches: no watermark, no state in memory."""
+    path, checkpoint = _folders(spark, "stream-distinct")
+    rows = _texts(spark, folder).select(F.md5("message").alias("content_key"), "doc_id")
+    for _ in range(2):  # a second checkpoint reads the same texts again and adds nothing
+        hops.drained(sinks.to_distinct(rows, "content_key", ["doc_id"], path, checkpoint))
+        checkpoint = f"{checkpoint}-again"
+    return spark.read.schema("content_key string").parquet(path).drop("run", "epoch")
+
+
 @query
 def stream_label_join(spark, folder):
     """Prediction stream joined with the label stream; labels come with the time of their comment."""

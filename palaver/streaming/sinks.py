@@ -19,6 +19,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from palaver.operators.merge import SCORE_COLUMNS, latest_wins, upsert
+from palaver.operators.records import first_seen
 from palaver.sources import keyed
 
 
@@ -72,6 +73,33 @@ def to_epochs(df: DataFrame, path: str, checkpoint: str, mode: str = "append", a
     return df.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint)
 
 
+def to_distinct(df: DataFrame, key: str, order: list[str], path: str, checkpoint: str, within: tuple[str, str] | None = None) -> DataStreamWriter:
+    """Epoch sink that keeps the first row of each key, without state that grows in memory.
+
+    A micro-batch is first combined to one row per key and task, so a hot key costs one row; the keys are then
+    looked up among those stored by earlier epochs, one narrow column, and only new ones are written. ``within`` (a time column, an
+    interval) bounds the look back from the earliest time of the batch, for tables too long to be searched
+    whole. A batch that is tried again replaces its own folder and sees the same earlier epochs.
+    """
+    run = run_of(df.sparkSession, checkpoint)
+    stored = StructType([f for f in df.schema.fields if f.name == key or (within and f.name == within[0])])
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        first = first_seen(batch, [key], order)
+        try:
+            known = all_epochs(spark, path, stored).filter((F.col("run") < run) | ((F.col("run") == run) & (F.col("epoch") < epoch)))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            known = spark.createDataFrame([], stored)  # the first batch of all
+        if within is not None:
+            earliest = batch.agg(F.min(within[0])).first()[0]
+            known = known.filter(F.col(within[0]) >= F.lit(earliest) - F.expr(f"INTERVAL {within[1]}"))
+        write_epoch(first.join(known.select(key), key, "left_anti").select(*df.columns), path, run, epoch)
+    return df.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint)
+
+
 def all_epochs(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
     """Every stored row version of one or more table folders, with its ``run`` and ``epoch``."""
     versioned = StructType([*schema.fields, StructField("run", StringType()), StructField("epoch", LongType())])

@@ -93,6 +93,24 @@ def test_a_new_checkpoint_and_compaction_lose_no_row(spark, tmp_path):
     assert both == {**found, "e": ("v", 0.5), "b": ("y", 0.9)}
 
 
+def test_distinct_rows_over_batches_runs_and_replays(spark, tmp_path):
+    schema = "content_key string, n int, ts timestamp"
+    parts = [[("hot", 10 * k + i, T0 + timedelta(days=k)) for i in range(5)] + [(f"own{k}", k, T0 + timedelta(days=k)), ("b", 100 - k, T0 + timedelta(days=k))]
+             for k in range(4)]
+    write_parts(spark, tmp_path / "in", parts, schema)
+    shape = spark.read.parquet(str(tmp_path / "in")).schema
+
+    def run(name, within=None, checkpoint="one"):
+        stream = hops.read_files_stream(spark, str(tmp_path / "in"), shape, files_per_trigger=1)
+        hops.drained(sinks.to_distinct(stream, "content_key", ["n"], str(tmp_path / name), str(tmp_path / f"{name}-{checkpoint}"), within))
+        return sorted((r.content_key, r.epoch) for r in sinks.all_epochs(spark, str(tmp_path / name), shape).collect())
+    found = run("table")
+    assert [k for k, _ in found] == ["b", "hot", "own0", "own1", "own2", "own3"]
+    assert run("table", checkpoint="two") == found  # a new checkpoint meets all keys again
+    short = run("short", ("ts", "12 HOURS"))
+    assert [k for k, _ in short].count("hot") == 4
+
+
 @pytest.mark.parametrize("name", ["stream_window_stats", "stream_sliding_stats", "stream_dedup", "stream_label_join",
                                   "stream_score_upsert"])
 def test_streams_over_batches_out_of_time_order(name, spark, tmp_path, monkeypatch):
