@@ -1,7 +1,7 @@
 """The statistics table: snapshots appended by key, and retention that drops whole folders.
 
-A snapshot is one period of one type. It has a folder of its own below its day and type, so appending it again replaces it
-and touches nothing else; readers of a span open the folders of its days only.
+Rows stand in a folder of their day and type. A snapshot is one period of one type; appending it again replaces it. An append rewrites
+the folders of its own days and types only, each in one step, and readers of a span open the folders of its days.
 """
 
 from __future__ import annotations
@@ -13,54 +13,66 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from palaver.operators.merge import expired
+from palaver.session import written
 from palaver.sources.keyed import remove
 
-FOLDERS = ["day", "period_type", "snapshot"]
-UNKNOWN = "__HIVE_DEFAULT_PARTITION__"  # the folder of a missing value
 
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
-def append(statistics: DataFrame, path: str) -> None:
-    """Add snapshots ``(timestamp, period_type, period_start, ...)``; one of a known type and start replaces the old one."""
-    start = F.date_format("period_start", "yyyyMMdd'T'HHmmss.SSSSSS")
-    placed = statistics.withColumn("day", F.to_date("timestamp")).withColumn("snapshot", start)
-    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*FOLDERS).parquet(path)
 
+def _replace(rows: DataFrame, path: str) -> None:
+    """Write whole days and types; other folders stay."""
+    placed = rows.repartition("day", "period_type")
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "period_type").parquet(path)
 
-def _stored(spark: SparkSession, path: str) -> DataFrame:
-    # the type of a folder's name would be guessed: a start is a text here
-    return spark.read.option("basePath", path).parquet(path).withColumn("snapshot", F.col("snapshot").cast("string"))
+
+def append(statistics: DataFrame, path: str) -> None:
+    """Add snapshots ``(timestamp, period_type, period_start, ...)``; one of a known type, day and start replaces the old one.
+
+    A missing start is a start of its own, a missing time a day of its own.
+    """
+    keys = ["day", "period_type", "period_start"]
+    new = written(statistics.withColumn("day", F.to_date("timestamp")), "snapshots")
+    rows, old = new.withColumn("_new", F.lit(1)), _stored(statistics.sparkSession, path)
+    if old is not None:
+        own = new.select(F.col("day").alias("_d"), F.col("period_type").alias("_t")).distinct()
+        match = F.col("day").eqNullSafe(F.col("_d")) & F.col("period_type").eqNullSafe(F.col("_t"))
+        rows = rows.unionByName(old.join(own, match, "left_semi").withColumn("_new", F.lit(0)))
+    rest = [c for c in new.columns if c not in keys]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_new").alias("_row")).select(*keys, "_row.*").select(*new.columns)
+    _replace(written(last, "snapshots"), path)
 
 
 def read(spark: SparkSession, path: str, since=None, until=None) -> DataFrame:
     """All snapshots, or those of the days from ``since`` to ``until`` (columns or dates, both inclusive)."""
-    rows = _stored(spark, path)
+    rows = spark.read.parquet(path)
     if since is not None:
         rows = rows.filter(F.col("day") >= F.to_date(since if isinstance(since, Column) else F.lit(since)))
     if until is not None:
         rows = rows.filter(F.col("day") <= F.to_date(until if isinstance(until, Column) else F.lit(until)))
-    return rows.drop("day", "snapshot")
+    return rows.drop("day")
 
 
 def retain(spark: SparkSession, path: str, as_of: datetime, keep_days: int = 30) -> int:
     """Drop real-time snapshots past their keep time; the number of rows dropped. Unknown times never expire.
 
-    Days before the limit go as whole folders. On the limit's own day single snapshots go; a day holds no more of them than it
-    has periods, so both lists are short.
+    Days before the limit go as whole folders; the folder of the limit's own day is rewritten without them.
     """
-    limit = as_of - timedelta(days=keep_days)
-    moment = F.lit(as_of).cast("timestamp_ntz")
-    try:
-        rows = _stored(spark, path).filter((F.col("day") <= limit.date()) & (F.col("period_type") == "realtime"))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    limit, stored = as_of - timedelta(days=keep_days), _stored(spark, path)
+    if stored is None:
         return 0
-    old = rows.filter(expired(moment, keep_days))
-    days = old.filter(F.col("day") < limit.date()).groupBy("day").agg(F.count(F.lit(1)).alias("n")).collect()
-    rest = old.filter(F.col("day") == limit.date()).groupBy("snapshot").agg(F.count(F.lit(1)).alias("n")).collect()
-    for r in days:
-        remove(spark, os.path.join(path, f"day={r.day}", "period_type=realtime"))
-    for r in rest:
-        name = UNKNOWN if r.snapshot is None else r.snapshot
-        remove(spark, os.path.join(path, f"day={limit.date()}", "period_type=realtime", f"snapshot={name}"))
-    return sum(r.n for r in days) + sum(r.n for r in rest)
+    rows = stored.filter((F.col("day") <= limit.date()) & (F.col("period_type") == "realtime"))
+    gone = expired(F.lit(as_of).cast("timestamp_ntz"), keep_days)
+    counts = {r.day: r for r in rows.groupBy("day").agg(F.count_if(gone).alias("old"), F.count(F.lit(1)).alias("n")).collect()}
+    for day, r in counts.items():
+        if r.old == r.n:
+            remove(spark, os.path.join(path, f"day={day}", "period_type=realtime"))
+        elif r.old:
+            _replace(written(rows.filter((F.col("day") == day) & ~gone), "snapshots"), path)
+    return sum(r.old for r in counts.values())
