@@ -5,8 +5,8 @@ with its sorted term numbers and weights; terms it lacks are zero and take no ro
 level by level, one Spark job each. A task walks its rows down the tree grown so far and sends, for the open
 node it reaches, the terms this node may split on. They are added up by ``(tree, node, term)``: weight and positives
 per label above each cut. What is not above follows by subtraction from the totals of the node, so zeros are never
-counted. The best split of each open node goes to the driver. Memory does not depend on the vocabulary: the driver and the
-tasks hold the nodes of the model, nothing else.
+counted. The best split of each open node goes to the driver. A node of few rows is finished by one task over these rows, by the
+same rules. Memory does not depend on the vocabulary: the driver holds the nodes of the model, a task those and one small node's rows.
 
 A node looks at a random part of the terms: the share of a square root, and at least about ``LEAST_SEEN``
 entries. A split has the least Gini impurity summed over labels; ties go to the smaller term number, then the lower cut.
@@ -30,6 +30,8 @@ from palaver.operators import vectors
 #: A term splits a node by "weight above the cut"; 0 means that the text has the term.
 CUTS = (0.0, 0.05, 0.1, 0.2)
 LEAST_SEEN, MOST_BROADCAST = 256, 100_000
+#: A node that drew so many rows or fewer is finished by one task, which holds these rows and no others.
+SMALL = 2048
 POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(12)])
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -48,21 +50,30 @@ def drawn(rows: np.ndarray, tree: int, seed: int) -> np.ndarray:
     return np.searchsorted(POISSON, uniform, side="right")
 
 
-def term_draw(terms: np.ndarray, tree: int, nodes: np.ndarray, seed: int) -> np.ndarray:
-    """A number in [0, 1) per term and node; a node looks at the terms below its share."""
-    node = mixed((nodes.astype(np.uint64) + np.uint64((seed * 1_000_003 + tree + 1) << 32)) * ODD)
+def term_draw(terms: np.ndarray, tree: int, names: np.ndarray, seed: int) -> np.ndarray:
+    """A number in [0, 1) per term and node (by its name, below 2**32); a node looks at the terms below its share."""
+    node = mixed((names.astype(np.uint64) + np.uint64((seed * 1_000_003 + tree + 1) << 32)) * ODD)
     return (mixed(terms.view(np.uint64) ^ node) >> np.uint64(11)).astype(float) / (1 << 53)
 
 
+def child_name(name: int, side: int) -> int:
+    return int(mixed(np.array([(2 * name + side + 1) % (1 << 64)], np.uint64) * ODD)[0] >> np.uint64(32))
+
+
+def share_of(n: int, n_terms: int, mean_terms: float, least_seen: int) -> float:
+    """Part of the terms that a node of n drawn rows looks at."""
+    return min(1.0, max(n_terms ** -0.5 if n_terms else 1.0, least_seen / max(n * mean_terms, 1.0)))
+
+
 class Tree:
-    """Nodes as columns; a leaf has no children (-1)."""
+    """Nodes as columns; a leaf has no children (-1). A node's name follows from its path, so it does not depend on who grows it."""
 
     def __init__(self):
-        self.term, self.cut, self.low, self.high, self.n, self.positives, self.depth = [], [], [], [], [], [], []
+        self.term, self.cut, self.low, self.high, self.n, self.positives, self.depth, self.name = [], [], [], [], [], [], [], []
 
-    def add(self, n: int, positives: list[int], depth: int) -> int:
-        for column, value in zip((self.term, self.cut, self.low, self.high, self.n, self.positives, self.depth),
-                                 (0, 0.0, -1, -1, n, positives, depth)):
+    def add(self, n: int, positives: list[int], depth: int, name: int) -> int:
+        for column, value in zip((self.term, self.cut, self.low, self.high, self.n, self.positives, self.depth, self.name),
+                                 (0, 0.0, -1, -1, n, positives, depth, name)):
             column.append(value)
         return len(self.n) - 1
 
@@ -71,8 +82,8 @@ class Tree:
         depth = self.depth[node] + 1
         rest = [a - b for a, b in zip(self.positives[node], positives)]
         self.term[node], self.cut[node] = term, cut
-        self.low[node] = self.add(self.n[node] - n, rest, depth)
-        self.high[node] = self.add(n, list(positives), depth)
+        self.low[node] = self.add(self.n[node] - n, rest, depth, child_name(self.name[node], 0))
+        self.high[node] = self.add(n, list(positives), depth, child_name(self.name[node], 1))
         return [self.low[node], self.high[node]]
 
     def mixed_labels(self, node: int) -> bool:
@@ -177,8 +188,7 @@ def root_totals(rows: DataFrame, trees: int, n_labels: int, seed: int) -> list[t
 
 def seen_terms(forest: list[Tree], open_: dict[tuple[int, int], float], n_labels: int, seed: int):
     """Mapper: ``(tree, node, term, weight, n, y)`` for each term that an open node looks at."""
-    grown = [arrays(t) for t in forest]
-    shares = []
+    grown, names, shares = [arrays(t) for t in forest], [np.array(t.name, np.uint64) for t in forest], []
     for t in range(len(forest)):
         share = np.zeros(len(forest[t].n))
         for (tree, node), value in open_.items():
@@ -197,7 +207,7 @@ def seen_terms(forest: list[Tree], open_: dict[tuple[int, int], float], n_labels
                 least = np.where(times > 0, share[node], 0.0)
                 entry = np.flatnonzero(least[sparse.row] > 0)
                 own = sparse.row[entry]
-                entry = entry[term_draw(sparse.terms[entry], tree, node[own], seed) < least[own]]
+                entry = entry[term_draw(sparse.terms[entry], tree, names[tree][node[own]], seed) < least[own]]
                 own = sparse.row[entry]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(own), tree), pa.int32()), pa.array(node[own], pa.int32()), pa.array(sparse.terms[entry], pa.int64()),
@@ -237,22 +247,114 @@ def best_splits(rows: DataFrame, forest: list[Tree], open_: dict[tuple[int, int]
     return best.groupBy("tree", "node").agg(F.min("best").alias("best")).select("tree", "node", "best.*").collect()
 
 
+def best_split(sparse: Sparse, rows: np.ndarray, times: np.ndarray, y: np.ndarray, tree: int, name: int, share: float, seed: int):
+    """The same choice among rows in memory: ``(term, cut number, n, positives)`` above the cut, or None."""
+    inside = np.zeros(sparse.n, bool)
+    inside[rows] = True
+    entry = np.flatnonzero(inside[sparse.row])
+    entry = entry[term_draw(sparse.terms[entry], tree, np.full(len(entry), name, np.uint64), seed) < share]
+    if not len(entry):
+        return None
+    terms, code = np.unique(sparse.terms[entry], return_inverse=True)
+    own = sparse.row[entry]
+    columns = np.concatenate((times[own, None], times[own, None] * y[own]), axis=1)
+    whole = np.concatenate(([times[rows].sum()], times[rows] @ y[rows]))
+    best = None
+    for i, cut in enumerate(CUTS):
+        above = sparse.weights[entry] > cut
+        sums = np.zeros((len(terms), columns.shape[1]), np.int64)
+        np.add.at(sums, code[above], columns[above])
+        valid = np.flatnonzero((sums[:, 0] > 0) & (sums[:, 0] < whole[0]))
+        if not len(valid):
+            continue
+        high, low = sums[valid], whole - sums[valid]
+
+        def impure(part):
+            return (part[:, 1:] * (part[:, :1] - part[:, 1:])).sum(axis=1) / part[:, 0]
+        change = impure(high) + impure(low) - impure(whole[None])
+        at = int(np.argmin(change))  # terms are in order: the first is the smallest
+        if change[at] < -1e-9 and (best is None or (change[at], terms[valid[at]], i) < best[0]):
+            best = (change[at], terms[valid[at]], i), int(terms[valid[at]]), i, int(high[at, 0]), [int(p) for p in high[at, 1:]]
+    return best and best[1:]
+
+
+def finish(rows: DataFrame, forest: list[Tree], small: list[tuple[int, int]], n_labels: int, n_terms: int, mean_terms: float,
+           depth: int, seed: int) -> None:
+    """Grow the small open nodes to their ends, each in one task over its own rows, and hang the subtrees on."""
+    grown, wanted = [arrays(t) for t in forest], [np.array([node for t, node in small if t == tree], np.int64) for tree in range(len(forest))]
+    least_seen, state = LEAST_SEEN, {(t, node): (forest[t].n[node], forest[t].positives[node], forest[t].depth[node], forest[t].name[node]) for t, node in small}
+
+    def deal(incoming):
+        for batch in incoming:
+            row, copies = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            sparse = Sparse(batch.column(3), batch.column(4))
+            for tree, nodes in enumerate(wanted):
+                node, times = sparse.nodes(grown[tree]), drawn(row, tree, seed) * copies
+                own = np.flatnonzero((times > 0) & np.isin(node, nodes))
+                at = pa.array(own)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(own), tree), pa.int32()), pa.array(node[own], pa.int32()), pa.array(times[own], pa.int64()),
+                    *[batch.column(i).take(at) for i in (2, 3, 4)]], names=["tree", "node", "n", "y", "terms", "weights"])
+
+    def subtree(own: pa.Table) -> pa.Table:
+        own = own.combine_chunks()
+        tree, node = own.column("tree")[0].as_py(), own.column("node")[0].as_py()
+        terms, weights, y = (own.column(c).chunk(0) for c in ("terms", "weights", "y"))
+        sparse, labels, times = Sparse(terms, weights), _labels_matrix(y, n_labels), own.column("n").to_numpy()
+        top, (n, positives, at, name) = Tree(), state[tree, node]
+        top.add(n, positives, at, name)
+        open_ = [(0, np.arange(sparse.n))]
+        while open_:
+            here, inside = open_.pop()
+            if top.depth[here] >= depth or top.n[here] <= 1 or not top.mixed_labels(here):
+                continue
+            found = best_split(sparse, inside, times, labels, tree, top.name[here], share_of(top.n[here], n_terms, mean_terms, least_seen), seed)
+            if found is not None:
+                term, cut, above, own_positives = found
+                low, high = top.split(here, term, CUTS[cut], above, own_positives)
+                up = sparse.weight(inside, np.full(len(inside), term)) > CUTS[cut]
+                open_ += [(low, inside[~up]), (high, inside[up])]
+        size = len(top.n)
+        return pa.table({"tree": pa.array([tree] * size, pa.int32()), "node": pa.array([node] * size, pa.int32()), "place": pa.array(range(size), pa.int32()),
+                         "term": pa.array(top.term, pa.int64()), "cut": pa.array(top.cut, pa.float64()), "low": pa.array(top.low, pa.int32()),
+                         "high": pa.array(top.high, pa.int32()), "n": pa.array(top.n, pa.int64()), "positives": pa.array(top.positives, pa.list_(pa.int64()))})
+
+    dealt = rows.mapInArrow(deal, "tree int, node int, n bigint, y array<int>, terms array<bigint>, weights array<double>")
+    found = dealt.groupBy("tree", "node").applyInArrow(
+        subtree, "tree int, node int, place int, term bigint, cut double, low int, high int, n bigint, positives array<bigint>").collect()
+    for r in sorted(found, key=lambda r: (r.tree, r.node, r.place)):
+        tree = forest[r.tree]
+        if r.place == 0:
+            first, at = len(tree.n), r.node
+        else:
+            at = tree.add(r.n, list(r.positives), 0, 0)
+        tree.term[at], tree.cut[at] = r.term, r.cut
+        tree.low[at], tree.high[at] = (-1 if c < 0 else first + c - 1 for c in (r.low, r.high))
+
+
 def grow(rows: DataFrame, n_labels: int, n_terms: int, mean_terms: float, trees: int, depth: int, seed: int) -> list[Tree]:
-    """All trees, level by level; the driver holds the nodes."""
-    forest = []
+    """All trees, level by level while nodes are large, then each small node in one task; the driver holds the nodes."""
+    forest, open_, small = [], [], []
     for _, n, positives in root_totals(rows, trees, n_labels, seed):
         forest.append(Tree())
-        forest[-1].add(n, positives, 0)
-    open_ = [(t, 0) for t, tree in enumerate(forest) if tree.mixed_labels(0)]
+        forest[-1].add(n, positives, 0, 1)
+
+    def sort_out(tree: int, node: int) -> None:
+        own = forest[tree]
+        if own.depth[node] < depth and own.n[node] > 1 and own.mixed_labels(node):
+            (small if own.n[node] <= SMALL else open_).append((tree, node))
+
+    for t in range(len(forest)):
+        sort_out(t, 0)
     while open_:
-        least = n_terms ** -0.5 if n_terms else 1.0
-        shares = {(t, node): min(1.0, max(least, LEAST_SEEN / max(forest[t].n[node] * mean_terms, 1.0))) for t, node in open_}
+        shares = {(t, node): share_of(forest[t].n[node], n_terms, mean_terms, LEAST_SEEN) for t, node in open_}
         splits = best_splits(rows, forest, shares, n_labels, seed)
-        open_ = []
+        open_.clear()
         for s in sorted(splits, key=lambda s: (s.tree, s.node)):
-            tree = forest[s.tree]
-            children = tree.split(s.node, s.term, CUTS[s.cut], s.n, list(s.positives))
-            open_ += [(s.tree, c) for c in children if tree.depth[c] < depth and tree.n[c] > 1 and tree.mixed_labels(c)]
+            for child in forest[s.tree].split(s.node, s.term, CUTS[s.cut], s.n, list(s.positives)):
+                sort_out(s.tree, child)
+    if small:
+        finish(rows, forest, small, n_labels, n_terms, mean_terms, depth, seed)
     return forest
 
 

@@ -326,21 +326,21 @@ def brute_tree(rows, tree, depth, n_terms, mean_terms, seed=0):
         return np.array([x], np.int64)
 
     drawn = [(y, x, int(forest.drawn(number(row), tree, seed)[0]) * copies) for row, copies, y, x in rows]
-    ids, leaves = iter(range(1, 10_000)), {}
+    leaves = {}
 
     def impurity(part):
         n = sum(w for *_, w in part)
         p = [sum(w * y[j] for y, _, w in part) for j in range(len(rows[0][2]))]
         return sum(a * (n - a) for a in p) / n, n, p
 
-    todo = [(0, drawn, 0, ())]
+    todo = [(1, drawn, 0, ())]
     while todo:
         level = []
         for node, part, at, path in todo:
             total, n, p = impurity(part)
             best = None
             if at < depth and n > 1 and any(0 < a < n for a in p):
-                share = min(1.0, max(n_terms ** -0.5, forest.LEAST_SEEN / max(n * mean_terms, 1.0)))
+                share = forest.share_of(n, n_terms, mean_terms, forest.LEAST_SEEN)
                 for term in sorted({t for _, x, w in part if w for t in x}):
                     if forest.term_draw(number(term), tree, number(node), seed)[0] >= share:
                         continue
@@ -355,7 +355,7 @@ def brute_tree(rows, tree, depth, n_terms, mean_terms, seed=0):
                 leaves[path] = [a / n for a in p]
             else:
                 (_, term, i), low, high = best
-                level += [(next(ids), low, at + 1, (*path, (term, i, 0))), (next(ids), high, at + 1, (*path, (term, i, 1)))]
+                level += [(forest.child_name(node, side), part, at + 1, (*path, (term, i, side))) for side, part in enumerate((low, high))]
         todo = level
     return leaves
 
@@ -372,9 +372,10 @@ def leaves_of(nodes):
     return walk(0, ())
 
 
-@pytest.mark.parametrize("seen", [256, 20])
-def test_trees_equal_brute_force(spark, monkeypatch, seen):
+@pytest.mark.parametrize("seen, small", [(256, 2048), (20, 2048), (256, 0), (20, 25)])
+def test_trees_equal_brute_force(spark, monkeypatch, seen, small):
     monkeypatch.setattr(forest, "LEAST_SEEN", seen)
+    monkeypatch.setattr(forest, "SMALL", small)
     choose = random.Random(11)
     texts = [" ".join(f"word{min(choose.randrange(40), choose.randrange(40))}" for _ in range(choose.randrange(0, 25))) for _ in range(90)]
     rows = [(t, int(len(t) % 3 == 0), int("word1 " in t), choose.randrange(2)) for t in texts + texts[:10]] + [(None, 1, 0, 0)]
