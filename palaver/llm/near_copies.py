@@ -45,7 +45,7 @@ SHINGLE = 5
 #: Similarity in percent: that of stages without a contract of their own, and that of op5.
 PERCENT, OP5_PERCENT = 80, 85
 COORDINATES, TREES, LEAF, VISITORS = 96, 12, 64, 32
-VISITED = 40_000
+VISITED = 150_000
 #: Rows of ids up to here are broadcast, checked by a count; more are joined by a shuffle.
 FEW_ROWS = 100_000
 CHUNK_SHINGLES, PIVOTS = 1 << 20, 8
