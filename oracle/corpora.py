@@ -146,6 +146,10 @@ SQL = {
         SELECT doc_id, term, CAST(n AS INTEGER) AS n,
                {rounded('w / sqrt(SUM(w * w) OVER (PARTITION BY doc_id))', 6)} AS tfidf FROM w""",
     "vocabulary": f"WITH {PREPARED}, {VOCABULARY} SELECT word, n, index FROM vocabulary",
+    "text_codes": f"""WITH {PREPARED}, {VOCABULARY},
+        coded AS (SELECT doc_id, string_agg(CAST(index AS VARCHAR), ' ' ORDER BY pos) AS codes
+                  FROM placed JOIN vocabulary USING (word) GROUP BY doc_id)
+        SELECT doc_id, COALESCE(codes, '') AS codes FROM prepared LEFT JOIN coded USING (doc_id)""",
     "padded_sequences_post": sequence(20, "post"),
     "padded_sequences_pre": sequence(200, "pre"),
     "vocab_embeddings": f"""WITH {PREPARED}, {VOCABULARY}

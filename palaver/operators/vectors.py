@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from palaver import session
 from palaver.functions.scalars import as_column
-from palaver.functions.text import WORD, literal, term_counts, words_sql
+from palaver.functions.text import WORD, literal, term_counts, term_places, words_sql
 
 # Signs that separate words for the vocabulary; apostrophes stay inside words.
 SEPARATORS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n"
@@ -24,31 +24,68 @@ def vocabulary_tokens(text: str) -> str:
     return f"filter(split({spaced}, ' '), w -> w <> '')"
 
 
-def term_rows(df: DataFrame, key: str, words: str) -> DataFrame:
-    """``(key, term, n)``: one row per distinct term of each text, counted inside the row."""
-    return df.select(key, F.inline(term_counts(words)))
+def counted(df: DataFrame, key: str, words: str) -> DataFrame:
+    """``(key, terms)``: each text once, as the array ``<term, n>`` of its distinct tokens (``words`` as SQL text)."""
+    return df.select(key, term_counts(words).alias("terms"))
 
 
-def fit_idf(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``(term, df, idf)`` with ``idf = ln((1 + n) / (1 + df)) + 1``."""
-    n_texts = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    counts = term_rows(df, key, tfidf_tokens(text)).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+def placed(df: DataFrame, key: str, words: str) -> DataFrame:
+    """``(key, terms)``: each text once, as the array ``<term, at>`` of its distinct tokens with their places from 0."""
+    return df.select(key, term_places(words).alias("terms"))
+
+
+def looked_up(lists: DataFrame, head: DataFrame, tail: DataFrame, key: str, value: str) -> DataFrame:
+    """``(key, terms)`` with ``value`` of ``(term, value)`` tables added to each entry; entries in neither are dropped.
+
+    ``head`` holds the most frequent terms, at most ``session.HEAD_RANKS`` of bounded length: it is broadcast, so hot
+    terms never move. What it lacks goes to ``tail`` by shuffle, one row per rare term of a text. Entries come back to
+    their text as one list per task; ``key`` must be unique. ``lists`` is read once.
+    """
+    held = [f.name for f in lists.schema["terms"].dataType.elementType.fields]
+    entries = lists.select(key, F.expr("inline_outer(terms)")).join(F.broadcast(head.select("term", value)), "term", "left")
+    found, missing = F.struct(*held, value), F.struct(*held)
+    here = F.col(value).isNotNull()
+    lists_at_once = session.setting(
+        lists.sparkSession, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(session.LISTS_AT_ONCE))
+    with lists_at_once:  # the entries of a text come in a row, so that few lists grow at a time
+        halves = session.written(entries.groupBy(key).agg(
+            F.collect_list(F.when(here, found)).alias("_found"),
+            F.collect_list(F.when(~here & F.col("term").isNotNull(), missing)).alias("_missing")), "looked-up")
+    rare = halves.select(key, F.expr("inline(_missing)")).join(tail.select("term", value), "term")
+    rare = rare.groupBy(key).agg(F.collect_list(found).alias("_rare"))
+    whole = F.when(F.col("_rare").isNull(), F.col("_found")).otherwise(F.concat("_found", "_rare"))
+    return halves.join(rare, key, "left").select(key, whole.alias("terms"))
+
+
+def idf_of(lists: DataFrame) -> DataFrame:
+    """``(term, df, idf)`` of counted texts, with ``idf = ln((1 + n) / (1 + df)) + 1``."""
+    n_texts = lists.count()
+    counts = lists.select(F.explode("terms.term").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     return counts.select("term", "df", (F.log((1 + n_texts) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
-def tfidf(df: DataFrame, idf: DataFrame, key: str, text: str) -> DataFrame:
-    """``(key, term, n, tfidf)`` with unit length per text. Terms the fit has not seen are dropped.
+def fit_idf(df: DataFrame, key: str, text: str) -> DataFrame:
+    return idf_of(counted(df, key, tfidf_tokens(text)))
+
+
+def weights(lists: DataFrame, idf: DataFrame, key: str) -> DataFrame:
+    """``(key, term, n, tfidf)`` of counted texts with unit length per text. Terms the fit has not seen are dropped.
 
     The join is left to the engine: it broadcasts the term table when its measured size allows
     and otherwise shuffles by term, splitting the partitions of very common terms. A text is
     already one row, so the window that takes its length holds no more than that row did.
     """
-    weighted = term_rows(df, key, tfidf_tokens(text)).join(idf.select("term", "idf"), "term")
+    weighted = lists.select(key, F.inline("terms")).join(idf.select("term", "idf"), "term")
     weighted = weighted.withColumn("_w", F.col("n") * F.col("idf"))
     length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
     return weighted.select(key, "term", "n", (F.col("_w") / length).alias("tfidf"))
 
 
+def tfidf(df: DataFrame, idf: DataFrame, key: str, text: str) -> DataFrame:
+    """``weights`` of texts that are tokenised here."""
+    return weights(counted(df, key, tfidf_tokens(text)), idf, key)
+
+
 def global_rank(df: DataFrame, order, rank: str = "index") -> DataFrame:
     """Add the 1-based position in a total order without pulling all rows into one task.
 
@@ -69,19 +106,36 @@ def global_rank(df: DataFrame, order, rank: str = "index") -> DataFrame:
         *df.columns, (F.col("_before") + position + 1).alias(rank))
 
 
-def fit_vocabulary(df: DataFrame, text: str, size: int | None = None) -> DataFrame:
-    """``(word, n, index)``: words by falling frequency from 1, ties by word.
+def vocabulary_of(lists: DataFrame, size: int | None = None) -> DataFrame:
+    """``(word, n, index)`` of placed texts: words by falling frequency from 1, ties by word.
 
     With ``size`` only the most frequent words are kept and numbered.
     """
-    counted = df.select(F.inline(term_counts(vocabulary_tokens(text))))
-    totals = counted.groupBy(F.col("term").alias("word")).agg(F.sum("n").alias("n"))
+    each = lists.select(F.inline("terms")).select(F.col("term").alias("word"), F.size("at").alias("n"))
+    totals = each.groupBy("word").agg(F.sum("n").alias("n"))
     order = [F.col("n").desc(), F.col("word")]
     if size is not None:
         totals = totals.orderBy(*order).limit(size)
     return global_rank(totals, order)
 
 
+def fit_vocabulary(df: DataFrame, text: str, size: int | None = None) -> DataFrame:
+    return vocabulary_of(df.select(term_places(vocabulary_tokens(text)).alias("terms")), size)
+
+
+def codes(lists: DataFrame, vocabulary: DataFrame, key: str) -> DataFrame:
+    """``(key, codes)``: each placed text as the numbers of its words in text order, unknown words dropped.
+
+    Each distinct word of a text is looked up once; the order is rebuilt in the row from its places. ``vocabulary``
+    is read twice and should be written.
+    """
+    numbered = vocabulary.select(F.col("word").alias("term"), F.col("index").cast("int").alias("code"))
+    in_head = (F.col("code") <= session.HEAD_RANKS) & (F.octet_length("term") <= session.LONGEST_HEAD_KEY)
+    entries = looked_up(lists, numbered.filter(in_head), numbered.filter(~in_head), key, "code")
+    in_order = "sort_array(flatten(transform(terms, t -> transform(t.at, i -> struct(i AS at, t.code AS code)))))"
+    return entries.select(key, F.expr(f"{in_order}.code").alias("codes"))
+
+
 def pad(sequence, length: int, padding: str = "post", truncating: str = "post") -> Column:
     """Cut or zero-fill an int array to ``length`` at its end (post) or its start (pre)."""
     sequence = as_column(sequence)
@@ -96,17 +150,12 @@ def pad(sequence, length: int, padding: str = "post", truncating: str = "post")
 
 def sequences(df: DataFrame, vocabulary: DataFrame, key: str, text: str, length: int = 20,
               padding: str = "post", truncating: str = "post") -> DataFrame:
-    """``(key, sequence)``: word indices in text order, unknown words dropped, fixed length.
+    """``(key, sequence)``: word numbers in text order, unknown words dropped, fixed length.
 
-    A text without a known word gives zeros. The tokens of a text come back together by key; that
-    group is the size of the text it came from.
+    A text without a known word gives zeros. Texts that are coded already need only ``pad``.
     """
-    placed = df.select(key, F.posexplode_outer(F.expr(vocabulary_tokens(text))).alias("_pos", "word"))
-    known = session.ranked_lookup(placed, vocabulary.select("word", "index"), "word", "index", how="left")
-    at = F.when(F.col("index").isNotNull(), F.struct("_pos", F.col("index").cast("int").alias("index")))
-    ordered = known.groupBy(key).agg(F.sort_array(F.collect_list(at)).alias("_at"))
-    indices = ordered.select(key, F.transform("_at", lambda p: p["index"]).alias("_seq"))
-    return indices.select(key, pad("_seq", length, padding, truncating).alias("sequence"))
+    coded = codes(placed(df, key, vocabulary_tokens(text)), vocabulary, key)
+    return coded.select(key, pad("codes", length, padding, truncating).alias("sequence"))
 
 
 def embedding_matrix(vocabulary: DataFrame, vectors: DataFrame, dim: int, key: str = "word") -> DataFrame:
@@ -116,15 +165,24 @@ def embedding_matrix(vocabulary: DataFrame, vectors: DataFrame, dim: int, key: s
     return joined.select("word", "index", F.coalesce("vector", zeros).alias("vector"))
 
 
-def mean_embedding(df: DataFrame, matrix: DataFrame, key: str, text: str, dim: int) -> DataFrame:
-    """``(key, vector)``: mean vector of the known words of each text, repeats counted.
+def mean_of_codes(coded: DataFrame, matrix: DataFrame, key: str, dim: int) -> DataFrame:
+    """``(key, vector)``: mean vector of the coded words of each text, repeats counted; texts without a word are left out.
 
-    Words are counted inside the row first. The head of the matrix is broadcast, the rarer words are
-    joined by shuffle. One sum per dimension is a plain hash aggregate: each task
-    sends one row per text, not one vector per word.
+    Numbers are counted inside the row. Those up to ``session.HEAD_RANKS`` meet the broadcast head of the matrix, the others the rest by
+    shuffle. One sum per dimension is a plain hash aggregate: each task sends one row per text, not one
+    vector per word. Texts and matrix are read by both parts and should be written.
     """
-    words = term_rows(df, key, vocabulary_tokens(text)).withColumnRenamed("term", "word")
-    known = session.ranked_lookup(words, matrix, "word", "index")
+    numbers = coded.select(key, F.inline(term_counts("codes"))).withColumnRenamed("term", "index")
+    vectors = matrix.select("index", "vector")
+    in_head = F.col("index") <= session.HEAD_RANKS
+    known = numbers.filter(in_head).join(F.broadcast(vectors.filter(in_head)), "index").unionByName(
+        numbers.filter(~in_head).join(vectors.filter(~in_head), "index"))
     sums = [F.expr(f"sum(n * cast(get(vector, {i}) AS double))").alias(f"_s{i}") for i in range(dim)]
     totals = known.groupBy(key).agg(F.sum("n").alias("_n"), *sums)
     return totals.select(key, F.expr(f"array({', '.join(f'_s{i} / _n' for i in range(dim))})").alias("vector"))
+
+
+def mean_embedding(df: DataFrame, matrix: DataFrame, key: str, text: str, dim: int) -> DataFrame:
+    """``mean_of_codes`` of texts that are tokenised and coded here."""
+    coded = session.written(codes(placed(df, key, vocabulary_tokens(text)), matrix, key), "codes")
+    return mean_of_codes(coded, matrix, key, dim)

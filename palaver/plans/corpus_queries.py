@@ -31,11 +31,25 @@ def marked(spark, folder):
     return labelled(spark, folder).select("doc_id", "comment_text", *[unless_unused(c) for c in LABELS])
 
 
-def prepared(spark, folder):
-    """Prepared documents, written once for the several passes of a fit and its use."""
+def _lists(spark, folder):
+    """Prepared documents as the distinct words of each with their places: tokenised once, written on first use."""
     documents = session.spread(bindings.table(spark, folder, "documents"), "doc_id").select(
         "doc_id", F.col("text").alias("comment_text"))
-    return session.written(corpus.prepare(documents), "prepared")
+    return spark.read.parquet(bindings.stored(spark, folder, "word-lists", lambda path: vectors.placed(
+        corpus.prepare(documents), "doc_id", vectors.vocabulary_tokens("comment_text")).write.parquet(path)))
+
+
+def _vocabulary(spark, folder):
+    lists = _lists(spark, folder)
+    return spark.read.parquet(bindings.stored(
+        spark, folder, "vocabulary", lambda path: vectors.vocabulary_of(lists).write.parquet(path)))
+
+
+def _codes(spark, folder):
+    """Prepared documents as word numbers, read by sequences and embeddings."""
+    lists, words = _lists(spark, folder), _vocabulary(spark, folder)
+    return spark.read.parquet(bindings.stored(
+        spark, folder, "codes", lambda path: vectors.codes(lists, words, "doc_id").write.parquet(path)))
 
 
 @query
@@ -89,21 +103,27 @@ def valid_labels(spark, folder):
 
 @query
 def tfidf(spark, folder):
+    """Texts are tokenised once, to counted terms, which both the fit and the weights read."""
     documents = session.spread(bindings.table(spark, folder, "documents"), "doc_id").select("doc_id", "text")
-    weights = vectors.tfidf(documents, vectors.fit_idf(documents, "doc_id", "text"), "doc_id", "text")
+    lists = session.written(vectors.counted(documents, "doc_id", vectors.tfidf_tokens("text")), "counted")
+    weights = vectors.weights(lists, session.written(vectors.idf_of(lists), "idf"), "doc_id")
     return weights.select("doc_id", "term", "n", fixed("tfidf", 6).alias("tfidf"))
 
 
 @query
 def vocabulary(spark, folder):
-    return vectors.fit_vocabulary(prepared(spark, folder), "comment_text")
+    return _vocabulary(spark, folder)
+
+
+@query
+def text_codes(spark, folder):
+    """Prepared texts as word numbers in text order, of any length."""
+    return _codes(spark, folder).select("doc_id", F.array_join("codes", " ").alias("codes"))
 
 
 def _sequences(spark, folder, *arguments):
-    rows = prepared(spark, folder)
-    words = vectors.fit_vocabulary(rows, "comment_text")
-    padded = vectors.sequences(rows, words, "doc_id", "comment_text", *arguments)
-    return padded.select("doc_id", F.array_join("sequence", " ").alias("sequence"))
+    coded = _codes(spark, folder).select("doc_id", vectors.pad("codes", *arguments).alias("sequence"))
+    return coded.select("doc_id", F.array_join("sequence", " ").alias("sequence"))
 
 
 @query
@@ -116,18 +136,17 @@ def padded_sequences_pre(spark, folder):
     return _sequences(spark, folder, 200, "pre", "pre")
 
 
-def _matrix(spark, folder, rows):
+def _matrix(spark, folder):
     """The word of rank r takes the vector numbered r - 1."""
-    words = vectors.fit_vocabulary(rows, "comment_text")
     given = bindings.table(spark, folder, "embeddings").select(
         (F.col("vec_id") + 1).alias("index"), F.col("embedding").alias("vector"))
-    return vectors.embedding_matrix(words, given, 64, "index")
+    return vectors.embedding_matrix(_vocabulary(spark, folder), given, 64, "index")
 
 
 @query
 def vocab_embeddings(spark, folder):
     """Word, rank and the first, last and summed vector values."""
-    matrix = _matrix(spark, folder, prepared(spark, folder))
+    matrix = _matrix(spark, folder)
     total = F.aggregate("vector", F.lit(0.0), lambda a, v: a + v.cast("double"))
     return matrix.select(
         "word", "index", fixed(F.get("vector", F.lit(0)), 6).alias("first_value"),
@@ -137,8 +156,7 @@ def vocab_embeddings(spark, folder):
 
 @query
 def mean_embedding(spark, folder):
-    rows = prepared(spark, folder)
-    means = vectors.mean_embedding(rows, _matrix(spark, folder, rows), "doc_id", "comment_text", 64)
+    means = vectors.mean_of_codes(_codes(spark, folder), _matrix(spark, folder), "doc_id", 64)
     return means.select("doc_id", F.posexplode("vector").alias("dim", "value")).select(
         "doc_id", "dim", fixed("value", 5).alias("value"))
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 HEAD_RANKS = 32_768
+#: So many texts' lists are collected by a task side by side before it sorts its rows instead.
+LISTS_AT_ONCE = 4096
 LONGEST_HEAD_KEY = 256
 
 
@@ -38,6 +41,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str):
+    """A session setting for the jobs started inside; afterwards it is as it was."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Deal rows to as many partitions as ``spark.palaver.inputPartitions`` says; without it leave them as read.
 

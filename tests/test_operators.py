@@ -280,6 +280,44 @@ def test_sequences_and_padding(spark):
     assert run(3, "pre", "pre") == {0: [1, 1, 3], 1: [0, 0, 0], 2: [0, 1, 2]}
 
 
+@pytest.mark.parametrize("head", [4096, 3, 0])
+def test_coded_texts_for_head_and_tail(spark, monkeypatch, head):
+    """Every word at its place, whether it is looked up in the broadcast head or in the shuffled rest."""
+    monkeypatch.setattr(session, "HEAD_RANKS", head)
+    rng = random.Random(4)
+    pool = [f"w{i}" for i in range(12)] + ["long" * 200]
+    texts = {i: " ".join(rng.choices(pool, [2 ** -j for j in range(13)], k=rng.randint(1, 40))) for i in range(60)}
+    texts |= {60: "", 61: None, 62: "unknown w1 unknown", 63: "w0 " * 3000}
+    df = spark.createDataFrame(list(texts.items()), "id int, t string").repartition(5)
+    lists = session.written(vectors.placed(df, "id", vectors.vocabulary_tokens("t")), "placed")
+    words = session.written(vectors.vocabulary_of(lists).filter("word <> 'unknown'"), "words")
+    number = {r.word: r["index"] for r in words.collect()}
+    found = {r.id: r.codes for r in vectors.codes(lists, words, "id").collect()}
+    assert found == {i: [number[w] for w in (t or "").split() if w in number] for i, t in texts.items()}
+
+    vector = {w: [float(i), 1.0] for w, i in number.items()}
+    matrix = session.written(vectors.embedding_matrix(
+        words, spark.createDataFrame(list(vector.items()), "word string, vector array<float>"), 2), "matrix")
+    coded = spark.createDataFrame([(i, c) for i, c in found.items()], "id int, codes array<int>")
+    means = {r.id: r.vector for r in vectors.mean_of_codes(coded, matrix, "id", 2).collect()}
+    assert set(means) == {i for i, c in found.items() if c}
+    assert all(means[i] == pytest.approx([sum(c) / len(c), 1.0]) for i, c in found.items() if c)
+
+
+def test_tfidf_of_counted_texts(spark):
+    texts = {0: "aa bb aa", 1: "bb cc " + "dd" * 300, 2: "x", 3: None, 4: "bb"}
+    df = spark.createDataFrame(list(texts.items()), "id int, t string")
+    lists = session.written(vectors.counted(df, "id", vectors.tfidf_tokens("t")), "counted")
+    idf = session.written(vectors.idf_of(lists), "idf")
+    counts = {i: Counter(w for w in (t or "").split() if len(w) > 1) for i, t in texts.items()}
+    weight = {w: math.log(6 / (1 + sum(w in c for c in counts.values()))) + 1 for c in counts.values() for w in c}
+    found = {(r.id, r.term): (r.n, r.tfidf) for r in vectors.weights(lists, idf, "id").collect()}
+    assert set(found) == {(i, w) for i, c in counts.items() for w in c}
+    for (i, w), (n, value) in found.items():
+        length = math.sqrt(sum((k * weight[v]) ** 2 for v, k in counts[i].items()))
+        assert n == counts[i][w] and value == pytest.approx(n * weight[w] / length)
+
+
 def test_embeddings(spark):
     df = spark.createDataFrame([(0, "a a b")], "id int, t string")
     words = vectors.fit_vocabulary(df, "t")
