@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from oracle.fragments import rounded, tally, with_cleaned, with_scored
-from oracle.reports import NEGATIVE, NEUTRAL, POSITIVE
+from oracle.fragments import AS_OF, rounded, tally, with_cleaned, with_scored
+from oracle.reports import KEYWORDS, NEGATIVE, NEUTRAL, POSITIVE, TRENDING
 
 SENTIMENT_SCORE = f"{rounded('sentiment_score', 6)} AS sentiment_score"
 
@@ -36,6 +36,12 @@ SQL = {
     "stream_dedup": "SELECT DISTINCT md5(text) AS content_key FROM documents",
     "stream_label_join": with_scored("""
         SELECT comment_id, toxicity_score, is_toxic, l.toxic FROM scored JOIN labels l ON l.doc_id = scored.doc_id"""),
+    "stream_label_outcomes": with_scored(f"""
+        SELECT comment_id, toxicity_score, is_toxic, CAST(l.toxic AS INTEGER) AS toxic,
+               CASE WHEN l.doc_id IS NOT NULL THEN CASE WHEN l.doc_id % 4 = 3 THEN 'late' ELSE 'matched' END
+                    WHEN {AS_OF} > ingestion_time + INTERVAL 1 HOUR THEN 'timed_out' ELSE 'waiting' END AS outcome
+        FROM scored LEFT JOIN labels l ON l.doc_id = scored.doc_id"""),
+    "stream_trending": with_scored(TRENDING, KEYWORDS),
     "stream_drain": """SELECT 'c' || CAST(doc_id AS VARCHAR) AS comment_id, source AS post_id,
         CAST(length(text) AS INTEGER) AS char_count FROM documents""",
 }

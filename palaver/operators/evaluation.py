@@ -98,3 +98,16 @@ def macro_f1(df: DataFrame, labels: dict[str, tuple[str, str]], epsilon: float =
         scores.append(2 * precision * recall / (precision + recall + epsilon))
     mean = reduce(lambda a, b: a + b, scores) / len(scores)
     return df.agg(*sums).select(fixed(mean, 6).alias("macro_f1"))
+
+
+def label_outcome(predicted_at: str, labelled_at: str, as_of: Column, within: str = "1 hour") -> Column:
+    """What became of a prediction by ``as_of``: ``matched`` (a label within the limit before or after), ``late``, ``timed_out``, ``waiting``.
+
+    A label without a prediction is ``unpredicted``.
+    """
+    span, at, labelled = F.expr(f"INTERVAL {within}"), F.col(predicted_at), F.col(labelled_at)
+    return (
+        F.when(at.isNull(), "unpredicted")
+        .when(labelled.isNull(), F.when(as_of > at + span, "timed_out").otherwise("waiting"))
+        .when((labelled >= at - span) & (labelled <= at + span), "matched").otherwise("late")
+    )

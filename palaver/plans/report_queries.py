@@ -122,7 +122,7 @@ def _keyworded(spark, folder):
     return keywords.comment_keywords(bindings.results(spark, folder))
 
 
-def _rounded(trending):
+def rounded_trending(trending):
     return trending.select("keyword", "count", fixed("sentiment_avg", 6).alias("sentiment_avg"),
                            fixed("toxicity_avg", 6).alias("toxicity_avg"), "last_updated", "first_seen")
 
@@ -136,7 +136,7 @@ def comment_keywords(spark, folder):
 
 @query
 def trending_keywords(spark, folder):
-    return _rounded(keywords.trending(_keyworded(spark, folder)))
+    return rounded_trending(keywords.trending(_keyworded(spark, folder)))
 
 
 @query
@@ -145,7 +145,7 @@ def trending_keywords_incremental(spark, folder):
     found = _keyworded(spark, folder)
     cut = F.col("ingestion_time") < bindings.as_of()
     stored, later = keywords.trending(found.filter(cut)), keywords.trending(found.filter(~cut))
-    return _rounded(keywords.merge_trending(stored, later))
+    return rounded_trending(keywords.merge_trending(stored, later))
 
 
 @query

@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 
 from palaver import schemas, session
 from palaver.functions.scalars import fixed
+from palaver.operators import keywords
+from palaver.operators.evaluation import label_outcome
 from palaver.operators.records import encode_envelope
 from palaver.plans import bindings, stages
 from palaver.plans.registry import query
+from palaver.plans.report_queries import rounded_trending
+from palaver.sources import keyed
 from palaver.streaming import hops, sinks, stateful
 
 FILES_PER_TRIGGER = 64  # the size of a micro-batch, whatever the size of the table
@@ -185,6 +189,41 @@ def stream_label_join(spark, folder):
     return spark.read.schema(out.schema).parquet(path)
 
 
+@query
+def stream_label_outcomes(spark, folder):
+    """Predictions and labels, which come 0 to 90 minutes after their comment, meet in a keyed table, in whatever order."""
+    path, checkpoint = _folders(spark, "stream-outcomes")
+    unknown = {"toxicity_score": "double", "is_toxic": "boolean", "predicted_at": "timestamp_ntz"}
+    unlabelled = {"toxic": "int", "labelled_at": "timestamp_ntz"}
+    columns = ["comment_id", *unknown, *unlabelled]
+    predicted = stages.analyse(_comments(spark, folder)).withColumn("predicted_at", F.col("ingestion_time"))
+    labels = bindings.with_events(_stream(spark, folder, "labels", "doc_id"), spark, folder).select(
+        F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("comment_id"), F.col("toxic").cast("int").alias("toxic"),
+        (F.col("ingestion_time") + F.make_dt_interval(mins=F.lit(30) * (F.col("doc_id") % 4).cast("int"))).alias("labelled_at"))
+
+    def filled(df, types):
+        return df.withColumns({c: F.lit(None).cast(t) for c, t in types.items()}).select(*columns)
+    hops.drained(sinks.to_keyed(
+        filled(labels, unknown), path, f"{checkpoint}-labels", "comment_id", ["labelled_at"], tuple(unlabelled), buckets=8))
+    hops.drained(sinks.to_keyed(
+        filled(predicted, unlabelled), path, checkpoint, "comment_id", ["predicted_at"], tuple(unknown), buckets=8))
+    rows = keyed.read(spark, path, filled(labels, unknown).schema)
+    return rows.select("comment_id", "toxicity_score", "is_toxic", "toxic",
+                       label_outcome("predicted_at", "labelled_at", bindings.as_of()).alias("outcome"))
+
+
+@query
+def stream_trending(spark, folder):
+    """Trending keywords kept by a stream: partial sums of each micro-batch, folded into a table by keyword."""
+    path, checkpoint = _folders(spark, "stream-trending")
+    scored = stages.analyse(_comments(spark, folder))
+    found = keywords.comment_keywords(scored, "cleaned_message").select(
+        "keywords", "sentiment_score", "toxicity_score", "ingestion_time")
+    for _ in range(2):  # the second run finds nothing new and adds nothing
+        hops.drained(sinks.to_combined(found, path, checkpoint, "keyword", keywords.trending, keywords.merge_trending, buckets=8))
+    return rounded_trending(keyed.read(spark, path, keywords.trending(found).schema))
+
+
 @query
 def stream_drain(spark, folder):
     """Two drains over one checkpoint: the second finds nothing new and adds nothing."""

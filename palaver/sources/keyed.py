@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -100,14 +101,36 @@ def merge(spark: SparkSession, path: str, batch: DataFrame, key: str = "comment_
     schema = StructType(fields)
     stored = _rows(spark, path, schema, {b: f for b, f in known.folders.items() if b in touched})
     rows = merging.merged(stored, staged.drop("bucket"), key, broadcast=staged.count() <= MOST_BROADCAST)
+    return _replace(spark, path, rows, key, Version(newest.number, count, known.folders, known.commits), touched, commits)
+
+
+def combine(spark: SparkSession, path: str, batch: DataFrame, key: str, function: Callable[[DataFrame, DataFrame], DataFrame],
+            buckets: int = 64, commits: dict[str, int] | None = None) -> int:
+    """Fold partial results, one row per key, into the stored ones by ``function(stored, batch)``; the number of the new version.
+
+    Both sides of the function are of the touched buckets alone, and so must its rows be. Sums would count a replay twice, so a batch that
+    may come again carries its commits, by which it is known.
+    """
+    known = version(spark, path)
+    if commits and all(known.commits.get(run, -1) >= epoch for run, epoch in commits.items()):
+        return known.number
+    count = known.buckets or buckets
+    staged = session.written(batch.withColumn("bucket", _bucket(key, count)), "staged")
+    touched = {r.bucket for r in staged.select("bucket").distinct().collect()}
+    stored = _rows(spark, path, batch.schema, {b: f for b, f in known.folders.items() if b in touched})
+    rows = function(stored, staged.drop("bucket")).select(*batch.columns)
+    return _replace(spark, path, rows, key, Version(known.number, count, known.folders, known.commits), touched, commits)
+
+
+def _replace(spark: SparkSession, path: str, rows: DataFrame, key: str, old: Version, touched: set[int], commits: dict[str, int] | None) -> int:
+    """Write the new rows of the touched buckets and publish them; the number of the new version."""
     folder = uuid.uuid4().hex
-    rows.withColumn("bucket", _bucket(key, count)).write.partitionBy("bucket").parquet(os.path.join(path, "data", f"version={folder}"))
-    folders = {**known.folders, **{b: folder for b in touched}}
-    kept = dict(known.commits)
+    rows.withColumn("bucket", _bucket(key, old.buckets)).write.partitionBy("bucket").parquet(os.path.join(path, "data", f"version={folder}"))
+    kept = dict(old.commits)
     for run, epoch in (commits or {}).items():
         kept[run] = max(epoch, kept.get(run, -1))
-    _publish(spark, path, Version(newest.number + 1, count, folders, kept))
-    return newest.number + 1
+    _publish(spark, path, Version(old.number + 1, old.buckets, {**old.folders, **{b: folder for b in touched}}, kept))
+    return old.number + 1
 
 
 def _publish(spark: SparkSession, path: str, new: Version) -> None:

@@ -100,6 +100,32 @@ def to_distinct(df: DataFrame, key: str, order: list[str], path: str, checkpoint
     return df.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint)
 
 
+def to_keyed(df: DataFrame, path: str, checkpoint: str, key: str, order: list[str], update: tuple[str, ...], buckets: int = 64) -> DataStreamWriter:
+    """Merge each micro-batch into a keyed table: new keys come in, of known ones the ``update`` columns change.
+
+    A batch that is tried again is known by its run and epoch and changes nothing. Several streams may bring different columns of
+    one table, one after the other (a table has one writer at a time): rows of a key meet there, however far apart they come.
+    """
+    run = run_of(df.sparkSession, checkpoint)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        keyed.merge(batch.sparkSession, path, batch, key, order, update, buckets, {run: epoch})
+    return df.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint)
+
+
+def to_combined(df: DataFrame, path: str, checkpoint: str, key: str, partial, combine, buckets: int = 64) -> DataStreamWriter:
+    """Keep an aggregate by key: ``partial(batch)`` of each micro-batch is folded in by ``combine(stored, partial)``.
+
+    The cost is that of the batch and the buckets it touches; nothing is kept in memory between batches, and no watermark drops
+    late rows. A batch that is tried again is known by its run and epoch and not counted twice.
+    """
+    run = run_of(df.sparkSession, checkpoint)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        keyed.combine(batch.sparkSession, path, partial(batch), key, combine, buckets, {run: epoch})
+    return df.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint)
+
+
 def all_epochs(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
     """Every stored row version of one or more table folders, with its ``run`` and ``epoch``."""
     versioned = StructType([*schema.fields, StructField("run", StringType()), StructField("epoch", LongType())])

@@ -45,12 +45,17 @@ def windowed_statistics(df: DataFrame, ts: str = "ingestion_time", length: str =
 
 
 def join_truth_stream(predictions: DataFrame, truth: DataFrame, key: str, predicted_at: str, labelled_at: str,
-                      within: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
-    """Inner join of two streams; a label may come up to ``within`` before or after its prediction."""
+                      within: str = "1 hour", delay: str = "10 minutes", unlabelled: bool = False) -> DataFrame:
+    """Join of two streams; a label may come up to ``within`` before or after its prediction.
+
+    With ``unlabelled`` a prediction that has no label by then comes out without one, once the watermark has passed its time limit. The state
+    holds the predictions and labels of ``within`` and ``delay``. A label that comes later still finds its prediction in a
+    keyed table (``sinks.to_keyed``).
+    """
     left = predictions.withWatermark(predicted_at, delay).alias("p")
     right = truth.withWatermark(labelled_at, delay).alias("t")
     span = F.expr(f"INTERVAL {within}")
     at, labelled = F.col(f"p.{predicted_at}"), F.col(f"t.{labelled_at}")
     together = (F.col(f"p.{key}") == F.col(f"t.{key}")) & (labelled >= at - span) & (labelled <= at + span)
     rest = [F.col(f"t.{c}") for c in truth.columns if c != key]
-    return left.join(right, together, "inner").select("p.*", *rest)
+    return left.join(right, together, "left_outer" if unlabelled else "inner").select("p.*", *rest)

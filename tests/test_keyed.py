@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
@@ -124,3 +125,25 @@ def test_folding_under_a_running_stream_loses_and_doubles_nothing(spark, tmp_pat
     assert epochs < 6
     sinks.fold(spark, path, schema, ended=True)
     assert {r.comment_id: tuple(r)[1:] for r in keyed.read(spark, f"{path}/_table", schema).collect()} == folded(parts)
+
+
+def test_partial_sums_add_up_and_replays_change_nothing(spark, tmp_path):
+    path, total, rng = str(tmp_path / "t"), Counter(), random.Random(3)
+
+    def added(stored, batch):
+        return stored.unionByName(batch).groupBy("word").agg(F.sum("n").alias("n"))
+
+    def found():
+        return {r.word: r.n for r in keyed.read(spark, path, "word string, n bigint").collect()}
+    for epoch in range(4):
+        counts = Counter(rng.choices([*"abcdefgh", None], k=9))
+        total += counts
+        batch = spark.createDataFrame(list(counts.items()), "word string, n bigint")
+        for _ in range(2):  # tried again
+            assert keyed.combine(spark, path, batch, "word", added, 4, {"run": epoch}) == epoch
+        assert found() == dict(total)
+    before = keyed.version(spark, path)
+    keyed.combine(spark, path, spark.createDataFrame([("a", 1)], "word string, n bigint"), "word", added)
+    after = keyed.version(spark, path)
+    assert sum(after.folders[b] != f for b, f in before.folders.items()) == 1 and after.buckets == 4
+    assert found() == dict(total + Counter("a"))

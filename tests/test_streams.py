@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from palaver import schemas
 from palaver.functions import scalars
 from palaver.operators import records
+from palaver.operators.evaluation import label_outcome
 from palaver.plans import stages
 from palaver.sources import external, files
 from palaver.streaming import hops, sinks, stateful
@@ -112,7 +113,7 @@ def test_distinct_rows_over_batches_runs_and_replays(spark, tmp_path):
 
 
 @pytest.mark.parametrize("name", ["stream_window_stats", "stream_sliding_stats", "stream_dedup", "stream_label_join",
-                                  "stream_score_upsert"])
+                                  "stream_score_upsert", "stream_label_outcomes", "stream_trending"])
 def test_streams_over_batches_out_of_time_order(name, spark, tmp_path, monkeypatch):
     """The same tables as single files and as five interleaved ones, a file per micro-batch."""
     from palaver.plans import stream_queries
@@ -243,3 +244,26 @@ def test_continuous_stream_can_be_stopped(spark, tmp_path):
 def test_broker_source_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         external.read_topic_stream(spark, "localhost:1", "t")
+
+
+def test_unlabelled_predictions_come_out_at_their_time_limit(spark, tmp_path):
+    minutes = lambda n: T0 + timedelta(minutes=n)
+    predicted = [[("a", minutes(0)), ("b", minutes(1)), ("c", minutes(2))], [("end", minutes(600))], [("end2", minutes(1200))]]
+    labels = [[("a", 1, minutes(30))], [("b", 0, minutes(90)), ("end", 1, minutes(601))], [("other", 1, minutes(1200))]]
+    write_parts(spark, tmp_path / "p", predicted, "id string, at timestamp")
+    write_parts(spark, tmp_path / "t", labels, "id string, toxic int, labelled_at timestamp")
+    left = hops.read_files_stream(spark, str(tmp_path / "p"), spark.read.parquet(str(tmp_path / "p")).schema, files_per_trigger=1)
+    right = hops.read_files_stream(spark, str(tmp_path / "t"), spark.read.parquet(str(tmp_path / "t")).schema, files_per_trigger=1)
+    joined = stateful.join_truth_stream(left, right, "id", "at", "labelled_at", unlabelled=True).select("id", "toxic")
+    hops.drained(sinks.to_files(joined, str(tmp_path / "out"), str(tmp_path / "cp")))
+    found = {tuple(r) for r in spark.read.schema(joined.schema).parquet(str(tmp_path / "out")).collect()}
+    assert found == {("a", 1), ("b", None), ("c", None), ("end", 1)}  # b's label came after its hour; end2 is still waited for
+
+
+def test_label_outcomes_by_hand(spark):
+    rows = [("m", 0, 60), ("early", 60, 0), ("l", 0, 61), ("t", 0, None), ("w", 100, None), ("u", None, 3)]
+    df = spark.createDataFrame([(i, *[None if m is None else T0 + timedelta(minutes=m) for m in at]) for i, *at in rows],
+                               "id string, p timestamp_ntz, l timestamp_ntz")
+    found = df.select("id", label_outcome("p", "l", F.lit(T0 + timedelta(minutes=120)).cast("timestamp_ntz")).alias("o"))
+    assert dict(map(tuple, found.collect())) == {
+        "m": "matched", "early": "matched", "l": "late", "t": "timed_out", "w": "waiting", "u": "unpredicted"}
