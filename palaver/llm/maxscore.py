@@ -1,10 +1,10 @@
 """Exact top-k search by inner product over sharded postings, with MaxScore pruning.
 
 A dimension of the integer vectors is a term, its column over a shard's candidates the posting list.
-For a query, a term's bound is the largest product it can add within the shard. The terms of the
-largest bounds are essential: the rest together cannot lift a candidate that gains nothing from
-them over the score to beat. Essential postings are traversed for all candidates; the others are
-probed step by step for those that can still reach the k-th best score known, which only grows.
+For a query, a term's bound is the largest product it can add within the shard. The score to beat begins as the
+k-th best of a few candidates that are scored in full. The terms of the largest bounds are essential: so many that
+the rest together cannot reach that score alone. Essential postings are traversed for all candidates; the others are
+probed step by step for those that can still reach the score to beat, which only grows.
 Nothing is approximated: what is cut off could not be among the k best, ties included.
 
 Candidates are dealt to shards by hash and queries to blocks; a task holds one shard and one block.
@@ -29,6 +29,7 @@ from palaver.session import written
 K, EVERY, SCALE = 20, 20, 64
 SHARD_ROWS, BLOCK_QUERIES = 2048, 1024
 STEP = 8  # terms probed between two cuts
+SEEDS = 8  # times k candidates are scored in full first
 EXACT = float(1 << 53)
 
 
@@ -59,9 +60,9 @@ def search(postings: np.ndarray, sums: np.ndarray, query: np.ndarray, k: int, al
     score = np.zeros(len(alive), postings.dtype)
     if len(alive) <= k:
         return alive, query @ postings[:, alive]
-    # essential: until the rest spreads less than what the first terms have already told apart
-    spread = rest[:-1] - low_rest[:-1]
-    essential = max(STEP, int(np.searchsorted(-spread, -0.5 * spread[0])))
+    seeds = query @ postings[:, alive[:SEEDS * k]]
+    to_beat = np.partition(seeds, len(seeds) - k)[len(seeds) - k]
+    essential = max(STEP, int(np.argmax(rest < to_beat)) if rest[-1] < to_beat else len(order))
     done = 0
     while done < len(order):
         size = essential if not done else STEP
@@ -69,7 +70,7 @@ def search(postings: np.ndarray, sums: np.ndarray, query: np.ndarray, k: int, al
         score = score + query[terms] @ (postings[terms] if len(alive) == postings.shape[1] else postings[np.ix_(terms, alive)])
         done += len(terms)
         if len(alive) > k and done < len(order):
-            to_beat = np.partition(score, len(score) - k)[len(score) - k] + low_rest[done]
+            to_beat = max(to_beat, np.partition(score, len(score) - k)[len(score) - k] + low_rest[done])
             keep = score + rest[done] >= to_beat
             if not keep.all():
                 alive, score = alive[keep], score[keep]
