@@ -124,7 +124,14 @@ def smooth_f1(true: str, p: str) -> str:
     return f"(2 * {precision} * {recall} / ({precision} + {recall} + {EPS}))"
 
 
+TWEET = "|".join([
+    rf"(?:https?://|www\.)[^{BLANK}]+", r"[<>]?[:;=8][\-o*']?[)\](\[dDpP/}{@|\\]", r"[)\](\[/}{@|\\][\-o*']?[:;=8][<>]?", "<3",
+    "@[A-Za-z0-9_]+", rf"#[{WORD}]+", r"[A-Za-z0-9.+_\-]{1,64}@[A-Za-z0-9_\-]+(?:\.[A-Za-z0-9_\-]+)+",
+    r"[+\-]?[0-9]+(?:[,/.:\-][0-9]+)+", rf"[{WORD}]+(?:['\-][{WORD}]+)*", r"\.{2,}", rf"[^{BLANK}]"])
+
 SQL = {
+    "tweet_tokens": f"""SELECT 'c' || CAST(doc_id AS VARCHAR) AS comment_id, array_to_string(list_filter(
+        {found("COALESCE(text, '')", TWEET)}, lambda t: NOT regexp_full_match(t, '@[A-Za-z0-9_]+')), ' ') AS tokens FROM documents""",
     "prepare_corpus": f"WITH {PREPARED} SELECT doc_id, comment_text FROM prepared",
     "substitute_text": f"""SELECT 'c' || CAST(doc_id AS VARCHAR) AS comment_id,
         {unpunctuated(substituted('text'))} AS message FROM documents""",

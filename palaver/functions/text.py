@@ -174,6 +174,34 @@ def long_tokens(text, min_length: int = 3) -> Column:
     return F.regexp_extract_all(as_column(text), F.lit(rf"[{WORD}]{{{min_length},}}"), F.lit(0))
 
 
+HANDLE = "@[A-Za-z0-9_]+"
+# What a tweet is made of, in the order in which it is tried at each place.
+TWEET_TOKEN = "|".join([
+    rf"(?:https?://|www\.)[^{BLANK}]+",
+    r"[<>]?[:;=8][\-o*']?[)\](\[dDpP/}{@|\\]", r"[)\](\[/}{@|\\][\-o*']?[:;=8][<>]?", "<3",  # emoticons, their mouth last or first
+    HANDLE,
+    rf"#[{WORD}]+",
+    r"[A-Za-z0-9.+_\-]{1,64}@[A-Za-z0-9_\-]+(?:\.[A-Za-z0-9_\-]+)+",  # mail addresses
+    r"[+\-]?[0-9]+(?:[,/.:\-][0-9]+)+",
+    rf"[{WORD}]+(?:['\-][{WORD}]+)*",
+    r"\.{2,}",
+    rf"[^{BLANK}]",
+])
+
+
+def tweet_tokens(text, strip_handles: bool = True, shorten: bool = True) -> Column:
+    """Links, emoticons, handles, tags, mail addresses, numbers, words with inner ``'`` or ``-``, dots, other signs one by one.
+
+    ``shorten`` cuts repeats of one character to three before, ``strip_handles`` leaves handles out. A null
+    text has no tokens.
+    """
+    text = F.coalesce(as_column(text), F.lit(""))
+    if shorten:
+        text = F.regexp_replace(text, r"(.)\1{2,}", "$1$1$1")
+    found = F.regexp_extract_all(text, F.lit(TWEET_TOKEN), F.lit(0))
+    return F.filter(found, lambda t: ~t.rlike(f"^{HANDLE}$")) if strip_handles else found
+
+
 def drop_stopwords(words: str, stopwords=values.STOPWORDS) -> Column:
     """Stopwords are tested before lower-casing, so ``The`` stays, as ``the``."""
     return F.expr(f"transform(filter(`{words}`, w -> w NOT IN ({literals(stopwords)})), w -> lower(w))")

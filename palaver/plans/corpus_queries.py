@@ -72,6 +72,13 @@ def expand_abbreviations(spark, folder):
     return split.select("comment_id", text.expand_abbreviations("words").alias("message"))
 
 
+@query
+def tweet_tokens(spark, folder):
+    """Tokens of a tweet without handles; repeated letters stay as they are."""
+    return bindings.texts(spark, folder).select(
+        "comment_id", F.array_join(text.tweet_tokens("message", shorten=False), " ").alias("tokens"))
+
+
 @query
 def stopword_filter(spark, folder):
     split = bindings.texts(spark, folder).select("comment_id", text.long_tokens("message").alias("words"))

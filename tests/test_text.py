@@ -150,3 +150,24 @@ def test_a_filter_on_scores_does_not_clean_twice(spark):
     df = spark.createDataFrame([("a b",)], "message string").repartition(2)
     plan = stages.analyse(df).filter("is_toxic AND sentiment = 'negative'")._jdf.queryExecution().optimizedPlan()
     assert plan.toString().count("www") == 2  # the marker test and the pattern, once each
+
+
+@pytest.mark.parametrize("tweet, expected", [
+    ("@user hi :-) <3", ["hi", ":-)", "<3"]),
+    ("see https://a.b/c?d=e, www.x.org now", ["see", "https://a.b/c?d=e,", "www.x.org", "now"]),
+    ("Sooooo goooood!!!!!", ["Sooo", "goood", "!", "!", "!"]),
+    ("#fun_day isn't well-known...", ["#fun_day", "isn't", "well-known", "..."]),
+    ("mail me@x.example.org at 10:30 on 1/2/2024", ["mail", "me@x.example.org", "at", "10:30", "on", "1/2/2024"]),
+    ("(: :P >:( ^", ["(:", ":P", ">:(", "^"]),
+    ("caf\u00e9 \U0001f600\U0001f600 3rd", ["caf\u00e9", "\U0001f600", "\U0001f600", "3rd"]),
+    ("@c", []),
+    ("", []), (None, []),
+])
+def test_tweet_tokens(spark, tweet, expected):
+    df = spark.createDataFrame([(tweet,)], "t string")
+    assert df.select(text.tweet_tokens("t")).first()[0] == expected
+
+
+def test_tweet_tokens_keep_handles_and_repeats_on_request(spark):
+    df = spark.createDataFrame([("@you sooooo @me",)], "t string")
+    assert df.select(text.tweet_tokens("t", strip_handles=False, shorten=False)).first()[0] == ["@you", "sooooo", "@me"]
