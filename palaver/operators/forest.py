@@ -34,6 +34,9 @@ LEAST_SEEN, MOST_BROADCAST = 256, 100_000
 SMALL = 2048
 POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(12)])
 ODD = np.uint64(0x9E3779B97F4A7C15)
+PIECE = 16_384
+#: A tree of so many nodes for each row of a batch is walked row by row; a smaller one splits the batch node by node.
+NODES_A_ROW = 8
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -56,6 +59,22 @@ def term_draw(terms: np.ndarray, tree: int, names: np.ndarray, seed: int) -> np.
     return (mixed(terms.view(np.uint64) ^ node) >> np.uint64(11)).astype(float) / (1 << 53)
 
 
+def looked_at(terms: np.ndarray, tree: int, name: int, share: float, seed: int) -> np.ndarray:
+    """Places of the terms whose ``term_draw`` for one node is below its share; worked off in pieces that stay in the cache."""
+    node = mixed(np.array([int(name) + ((seed * 1_000_003 + tree + 1) << 32)], np.uint64) * ODD)
+    least, found = np.uint64(math.ceil(share * (1 << 53))), []
+    for start in range(0, len(terms), PIECE):
+        draws = mixed(terms[start:start + PIECE].view(np.uint64) ^ node) >> np.uint64(11)
+        found.append(np.flatnonzero(draws < least) + start)
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges ``start .. start + size - 1``, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
 def child_name(name: int, side: int) -> int:
     return int(mixed(np.array([(2 * name + side + 1) % (1 << 64)], np.uint64) * ODD)[0] >> np.uint64(32))
 
@@ -95,9 +114,15 @@ class Sparse:
 
     def __init__(self, terms: pa.Array, weights: pa.Array):
         self.terms, self.weights = (c.flatten().to_numpy(zero_copy_only=False) for c in (terms, weights))
-        sizes = np.diff(terms.offsets.to_numpy())
-        self.n, self.row = len(sizes), np.repeat(np.arange(len(sizes)), sizes)
-        self.known, code = np.unique(self.terms, return_inverse=True)
+        self.sizes = np.diff(terms.offsets.to_numpy())
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.n, self.row = len(self.sizes), np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.order = np.argsort(self.terms, kind="stable")  # entries by term, then by row
+        in_order = self.terms[self.order]
+        new = np.concatenate((np.ones(min(len(in_order), 1), bool), in_order[1:] != in_order[:-1]))
+        self.known, self.begin = in_order[new], np.append(np.flatnonzero(new), len(in_order))
+        code = np.empty(len(in_order), np.int64)
+        code[self.order] = np.cumsum(new) - 1
         self.keys = self.row * max(len(self.known), 1) + code
 
     def weight(self, rows: np.ndarray, terms: np.ndarray) -> np.ndarray:
@@ -112,6 +137,8 @@ class Sparse:
     def nodes(self, tree: tuple[np.ndarray, ...]) -> np.ndarray:
         """The node of a tree (arrays term, cut, low, high) where each row ends."""
         term, cut, low, high = tree
+        if np.count_nonzero(low >= 0) <= NODES_A_ROW * self.n:
+            return self.split_off(tree)
         at = np.zeros(self.n, np.int64)
         moving = np.arange(self.n)
         while len(moving := moving[low[at[moving]] >= 0]):
@@ -121,6 +148,32 @@ class Sparse:
         return at
 
 
+    def split_off(self, tree: tuple[np.ndarray, ...]) -> np.ndarray:
+        """The same by nodes, parents first: each takes its rows above the cut out of its set, which goes on to the low child.
+
+        Only rows that have a node's term are touched, so a long chain of nodes costs no more than the entries of its terms.
+        """
+        term, cut, low, high = tree
+        inner = np.flatnonzero(low >= 0)
+        code = np.minimum(np.searchsorted(self.known, term[inner]), max(len(self.known) - 1, 0))
+        there = self.known[code] == term[inner] if len(self.known) else np.zeros(len(inner), bool)
+        begin, end = self.begin[code], np.where(there, self.begin[np.minimum(code + 1, len(self.begin) - 1)], self.begin[code])
+        own, set_at, at_of = np.zeros(self.n, np.int64), {0: 0}, [0]
+        for node, start, stop, least, below, above in zip(*(c.tolist() for c in (inner, begin, end, cut[inner], low[inner], high[inner]))):
+            here = set_at.pop(node, None)
+            if here is None:
+                continue
+            set_at[below], at_of[here] = here, below
+            if start < stop:
+                entry = self.order[start:stop]
+                rows = self.row[entry[self.weights[entry] > least]]
+                rows = rows[own[rows] == here]
+                if len(rows):
+                    own[rows] = set_at[above] = len(at_of)
+                    at_of.append(above)
+        return np.array(at_of, np.int64)[own]
+
+
 def arrays(tree: Tree) -> tuple[np.ndarray, ...]:
     return (np.array(tree.term, np.int64), np.array(tree.cut, float), np.array(tree.low, np.int64), np.array(tree.high, np.int64))
 
@@ -186,6 +239,27 @@ def root_totals(rows: DataFrame, trees: int, n_labels: int, seed: int) -> list[t
     return sorted((r[0], r[1], list(r[2:])) for r in totals.collect())
 
 
+def seen_entries(sparse: Sparse, node: np.ndarray, share: np.ndarray, names: np.ndarray, tree: int, seed: int) -> np.ndarray:
+    """Entries whose term the node of their row looks at; ``node`` is -1 for rows that take no part.
+
+    A node draws a term once, not once per entry: from the distinct terms of the batch, or from its own entries if these are fewer.
+    """
+    taking = np.flatnonzero(node >= 0)
+    taking = taking[share[node[taking]] > 0]
+    taking = taking[np.argsort(node[taking], kind="stable")]
+    open_, first = np.unique(node[taking], return_index=True)
+    found = [np.zeros(0, np.int64)]
+    for value, rows in zip(open_, np.split(taking, first[1:])):
+        if sparse.sizes[rows].sum() < len(sparse.known):
+            own = ranges(sparse.first[rows], sparse.sizes[rows])
+            found.append(own[looked_at(sparse.terms[own], tree, names[value], share[value], seed)])
+        else:
+            code = looked_at(sparse.known, tree, names[value], share[value], seed)
+            own = sparse.order[ranges(sparse.begin[code], sparse.begin[code + 1] - sparse.begin[code])]
+            found.append(own[node[sparse.row[own]] == value])
+    return np.concatenate(found)
+
+
 def seen_terms(forest: list[Tree], open_: dict[tuple[int, int], float], n_labels: int, seed: int):
     """Mapper: ``(tree, node, term, weight, n, y)`` for each term that an open node looks at."""
     grown, names, shares = [arrays(t) for t in forest], [np.array(t.name, np.uint64) for t in forest], []
@@ -204,10 +278,7 @@ def seen_terms(forest: list[Tree], open_: dict[tuple[int, int], float], n_labels
                 if not share.any():
                     continue
                 node, times = sparse.nodes(grown[tree]), drawn(row, tree, seed) * copies
-                least = np.where(times > 0, share[node], 0.0)
-                entry = np.flatnonzero(least[sparse.row] > 0)
-                own = sparse.row[entry]
-                entry = entry[term_draw(sparse.terms[entry], tree, names[tree][node[own]], seed) < least[own]]
+                entry = seen_entries(sparse, np.where(times > 0, node, -1), share, names[tree], tree, seed)
                 own = sparse.row[entry]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(own), tree), pa.int32()), pa.array(node[own], pa.int32()), pa.array(sparse.terms[entry], pa.int64()),
@@ -249,10 +320,8 @@ def best_splits(rows: DataFrame, forest: list[Tree], open_: dict[tuple[int, int]
 
 def best_split(sparse: Sparse, rows: np.ndarray, times: np.ndarray, y: np.ndarray, tree: int, name: int, share: float, seed: int):
     """The same choice among rows in memory: ``(term, cut number, n, positives)`` above the cut, or None."""
-    inside = np.zeros(sparse.n, bool)
-    inside[rows] = True
-    entry = np.flatnonzero(inside[sparse.row])
-    entry = entry[term_draw(sparse.terms[entry], tree, np.full(len(entry), name, np.uint64), seed) < share]
+    entry = ranges(sparse.first[rows], sparse.sizes[rows])
+    entry = entry[looked_at(sparse.terms[entry], tree, name, share, seed)]
     if not len(entry):
         return None
     terms, code = np.unique(sparse.terms[entry], return_inverse=True)

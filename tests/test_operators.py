@@ -8,6 +8,7 @@ from collections import Counter
 from datetime import date, datetime, timedelta
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -449,3 +450,33 @@ def test_corpus_statistics(spark):
 def test_declared_schemas_name_their_columns():
     assert schemas.RESULT.names[:2] == ["post_id", "comment_id"]
     assert set(schemas.RESULT_DEFAULTS) <= set(schemas.RESULT_WIDE.names)
+
+
+def test_forest_batch_by_terms(monkeypatch):
+    """Rows reach the nodes that a walk finds, and a node draws each distinct term of a batch once, not once per entry."""
+    rng = np.random.default_rng(3)
+    known = rng.integers(-2**62, 2**62, 60)
+    lists = [np.sort(rng.choice(known, rng.integers(0, 40), replace=False)) for _ in range(300)]
+    terms = pa.array([r.tolist() for r in lists], pa.list_(pa.int64()))
+    weights = pa.array([(rng.integers(1, 40, len(r)) / 100).tolist() for r in lists], pa.list_(pa.float64()))
+    batch, tree = forest.Sparse(terms, weights), forest.Tree()
+    tree.add(1000, [500], 0, 1)
+    for i in range(40):  # a chain with branches; one term is in no row
+        leaves = [n for n in range(len(tree.n)) if tree.low[n] < 0]
+        tree.split(leaves[i % 3 if len(leaves) > 2 else 0], 7 if i == 5 else int(rng.choice(known)), forest.CUTS[i % 4], 1, [0])
+    walked = forest.arrays(tree)
+    by_terms = batch.nodes(walked)
+    monkeypatch.setattr(forest, "NODES_A_ROW", 0)
+    assert (by_terms == batch.nodes(walked)).all() and len(set(by_terms)) > 3
+
+    names, share = np.array(tree.name, np.uint64), np.where(np.arange(len(tree.n)) % 2 == by_terms[0] % 2, 0.3, 0.0)
+    node = np.where(np.arange(300) % 5 == 0, -1, by_terms)
+    own = node[batch.row]
+    least = np.where(own >= 0, share[own], 0.0)
+    expected = np.flatnonzero(forest.term_draw(batch.terms, 2, names[own], 9) < least)
+    assert len(expected) and np.sort(forest.seen_entries(batch, node, share, names, 2, 9)).tolist() == expected.tolist()
+
+    hashed, mixed = [], forest.mixed
+    monkeypatch.setattr(forest, "mixed", lambda x: hashed.append(len(x)) or mixed(x))
+    forest.seen_entries(batch, np.zeros(300, np.int64), np.array([0.3]), names[:1], 2, 9)
+    assert sum(hashed) <= len(batch.known) + 1 < len(batch.terms)
