@@ -111,15 +111,6 @@ def term_counts(tokens: str) -> Column:
         f"get(transform(array(sort_array({tokens})), s -> get(transform(array({starts}), b -> {runs}), 0)), 0)")
 
 
-def term_places(tokens: str) -> Column:
-    """``array<struct<term, at>>``: the distinct tokens of one text, each with its places from 0 in rising order."""
-    pairs = f"sort_array(transform({tokens}, (t, i) -> struct(t AS term, i AS at)))"
-    starts = "if(size(s) > 0, filter(sequence(0, size(s) - 1), i -> i = 0 OR get(s, i).term <> get(s, i - 1).term), array())"
-    places = "slice(s, at + 1, coalesce(get(b, j + 1), size(s)) - at).at"
-    runs = f"transform(b, (at, j) -> struct(get(s, at).term AS term, {places} AS at))"
-    return F.expr(f"get(transform(array({pairs}), s -> get(transform(array({starts}), b -> {runs}), 0)), 0)")
-
-
 def count_in(words: str, lexicon) -> Column:
     """How many of the tokens are in the lexicon, repeats counted."""
     return F.expr(f"size(filter(`{words}`, w -> w IN ({literals(lexicon)})))")

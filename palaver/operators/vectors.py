@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from palaver import session
 from palaver.functions.scalars import as_column
-from palaver.functions.text import WORD, literal, term_counts, term_places, words_sql
+from palaver.functions.text import WORD, literal, term_counts, words_sql
 
 # Signs that separate words for the vocabulary; apostrophes stay inside words.
 SEPARATORS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n"
@@ -30,31 +34,8 @@ def counted(df: DataFrame, key: str, words: str) -> DataFrame:
 
 
 def placed(df: DataFrame, key: str, words: str) -> DataFrame:
-    """``(key, terms)``: each text once, as the array ``<term, at>`` of its distinct tokens with their places from 0."""
-    return df.select(key, term_places(words).alias("terms"))
-
-
-def looked_up(lists: DataFrame, head: DataFrame, tail: DataFrame, key: str, value: str) -> DataFrame:
-    """``(key, terms)`` with ``value`` of ``(term, value)`` tables added to each entry; entries in neither are dropped.
-
-    ``head`` holds the most frequent terms, at most ``session.HEAD_RANKS`` of bounded length: it is broadcast, so hot
-    terms never move. What it lacks goes to ``tail`` by shuffle, one row per rare term of a text. Entries come back to
-    their text as one list per task; ``key`` must be unique. ``lists`` is read once.
-    """
-    held = [f.name for f in lists.schema["terms"].dataType.elementType.fields]
-    entries = lists.select(key, F.expr("inline_outer(terms)")).join(F.broadcast(head.select("term", value)), "term", "left")
-    found, missing = F.struct(*held, value), F.struct(*held)
-    here = F.col(value).isNotNull()
-    lists_at_once = session.setting(
-        lists.sparkSession, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(session.LISTS_AT_ONCE))
-    with lists_at_once:  # the entries of a text come in a row, so that few lists grow at a time
-        halves = session.written(entries.groupBy(key).agg(
-            F.collect_list(F.when(here, found)).alias("_found"),
-            F.collect_list(F.when(~here & F.col("term").isNotNull(), missing)).alias("_missing")), "looked-up")
-    rare = halves.select(key, F.expr("inline(_missing)")).join(tail.select("term", value), "term")
-    rare = rare.groupBy(key).agg(F.collect_list(found).alias("_rare"))
-    whole = F.when(F.col("_rare").isNull(), F.col("_found")).otherwise(F.concat("_found", "_rare"))
-    return halves.join(rare, key, "left").select(key, whole.alias("terms"))
+    """``(key, terms)``: each text once, as the array of its tokens in text order (``words`` as SQL text)."""
+    return df.select(key, F.expr(words).alias("terms"))
 
 
 def idf_of(lists: DataFrame) -> DataFrame:
@@ -111,8 +92,7 @@ def vocabulary_of(lists: DataFrame, size: int | None = None) -> DataFrame:
 
     With ``size`` only the most frequent words are kept and numbered.
     """
-    each = lists.select(F.inline("terms")).select(F.col("term").alias("word"), F.size("at").alias("n"))
-    totals = each.groupBy("word").agg(F.sum("n").alias("n"))
+    totals = lists.select(F.explode("terms").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     order = [F.col("n").desc(), F.col("word")]
     if size is not None:
         totals = totals.orderBy(*order).limit(size)
@@ -120,20 +100,48 @@ def vocabulary_of(lists: DataFrame, size: int | None = None) -> DataFrame:
 
 
 def fit_vocabulary(df: DataFrame, text: str, size: int | None = None) -> DataFrame:
-    return vocabulary_of(df.select(term_places(vocabulary_tokens(text)).alias("terms")), size)
+    return vocabulary_of(df.select(F.expr(vocabulary_tokens(text)).alias("terms")), size)
+
+
+def _in_head(words: list[str], numbers: list[int]):
+    """Mapper of ``(key, terms)``: ``coded`` has place and number, in one integer, of each token among ``words``, ``rare`` the others."""
+    wanted, number = pa.array(words, pa.string()), np.array([*numbers, 0], np.int64)
+
+    def run(incoming):
+        for batch in incoming:
+            terms, n = batch.column(1), batch.num_rows
+            flat, sizes = terms.flatten(), np.diff(terms.offsets.to_numpy())
+            row = np.repeat(np.arange(n), sizes)
+            at = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            code = number[pc.fill_null(pc.index_in(flat, value_set=wanted.cast(flat.type)), -1).to_numpy(zero_copy_only=False)]
+            found, rare = code > 0, (code == 0) & pc.is_valid(flat).to_numpy(zero_copy_only=False)
+
+            def lists(own: np.ndarray, values: pa.Array) -> pa.Array:
+                ends = np.append(0, np.cumsum(np.bincount(row[own], minlength=n)))
+                return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+            others = pa.StructArray.from_arrays([flat.filter(pa.array(rare)), pa.array(at[rare], pa.int64())], names=["term", "at"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), lists(found, pa.array(at[found] << 32 | code[found], pa.int64())), lists(rare, others)], names=["key", "coded", "rare"])
+    return run
 
 
 def codes(lists: DataFrame, vocabulary: DataFrame, key: str) -> DataFrame:
     """``(key, codes)``: each placed text as the numbers of its words in text order, unknown words dropped.
 
-    Each distinct word of a text is looked up once; the order is rebuilt in the row from its places. ``vocabulary``
-    is read twice and should be written.
+    The ``session.HEAD_RANKS`` most frequent words of bounded length go to every task and are looked up in the row, so they never
+    move as words and are never listed anew. Only rarer ones meet their numbers by shuffle, and come back to their text as place and
+    number in one integer. ``key`` should be unique: texts of one key are merged. ``vocabulary`` is read twice and should be written.
     """
     numbered = vocabulary.select(F.col("word").alias("term"), F.col("index").cast("int").alias("code"))
     in_head = (F.col("code") <= session.HEAD_RANKS) & (F.octet_length("term") <= session.LONGEST_HEAD_KEY)
-    entries = looked_up(lists, numbered.filter(in_head), numbered.filter(~in_head), key, "code")
-    in_order = "sort_array(flatten(transform(terms, t -> transform(t.at, i -> struct(i AS at, t.code AS code)))))"
-    return entries.select(key, F.expr(f"{in_order}.code").alias("codes"))
+    head = numbered.filter(in_head).collect()
+    form = StructType([lists.schema[key], *StructType.fromDDL("coded array<bigint>, rare array<struct<term: string, at: bigint>>")])
+    halves = session.written(lists.select(key, "terms").mapInArrow(_in_head([r.term for r in head], [r.code for r in head]), form), "looked-up")
+    rare = halves.select(key, F.expr("inline(rare)")).join(numbered.filter(~in_head), "term")
+    rare = rare.select(key, F.array(F.shiftleft("at", 32).bitwiseOR(F.col("code").cast("bigint"))).alias("coded"))
+    # dealt by key first: summing up within the tasks before would hold a list for each text and shrink nothing
+    whole = halves.select(key, "coded").unionByName(rare).repartition(key).groupBy(key).agg(F.flatten(F.collect_list("coded")).alias("coded"))
+    return whole.select(key, F.expr("transform(sort_array(coded), c -> cast(c & 4294967295 AS int))").alias("codes"))
 
 
 def pad(sequence, length: int, padding: str = "post", truncating: str = "post") -> Column:

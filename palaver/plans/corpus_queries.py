@@ -32,7 +32,7 @@ def marked(spark, folder):
 
 
 def _lists(spark, folder):
-    """Prepared documents as the distinct words of each with their places: tokenised once, written on first use."""
+    """Prepared documents as their words in text order: tokenised once, written on first use."""
     documents = session.spread(bindings.table(spark, folder, "documents"), "doc_id").select(
         "doc_id", F.col("text").alias("comment_text"))
     return spark.read.parquet(bindings.stored(spark, folder, "word-lists", lambda path: vectors.placed(

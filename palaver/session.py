@@ -9,8 +9,6 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 HEAD_RANKS = 32_768
-#: So many texts' lists are collected by a task side by side before it sorts its rows instead.
-LISTS_AT_ONCE = 4096
 LONGEST_HEAD_KEY = 256
 
 

@@ -480,3 +480,12 @@ def test_forest_batch_by_terms(monkeypatch):
     monkeypatch.setattr(forest, "mixed", lambda x: hashed.append(len(x)) or mixed(x))
     forest.seen_entries(batch, np.zeros(300, np.int64), np.array([0.3]), names[:1], 2, 9)
     assert sum(hashed) <= len(batch.known) + 1 < len(batch.terms)
+
+
+def test_placed_texts_stay_in_order(spark):
+    """A text's tokens are stored as they stand, neither sorted nor grouped; texts of one key are merged by place."""
+    df = spark.createDataFrame([(1, "b a, b"), (2, None), (3, "a"), (3, "b zz")], "id int, t string")
+    lists = vectors.placed(df, "id", vectors.vocabulary_tokens("t"))
+    assert sorted((r.id, r.terms) for r in lists.collect()) == [(1, ["b", "a", "b"]), (2, []), (3, ["a"]), (3, ["b", "zz"])]
+    words = spark.createDataFrame([("a", 1, 1), ("b", 1, 2), ("zz", 1, 3)], "word string, n bigint, index bigint")
+    assert {r.id: r.codes for r in vectors.codes(lists, words, "id").collect()} == {1: [2, 1, 2], 2: [], 3: [1, 2, 3]}
