@@ -87,10 +87,10 @@ def stored(spark: SparkSession, folder: str, name: str, write) -> str:
 def result_table(spark: SparkSession, folder: str) -> str:
     """The result table of all comments by ingestion day.
 
-    Texts are scored where they are read and joined with their events afterwards.
+    Texts meet their events first and are scored afterwards, so that a join by shuffle moves each text once, without its cleaned form.
     """
     def write(path: str) -> None:
-        files.write_results(_as_result(with_events(stages.analyse(texts(spark, folder)), spark, folder)), path)
+        files.write_results(_as_result(stages.analyse(comments(spark, folder))), path)
     return stored(spark, folder, "results", write)
 
 

@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 HEAD_RANKS = 32_768
 LONGEST_HEAD_KEY = 256
+#: So many files a task writes side by side; beyond that it sorts its rows by folder.
+OPEN_FILES = 32
+#: A join by shuffle hashes its smaller side if no partition of it is larger than this; otherwise it sorts both.
+MOST_HASHED = "64m"
 
 
 def shared_folder(spark: SparkSession) -> str:

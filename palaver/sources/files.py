@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from palaver import schemas
+from palaver import schemas, session
 
 TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"', "quote": '"', **TIMES}
@@ -17,8 +17,15 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
 
 
 def write_results(df: DataFrame, path: str, ts: str = "ingestion_time", mode: str = "append") -> None:
-    """Append scored rows to the result table, in a folder per ingestion day."""
-    df.withColumn("ingestion_day", F.to_date(ts)).write.mode(mode).partitionBy("ingestion_day").parquet(path)
+    """Append scored rows to the result table, in a folder per ingestion day.
+
+    A task keeps files of several days open instead of sorting its texts by day, and a join with narrow rows, such as events, hashes
+    these where they are few enough instead of sorting the texts.
+    """
+    spark = df.sparkSession
+    with (session.setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(session.OPEN_FILES)),
+          session.setting(spark, "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", session.MOST_HASHED)):
+        df.withColumn("ingestion_day", F.to_date(ts)).write.mode(mode).partitionBy("ingestion_day").parquet(path)
 
 
 def read_results(spark: SparkSession, path: str, since=None, until=None) -> DataFrame:

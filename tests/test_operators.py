@@ -16,6 +16,7 @@ from palaver import schemas, session, values
 from palaver.functions import scalars
 from palaver.operators import (corpus, evaluation, forest, keywords, listings, merge, quality, records, rollups,
                                search, vectors)
+from palaver.sources import files
 
 T0 = datetime(2024, 1, 10, 12, 0)
 SEED_ROWS = [
@@ -489,3 +490,18 @@ def test_placed_texts_stay_in_order(spark):
     assert sorted((r.id, r.terms) for r in lists.collect()) == [(1, ["b", "a", "b"]), (2, []), (3, ["a"]), (3, ["b", "zz"])]
     words = spark.createDataFrame([("a", 1, 1), ("b", 1, 2), ("zz", 1, 3)], "word string, n bigint, index bigint")
     assert {r.id: r.codes for r in vectors.codes(lists, words, "id").collect()} == {1: [2, 1, 2], 2: [], 3: [1, 2, 3]}
+
+
+def test_results_are_written_without_sorting_texts(spark, tmp_path, monkeypatch):
+    """Rows of many days, in any order, reach the folders of their days; the session's settings are as before afterwards."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before, seen = spark.conf.get(name), []
+    rows = spark.range(200).selectExpr("id", "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(cast(id % 40 AS int)) AS ingestion_time")
+    from pyspark.sql.readwriter import DataFrameWriter
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: seen.append(int(spark.conf.get(name))) or write(self, path, *a, **k))
+    files.write_results(rows, str(tmp_path / "results"))
+    assert seen and seen[0] > 0 and spark.conf.get(name) == before
+    assert len([p for p in (tmp_path / "results").iterdir() if p.name.startswith("ingestion_day=")]) == 40
+    found = files.read_results(spark, str(tmp_path / "results"))
+    assert sorted((r.id, r.ingestion_day) for r in found.collect()) == [(i, date(2024, 1, 1) + timedelta(days=i % 40)) for i in range(200)]
