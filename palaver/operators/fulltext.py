@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from palaver import values
+from palaver import session, values
 from palaver.functions.once import computed_once
 from palaver.functions.stems import stem
 from palaver.functions.text import WORD, words_sql
@@ -161,9 +161,13 @@ def _initial(stem_: Column) -> Column:
 
 
 def write_index(postings: DataFrame, path: str, buckets: int = 256) -> None:
-    search.write_postings(postings, f"{path}/postings", buckets)
+    """Postings by bucket and dictionary by first letter.
+
+    Dealing by ranges reads its rows twice, first to find the ranges, so texts are split and terms stemmed before, once, and written.
+    """
+    search.write_postings(session.written(postings, "postings"), f"{path}/postings", buckets)
     stored = postings.sparkSession.read.parquet(f"{path}/postings")
-    terms = dictionary(stored).withColumn("initial", _initial(F.col("stem")))
+    terms = session.written(dictionary(stored), "dictionary").withColumn("initial", _initial(F.col("stem")))
     terms.repartitionByRange("initial", "stem", "term").write.mode("overwrite").partitionBy("initial").parquet(f"{path}/terms")
 
 

@@ -110,3 +110,18 @@ def test_positions_and_folders(spark, tmp_path, capsys):
 def test_empty_index(spark, tmp_path):
     empty = spark.createDataFrame([], "id int, t string")
     assert fulltext.positional_postings(empty, "t", "id").count() == 0 and fulltext.find(empty, "t", W("kill")).count() == 0
+
+
+def test_index_computes_its_rows_once(spark, tmp_path):
+    """The ranges of the stored index are found from written rows, not by splitting the texts once more."""
+    read = spark.sparkContext.accumulator(0)
+    rows = [(f"term{i % 50}", f"c{i}", [i]) for i in range(300)]
+
+    def seen(row):
+        read.add(1)
+        return row
+    postings = spark.createDataFrame(spark.sparkContext.parallelize(rows, 3).map(seen), "term string, comment_id string, positions array<int>")
+    fulltext.write_index(postings, str(tmp_path / "index"), 4)
+    assert read.value == 300
+    assert spark.read.parquet(str(tmp_path / "index" / "postings")).count() == 300
+    assert spark.read.parquet(str(tmp_path / "index" / "terms")).count() == 50
