@@ -19,13 +19,14 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from palaver.llm.frames import free
 
 LONGEST = 256
-CACHED_PIECES = 200_000
+CACHED_PIECES = 100_000
 ROWS_AT_ONCE = 1 << 16
 NONE = np.int64(1) << 40
 
@@ -208,24 +209,23 @@ class Encoder:
         return out
 
 
-def groups(texts: list, limit: int = 1 << 21):
-    """Runs of neighbouring texts of about ``limit`` characters."""
-    group, size = [], 0
-    for t in texts:
-        if group and size + len(t or "") > limit:
-            yield group
-            group, size = [], 0
-        group.append(t)
-        size += len(t or "")
-    if group:
-        yield group
+def groups(texts, limit: int = 1 << 19):
+    """``(first, n)``: runs of neighbouring texts of an Arrow column, of about ``limit`` bytes or one text each."""
+    sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    first, ends = 0, np.cumsum(sizes)
+    while first < len(sizes):
+        start = int(ends[first] - sizes[first])
+        last = max(first + 1, int(np.searchsorted(ends, start + limit, side="right")))
+        yield first, last - first
+        first = last
 
 
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", keep: list[str] | None = None,
            with_ids: bool = True) -> DataFrame:
     """Columns ``keep`` (all by default), ``n_tokens, ids_sha256, decoded_sha256`` and ``ids`` (packed).
 
-    Input columns that have one of the new names are replaced.
+    Input columns that have one of the new names are replaced. A batch of thousands of texts is taken apart
+    and handed on in groups, so a task holds the words, ids and bytes of one group only.
     """
     new = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
     keep = [c for c in (df.columns if keep is None else keep) if c not in new]
@@ -237,16 +237,15 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "te
         encoder = Encoder(vocabulary, pattern)
         for batch in incoming:
             *columns, texts = batch.columns
-            packed = []
-            for group in groups(texts.to_pylist()):
-                packed += encoder.encode(group)
-            decoded = (vocabulary.decode(np.frombuffer(p, "<u4")) for p in packed)
-            columns += [
-                pa.array([len(p) // 4 for p in packed], pa.int64()),
-                pa.array([hashlib.sha256(p).hexdigest() for p in packed], pa.string()),
-                pa.array([hashlib.sha256(d).hexdigest() for d in decoded], pa.string()),
-            ] + [pa.array(packed, pa.binary())] * with_ids
-            yield pa.RecordBatch.from_arrays(columns, names=keep + new)
+            for first, n in groups(texts):
+                packed = encoder.encode(texts.slice(first, n).to_pylist())
+                decoded = (vocabulary.decode(np.frombuffer(p, "<u4")) for p in packed)
+                own = [c.slice(first, n) for c in columns] + [
+                    pa.array([len(p) // 4 for p in packed], pa.int64()),
+                    pa.array([hashlib.sha256(p).hexdigest() for p in packed], pa.string()),
+                    pa.array([hashlib.sha256(d).hexdigest() for d in decoded], pa.string()),
+                ] + [pa.array(packed, pa.binary())] * with_ids
+                yield pa.RecordBatch.from_arrays(own, names=keep + new)
 
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + ["n_tokens long", "ids_sha256 string", "decoded_sha256 string"]
                        + ["ids binary"] * with_ids)

@@ -14,6 +14,9 @@ LONGEST_HEAD_KEY = 256
 OPEN_FILES = 32
 #: A join by shuffle hashes its smaller side if no partition of it is larger than this; otherwise it sorts both.
 MOST_HASHED = "64m"
+#: Rows go to Python in batches of about so many bytes: thousands of long texts at once would fill the memory of a worker
+#: and of the JVM beside it.
+BATCH_BYTES = "4m"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,6 +57,16 @@ def setting(spark: SparkSession, name: str, value: str):
         spark.conf.set(name, before)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the batches that go to Python, from now on in this session, unless its user has set a bound.
+
+    The setting is read when a job runs, and a result may be computed long after it was described.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, BATCH_BYTES)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Deal rows to as many partitions as ``spark.palaver.inputPartitions`` says; without it leave them as read.
 

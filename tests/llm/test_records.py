@@ -9,11 +9,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 import tiktoken
 from pyspark.sql import functions as F
 
+from palaver import session
 from palaver.llm import anomaly, bpe, mixing, queries, sharding, substrings
 
 from .conftest import prose
@@ -351,3 +353,40 @@ def test_rows_without_repeats_keep_their_columns(edge_docs, no_docs):
     row = out.filter("doc_id = 9").first()
     assert row.text == "é ß ❤️ 日本 #x# | <b>" and row.n_chars == len(row.text) and row["_row"] == "own _row"
     assert substrings.without_repeats(no_docs).count() == 0
+
+
+def test_encoded_rows_leave_in_groups(spark, ranks, monkeypatch):
+    """A batch of many texts is handed on in groups of bounded bytes, null and empty texts included; the rows are the same."""
+    texts = pa.array(["ab " * 40, None, "", "x" * 500, "cd", "ef"])
+    assert list(bpe.groups(texts, 130)) == [(0, 3), (3, 1), (4, 2)]
+    assert list(bpe.groups(texts.slice(1), 130)) == [(0, 2), (2, 1), (3, 2)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts.to_pylist())], "doc_id long, text string").coalesce(1)
+    whole = bpe.encode(df, ranks, public_tokenizers.PATTERN, keep=["doc_id"]).collect()
+    sizes = []
+    original = bpe.Encoder.encode
+    monkeypatch.setattr(bpe.Encoder, "encode", lambda self, group: sizes.append(sum(len(t or "") for t in group)) or original(self, group))
+    held = {}
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, run, schema: held.setdefault("run", run) and self)
+    monkeypatch.setattr(bpe.groups, "__defaults__", (130,))
+    bpe.encode(df, ranks, public_tokenizers.PATTERN, keep=["doc_id"])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6), pa.int64()), texts], names=["doc_id", "text"])
+    out = list(held["run"](iter([batch])))
+    assert [b.num_rows for b in out] == [3, 1, 2] and max(sizes) == 500
+    assert pa.Table.from_batches(out).to_pylist() == [{**r.asDict(), "ids": bytes(r.ids)} for r in sorted(whole)]
+
+
+def test_batches_to_python_are_bounded(spark):
+    """Stages bound the bytes of a batch, unless the user has; a task then never gets thousands of long texts at once."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(name)
+    try:
+        session.bound_batches(spark)
+        assert spark.conf.get(name) in ("4m", "4194304")
+        rows = spark.range(0, 3000, 1, 1).selectExpr("id", "repeat('x', 10000) AS text")
+        most = rows.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long").agg({"n": "max"}).first()[0]
+        assert most < 600
+        spark.conf.set(name, "8m")
+        session.bound_batches(spark)
+        assert spark.conf.get(name) in ("8m", "8388608")
+    finally:
+        spark.conf.unset(name)
