@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from palaver.functions.scalars import days
-from palaver.session import written
+from palaver.session import TEXT_CODEC, written
 
 SCORE_COLUMNS = ("toxicity_score", "label", "is_toxic", "sentiment", "sentiment_score", "ingestion_time")
 SCORE_ONLY_COLUMNS = ("toxicity_score", "ingestion_time")
@@ -55,8 +55,30 @@ def merged(existing: DataFrame, rows: DataFrame, key: str, broadcast: bool = Fal
     keys = rows.select(key)
     found = existing.select(key).join(F.broadcast(keys), key, "left_semi") if broadcast else existing.select(key)
     new = rows.join(F.broadcast(found) if broadcast else found, key, "left_anti")
-    return known.unionByName(new.select(*[
-        F.col(c) if c == key else F.col("_last" if c in changed else "_first")[c].alias(c) for c in existing.columns]))
+    return known.unionByName(inserted(new, key, existing.columns))
+
+
+def inserted(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """The rows of a summary as new rows of a table."""
+    changed = set(rows.schema["_last"].dataType.names)
+    return rows.select(*[F.col(c) if c == key else F.col("_last" if c in changed else "_first")[c].alias(c) for c in columns])
+
+
+def merged_once(existing: DataFrame, batch: DataFrame, key: str, order: list[str], update: tuple[str, ...] = SCORE_COLUMNS) -> DataFrame:
+    """What ``upsert`` gives, for stored rows with one row per key (as in a keyed table; null keys may repeat).
+
+    Stored rows are the earliest versions of their keys, so one aggregate does it: every text moves once and nothing is written between.
+    """
+    names = existing.columns
+    last = [c for c in names if c != key and c in update]
+    first = [c for c in names if c != key and c not in update]
+    kinds = dict(batch.dtypes)
+    before = F.struct(F.lit(0).alias("_new"), *[F.lit(None).cast(kinds[c]).alias(c) for c in order]).alias("_at")
+    later = F.struct(F.lit(1).alias("_new"), *order).alias("_at")
+    rows = existing.filter(F.col(key).isNotNull()).select(*names, before).unionByName(batch.select(*names, later))
+    halves = [F.max_by(F.struct(*last), "_at").alias("_last")] + [F.min_by(F.struct(*first), "_at").alias("_first")] * bool(first)
+    merged_rows = rows.groupBy(key).agg(*halves).select(key, "_last.*", *["_first.*"] * bool(first)).select(*names)
+    return existing.filter(F.col(key).isNull()).unionByName(merged_rows)
 
 
 def upsert(existing: DataFrame, batch: DataFrame, key: str = "comment_id", order: list[str] | None = None,
@@ -67,7 +89,7 @@ def upsert(existing: DataFrame, batch: DataFrame, key: str = "comment_id", order
     Replaying a batch changes nothing. The batch is computed once, to one row per key, and written; stored
     rows meet its narrow last updates in one join, and their keys alone tell the new ones.
     """
-    return merged(existing, written(summary(batch, key, order, update), "summary"), key)
+    return merged(existing, written(summary(batch, key, order, update), "summary", TEXT_CODEC), key)
 
 
 def expired(as_of: Column, keep_days: int, ts: str = "timestamp") -> Column:

@@ -86,7 +86,7 @@ def merge(spark: SparkSession, path: str, batch: DataFrame, key: str = "comment_
           base: int | None = None) -> int:
     """Insert new keys, overwrite the ``update`` columns of known ones; the number of the new version.
 
-    The batch is read once: it is shrunk to one row per key, which is written. ``order`` columns that are no columns of the table
+    The batch is read once: it is shrunk to one row per key, which is written; for a table without rows as its first version. ``order`` columns that are no columns of the table
     (a run, an epoch) only decide within the batch. ``base`` merges on top of an older version. A new table takes ``buckets``.
     """
     known = version(spark, path, base)
@@ -95,13 +95,16 @@ def merge(spark: SparkSession, path: str, batch: DataFrame, key: str = "comment_
         return known.number
     count = known.buckets or buckets
     summary = merging.summary(batch, key, order, update).withColumn("bucket", _bucket(key, count))
-    staged = session.written(summary, "staged")
-    touched = {r.bucket for r in staged.select("bucket").distinct().collect()}
     fields = [f for f in batch.schema.fields if f.name not in (order or []) or f.name in update]
     schema = StructType(fields)
+    old = Version(newest.number, count, known.folders, known.commits)
+    if not known.folders:
+        return _replace(spark, path, merging.inserted(summary, key, schema.names), key, old, None, commits)
+    staged = session.written(summary, "staged", session.TEXT_CODEC)
+    touched = {r.bucket for r in staged.select("bucket").distinct().collect()}
     stored = _rows(spark, path, schema, {b: f for b, f in known.folders.items() if b in touched})
     rows = merging.merged(stored, staged.drop("bucket"), key, broadcast=staged.count() <= MOST_BROADCAST)
-    return _replace(spark, path, rows, key, Version(newest.number, count, known.folders, known.commits), touched, commits)
+    return _replace(spark, path, rows, key, old, touched, commits)
 
 
 def combine(spark: SparkSession, path: str, batch: DataFrame, key: str, function: Callable[[DataFrame, DataFrame], DataFrame],
@@ -122,10 +125,15 @@ def combine(spark: SparkSession, path: str, batch: DataFrame, key: str, function
     return _replace(spark, path, rows, key, Version(known.number, count, known.folders, known.commits), touched, commits)
 
 
-def _replace(spark: SparkSession, path: str, rows: DataFrame, key: str, old: Version, touched: set[int], commits: dict[str, int] | None) -> int:
-    """Write the new rows of the touched buckets and publish them; the number of the new version."""
+def _replace(spark: SparkSession, path: str, rows: DataFrame, key: str, old: Version, touched: set[int] | None,
+             commits: dict[str, int] | None) -> int:
+    """Write the new rows of the touched buckets and publish them; the number of the new version. With None these are all that got rows."""
     folder = uuid.uuid4().hex
-    rows.withColumn("bucket", _bucket(key, old.buckets)).write.partitionBy("bucket").parquet(os.path.join(path, "data", f"version={folder}"))
+    target = os.path.join(path, "data", f"version={folder}")
+    placed = rows.withColumn("bucket", _bucket(key, old.buckets))
+    placed.write.option("compression", session.TEXT_CODEC).partitionBy("bucket").parquet(target)
+    if touched is None:
+        touched = {r.bucket for r in spark.read.schema("bucket int").parquet(target).distinct().collect()}
     kept = dict(old.commits)
     for run, epoch in (commits or {}).items():
         kept[run] = max(epoch, kept.get(run, -1))

@@ -18,8 +18,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from palaver.operators.merge import SCORE_COLUMNS, latest_wins, upsert
+from palaver.operators.merge import SCORE_COLUMNS, latest_wins, merged_once
 from palaver.operators.records import first_seen
+from palaver.session import TEXT_CODEC
 from palaver.sources import keyed
 
 
@@ -54,7 +55,7 @@ def write_epoch(batch: DataFrame, path: str, run: str, epoch: int) -> None:
 
     The cost is that of the batch, whatever the size of the table; a replay gives the same files.
     """
-    batch.write.mode("overwrite").parquet(epoch_path(path, run, epoch))
+    batch.write.mode("overwrite").option("compression", TEXT_CODEC).parquet(epoch_path(path, run, epoch))
 
 
 def to_epochs(df: DataFrame, path: str, checkpoint: str, mode: str = "append", also=None) -> DataStreamWriter:
@@ -159,7 +160,7 @@ def current_rows(spark: SparkSession, path: str | list[str], schema: StructType,
     versions = versions.select("*", *[F.col(c).alias(n) for c, n in zip(order, names[2:])])
     if folded.number < 0:
         return latest_wins(versions, key, names, update)
-    return upsert(keyed.read(spark, _table(path), schema, folded.number), versions, key, names, update)
+    return merged_once(keyed.read(spark, _table(path), schema, folded.number), versions, key, names, update)
 
 
 def fold(spark: SparkSession, path: str, schema: StructType, key: str = "comment_id", order=("ingestion_time",),
