@@ -268,12 +268,22 @@ def union_pages(spark, folder):
 
 
 def _merge_inputs(spark, folder):
-    """Stored rows up to a moment; a batch with two later versions of every comment."""
+    """Stored rows up to a moment; the raw comments that later versions are made of."""
     stored = bindings.results_until(spark, folder).select(*bindings.RESULT)
-    raw = bindings.comments(spark, folder).withColumnRenamed("username", "user")
-    quick = stages.quick_record(raw, F.col("created_time") + hours(1))
-    minimal = stages.minimal_record(raw, F.col("created_time") + hours(2))
-    return stored, quick, minimal
+    return stored, bindings.comments(spark, folder).withColumnRenamed("username", "user")
+
+
+def _minimal(raw, keep=()):
+    return stages.minimal_record(raw, F.col("created_time") + hours(2), keep)
+
+
+def _two_versions(raw):
+    """A batch with two later versions of every comment. Each comment is read once and both leave the same task, where a merge
+    shrinks them to one row before any text moves."""
+    kept = raw.withColumn("_raw", F.struct(*raw.columns))
+    quick = stages.quick_record(kept, F.col("created_time") + hours(1), keep=("_raw",))
+    both = _minimal(quick.select(F.struct(*bindings.RESULT).alias("_quick"), "_raw.*"), keep=("_quick",))
+    return both.select(F.inline(F.array("_quick", F.struct(*bindings.RESULT))))
 
 
 KEY_BUCKETS = 8  # for the tables here; one per few hundred MB
@@ -289,22 +299,22 @@ def _merged_view(df):
 
 @query
 def upsert_results(spark, folder):
-    stored, quick, minimal = _merge_inputs(spark, folder)
-    return _merged_view(merge.upsert(stored, minimal.unionByName(quick)))
+    stored, raw = _merge_inputs(spark, folder)
+    return _merged_view(merge.upsert(stored, _two_versions(raw)))
 
 
 @query
 def upsert_scores_only(spark, folder):
-    stored, _, minimal = _merge_inputs(spark, folder)
-    return _merged_view(merge.upsert(stored, minimal, update=merge.SCORE_ONLY_COLUMNS))
+    stored, raw = _merge_inputs(spark, folder)
+    return _merged_view(merge.upsert(stored, _minimal(raw), update=merge.SCORE_ONLY_COLUMNS))
 
 
 @query
 def upsert_keyed_table(spark, folder):
     """The same merge into a stored keyed table: only touched buckets are rewritten, the stored version stays as it is."""
-    stored, quick, minimal = _merge_inputs(spark, folder)
+    stored, raw = _merge_inputs(spark, folder)
     path = bindings.stored(spark, folder, "keyed", lambda path: keyed.merge(spark, path, stored, buckets=KEY_BUCKETS))
-    after = keyed.merge(spark, path, minimal.unionByName(quick).select(*bindings.RESULT), base=0)
+    after = keyed.merge(spark, path, _two_versions(raw), base=0)
     return _merged_view(keyed.read(spark, path, stored.schema, after))
 
 

@@ -147,8 +147,8 @@ def result_record(scored: DataFrame, created_time=None, ingestion_time=None) ->
     )
 
 
-def quick_record(df: DataFrame, ingestion_time=None) -> DataFrame:
-    """Result rows of the quick path: substring scorers on the raw text, no feature hop."""
+def quick_record(df: DataFrame, ingestion_time=None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Result rows of the quick path: substring scorers on the raw text, no feature hop. Columns ``keep`` stay beside them."""
     counted = df.select(
         "*", text.token_count("message").alias("word_count"), F.length("message").alias("char_count"),
         scores.substring_hits("message", values.QUICK_POSITIVE).alias("_positive"),
@@ -158,7 +158,7 @@ def quick_record(df: DataFrame, ingestion_time=None) -> DataFrame:
     toxic, clean = values.LABELS
     ingested = F.current_timestamp().cast("timestamp_ntz") if ingestion_time is None else ingestion_time
     return counted.select(
-        "post_id", "comment_id", F.col("user").alias("username"), F.col("message").alias("comment"),
+        *keep, "post_id", "comment_id", F.col("user").alias("username"), F.col("message").alias("comment"),
         text.clean_text_quick("message").alias("cleaned_comment"),
         scores.quick_score("_ratio").alias("toxicity_score"),
         F.when(scores.quick_is_toxic("_ratio"), toxic).otherwise(clean).alias("label"),
@@ -169,13 +169,13 @@ def quick_record(df: DataFrame, ingestion_time=None) -> DataFrame:
     )
 
 
-def minimal_record(df: DataFrame, ingestion_time=None) -> DataFrame:
-    """Result rows of the minimal path: one flag decides fixed scores."""
+def minimal_record(df: DataFrame, ingestion_time=None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Result rows of the minimal path: one flag decides fixed scores. Columns ``keep`` stay beside them."""
     toxic, clean = values.LABELS
     ingested = F.current_timestamp().cast("timestamp_ntz") if ingestion_time is None else ingestion_time
     flagged = df.select("*", scores.minimal_flag("message").alias("is_toxic"))
     return flagged.select(
-        "post_id", "comment_id", F.col("user").alias("username"), F.col("message").alias("comment"),
+        *keep, "post_id", "comment_id", F.col("user").alias("username"), F.col("message").alias("comment"),
         text.clean_text_minimal("message").alias("cleaned_comment"),
         F.when(F.col("is_toxic"), 0.8).otherwise(0.1).alias("toxicity_score"),
         F.when(F.col("is_toxic"), toxic).otherwise(clean).alias("label"),

@@ -25,7 +25,8 @@ def write_results(df: DataFrame, path: str, ts: str = "ingestion_time", mode: st
     spark = df.sparkSession
     with (session.setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(session.OPEN_FILES)),
           session.setting(spark, "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", session.MOST_HASHED)):
-        df.withColumn("ingestion_day", F.to_date(ts)).write.mode(mode).partitionBy("ingestion_day").parquet(path)
+        dated = df.withColumn("ingestion_day", F.to_date(ts))
+        dated.write.mode(mode).option("compression", session.TEXT_CODEC).partitionBy("ingestion_day").parquet(path)
 
 
 def read_results(spark: SparkSession, path: str, since=None, until=None) -> DataFrame:

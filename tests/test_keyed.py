@@ -6,9 +6,12 @@ import random
 from collections import Counter
 from datetime import datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from palaver.operators import merge
+from palaver.plans import bindings, report_queries, stages
 from palaver.sources import keyed
 from palaver.streaming import hops, sinks
 
@@ -147,3 +150,47 @@ def test_partial_sums_add_up_and_replays_change_nothing(spark, tmp_path):
     after = keyed.version(spark, path)
     assert sum(after.folders[b] != f for b, f in before.folders.items()) == 1 and after.buckets == 4
     assert found() == dict(total + Counter("a"))
+
+
+def codecs(path):
+    return {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in path.rglob("*.parquet")}
+
+
+def test_the_first_version_is_written_once_and_packed(spark, tmp_path, monkeypatch):
+    """A new table stages nothing; its rows, and those of epochs, are stored with the codec for texts."""
+    path, rows = str(tmp_path / "t"), batches(1)[0] + [(None, "no key", 0.5, T0)]
+    with monkeypatch.context() as patched:
+        patched.setattr(keyed.session, "written", lambda *a: pytest.fail("staged"))
+        keyed.merge(spark, path, frame(spark, rows), order=["ingestion_time"])
+    assert stored(spark, path) == folded([rows])
+    assert codecs(tmp_path / "t" / "data") == {"ZSTD"}
+    assert set(keyed.version(spark, path).folders) == {int(p.name[7:]) for p in (tmp_path / "t" / "data").glob("version=*/bucket=*")}
+    keyed.merge(spark, str(tmp_path / "none"), frame(spark, []), order=["ingestion_time"])
+    assert keyed.version(spark, str(tmp_path / "none")).folders == {} and stored(spark, str(tmp_path / "none")) == {}
+    sinks.write_epoch(frame(spark, rows), str(tmp_path / "e"), "r", 0)
+    assert codecs(tmp_path / "e") == {"ZSTD"}
+
+
+def test_later_rows_meet_stored_ones_in_one_move(spark):
+    """One aggregate gives what the join gives, null keys included, with one exchange."""
+    first, second = batches(2, seed=5)
+    known = merge.latest_wins(frame(spark, first).withColumn("at", F.col("ingestion_time")), "comment_id", ["at"]).unionByName(
+        frame(spark, [(None, "x", 0.1, T0), (None, "y", None, T0)]))
+    batch = frame(spark, second + [("new", "n", None, T0), ("new", "m", 0.2, T0 + timedelta(1)), (None, "z", 0.3, T0)])
+    batch = batch.withColumn("at", F.col("ingestion_time"))
+    once = merge.merged_once(known, batch, "comment_id", ["at"])
+    joined = merge.upsert(known, batch, "comment_id", ["at"])
+    assert Counter(once.collect()) == Counter(joined.select(once.columns).collect()) and once.filter("comment_id IS NULL").count() == 3
+    stored_rows = frame(spark, first[:1])
+    plan = merge.merged_once(stored_rows, batch, "comment_id", ["at"])._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan
+
+
+def test_two_versions_of_a_comment_come_from_one_reading(spark):
+    raw = spark.createDataFrame([("p", f"c{i}", "u", t, T0) for i, t in enumerate(["you idiot!", "", None, "nice  GREAT day http://x.y", "ü ß"])],
+                                "post_id string, comment_id string, user string, message string, created_time timestamp_ntz")
+    quick = stages.quick_record(raw, F.col("created_time") + F.expr("INTERVAL 1 HOUR"))
+    minimal = stages.minimal_record(raw, F.col("created_time") + F.expr("INTERVAL 2 HOUR"))
+    both = report_queries._two_versions(raw)
+    assert both.columns == bindings.RESULT and Counter(both.collect()) == Counter(minimal.unionByName(quick).collect())
+    assert both._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
