@@ -279,11 +279,11 @@ def _minimal(raw, keep=()):
 
 def _two_versions(raw):
     """A batch with two later versions of every comment. Each comment is read once and both leave the same task, where a merge
-    shrinks them to one row before any text moves."""
+    shrinks them to one row before any text moves. The quick one comes last: of versions without a time the last one counts."""
     kept = raw.withColumn("_raw", F.struct(*raw.columns))
     quick = stages.quick_record(kept, F.col("created_time") + hours(1), keep=("_raw",))
     both = _minimal(quick.select(F.struct(*bindings.RESULT).alias("_quick"), "_raw.*"), keep=("_quick",))
-    return both.select(F.inline(F.array("_quick", F.struct(*bindings.RESULT))))
+    return both.select(F.inline(F.array(F.struct(*bindings.RESULT), "_quick")))
 
 
 KEY_BUCKETS = 8  # for the tables here; one per few hundred MB

@@ -194,3 +194,11 @@ def test_two_versions_of_a_comment_come_from_one_reading(spark):
     both = report_queries._two_versions(raw)
     assert both.columns == bindings.RESULT and Counter(both.collect()) == Counter(minimal.unionByName(quick).collect())
     assert both._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
+def test_of_two_versions_without_a_time_the_quick_one_counts(spark):
+    raw = spark.createDataFrame([("p", "c1", "u", "you idiot!", None)],
+                                "post_id string, comment_id string, user string, message string, created_time timestamp_ntz")
+    quick = stages.quick_record(raw, F.col("created_time")).first()
+    row = merge.upsert(report_queries._two_versions(raw).limit(0), report_queries._two_versions(raw)).first()
+    assert (row.toxicity_score, row.label, row.sentiment_score) == (quick.toxicity_score, quick.label, quick.sentiment_score)
