@@ -37,17 +37,17 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from palaver.llm.components import components, united
+from palaver.llm.components import FEW_ROWS, components, united
 from palaver.llm.words import Slice, WordHasher, mixed, run_lengths, slices
 from palaver.session import written
 
 SHINGLE = 5
 #: Similarity in percent: that of stages without a contract of their own, and that of op5.
 PERCENT, OP5_PERCENT = 80, 85
-COORDINATES, TREES, LEAF, VISITORS = 96, 12, 64, 32
-VISITED = 150_000
-#: Rows of ids up to here are broadcast, checked by a count; more are joined by a shuffle.
-FEW_ROWS = 100_000
+COORDINATES, TREES, LEAF, VISITORS = 96, 12, 4096, 512
+VISITED = 4_000_000
+#: Leaves up to here are compared side by side, larger ones member by member.
+SIDE_BY_SIDE = 64
 CHUNK_SHINGLES, PIVOTS = 1 << 20, 8
 SEEDS = mixed(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64))
 FACTORS, OFFSETS = (SEEDS[:COORDINATES].astype(np.uint32) | np.uint32(1)), SEEDS[COORDINATES:].astype(np.uint32)
@@ -156,20 +156,8 @@ def compare_leaves(least: float):
     return run
 
 
-def linked_rows(leaf: np.ndarray, ids: np.ndarray, tokens: np.ndarray, least: float):
-    label = np.arange(len(ids))
-    left, right = [], []
-    for step in range(1, 2 * LEAF):
-        i = np.flatnonzero(leaf[step:] == leaf[:-step]) if step < len(leaf) else np.zeros(0, np.int64)
-        if not len(i):
-            break
-        for part in np.array_split(i, len(i) // 50_000 + 1):
-            agree = (tokens[part] == tokens[part + step]).sum(axis=1) >= least
-            left.append(part[agree])
-            right.append(part[agree] + step)
-    if not left:
-        return
-    a, b = np.concatenate(left), np.concatenate(right)
+def merged_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels after the links ``(a, b)``: the smallest of each component."""
     while len(a):
         low = np.minimum(label[a], label[b])
         before = label.copy()
@@ -178,6 +166,49 @@ def linked_rows(leaf: np.ndarray, ids: np.ndarray, tokens: np.ndarray, least: fl
         label = label[label]
         if (before == label).all():
             break
+    return label
+
+
+def leaf_labels(tokens: np.ndarray, least: float) -> np.ndarray:
+    """Cluster of each member of one leaf, by its smallest member. Members outside the largest cluster are compared with all
+    others, so no link that joins two clusters is missed."""
+    columns, n = np.ascontiguousarray(tokens.T), len(tokens)
+    label, size, open_ = np.arange(n), np.ones(n, np.int64), np.ones(n, bool)
+    while True:
+        todo = np.flatnonzero(open_ & (label != size.argmax()))
+        if not len(todo):
+            return label
+        for i in todo.tolist():
+            if label[i] == size.argmax():
+                continue
+            open_[i] = False
+            agree = np.add.reduce((columns == columns[:, i, None]).view(np.uint8), axis=0, dtype=np.uint8) >= least
+            agree[i] = True
+            joined = np.unique(label[agree])
+            if len(joined) > 1:
+                size[joined[0]] = size[joined].sum()
+                size[joined[1:]] = 0
+                label[np.isin(label, joined)] = joined[0]
+
+
+def linked_rows(leaf: np.ndarray, ids: np.ndarray, tokens: np.ndarray, least: float):
+    label = np.arange(len(ids))
+    starts, sizes = run_lengths(leaf)
+    small = np.flatnonzero(np.repeat(sizes <= SIDE_BY_SIDE, sizes))
+    own_leaf, own_tokens = leaf[small], tokens[small]
+    left, right = [small[:0]], [small[:0]]
+    for step in range(1, min(SIDE_BY_SIDE, len(small))):
+        i = np.flatnonzero(own_leaf[step:] == own_leaf[:-step])
+        if not len(i):
+            break
+        for part in np.array_split(i, len(i) // 50_000 + 1):
+            agree = (own_tokens[part] == own_tokens[part + step]).sum(axis=1) >= least
+            left.append(part[agree])
+            right.append(part[agree] + step)
+    label = merged_labels(label, small[np.concatenate(left)], small[np.concatenate(right)])
+    for start, size in zip(starts.tolist(), sizes.tolist()):
+        if size > SIDE_BY_SIDE:
+            label[start:start + size] = start + leaf_labels(tokens[start:start + size], least)
     linked = np.flatnonzero(label != np.arange(len(ids)))
     if len(linked):
         yield pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(ids[label[linked]])], names=["a", "b"])

@@ -131,6 +131,39 @@ def test_pairs_within_a_large_group_that_shares_a_passage(spark, monkeypatch):
     assert sum(2 * p in root and root[2 * p] == root.get(2 * p + 1) for p in range(120)) >= 105
 
 
+def test_links_within_leaves_of_all_sizes():
+    # members that are 2, 30 or 150 places apart agree in 95 tokens, those between them in none; leaf 4 is a chain of such links
+    random, rows = np.random.default_rng(6), []
+    for leaf, half in enumerate((2, 30, 150)):
+        one = random.integers(0, 1 << 16, (half, near_copies.COORDINATES)).astype(np.uint16)
+        other = one.copy()
+        other[:, leaf] ^= 1
+        rows.append((np.full(2 * half, leaf), np.concatenate((one, other))))
+    chain = np.repeat(random.integers(0, 1 << 16, (1, near_copies.COORDINATES)), 90, axis=0).astype(np.uint16)
+    for i in range(90):
+        chain[:, i][np.arange(90) < i] ^= 1
+    rows.append((np.full(90, 4), chain[random.permutation(90)]))
+    leaf, tokens = (np.concatenate(x) for x in zip(*rows))
+    links = [r for b in near_copies.linked_rows(leaf, np.arange(len(leaf)), tokens, 95) for r in zip(*(c.to_pylist() for c in b.columns))]
+    expected = [(at + half + i, at + i) for at, half in ((0, 2), (4, 30), (64, 150)) for i in range(half)]
+    assert sorted(links) == sorted(expected + [(364 + i, 364) for i in range(1, 90)])
+
+
+def test_a_large_group_is_settled_in_few_jobs(spark, monkeypatch):
+    """300 texts that share a passage, half of them with a copy: one level of branches, and no round that only repeats the last."""
+    passage, names = prose(80, 100), []
+    for module in (near_copies, components):
+        monkeypatch.setattr(module, "written", lambda df, name, plain=module.written: names.append(name) or plain(df, name))
+    texts = [passage + " " + " ".join(f"own{i % 200}x{k}" for k in range(40)) + f" end{i}" for i in range(300)]
+    rows = list(enumerate(texts))
+    assert found_components(spark.createDataFrame(rows, "doc_id long, text string")) == Counter(brute_components(rows))
+    assert names.count("branches") == 1 and names.count("edges") <= 3 and len(names) <= 12
+    names.clear()
+    stars = spark.createDataFrame([(i, i % 3) for i in range(3, 60)] + [(5, 2)], "a long, b long")
+    assert {r.id: r.root for r in components.components(stars).collect()} == {i: i % 3 for i in range(60)}
+    assert names == ["edges"]
+
+
 def test_one_row_stands_for_each_group(edge_docs, edge_rows):
     kept = near_copies.one_per_group(edge_docs)
     assert kept.columns == edge_docs.columns
