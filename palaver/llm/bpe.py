@@ -64,6 +64,9 @@ class Vocabulary:
             self.keys[slot[placed]], self.values[slot[placed]] = keys[placed], values[placed]
             left = np.setdiff1d(left, placed, assume_unique=True)
             slot[left] = (slot[left] + 1) & (self.size - 1)
+        # ids of bytes and ranks of pairs of bytes; byte 256 is padding
+        self.padded = np.append(self.bytes, -1)
+        self.byte_pairs = self.pair_ranks(np.repeat(self.padded, 257), np.tile(self.padded, 257))
 
     def slot(self, keys: np.ndarray) -> np.ndarray:
         spread = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -88,11 +91,11 @@ class Vocabulary:
         """Packed ids of pieces of similar length."""
         lengths = np.array([len(p) for p in pieces])
         width = int(lengths.max())
-        ids = np.full((len(pieces), width + 1), -1, np.int64)
-        ids[np.arange(width + 1) < lengths[:, None]] = self.bytes[np.frombuffer(b"".join(pieces), np.uint8)]
+        raw = np.full((len(pieces), width + 1), 256, np.int64)
+        raw[np.arange(width + 1) < lengths[:, None]] = np.frombuffer(b"".join(pieces), np.uint8)
+        ids, ranks = self.padded[raw], self.byte_pairs[raw[:, :-1] * 257 + raw[:, 1:]]
         out: list = [None] * len(pieces)
         row_of = np.arange(len(pieces))
-        ranks = self.pair_ranks(ids[:, :-1], ids[:, 1:])
         while len(row_of):
             at = ranks.argmin(axis=1)  # the leftmost of equal ranks
             rows = np.arange(len(at))
@@ -107,19 +110,16 @@ class Vocabulary:
                 at, best, rows = at[open_], best[open_], np.arange(int(open_.sum()))
                 if not len(rows):
                     break
-            # close the gap behind the merged pair: columns after it move one to the left
-            columns = np.arange(ids.shape[1])
-            take = np.minimum(columns + (columns > at[:, None]), ids.shape[1] - 1)
-            ids = np.take_along_axis(ids, take, axis=1)
-            ids[:, -1] = -1
+            # close the gap behind the merged pair: columns after it move one to the left; each row gets shorter by one
+            columns = np.arange(ids.shape[1] - 1)
+            behind = columns > at[:, None]
+            ids = np.where(behind, ids[:, 1:], ids[:, :-1])
             ids[rows, at] = best
-            ranks = np.take_along_axis(ranks, take[:, :-1].clip(max=ranks.shape[1] - 1), axis=1)
-            ranks[:, -1] = NONE
+            ranks = np.where(behind[:, :-1], ranks[:, 1:], ranks[:, :-1])
             lengths = lengths - 1
-            ranks[rows, at] = self.pair_ranks(ids[rows, at], ids[rows, at + 1])
-            before = at > 0
-            r, a = rows[before], at[before]
-            ranks[r, a - 1] = self.pair_ranks(ids[r, a - 1], ids[r, a])
+            before = np.flatnonzero(at)
+            r, a = np.concatenate((rows, before)), np.concatenate((at, at[before] - 1))
+            ranks[r, a] = self.pair_ranks(ids[r, a], ids[r, a + 1])
             widest = int(lengths.max())
             if widest + 1 < ids.shape[1]:
                 ids, ranks = ids[:, :widest + 1], ranks[:, :max(widest, 1)]
@@ -150,17 +150,18 @@ class Vocabulary:
     def merge(self, pieces: list[bytes]) -> list[bytes]:
         """Packed ids of any pieces: by length in matrices, the longest one by one."""
         out: list = [None] * len(pieces)
-        order = sorted(range(len(pieces)), key=list(map(len, pieces)).__getitem__)
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        order = np.argsort(sizes, kind="stable")
+        sizes, order = sizes[order], order.tolist()
         i = 0
         while i < len(order):
-            size = len(pieces[order[i]])
+            size = int(sizes[i])
             if size > LONGEST:
                 out[order[i]] = self.merge_long(pieces[order[i]])
                 i += 1
                 continue
-            j, limit = i, max(1, ROWS_AT_ONCE // max(size, 1)) * 4
-            while j < len(order) and j - i < limit and len(pieces[order[j]]) <= min(LONGEST, size + max(1, size // 8)):
-                j += 1
+            j = min(int(np.searchsorted(sizes, min(LONGEST, size + max(1, size // 8)), side="right")),
+                    i + max(1, ROWS_AT_ONCE // max(size, 1)) * 4)
             for k, ids in zip(order[i:j], self.merge_rows([pieces[k] for k in order[i:j]])):
                 out[k] = ids
             i = j
@@ -170,42 +171,68 @@ class Vocabulary:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
+class Recent:
+    """Values of keys met lately, each in one of two halves or both: once ``new`` is full it becomes ``old``, and what only the
+    former ``old`` held is dropped. So frequent keys stay known."""
+
+    def __init__(self):
+        self.new, self.old = {}, {}
+
+    def missing(self, keys: set) -> list:
+        """Those keys that have no value; all others are in ``new``."""
+        if len(self.new) > CACHED_PIECES // 2:
+            self.new, self.old = {}, self.new
+        unknown = keys.difference(self.new)
+        self.new.update((k, self.old[k]) for k in unknown if k in self.old)
+        return list(unknown.difference(self.old))
+
+
 class Encoder:
     """Encodes batches of texts; what was met lately is kept as packed ids.
 
     Every match of the pattern that holds a space followed by something else than white space begins
-    with that space. So a text can be cut before each such space and the parts encoded alone, most
+    with that space. So a text can be cut before each such space and the parts encoded apart from it, most
     of them from the cache. A text where a space is followed by white space, or ends, is matched as a whole.
     """
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.vocabulary, self.find, self.blank = vocabulary, regex.compile(pattern).findall, regex.compile(r"\s").match
-        self.pieces: dict[str, bytes] = {}
-        self.parts: dict[str, bytes | None] = {}  # by what follows a space; None: not to be cut before it
+        self.pieces = Recent()
+        self.parts = Recent()  # by what follows a space; None: not to be cut before it
+
+    def packed(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece."""
+        new = self.pieces.missing(set(pieces))
+        self.pieces.new.update(zip(new, self.vocabulary.merge([p.encode() for p in new])))
+        return list(map(self.pieces.new.__getitem__, pieces))
 
     def encode_pieces(self, cut: list[list[str]]) -> list[bytes]:
-        if len(self.pieces) > CACHED_PIECES:
-            self.pieces.clear()
-        new = list(set().union(*cut).difference(self.pieces)) if cut else []
-        self.pieces.update(zip(new, self.vocabulary.merge([p.encode() for p in new])))
-        known = self.pieces.__getitem__
-        return [b"".join(map(known, pieces)) for pieces in cut]
+        packed = iter(self.packed(list(itertools.chain.from_iterable(cut))))
+        return [b"".join(itertools.islice(packed, len(pieces))) for pieces in cut]
+
+    def learn(self, parts: list[str]) -> None:
+        """Keep the ids of new parts, all of them matched at once: each match that begins with a space begins a part."""
+        blank = {c for c in {p[:1] for p in parts} if not c or self.blank(c)}
+        self.parts.new.update((p, None) for p in parts if p[:1] in blank)
+        fit = [p for p in parts if p[:1] not in blank]
+        if fit:
+            pieces = self.find(" " + " ".join(fit))
+            packed, starts = self.packed(pieces), [i for i, p in enumerate(pieces) if p[0] == " "]
+            self.parts.new.update(zip(fit, (
+                packed[s] if e - s == 1 else b"".join(packed[s:e]) for s, e in zip(starts, starts[1:] + [len(pieces)])), strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [(t or "").split(" ") for t in texts]
-        if len(self.parts) > CACHED_PIECES:
-            self.parts.clear()
-        new = list({p for parts in cut for p in itertools.islice(parts, 1, None) if p not in self.parts})
-        whole = [not p or self.blank(p) is not None for p in new]
-        fit = [p for p, w in zip(new, whole) if not w]
-        self.parts.update((p, None) for p, w in zip(new, whole) if w)
-        self.parts.update(zip(fit, self.encode_pieces([self.find(" " + p) for p in fit])))
         heads = self.encode_pieces([self.find(p[0]) for p in cut])
-        known, out = self.parts.__getitem__, []
-        for text, head, parts in zip(texts, heads, cut):
-            own = list(map(known, parts[1:]))
-            out.append(self.encode_pieces([self.find(text)])[0] if None in own else head + b"".join(own))
+        rest = [p[1:] for p in cut]
+        self.learn(self.parts.missing(set().union(*rest)))
+        known, out = self.parts.new.__getitem__, []
+        for text, head, parts in zip(texts, heads, rest):
+            try:
+                out.append(head + b"".join(map(known, parts)))
+            except TypeError:  # one of them is None
+                out.append(b"".join(self.packed(self.find(text))))
         return out
 
 

@@ -257,6 +257,31 @@ def test_merges_equal_the_tokenizer(ranks, reference_encoding):
         assert np.frombuffer(packed, "<u4").tolist() == reference_encoding.encode_ordinary(text or "")
 
 
+def test_parts_encoded_together_equal_the_tokenizer(ranks, reference_encoding, monkeypatch):
+    """Random texts of letters, marks and all kinds of white space, in batches; the cache turns over many times."""
+    monkeypatch.setattr(bpe, "CACHED_PIECES", 60)
+    random = np.random.default_rng(11)
+    signs = np.array(list("abcXY19'.-é日") + ["'s", " ", " ", " ", " ", "\n", "\t", "\r\n", "\u3000", "\x1c", "\x85"])
+    texts = ["".join(random.choice(signs, random.integers(0, 40))) for _ in range(600)]
+    encoder = bpe.Encoder(bpe.Vocabulary(ranks), public_tokenizers.PATTERN)
+    for at in range(0, len(texts), 20):
+        for text, packed in zip(texts[at:at + 20], encoder.encode(texts[at:at + 20])):
+            assert np.frombuffer(packed, "<u4").tolist() == reference_encoding.encode_ordinary(text)
+
+
+def test_frequent_words_are_merged_once(ranks, monkeypatch):
+    """Many rare words fill the cache over and over; a word that stands in every group stays known, and the cache bounded."""
+    monkeypatch.setattr(bpe, "CACHED_PIECES", 100)
+    vocabulary, merged = bpe.Vocabulary(ranks), Counter()
+    monkeypatch.setattr(vocabulary, "merge", lambda pieces, plain=vocabulary.merge: merged.update(pieces) or plain(pieces))
+    encoder = bpe.Encoder(vocabulary, public_tokenizers.PATTERN)
+    for group in range(20):
+        rare = ["q" + "".join(chr(97 + int(d)) for d in str(100 * group + i)) for i in range(30)]
+        encoder.encode([f"x frequently {w} words" for w in rare])
+    assert merged[b" frequently"] == merged[b" words"] == 1 and len(merged) > 600
+    assert all(len(half) <= 100 for kept in (encoder.parts, encoder.pieces) for half in (kept.new, kept.old))
+
+
 def test_matrix_and_heap_merge_alike(ranks):
     vocabulary = bpe.Vocabulary(ranks)
     pieces = [p.encode() for p in HARD if len(p.encode()) <= bpe.LONGEST] + [b" the", b"\xff\xfe\x00", b"aaaaaaa"]
