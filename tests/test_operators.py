@@ -505,3 +505,54 @@ def test_results_are_written_without_sorting_texts(spark, tmp_path, monkeypatch)
     assert len([p for p in (tmp_path / "results").iterdir() if p.name.startswith("ingestion_day=")]) == 40
     found = files.read_results(spark, str(tmp_path / "results"))
     assert sorted((r.id, r.ingestion_day) for r in found.collect()) == [(i, date(2024, 1, 1) + timedelta(days=i % 40)) for i in range(200)]
+
+
+@pytest.mark.parametrize("limits", [
+    {"SMALL": 0}, {"SMALL": 0, "MOST_ENTRIES": 0}, {"SMALL": 0, "AHEAD": 2, "CHUNK": 64}, {"CHUNK": 300, "HEAD_TERMS": 12},
+    {"SMALL": 30, "MOST_ENTRIES": 150, "HEAD_TERMS": 0}])
+def test_trees_do_not_depend_on_how_work_is_dealt(spark, monkeypatch, limits):
+    """Several levels in a job, grouped sums, small chunks, terms beyond the head: the trees of a search over every term and cut."""
+    for name, value in {"LEAST_SEEN": 20, **limits}.items():
+        monkeypatch.setattr(forest, name, value)
+    choose = random.Random(12)
+    texts = [" ".join(f"word{min(choose.randrange(40), choose.randrange(40))}" for _ in range(choose.randrange(0, 25))) for _ in range(60)]
+    rows = [(t, int(len(t) % 3 == 0), choose.randrange(2)) for t in texts + texts[:10]] + [(None, 1, 0), ("", 0, 1)]
+    df = spark.createDataFrame(rows, "comment_text string, a int, b int")
+    model = forest.fit_forest(df, labels=["a", "b"], trees=2, depth=9)
+    weighted = {(r.term, round(r.tfidf, 12)) for r in vectors.tfidf(df.selectExpr("uuid() AS k", "comment_text AS t"), model.idf, "k", "t").collect()}
+    number = {r.t: r.term for r in model.idf.select("term", F.xxhash64("term").alias("t")).collect()}
+    given = [(r.row, r.copies, r.y, dict(zip(r.terms, r.weights)))
+             for r in forest.training_rows(df, "comment_text", ["a", "b"], model.idf).collect()]
+    assert {(number[t], w) for r in given for t, w in r[3].items()} == weighted and all(list(r[3]) == sorted(r[3]) for r in given)
+    mean_terms = sum(len(r[3]) for r in given) / len(given)
+    for tree in range(2):
+        assert leaves_of([n for n in model.nodes if n[0] == tree]) == brute_tree(given, tree, 9, model.idf.count(), mean_terms)
+
+
+def test_low_levels_of_a_large_node_share_a_job(spark, monkeypatch):
+    """A chain of 30 splits, each of which takes one term's rows out, does not cost a job and a reading of all rows for each level."""
+    monkeypatch.setattr(forest, "SMALL", 0)
+    monkeypatch.setattr(forest, "LEAST_SEEN", 10**6)  # every node looks at all terms
+    rows = [(f"all{i % 3}z word{i // 4}", int(i < 160)) for i in range(400)]
+    df = spark.createDataFrame(rows, "comment_text string, a int")
+    jobs, mapped = [], type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, *a, **k: jobs.append(1) or mapped(self, *a, **k))
+    model = forest.fit_forest(df, labels=["a"], trees=1, depth=30)
+    low, depth = {n[1]: n[4] for n in model.nodes}, 0
+    at = 0
+    while low[at] >= 0:
+        at, depth = low[at], depth + 1
+    assert depth > 20 and len(jobs) < 12
+
+
+def test_predictions_with_terms_beyond_the_head(spark, monkeypatch):
+    """Rare terms by shuffle give the probabilities of terms looked up in the row; unseen terms are dropped either way."""
+    rows = [(i, f"all{i % 3}z word{i // 2} {'bad' if i % 4 == 0 else 'fine'}", int(i % 4 == 0)) for i in range(60)] + [(60, None, 0), (61, "x", 1)]
+    df = spark.createDataFrame(rows, "id int, comment_text string, a int")
+    model = forest.fit_forest(df, labels=["a"], trees=3, depth=6)
+    asked = df.select("id", F.concat("comment_text", F.lit(" unseen")).alias("comment_text"))
+    found = []
+    for most in (1 << 20, 5, 0):
+        monkeypatch.setattr(forest, "HEAD_TERMS", most)
+        found.append(sorted(tuple(r) for r in forest.predict(model, asked).select("id", "probabilities").collect()))
+    assert found[0] == found[1] == found[2] and len(found[0]) == 62
