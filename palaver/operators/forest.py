@@ -37,7 +37,7 @@ CUTS = (0.0, 0.05, 0.1, 0.2)
 STANDS = np.array([CUTS[0], *[(a + b) / 2 for a, b in zip(CUTS, CUTS[1:])], CUTS[-1] + 1])
 LEAST_SEEN, MOST_BROADCAST = 256, 100_000
 #: A node that drew so many rows or fewer, of at most ``MOST_ENTRIES``, is finished by one task, which holds these rows and no others.
-SMALL = 8192
+SMALL = 16_384
 POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(12)])
 ODD = np.uint64(0x9E3779B97F4A7C15)
 PIECE = 16_384
@@ -45,9 +45,15 @@ PIECE = 16_384
 CHUNK, CHUNKS = 1 << 21, 4
 #: A large node is split by one task, for several levels down its low side at once, if that takes at most so many entries of the
 #: terms it looks at; a node that needs more for one level is split by grouped sums.
-MOST_ENTRIES, AHEAD = 1 << 21, 32
+MOST_ENTRIES, AHEAD = 1 << 22, 32
+#: The small nodes of so many trees are finished in one job: their rows are on disk once for each of these trees.
+TREES_A_JOB = 4
 #: So many terms, the most frequent ones, send their idf to every task, as two numbers each; texts meet the others by shuffle.
 HEAD_TERMS = 1 << 21
+#: Texts are weighed in batches of at most so many entries.
+BATCH_ENTRIES = 1 << 20
+#: A session setting: files of a job's shuffles go when it ends, not when the driver happens to collect its garbage.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: A tree of so many nodes for each row of a batch is walked row by row; a smaller one splits the batch node by node.
 NODES_A_ROW = 8
 
@@ -146,6 +152,18 @@ class Sparse:
         """Entries of these rows, row by row."""
         return ranges(self.first[rows], self.sizes[rows])
 
+    def of_terms(self, codes: np.ndarray) -> np.ndarray:
+        """Entries of these terms (places in ``known``), term by term."""
+        return self.order[ranges(self.begin[codes], self.begin[codes + 1] - self.begin[codes])]
+
+    def above(self, code: int, cut: float) -> np.ndarray:
+        """Rows with more of a term than the cut."""
+        entry = self.order[self.begin[code]:self.begin[code + 1]]
+        return self.row[entry[self.weights[entry] > cut]]
+
+    def terms_of(self, entries: np.ndarray) -> np.ndarray:
+        return self.terms[entries]
+
     def weight(self, rows: np.ndarray, terms: np.ndarray) -> np.ndarray:
         """Weight of a term in each row, 0 where the row lacks it."""
         if not len(self.keys):
@@ -178,16 +196,14 @@ class Sparse:
         inner = np.flatnonzero(low >= 0)
         code = np.minimum(np.searchsorted(self.known, term[inner]), max(len(self.known) - 1, 0))
         there = self.known[code] == term[inner] if len(self.known) else np.zeros(len(inner), bool)
-        begin, end = self.begin[code], np.where(there, self.begin[np.minimum(code + 1, len(self.begin) - 1)], self.begin[code])
         own, set_at, at_of = np.zeros(self.n, np.int64), {0: 0}, [0]
-        for node, start, stop, least, below, above in zip(*(c.tolist() for c in (inner, begin, end, cut[inner], low[inner], high[inner]))):
+        for node, place, known, least, below, above in zip(*(c.tolist() for c in (inner, code, there, cut[inner], low[inner], high[inner]))):
             here = set_at.pop(node, None)
             if here is None:
                 continue
             set_at[below], at_of[here] = here, below
-            if start < stop:
-                entry = self.order[start:stop]
-                rows = self.row[entry[self.weights[entry] > least]]
+            if known:
+                rows = self.above(place, least)
                 rows = rows[own[rows] == here]
                 if len(rows):
                     own[rows] = set_at[above] = len(at_of)
@@ -201,40 +217,44 @@ def levels(weights: np.ndarray) -> np.ndarray:
 
 
 class Chunk(Sparse):
-    """The same from a stored chunk of rows: entries by term, then by row, a weight given by its level."""
+    """The same from a stored chunk of rows: entries by term, then by row, a weight given by its level; some 20 bytes an entry."""
 
     def __init__(self, stored: dict[str, np.ndarray]):
-        self.hash, self.copies, self.known, self.begin, self.row = (stored[c] for c in ("row", "copies", "known", "begin", "at"))
-        self.level = stored["level"]
-        self.n, self.weights, self.order = len(self.hash), STANDS[self.level], np.arange(len(self.row))
+        self.hash, self.copies, self.known, self.begin, self.row, self.level = (
+            stored[c] for c in ("row", "copies", "known", "begin", "at", "level"))
+        self.n = len(self.hash)
         self.y = stored["y"].reshape(self.n, -1)
         self.sizes = np.bincount(self.row, minlength=self.n)
         self.first = np.cumsum(self.sizes) - self.sizes
 
     @cached_property
     def code(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.known)), np.diff(self.begin))
-
-    @cached_property
-    def terms(self) -> np.ndarray:
-        return self.known[self.code]
+        return np.repeat(np.arange(len(self.known), dtype=np.int32), np.diff(self.begin))
 
     @cached_property
     def by_row(self) -> np.ndarray:
-        return np.argsort(self.row, kind="stable")
+        return np.argsort(self.row, kind="stable").astype(np.min_scalar_type(len(self.row)))
+
+    def terms_of(self, entries: np.ndarray) -> np.ndarray:
+        return self.known[self.code[entries]]
 
     def of_rows(self, rows: np.ndarray) -> np.ndarray:
         return self.by_row[super().of_rows(rows)]
 
+    def of_terms(self, codes: np.ndarray) -> np.ndarray:
+        return ranges(self.begin[codes], self.begin[codes + 1] - self.begin[codes])
+
+    def above(self, code: int, cut: float) -> np.ndarray:
+        own = slice(self.begin[code], self.begin[code + 1])
+        return self.row[own][self.level[own] > CUTS.index(cut)]
+
+    def above_cut(self, term: int, cut: float) -> np.ndarray:
+        """``above`` for a term of the chunk."""
+        return self.above(int(np.searchsorted(self.known, term)), cut)
+
     def nodes(self, tree: tuple[np.ndarray, ...]) -> np.ndarray:
         return self.split_off(tree)
 
-    def above(self, term: int, cut: float) -> np.ndarray:
-        """Rows with more of a term of the chunk than the cut."""
-        code = np.searchsorted(self.known, term)
-        entry = slice(self.begin[code], self.begin[code + 1])
-        return self.row[entry][self.weights[entry] > cut]
-
 
 def arrays(tree: Tree) -> tuple[np.ndarray, ...]:
     return (np.array(tree.term, np.int64), np.array(tree.cut, float), np.array(tree.low, np.int64), np.array(tree.high, np.int64))
@@ -270,6 +290,17 @@ def _listed(n: int, row: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
     return [pa.ListArray.from_arrays(offsets, pa.array(c)) for c in columns]
 
 
+def bounded(incoming, column: str):
+    """Incoming batches in slices of at most ``BATCH_ENTRIES`` elements of a list column, or of one row."""
+    for batch in incoming:
+        ends, start = np.cumsum(np.diff(batch.column(column).offsets.to_numpy())), 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + BATCH_ENTRIES, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def _head(idf: DataFrame) -> tuple[np.ndarray, np.ndarray, DataFrame | None]:
     """Numbers, in order, and idf of the ``HEAD_TERMS`` most frequent terms or fewer, and the other terms if there are any."""
     numbered, limit, known = idf.select(F.xxhash64("term").alias("t"), "idf"), -1.0, 0
@@ -295,15 +326,21 @@ def features(lists: DataFrame, idf: DataFrame, key: str, then=None, schema: str
     columns = StructType([lists.schema[c] for c in others])
     numbered = lists.select(*others, F.transform("terms", lambda t: F.xxhash64(t["term"])).alias("t"), F.col("terms.n").alias("n"))
 
+    def in_rows(row, n):
+        return np.argsort(row.astype(np.min_scalar_type(n)), kind="stable")
+
     def found(batch):
+        """Row, number and count of all terms in the order of their numbers, which are there, and count times idf of these."""
         row, terms = _flat(batch.column("t"))
         terms, n = terms.to_numpy(zero_copy_only=False), batch.column("n").flatten().to_numpy(zero_copy_only=False)
-        at = np.minimum(np.searchsorted(known, terms), max(len(known) - 1, 0))
+        order = np.argsort(terms)
+        row, terms, n = row[order], terms[order], n[order]
+        at = np.minimum(np.searchsorted(known, terms), max(len(known) - 1, 0))  # in order, so neighbours stay in the cache
         there = known[at] == terms if len(known) else np.zeros(len(terms), bool)
         return row, terms, n, there, n[there] * idf_of[at[there]]
 
     def unit(batch, row, terms, weights):
-        order = np.lexsort((terms, row))
+        order = in_rows(row, batch.num_rows)
         row, terms, weights = row[order], terms[order], weights[order]
         length = np.sqrt(np.bincount(row, weights * weights, minlength=batch.num_rows))
         lists = _listed(batch.num_rows, row, terms, np.round(weights / length[row], 12))
@@ -311,23 +348,27 @@ def features(lists: DataFrame, idf: DataFrame, key: str, then=None, schema: str
         return then(whole) if then else whole
 
     def at_once(incoming):
-        for batch in incoming:
+        for batch in bounded(incoming, "t"):
             row, terms, _, there, weights = found(batch)
             yield unit(batch, row[there], terms[there], weights)
 
     def halves(incoming):
-        for batch in incoming:
+        for batch in bounded(incoming, "t"):
             row, terms, n, there, weights = found(batch)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in others] + _listed(batch.num_rows, row[there], terms[there], weights)
-                + _listed(batch.num_rows, row[~there], terms[~there], n[~there]), names=[*others, "t", "w", "rare_t", "rare_n"])
+            lists = []
+            for own, value in ((there, weights), (~there, n[~there])):
+                order = in_rows(row[own], batch.num_rows)
+                lists += _listed(batch.num_rows, row[own][order], terms[own][order], value[order])
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in others] + lists, names=[*others, "t", "w", "rare_t", "rare_n"])
 
     def joined(incoming):
-        for batch in incoming:
+        for batch in bounded(incoming, "t"):
             (row, terms), (rare_row, rare) = _flat(batch.column("t")), _flat(batch.column("rare"))
             terms, weights, rare_terms, rare_weights = (c.to_numpy(zero_copy_only=False) for c in (
                 terms, batch.column("w").flatten(), rare.field("t"), rare.field("w")))
-            yield unit(batch, np.append(row, rare_row), np.append(terms, rare_terms), np.append(weights, rare_weights))
+            row, terms, weights = np.append(row, rare_row), np.append(terms, rare_terms), np.append(weights, rare_weights)
+            order = np.argsort(terms)
+            yield unit(batch, row[order], terms[order], weights[order])
 
     result = schema or StructType([*columns, *StructType.fromDDL("terms array<bigint>, weights array<double>")])
     if tail is None:
@@ -437,7 +478,7 @@ def seen_of(sparse: Sparse, rows: np.ndarray, node: np.ndarray, value: int, tree
     A node draws a term once, not once per entry: from the distinct terms of the batch, or from its own entries if these are fewer.
     """
     own = sparse.of_rows(rows) if sparse.sizes[rows].sum() < len(sparse.known) else None
-    terms = sparse.known if own is None else sparse.terms[own]
+    terms = sparse.known if own is None else sparse.terms_of(own)
     looked = looked_at(terms, tree, names[0], share, seed)
     if len(names) > 1:
         any_ = np.zeros(len(terms), bool)
@@ -447,7 +488,7 @@ def seen_of(sparse: Sparse, rows: np.ndarray, node: np.ndarray, value: int, tree
         looked = np.flatnonzero(any_)
     if own is not None:
         return own[looked]
-    found = sparse.order[ranges(sparse.begin[looked], sparse.begin[looked + 1] - sparse.begin[looked])]
+    found = sparse.of_terms(looked)
     return found[node[sparse.row[found]] == value]
 
 
@@ -481,8 +522,8 @@ def seen_terms(forest: list[Tree], open_: dict[tuple[int, int], float], n_labels
                 entry = seen_entries(chunk, np.where(times > 0, node, -1), share, names[tree], tree, seed)
                 own = chunk.row[entry]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(own), tree), pa.int32()), pa.array(node[own], pa.int32()), pa.array(chunk.terms[entry], pa.int64()),
-                    pa.array(chunk.weights[entry], pa.float64()), pa.array(times[own], pa.int64()),
+                    pa.array(np.full(len(own), tree), pa.int32()), pa.array(node[own], pa.int32()), pa.array(chunk.terms_of(entry), pa.int64()),
+                    pa.array(STANDS[chunk.level[entry]], pa.float64()), pa.array(times[own], pa.int64()),
                     *_listed(len(own), np.repeat(np.arange(len(own)), n_labels), chunk.y[own].ravel())],
                     names=["tree", "node", "term", "weight", "n", "y"])
 
@@ -560,7 +601,7 @@ def pieces(forest: list[Tree], nodes: list[np.ndarray], entries_of, seed: int):
 
     ``entries_of`` picks entries of a node in any order; without it a node gets all entries of its rows.
     """
-    grown, wanted = [arrays(t) for t in forest], [np.zeros(len(t.n), bool) for t in forest]
+    grown, wanted = [arrays(t) if len(own) else None for t, own in zip(forest, nodes)], [np.zeros(len(t.n), bool) for t in forest]
     for mask, own in zip(wanted, nodes):
         mask[own] = True
 
@@ -674,7 +715,7 @@ def low_splits(chunks: DataFrame, forest: list[Tree], open_: list[tuple[int, int
             term, cut, above, positives = found
             splits.append(found)
             low, _ = top.split(here, term, CUTS[cut], above, positives)
-            at[chunk.above(term, CUTS[cut])] = -1
+            at[chunk.above_cut(term, CUTS[cut])] = -1
             rows = rows[at[rows] == here]
             at[rows], here = low, low
             if growth.ends(top, low) or growth.small(top.n[low], small) or growth.share(top.n[low], least_seen) != share:
@@ -710,7 +751,7 @@ def finish(chunks: DataFrame, forest: list[Tree], small: list[tuple[int, int]],
             if found is not None:
                 term, cut, above, own_positives = found
                 low, high = top.split(here, term, CUTS[cut], above, own_positives)
-                up = chunk.above(term, CUTS[cut])
+                up = chunk.above_cut(term, CUTS[cut])
                 at[up[at[up] == here]] = high
                 up = at[inside] == high
                 at[inside[~up]] = low
@@ -761,8 +802,9 @@ def grow(rows: DataFrame, trees: int, entries: int, growth: Growth) -> list[Tree
             sort_out(s.tree, high)
             if not s.ended and (after is None or after.step == 0):
                 sort_out(s.tree, low)
-    if small:
-        finish(chunks, forest, small, growth)
+    for first in range(0, len(forest), TREES_A_JOB):
+        if own := [(t, node) for t, node in small if first <= t < first + TREES_A_JOB]:
+            finish(chunks, forest, own, growth)
     return forest
 
 
@@ -777,7 +819,8 @@ def fit_forest(df: DataFrame, text: str = "comment_text", labels=values.TOXICITY
     n_terms = idf.count()
     n_rows, entries = rows.agg(F.count(F.lit(1)), F.sum(F.size("terms"))).first()
     growth = Growth(len(labels), n_terms, entries / n_rows if n_rows else 0.0, depth, seed)
-    forest = grow(rows, trees, entries, growth) if n_terms else []
+    with session.setting(df.sparkSession, DROP_SHUFFLES, "true"):  # all that grow reads is written
+        forest = grow(rows, trees, entries, growth) if n_terms else []
     nodes = [(t, i, tree.term[i], tree.cut[i], tree.low[i], tree.high[i], [p / tree.n[i] for p in tree.positives[i]])
              for t, tree in enumerate(forest) if tree.n[0] for i in range(len(tree.n))]  # a tree that drew no row says nothing
     return ForestModel(labels, text, nodes, idf)

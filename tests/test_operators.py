@@ -508,8 +508,8 @@ def test_results_are_written_without_sorting_texts(spark, tmp_path, monkeypatch)
 
 
 @pytest.mark.parametrize("limits", [
-    {"SMALL": 0}, {"SMALL": 0, "MOST_ENTRIES": 0}, {"SMALL": 0, "AHEAD": 2, "CHUNK": 64}, {"CHUNK": 300, "HEAD_TERMS": 12},
-    {"SMALL": 30, "MOST_ENTRIES": 150, "HEAD_TERMS": 0}])
+    {"SMALL": 0}, {"SMALL": 0, "MOST_ENTRIES": 0}, {"SMALL": 0, "AHEAD": 2, "CHUNK": 64, "BATCH_ENTRIES": 30},
+    {"CHUNK": 300, "HEAD_TERMS": 12, "BATCH_ENTRIES": 30, "TREES_A_JOB": 1}, {"SMALL": 30, "MOST_ENTRIES": 150, "HEAD_TERMS": 0}])
 def test_trees_do_not_depend_on_how_work_is_dealt(spark, monkeypatch, limits):
     """Several levels in a job, grouped sums, small chunks, terms beyond the head: the trees of a search over every term and cut."""
     for name, value in {"LEAST_SEEN": 20, **limits}.items():
