@@ -763,15 +763,16 @@ def finish(chunks: DataFrame, forest: list[Tree], small: list[tuple[int, int]],
 
     dealt = chunks.mapInArrow(pieces(forest, nodes, None, growth.seed), PIECE_ROWS)
     found = dealt.groupBy("tree", "node").applyInArrow(
-        subtree, "tree int, node int, place int, term bigint, cut double, low int, high int, n bigint, positives array<bigint>").collect()
-    for r in sorted(found, key=lambda r: (r.tree, r.node, r.place)):
-        tree = forest[r.tree]
-        if r.place == 0:
-            first, at = len(tree.n), r.node
+        subtree, "tree int, node int, place int, term bigint, cut double, low int, high int, n bigint, positives array<bigint>").toArrow()
+    found = found.take(pa.array(np.lexsort([found.column(c).to_numpy() for c in ("place", "node", "tree")])))
+    for t, node, place, term, cut, low, high, n, positives in zip(*(c.to_pylist() for c in found.columns)):
+        tree = forest[t]
+        if place == 0:
+            first, at = len(tree.n), node
         else:
-            at = tree.add(r.n, list(r.positives), 0, 0)
-        tree.term[at], tree.cut[at] = r.term, r.cut
-        tree.low[at], tree.high[at] = (-1 if c < 0 else first + c - 1 for c in (r.low, r.high))
+            at = tree.add(n, positives, 0, 0)
+        tree.term[at], tree.cut[at] = term, cut
+        tree.low[at], tree.high[at] = (-1 if c < 0 else first + c - 1 for c in (low, high))
 
 
 def grow(rows: DataFrame, trees: int, entries: int, growth: Growth) -> list[Tree]:
@@ -871,7 +872,10 @@ NODES = "tree int, node int, term bigint, cut double, low int, high int, shares
 def save_model(model: ForestModel, path: str) -> None:
     """Three Parquet folders: the form of the model, its nodes, its term weights."""
     spark = model.idf.sparkSession
-    spark.createDataFrame(model.nodes, NODES).write.mode("overwrite").parquet(f"{path}/nodes")
+    kinds = pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.list_(pa.float64())
+    columns = list(zip(*model.nodes)) or [()] * len(kinds)
+    nodes = pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=StructType.fromDDL(NODES).names)
+    spark.createDataFrame(nodes, StructType.fromDDL(NODES)).write.mode("overwrite").parquet(f"{path}/nodes")
     model.idf.write.mode("overwrite").parquet(f"{path}/idf")
     spark.createDataFrame([(model.labels, model.text)], "labels array<string>, text string").write.mode("overwrite").parquet(f"{path}/form")
 
@@ -884,5 +888,5 @@ def load_model(spark: SparkSession, path: str) -> ForestModel | None:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    nodes = [tuple(r) for r in spark.read.parquet(f"{path}/nodes").collect()]
+    nodes = list(zip(*(c.to_pylist() for c in spark.read.parquet(f"{path}/nodes").toArrow().columns)))
     return ForestModel(list(form.labels), form.text, nodes, spark.read.parquet(f"{path}/idf"))
